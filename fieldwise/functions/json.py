@@ -22,8 +22,23 @@ def _c(c: str | Column) -> Column:
 
 
 def json_map(doc: str | Column) -> Column:
-    """Parse a JSON object into ``map<string,string>`` (values kept as text)."""
-    return F.from_json(_c(doc), TEXT_MAP)
+    """Parse a JSON object into ``map<string,string>`` (values kept as text).
+
+    ``from_json`` keeps duplicate keys as separate entries and a lookup would
+    find the first; rebuilding the map with ``map_from_entries`` applies the
+    session's ``LAST_WIN`` dedup policy, so the last duplicate wins as in jsonb.
+    """
+    return F.map_from_entries(F.map_entries(F.from_json(_c(doc), TEXT_MAP)))
+
+
+def json_struct(doc: str | Column, keys: Sequence[str]) -> Column:
+    """Parse a JSON object once into a struct of text fields named by ``keys``.
+
+    The declared-header form of X11: one parse per row, last duplicate wins,
+    absent keys are null. Field names may contain spaces and symbols.
+    """
+    fields = ", ".join(f"`{k.replace('`', '``')}`: string" for k in keys)
+    return F.from_json(_c(doc), f"struct<{fields}>")
 
 
 def json_field(doc: str | Column, key: str) -> Column:
