@@ -21,7 +21,10 @@ def norm_text(c: str | Column) -> Column:
     ``'follow up 3 no response'`` the same join key. Apply to both sides of a
     join (J9) as a precomputed column.
     """
-    x = F.trim(F.regexp_replace(F.lower(F.coalesce(_c(c), F.lit(""))), r"[^a-z0-9]+", " "))
+    # Fixed value: Java lower-cases U+0130 (dotted capital I) to two code
+    # points; PostgreSQL (glibc) and DuckDB give a plain 'i'. Map it first.
+    src = F.translate(F.coalesce(_c(c), F.lit("")), "\u0130", "I")
+    x = F.trim(F.regexp_replace(F.lower(src), r"[^a-z0-9]+", " "))
     return F.nullif(x, F.lit(""))
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import resolution_queries  # noqa: F401
+from . import cast_queries, resolution_queries  # noqa: F401
 from .catalog import REGISTRY, Registered
 
 
