@@ -66,7 +66,7 @@ def main():
             srows = df.collect()
             scols = df.columns
         except Exception as e:  # noqa: BLE001
-            print(f"{name:28s} SPARK-ERROR {type(e).__name__}: {str(e)[:300]}")
+            print(f"{name:28s} SPARK-ERROR {type(e).__name__}: {str(e).splitlines()[0][:300]}")
             bad += 1
             continue
         ts = time.time() - t0
