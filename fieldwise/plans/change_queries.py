@@ -63,12 +63,11 @@ def change_inputs(spark: SparkSession, sf_dir: str):
         (k % 17 == 0).alias("missing"),
         F.col("o_orderpriority").alias("ls"),
     )
-    inst = seeds.instances(spark).select(F.col("instance_id").alias("source_instance_id"))
-    manifest = inst.crossJoin(
-        spark.createDataFrame(
-            [(AS_OF, SWEEP_FROM, SWEEP_TO, True), ("1998-06-15 13:00:00", SWEEP_FROM, SWEEP_TO, False)],
-            "at string, from long, to long, complete boolean",
-        )
+    # One complete sweep per instance and a later, truncated one that must be ignored.
+    runs = [(AS_OF, True), ("1998-06-15 13:00:00", False)]
+    manifest = spark.createDataFrame(
+        [(inst[1], at, SWEEP_FROM, SWEEP_TO, done) for inst in seeds.INSTANCES for at, done in runs],
+        "source_instance_id string, at string, from long, to long, complete boolean",
     ).withColumn("at", F.col("at").cast("timestamp"))
     return state, sweep, details, manifest
 
