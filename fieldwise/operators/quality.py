@@ -2,7 +2,7 @@
 
 Each check returns the *failing rows* as a DataFrame (so they can be
 inspected or quarantined); ``run_checks`` folds many checks into one result
-table ``(check, table_name, column_name, failing_rows, sample)`` where the
+table ``(check_name, table_name, column_name, failing_rows, sample)`` where the
 sample is the smallest failing key as text - bounded, deterministic, and
 never a collected list.
 """
@@ -91,7 +91,7 @@ def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> Data
                 F.count(F.lit(1)).alias("failing_rows"),
                 F.min(_key_text(key)).alias("sample"),
             ).select(
-                F.lit(c.kind).alias("check"),
+                F.lit(c.kind).alias("check_name"),
                 F.lit(c.table).alias("table_name"),
                 F.lit(",".join(c.columns)).alias("column_name"),
                 "failing_rows",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import business_queries, cast_queries, change_queries, event_queries, resolution_queries  # noqa: F401
+from . import business_queries, cast_queries, change_queries, event_queries, quality_queries, resolution_queries  # noqa: F401
 from .catalog import REGISTRY, Registered
 
 
