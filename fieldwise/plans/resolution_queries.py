@@ -9,12 +9,16 @@ third event id, ``k`` on every fifth) so that the null-skip and the T4
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import json_field
-from ..operators.resolve import Candidates, arm, latest_by_source, observe, resolve
+from ..operators.resolve import Candidates, arm, latest_by_source, newest_row, observe, resolve
+from ..operators.union import ArmSpec, stack_observations
 from .catalog import query, table
+from .roles import ORDERS_IN_BRANCHES_SQL, orders_in_branches, status_code, status_code_sql
 
 # Candidate lists per field, most authoritative first.
 EVENT_CANDIDATES = Candidates(
@@ -107,3 +111,176 @@ def latest_by_source_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         "value",
     )
     return latest_by_source(obs, ["user_id"], priority=None, tiebreak=["event_id"])
+
+
+# ------------------------------------------------------------ R3 R5 R6 R10
+ORDER_KEYS = ["source_instance_id", "o_orderkey"]
+ORDER_FIELDS = {
+    "quote_number": "string",
+    "status_code": "int",
+    "pipeline_status": "string",
+    "service_date": "date",
+    "estimated_final_total": "decimal(18,2)",
+    "sales_assignee_name": "string",
+    "customer_address": "string",
+    "branch_name": "string",
+    "invoiced_amount": "decimal(18,2)",
+    "is_deleted": "boolean",
+    "deleted_at": "timestamp",
+}
+# The candidate table of the resolved order (most authoritative first).
+ORDER_CANDIDATES = Candidates(
+    fields={
+        "quote_number": ["api_enrichment", "api_sweep", "report_lead_status"],
+        "status_code": ["api_enrichment", "api_sweep"],
+        "pipeline_status": ["api_enrichment", "report_lead_status", "report_booked"],
+        "service_date": ["api_enrichment", "report_lead_status"],
+        "estimated_final_total": ["api_enrichment", "report_lead_status", "report_booked"],
+        "sales_assignee_name": ["api_enrichment", "report_lead_status", "jobs_attribution"],
+        "customer_address": ["api_sweep"],
+        "branch_name": ["api_enrichment"],
+        "invoiced_amount": ["report_booked"],
+        "is_deleted": ["deletions", "api_enrichment"],
+        "deleted_at": ["deletions"],
+    },
+    freshness_sources=["api_enrichment", "api_sweep", "report_lead_status", "report_booked", "deletions"],
+)
+
+
+def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every source's observations of an order, five arms from one scan plus R10."""
+    o = orders_in_branches(spark, sf_dir, "o_orderstatus", "o_orderpriority", "o_orderdate", "o_totalprice")
+    k = F.col("o_orderkey")
+    day = F.to_date("o_orderdate")
+    at = lambda days: F.col("o_orderdate") + F.make_interval(days=F.lit(days))
+    quote = F.when(k % 5 != 0, F.floor(k / 3).cast("string"))
+    dec = F.col("o_totalprice").cast("decimal(18,2)")
+    arms = [
+        ArmSpec("api_enrichment", 1, at(30), {
+            "quote_number": quote, "status_code": status_code(), "pipeline_status": F.col("o_orderpriority"),
+            "service_date": day, "estimated_final_total": dec,
+            "sales_assignee_name": F.when(k % 4 != 1, F.concat(F.lit("rep_"), (k % 17).cast("string"))),
+            "branch_name": F.col("branch_name"), "is_deleted": F.lit(False),
+        }, when=k % 3 != 0),
+        # an older detail snapshot: its assignee is hidden by the newer null (T4)
+        ArmSpec("api_enrichment", 1, at(10), {
+            "quote_number": quote, "pipeline_status": F.lit("stale status"),
+            "sales_assignee_name": F.concat(F.lit("old_rep_"), (k % 7).cast("string")), "is_deleted": F.lit(False),
+        }, when=k % 8 == 1),
+        ArmSpec("api_sweep", 2, at(40), {
+            "quote_number": quote,
+            "status_code": F.when(k % 6 == 0, F.lit(20)).otherwise(status_code()),
+            "customer_address": F.concat(F.lit("addr "), F.col("o_custkey").cast("string")),
+        }, when=k % 2 == 0),
+        # equal observation time with the detail call on every 11th order
+        ArmSpec("report_lead_status", 3, F.when(k % 11 == 0, at(30)).otherwise(at(35)), {
+            "quote_number": quote, "pipeline_status": F.lower("o_orderpriority"),
+            "service_date": F.date_add(day, (k % 3).cast("int")),
+            "estimated_final_total": F.when(k % 7 == 0, F.round(dec * F.lit(Decimal("1.1")), 2)).otherwise(dec),
+            "sales_assignee_name": F.concat(F.lit("Rep "), (k % 13).cast("string")),
+        }, when=k % 5 != 2),
+        ArmSpec("report_booked", 4, at(45), {
+            "pipeline_status": F.lit("Booked"), "estimated_final_total": dec,
+            "invoiced_amount": dec + (k % 100),
+        }, when=F.col("o_orderstatus") == "F"),
+        # deletion markers: after the detail snapshot, or (every 58th) before it
+        ArmSpec("deletions", 0, F.when(k % 58 == 0, at(20)).otherwise(at(50)), {
+            "is_deleted": F.lit(True), "deleted_at": F.when(k % 58 == 0, at(20)).otherwise(at(50)),
+        }, when=k % 29 == 0),
+    ]
+    obs = stack_observations(o, ORDER_KEYS, arms, ORDER_FIELDS)
+    # Attribution recovered from the newest job row of each order (J6 + N4)
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+    newest_job = newest_row(
+        li, ["l_orderkey"],
+        [F.col("l_shipdate"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")],
+        keep=["l_shipdate", "l_suppkey"],
+    )
+    keys = o.select(*ORDER_KEYS)
+    ajo = newest_job.join(keys, newest_job["l_orderkey"] == keys["o_orderkey"], "inner")
+    ajo_obs = stack_observations(
+        ajo, ORDER_KEYS,
+        [ArmSpec("jobs_attribution", 5, F.col("l_shipdate"), {
+            "sales_assignee_name": F.concat(F.lit("job_rep_"), (F.col("l_suppkey") % 11).cast("string"))})],
+        ORDER_FIELDS,
+    )
+    return obs.unionByName(ajo_obs)
+
+
+def _pick_sql(candidates: Candidates) -> str:
+    parts = []
+    for fld, sources in candidates.fields.items():
+        pos = " ".join(f"WHEN '{s}' THEN {i}" for i, s in enumerate(sources, start=1))
+        parts.append(
+            f"arg_max({fld}, {{'t': observed_at, 'p': -(CASE source {pos} END)}}) "
+            f"FILTER (WHERE {fld} IS NOT NULL AND observed_at IS NOT NULL AND source IN "
+            f"({', '.join(repr(s) for s in sources)})) AS {fld}"
+        )
+    fresh = ", ".join(repr(s) for s in candidates.freshness_sources)
+    parts.append(f"max(observed_at) FILTER (WHERE source IN ({fresh})) AS synced_at")
+    return ",\n  ".join(parts)
+
+
+RESOLVE_ORDERS_SQL = f"""
+WITH o AS ({ORDERS_IN_BRANCHES_SQL}),
+q AS (SELECT *, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_orderkey // 3 AS VARCHAR) END AS quote,
+             CAST(o_totalprice AS DECIMAL(18,2)) AS dec, {status_code_sql()} AS code FROM o),
+arms AS (
+  SELECT source_instance_id, o_orderkey, 'api_enrichment' AS source, 1 AS source_priority,
+         o_orderdate + INTERVAL 30 DAY AS observed_at, quote AS quote_number, code AS status_code,
+         o_orderpriority AS pipeline_status, CAST(o_orderdate AS DATE) AS service_date, dec AS estimated_final_total,
+         CASE WHEN o_orderkey % 4 <> 1 THEN 'rep_' || CAST(o_orderkey % 17 AS VARCHAR) END AS sales_assignee_name,
+         CAST(NULL AS VARCHAR) AS customer_address, branch_name, CAST(NULL AS DECIMAL(18,2)) AS invoiced_amount,
+         FALSE AS is_deleted, CAST(NULL AS TIMESTAMP) AS deleted_at
+  FROM q WHERE o_orderkey % 3 <> 0
+  UNION ALL
+  SELECT source_instance_id, o_orderkey, 'api_enrichment', 1, o_orderdate + INTERVAL 10 DAY, quote, NULL,
+         'stale status', NULL, NULL, 'old_rep_' || CAST(o_orderkey % 7 AS VARCHAR), NULL, NULL, NULL, FALSE, NULL
+  FROM q WHERE o_orderkey % 8 = 1
+  UNION ALL
+  SELECT source_instance_id, o_orderkey, 'api_sweep', 2, o_orderdate + INTERVAL 40 DAY, quote,
+         CASE WHEN o_orderkey % 6 = 0 THEN 20 ELSE code END, NULL, NULL, NULL, NULL,
+         'addr ' || CAST(o_custkey AS VARCHAR), NULL, NULL, NULL, NULL
+  FROM q WHERE o_orderkey % 2 = 0
+  UNION ALL
+  SELECT source_instance_id, o_orderkey, 'report_lead_status', 3,
+         CASE WHEN o_orderkey % 11 = 0 THEN o_orderdate + INTERVAL 30 DAY ELSE o_orderdate + INTERVAL 35 DAY END,
+         quote, NULL, lower(o_orderpriority), CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER),
+         CASE WHEN o_orderkey % 7 = 0 THEN CAST(round(dec * 1.1, 2) AS DECIMAL(18,2)) ELSE dec END,
+         'Rep ' || CAST(o_orderkey % 13 AS VARCHAR), NULL, NULL, NULL, NULL, NULL
+  FROM q WHERE o_orderkey % 5 <> 2
+  UNION ALL
+  SELECT source_instance_id, o_orderkey, 'report_booked', 4, o_orderdate + INTERVAL 45 DAY, NULL, NULL,
+         'Booked', NULL, dec, NULL, NULL, NULL, CAST(dec + o_orderkey % 100 AS DECIMAL(18,2)), NULL, NULL
+  FROM q WHERE o_orderstatus = 'F'
+  UNION ALL
+  SELECT source_instance_id, o_orderkey, 'deletions', 0,
+         CASE WHEN o_orderkey % 58 = 0 THEN o_orderdate + INTERVAL 20 DAY ELSE o_orderdate + INTERVAL 50 DAY END,
+         NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, TRUE,
+         CASE WHEN o_orderkey % 58 = 0 THEN o_orderdate + INTERVAL 20 DAY ELSE o_orderdate + INTERVAL 50 DAY END
+  FROM q WHERE o_orderkey % 29 = 0
+  UNION ALL
+  SELECT q.source_instance_id, q.o_orderkey, 'jobs_attribution', 5, j.l_shipdate, NULL, NULL, NULL, NULL, NULL,
+         'job_rep_' || CAST(j.l_suppkey % 11 AS VARCHAR), NULL, NULL, NULL, NULL, NULL
+  FROM q JOIN (
+    SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+        ORDER BY l_shipdate DESC, l_linenumber DESC, l_partkey DESC, l_suppkey DESC) AS rn FROM lineitem) WHERE rn = 1
+  ) j ON j.l_orderkey = q.o_orderkey),
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source_instance_id, o_orderkey, source
+                                              ORDER BY observed_at DESC NULLS FIRST, source_priority) AS rn
+                 FROM arms) WHERE rn = 1),
+picked AS (
+  SELECT source_instance_id, o_orderkey,
+  {_pick_sql(ORDER_CANDIDATES)}
+  FROM latest GROUP BY source_instance_id, o_orderkey)
+SELECT * REPLACE (coalesce(is_deleted, FALSE) AS is_deleted) FROM picked
+"""
+
+
+@query("resolve_orders", RESOLVE_ORDERS_SQL, "R3 R5 R6 R10 U1 R1 R2 J6 N4")
+def resolve_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One resolved row per order from six complementary sources, with soft delete and freshness."""
+    obs = order_observations(spark, sf_dir)
+    out = resolve(obs, ORDER_KEYS, ORDER_CANDIDATES)
+    return out.withColumn("is_deleted", F.coalesce(F.col("is_deleted"), F.lit(False)))
