@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from . import business_queries, cast_queries, change_queries, event_queries, quality_queries, resolution_queries  # noqa: F401
+from . import (  # noqa: F401
+    business_queries,
+    cast_queries,
+    change_queries,
+    event_queries,
+    quality_queries,
+    resolution_queries,
+    source_queries,
+)
 from .catalog import REGISTRY, Registered
 
 
