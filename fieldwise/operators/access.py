@@ -13,7 +13,7 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
+from .joins import bounded_broadcast, keep_bound
 
 CONTROL_TABLES = frozenset({"entity_access"})
 CONSUMER_LAYERS = ("serving", "core")
@@ -21,8 +21,8 @@ CONSUMER_LAYERS = ("serving", "core")
 
 def secure_view(df: DataFrame, access: DataFrame, role: str, tenant_col: str = "entity_id") -> DataFrame:
     """A1: rows of ``df`` whose tenant the ``role`` may see (semi join, no fan-out)."""
-    allowed = access.filter(F.col("role_name") == role).select(F.col("entity_id").alias(tenant_col)).distinct()
-    return df.join(bounded_broadcast(allowed, max_rows=1_000_000), tenant_col, "left_semi")
+    allowed = access.filter(F.col("role_name") == role).select(F.col("entity_id").alias(tenant_col))
+    return df.join(bounded_broadcast(keep_bound(allowed, access), max_rows=1_000_000), tenant_col, "left_semi")
 
 
 def tenant_tables(tables: Mapping[str, DataFrame], tenant_col: str = "entity_id") -> list[str]:

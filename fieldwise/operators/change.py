@@ -227,7 +227,7 @@ def detect_deletions(
     ``sweeps`` (C8 output) is one row per instance - broadcast-sized.
     """
     n = _now(now)
-    j = state.join(F.broadcast(sweeps), instance, "left")
+    j = state.join(sweeps, instance, "left")
     vanished = (
         F.col("gone").isNull()
         & F.col("sweep_at").isNotNull()

@@ -1,9 +1,19 @@
 """Join operators.
 
-Broadcasts are never blind: ``bounded_broadcast`` proves a row bound with a
-``limit(n + 1).count()`` probe and otherwise leaves the join to the planner
-(sort-merge with AQE skew splitting). Dimensions keyed by text are joined on
-a precomputed normalised key column, so the join stays an equi-join.
+Broadcasts are never blind. A side is hinted for broadcast only when its
+row count is *proven* small:
+
+* seeds built from rows held in code carry their exact row count
+  (``row_bound``) - no Spark job is needed to know it;
+* any other side can be probed on request (``probe=True``: one
+  ``limit(n + 1).count()`` job that stops early).
+
+Everything else is left unhinted: Spark's planner broadcasts only below
+``spark.sql.autoBroadcastJoinThreshold`` (estimated from file sizes) and
+AQE re-plans at runtime from the measured shuffle size - the size check
+and the shuffle join beyond it are Spark's own. Dimensions keyed by text
+are joined on a precomputed normalised key column, so the join stays an
+equi-join.
 """
 
 from __future__ import annotations
@@ -15,8 +25,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import norm_text
 
-# A dimension above this many rows is not broadcast (about tens of MB for
-# typical dimension widths); the join then shuffles on its key.
+# A side above this many rows is not hinted (a few tens of MB for typical
+# dimension widths); the join then shuffles on its key.
 DEFAULT_BROADCAST_ROWS = 1_000_000
 
 
@@ -24,7 +34,25 @@ class DuplicateKeyError(ValueError):
     """A dimension that must be unique on its join key is not (fan-out)."""
 
 
-def row_bound(df: DataFrame, max_rows: int) -> int | None:
+def with_bound(df: DataFrame, n: int) -> DataFrame:
+    """Record a proven row count on a DataFrame (rows built in code)."""
+    df.row_bound = n  # type: ignore[attr-defined]
+    return df
+
+
+def row_bound(df: DataFrame) -> int | None:
+    """The proven row count, if the DataFrame carries one."""
+    return getattr(df, "row_bound", None)
+
+
+def keep_bound(derived: DataFrame, source: DataFrame) -> DataFrame:
+    """Carry a proven bound to a projection / filter / rename of a bounded frame
+    (those never add rows)."""
+    n = row_bound(source)
+    return with_bound(derived, n) if n is not None else derived
+
+
+def probe_rows(df: DataFrame, max_rows: int) -> int | None:
     """The row count when it is at most ``max_rows``, else ``None`` (stops early)."""
     n = df.limit(max_rows + 1).count()
     return n if n <= max_rows else None
@@ -34,19 +62,26 @@ def bounded_broadcast(
     df: DataFrame,
     max_rows: int = DEFAULT_BROADCAST_ROWS,
     unique_on: Sequence[str] | None = None,
+    bound: int | None = None,
+    probe: bool = False,
 ) -> DataFrame:
-    """Broadcast ``df`` only when it provably has at most ``max_rows`` rows.
+    """Hint ``df`` for broadcast only when it provably has at most ``max_rows`` rows.
 
-    With ``unique_on``, a small side is also checked for duplicate keys, which
-    would silently fan out the left side (J9: two names that normalise alike).
-    Beyond the bound ``df`` is returned unhinted and Spark shuffles both sides.
+    The bound comes from ``bound``, from the DataFrame's recorded
+    ``row_bound``, or - with ``probe=True`` - from a counting job; with
+    ``probe`` and ``unique_on`` the side is also checked for duplicate keys,
+    which would silently fan out the other side (J9). Without a proven bound
+    ``df`` is returned unhinted and Spark's size-checked planner decides.
     """
-    if row_bound(df, max_rows) is None:
+    n = bound if bound is not None else row_bound(df)
+    if n is None and probe:
+        n = probe_rows(df, max_rows)
+        if n is not None and unique_on:
+            dup = df.groupBy(*unique_on).count().filter(F.col("count") > 1).limit(1).collect()
+            if dup:
+                raise DuplicateKeyError(f"join side not unique on {list(unique_on)}: {dup[0].asDict()}")
+    if n is None or n > max_rows:
         return df
-    if unique_on:
-        dup = df.groupBy(*unique_on).count().filter(F.col("count") > 1).limit(1).collect()
-        if dup:
-            raise DuplicateKeyError(f"join side not unique on {list(unique_on)}: {dup[0].asDict()}")
     return F.broadcast(df)
 
 
@@ -64,12 +99,13 @@ def norm_key_join(
 
     The normalised key is computed once per side as a column, so the join is a
     plain equi-join (hashable, broadcastable) rather than a function in the
-    condition. The right side is checked unique on the key.
+    condition. Seeds are checked unique on the key when they are built.
     """
+    bound = row_bound(right)
     lk = left.withColumn(key_name, norm_text(left_text))
     rk = right.withColumn(key_name, norm_text(right_text)).drop(right_text)
     keys = [key_name, *extra_keys]
-    rk = bounded_broadcast(rk, max_rows, unique_on=keys)
+    rk = bounded_broadcast(rk, max_rows, bound=bound)
     return lk.join(rk, keys, how)
 
 
@@ -82,6 +118,7 @@ def range_join(
     keys: Sequence[str] = (),
     how: str = "left",
     max_rows: int = DEFAULT_BROADCAST_ROWS,
+    bound: int | None = None,
 ) -> DataFrame:
     """SCD2 lookup - equal on ``keys`` and ``valid_from <= point <= valid_to``.
 
@@ -90,7 +127,7 @@ def range_join(
     broadcast behind the bound check (beyond it the join shuffles on keys).
     """
     p = F.col(point) if isinstance(point, str) else point
-    iv = bounded_broadcast(intervals, max_rows)
+    iv = bounded_broadcast(intervals, max_rows, bound=bound if bound is not None else row_bound(intervals))
     cond = [left[k] == iv[k] for k in keys]
     cond.append((p >= iv[valid_from]) & (p <= iv[valid_to]))
     out = left.join(iv, cond, how)

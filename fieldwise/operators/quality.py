@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.json import json_map
+from .joins import bounded_broadcast
 
 
 def not_null(df: DataFrame, col: str) -> DataFrame:
@@ -130,7 +131,7 @@ def freshness_report(
         "is_stale", (F.col("n_rows") == 0) | (age_us > F.lit(int(stale_hours * 3600 * 1_000_000)))
     )
     if targets is not None:
-        f = f.join(F.broadcast(targets), group_col, "left").withColumn(
+        f = f.join(bounded_broadcast(targets, 100_000), group_col, "left").withColumn(
             "breaches_target", age_us > F.col("target_minutes").cast("bigint") * F.lit(60 * 1_000_000)
         )
     return f

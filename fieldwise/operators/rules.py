@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import default_false, default_true, label_or_code, norm_text
-from .joins import bounded_broadcast, norm_key_join
+from .joins import bounded_broadcast, keep_bound, norm_key_join
 
 # Fixed value: instance hints that can stand in for a missing branch; a mixed
 # instance ('local_commercial') gives no usable default.
@@ -26,7 +26,7 @@ def with_status(df: DataFrame, enum: DataFrame, code_col: str = "status_code") -
     Unknown codes stay visible as ``status_<code>``; an unknown code counts as
     a valid lead and as not booked/lost.
     """
-    dim = bounded_broadcast(enum.withColumnRenamed("status_code", "_enum_code"), 10_000, ["_enum_code"])
+    dim = bounded_broadcast(keep_bound(enum.withColumnRenamed("status_code", "_enum_code"), enum), 10_000)
     out = df.join(dim, F.col(code_col) == F.col("_enum_code"), "left")
     return out.select(
         *[F.col(c) for c in df.columns],
@@ -83,16 +83,18 @@ def classify_lob(
     instance_col: str = "source_instance_id",
 ) -> DataFrame:
     """X23 over a jobs table: branch map joined by (instance, normalised name)."""
-    bm = branch_map.select(
-        F.col("source_instance_id").alias(instance_col),
-        F.col("branch_name").alias("_bm_branch"),
-        F.col("line_of_business").alias("_branch_lob"),
+    bm = keep_bound(
+        branch_map.select(
+            F.col("source_instance_id").alias(instance_col),
+            F.col("branch_name").alias("_bm_branch"),
+            F.col("line_of_business").alias("_branch_lob"),
+        ),
+        branch_map,
     )
     joined = norm_key_join(jobs, bm, branch_name, "_bm_branch", extra_keys=[instance_col], key_name="_branch_key")
     inst = bounded_broadcast(
-        instances.select(F.col("instance_id").alias(instance_col), F.col("lob_hint").alias("_hint")),
+        keep_bound(instances.select(F.col("instance_id").alias(instance_col), F.col("lob_hint").alias("_hint")), instances),
         max_rows=100_000,
-        unique_on=[instance_col],
     )
     joined = joined.join(inst, instance_col, "left")
     lob = lob_ladder(F.col(job_type), F.col(service_type), F.col("_branch_lob"), F.col("_hint"))

@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .joins import bounded_broadcast
+
 _EXTRA = [
     T.StructField("_pid", T.IntegerType()),
     T.StructField("_t", T.LongType()),
@@ -167,7 +169,8 @@ def ordered_scan(
         F.when(cont, F.col("_pres")).alias("_cstart"),
         head_starts.alias("_hstarts"),
     )
-    j = scanned.join(F.broadcast(carry), "_pid", "left")
+    # one row per partition: its size is the partition count, known here
+    j = scanned.join(bounded_broadcast(carry, max_rows=1_000_000, bound=n), "_pid", "left")
     prev = F.coalesce(F.col("_prev"), F.when(F.col("_first"), F.col("_cprev")))
     out = j.withColumn("prev_ts", F.timestamp_micros(prev))
     if gap_us is not None:

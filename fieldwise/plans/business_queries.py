@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..functions import text
 from ..functions.time import days_until, entity_today, in_window, local_date, local_timestamp, zone_of
 from ..operators import access, bridge, rules
-from ..operators.joins import bounded_broadcast, norm_key_join, range_join, with_counts
+from ..operators.joins import bounded_broadcast, keep_bound, norm_key_join, range_join, with_counts
 from ..operators.resolve import arm, observe
 from ..operators.union import stack_arms
 from ..sources import seeds
@@ -231,7 +231,8 @@ def lead_disposition_q(spark: SparkSession, sf_dir: str) -> DataFrame:
         "lost_reason",
         F.when((F.col("status_code") == 30) | (F.col("o_orderkey") % 11 == 0), F.lit("price")),
     )
-    enum = bounded_broadcast(seeds.status_enum(spark).select("status_code", "status_name"), 10_000, ["status_code"])
+    se = seeds.status_enum(spark)
+    enum = bounded_broadcast(keep_bound(se.select("status_code", "status_name"), se), 10_000)
     j = o.join(enum, "status_code", "left")
     disp = rules.lead_disposition(F.col("bad_lead_reason"), F.col("lost_reason"), F.col("status_code"), F.col("status_name"))
     return j.select("o_orderkey", "status_code", "bad_lead_reason", "lost_reason", disp.alias("lead_disposition"))
@@ -273,8 +274,8 @@ def lob_ladder_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag")
     p = table(spark, sf_dir, "part", "p_partkey", "p_type")
     s = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
-    st = bounded_broadcast(seeds.frame(spark, seeds.SERVICE_TYPES, seeds.SERVICE_TYPES_SCHEMA), 10_000, ["p_type"])
-    b = bounded_broadcast(branches(spark, sf_dir), 100_000)
+    st = bounded_broadcast(seeds.frame(spark, seeds.SERVICE_TYPES, seeds.SERVICE_TYPES_SCHEMA, unique_on=[0]), 10_000)
+    b = branches(spark, sf_dir)  # one row per nation: Spark's size check decides the broadcast
     jobs = (
         li.join(p, li["l_partkey"] == p["p_partkey"], "inner")
         .join(st, "p_type", "left")
@@ -319,7 +320,8 @@ def scd2_assignment(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("c_mktsegment").alias("segment"),
         text.norm_text("c_mktsegment").alias("_k"),
     )
-    iv = seeds.assignments(spark).select(text.norm_text("name").alias("_k"), "team", "valid_from", "valid_to")
+    asg = seeds.assignments(spark)
+    iv = keep_bound(asg.select(text.norm_text("name").alias("_k"), "team", "valid_from", "valid_to"), asg)
     out = range_join(oc, iv, "order_date", "valid_from", "valid_to", keys=["_k"], max_rows=100_000)
     return out.select("o_orderkey", "order_date", "segment", "team")
 
@@ -366,9 +368,10 @@ LEFT JOIN (SELECT source_instance_id, {norm_sql('branch_name')} AS k, timezone
 def _zoned_orders(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     """An order's zone is its branch override, else its instance default."""
     o = orders_in_branches(spark, sf_dir, *cols)
-    bz = seeds.frame(spark, seeds.BRANCH_ZONES, seeds.BRANCH_ZONES_SCHEMA).withColumnRenamed("timezone", "_bz")
+    bz0 = seeds.frame(spark, seeds.BRANCH_ZONES, seeds.BRANCH_ZONES_SCHEMA)
+    bz = keep_bound(bz0.withColumnRenamed("timezone", "_bz").withColumnRenamed("branch_name", "_bz_branch"), bz0)
     z = norm_key_join(
-        o, bz.withColumnRenamed("branch_name", "_bz_branch"), "branch_name", "_bz_branch",
+        o, bz, "branch_name", "_bz_branch",
         extra_keys=["source_instance_id"], key_name="_bz_key", max_rows=100_000,
     )
     return z.withColumn("timezone", zone_of("_bz", "instance_tz")).drop("_bz", "_bz_key")

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions import casts, text
 from ..functions.json import has_key, json_field, json_int, json_struct
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import bounded_broadcast, keep_bound
+from ..sources import seeds
 from .catalog import query, table
 
 RPT_DATE_SQL = """
@@ -387,10 +388,9 @@ def norm_text_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(seg)
     )
     left = c.select("c_custkey", raw.alias("segment_raw")).withColumn("segment_key", text.norm_text("segment_raw"))
-    seed = spark.createDataFrame(SEGMENT_SEED, "seg string, segment_group string").select(
-        text.norm_text("seg").alias("segment_key"), "segment_group"
-    )
-    return left.join(bounded_broadcast(seed, max_rows=10_000, unique_on=["segment_key"]), "segment_key", "left").select(
+    raw_seed = seeds.frame(spark, SEGMENT_SEED, "seg string, segment_group string")
+    seed = keep_bound(raw_seed.select(text.norm_text("seg").alias("segment_key"), "segment_group"), raw_seed)
+    return left.join(bounded_broadcast(seed, max_rows=10_000), "segment_key", "left").select(
         "c_custkey", "segment_raw", "segment_key", "segment_group"
     )
 

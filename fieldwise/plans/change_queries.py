@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import change
+from ..operators.joins import bounded_broadcast
 from ..operators.retention import prune_generations
 from ..sources import seeds
 from .catalog import query, table
@@ -236,7 +237,7 @@ def retention(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest generation of each instance-local day."""
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id")
     inst = seeds.instances(spark)
-    rows = ev.join(F.broadcast(inst), (F.col("user_id") % 5) == inst["r_regionkey"], "inner").select(
+    rows = ev.join(bounded_broadcast(inst, 100_000), (F.col("user_id") % 5) == inst["r_regionkey"], "inner").select(
         "event_id",
         F.col("instance_id").alias("source_instance_id"),
         "timezone",

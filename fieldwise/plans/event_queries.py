@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev_ops
+from ..operators.joins import bounded_broadcast
 from ..sources import seeds
 from .catalog import query, table
 from .roles import INSTANCES_SQL, values_sql
@@ -241,7 +242,7 @@ def quota_share(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     e = table(spark, sf_dir, "events", "ts", "user_id")
     inst = seeds.instances(spark)
-    calls = e.join(F.broadcast(inst), (F.col("user_id") % 5) == inst["r_regionkey"], "inner").select(
+    calls = e.join(bounded_broadcast(inst, 100_000), (F.col("user_id") % 5) == inst["r_regionkey"], "inner").select(
         F.col("instance_id").alias("source_instance_id"), "ts"
     )
     return quota_usage(calls, "source_instance_id", "ts", QUOTA_AS_OF, quota=QUOTA)

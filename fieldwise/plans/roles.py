@@ -84,7 +84,7 @@ def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """nation as branch, with its instance (region) from the seed. Bounded: one row per nation."""
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     inst = seeds.instances(spark)
-    b = n.join(F.broadcast(inst), n["n_regionkey"] == inst["r_regionkey"], "inner")
+    b = n.join(bounded_broadcast(inst, 100_000), n["n_regionkey"] == inst["r_regionkey"], "inner")
     return b.select(
         "n_nationkey",
         F.col("n_name").alias("branch_name"),
@@ -107,11 +107,12 @@ def orders_in_branches(spark: SparkSession, sf_dir: str, *order_cols: str) -> Da
 
     ``customer`` grows with the data and is joined by key (the planner and
     AQE pick broadcast or shuffle from the runtime size); the branch table is
-    one row per nation and is broadcast behind the bound check.
+    one row per nation; Spark's planner broadcasts it after its own size
+    check (file-size estimate, then AQE's measured size).
     """
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", *order_cols)
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")
-    b = bounded_broadcast(branches(spark, sf_dir), max_rows=100_000)
+    b = branches(spark, sf_dir)
     oc = o.join(c, o["o_custkey"] == c["c_custkey"], "inner").drop("c_custkey")
     return oc.join(b, oc["c_nationkey"] == b["n_nationkey"], "inner").drop("n_nationkey")
 

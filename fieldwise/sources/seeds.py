@@ -7,8 +7,12 @@ them safe.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators.joins import keep_bound, with_bound
+
 # The integer opportunity status enum (authoritative status):
 # code, name, category, is_valid_lead, is_booked, is_completed, is_cancelled,
 # is_lost, is_bad_lead, is_open, sort_order. Completed and Closed count as
@@ -108,19 +112,31 @@ def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
     )
 
 
-def frame(spark: SparkSession, rows, schema: str) -> DataFrame:
-    """A seed held in code (fixed rows) as a DataFrame."""
-    return spark.createDataFrame(rows, schema)
+def frame(spark: SparkSession, rows, schema: str, unique_on: Sequence[int] = ()) -> DataFrame:
+    """A seed held in code (fixed rows) as a DataFrame with its exact row count.
+
+    ``unique_on`` lists column positions that must be unique; checked here, in
+    Python, so the join that uses the seed cannot fan out.
+    """
+    if unique_on:
+        seen = set()
+        for r in rows:
+            k = tuple(r[i] for i in unique_on)
+            if k in seen:
+                raise ValueError(f"seed not unique on positions {list(unique_on)}: {k}")
+            seen.add(k)
+    return with_bound(spark.createDataFrame(rows, schema), len(rows))
 
 
 def status_enum(spark: SparkSession) -> DataFrame:
-    return frame(spark, STATUS_ENUM, STATUS_ENUM_SCHEMA)
+    return frame(spark, STATUS_ENUM, STATUS_ENUM_SCHEMA, unique_on=[0])
 
 
 def instances(spark: SparkSession) -> DataFrame:
-    return frame(spark, INSTANCES, INSTANCES_SCHEMA)
+    return frame(spark, INSTANCES, INSTANCES_SCHEMA, unique_on=[0])
 
 
 def assignments(spark: SparkSession) -> DataFrame:
     df = frame(spark, ASSIGNMENTS, ASSIGNMENTS_SCHEMA)
-    return df.selectExpr("name", "team", "cast(valid_from as date) valid_from", "cast(valid_to as date) valid_to")
+    out = df.selectExpr("name", "team", "cast(valid_from as date) valid_from", "cast(valid_to as date) valid_to")
+    return keep_bound(out, df)

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import bounded_broadcast, keep_bound
 from ..session import ensure_semantics
 
 DRIVER_TABLES = (
@@ -96,7 +97,7 @@ def stamp(df: DataFrame, instance_id: str | Column, extracted_at, entity_id: str
 def attach_tenant(df: DataFrame, instances: DataFrame, instance_col: str = "source_instance_id") -> DataFrame:
     """S3: tenant (``entity_id``) from the instance dimension (small, seeded)."""
     dim = instances.select(F.col("instance_id").alias(instance_col), "entity_id")
-    return df.drop("entity_id").join(F.broadcast(dim), instance_col, "left")
+    return df.drop("entity_id").join(bounded_broadcast(keep_bound(dim, instances), 100_000), instance_col, "left")
 
 
 def read_window(df: DataFrame, date_col: str | Column, start, end) -> DataFrame:
@@ -115,4 +116,4 @@ def read_window(df: DataFrame, date_col: str | Column, start, end) -> DataFrame:
 
 def read_detail(details: DataFrame, ids: DataFrame, keys: list[str]) -> DataFrame:
     """The landed detail rows for an explicit id list (semi join, no fan-out)."""
-    return details.join(ids.select(*keys).dropDuplicates(keys), keys, "left_semi")
+    return details.join(ids.select(*keys), keys, "left_semi")
