@@ -41,7 +41,7 @@ def write_version(df: DataFrame, base: str, version: int, partition_by: Sequence
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def upsert_dimension(

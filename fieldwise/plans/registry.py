@@ -82,7 +82,9 @@ def materialize(spark: SparkSession, model: Model, df: DataFrame, warehouse: str
     if model.partition_by:
         w = w.partitionBy(*model.partition_by)
     w.parquet(path)
-    out = spark.read.parquet(path)
+    # read back with the written schema: partition discovery would otherwise
+    # re-infer partition column types (a long key comes back as int)
+    out = spark.read.schema(df.schema).parquet(path)
     out.createOrReplaceTempView(f"{model.layer}__{model.name}")
     return out
 
