@@ -18,7 +18,7 @@ from ..functions.json import json_field
 from ..operators.resolve import Candidates, arm, latest_by_source, newest_row, observe, resolve
 from ..operators.union import ArmSpec, stack_observations
 from .catalog import query, table
-from .roles import ORDERS_IN_BRANCHES_SQL, orders_in_branches, status_code, status_code_sql
+from .roles import ORDERS_IN_BRANCHES_SQL, branches, orders_in_branches, status_code, status_code_sql
 
 # Candidate lists per field, most authoritative first.
 EVENT_CANDIDATES = Candidates(
@@ -216,7 +216,7 @@ def _pick_sql(candidates: Candidates) -> str:
             f"FILTER (WHERE {fld} IS NOT NULL AND observed_at IS NOT NULL AND source IN "
             f"({', '.join(repr(s) for s in sources)})) AS {fld}"
         )
-    fresh = ", ".join(repr(s) for s in candidates.freshness_sources)
+    fresh = ", ".join(repr(s) for s in (candidates.freshness_sources or candidates.sources))
     parts.append(f"max(observed_at) FILTER (WHERE source IN ({fresh})) AS synced_at")
     return ",\n  ".join(parts)
 
@@ -284,3 +284,131 @@ def resolve_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = order_observations(spark, sf_dir)
     out = resolve(obs, ORDER_KEYS, ORDER_CANDIDATES)
     return out.withColumn("is_deleted", F.coalesce(F.col("is_deleted"), F.lit(False)))
+
+
+# ------------------------------------------------------------------- R4 N3
+JOB_KEYS = ["source_instance_id", "l_orderkey", "l_linenumber"]
+JOB_FIELDS = {
+    "external_opportunity_id": "bigint",
+    "job_number": "string",
+    "service_date": "date",
+    "service_type_id": "bigint",
+    "l_partkey": "bigint",
+    "l_suppkey": "bigint",
+}
+# The candidate table of the resolved job.
+JOB_CANDIDATES = Candidates(
+    fields={
+        "external_opportunity_id": ["api_enrichment", "api_sweep"],
+        "job_number": ["api_enrichment", "api_sweep", "report_all_jobs"],
+        "service_date": ["api_enrichment", "api_sweep", "report_all_jobs"],
+        "service_type_id": ["api_enrichment", "api_sweep"],
+    }
+)
+
+
+def job_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem as jobs, each with its instance (the supplier's branch region)."""
+    li = table(
+        spark, sf_dir, "lineitem",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_linestatus", "l_shipdate",
+    )
+    s = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
+    b = branches(spark, sf_dir).select("n_nationkey", "source_instance_id")
+    return li.join(s, li["l_suppkey"] == s["s_suppkey"], "inner").join(b, F.col("s_nationkey") == b["n_nationkey"], "inner")
+
+
+def job_observations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Three job sources from one scan, and the all-jobs report rows (N3 input)."""
+    j = job_rows(spark, sf_dir)
+    day = F.to_date("l_shipdate")
+    at = lambda days: F.col("l_shipdate") + F.make_interval(days=F.lit(days))
+    jn = F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))
+    tb = {"l_partkey": F.col("l_partkey"), "l_suppkey": F.col("l_suppkey")}
+    arms = [
+        ArmSpec("api_enrichment", 1, at(5), {
+            "external_opportunity_id": F.col("l_orderkey"), "job_number": jn, "service_date": day,
+            "service_type_id": F.col("l_partkey") % 50, **tb,
+        }, when=F.col("l_orderkey") % 3 != 0),
+        ArmSpec("api_sweep", 2, at(7), {
+            "external_opportunity_id": F.col("l_orderkey"), "job_number": jn,
+            "service_date": F.date_add(day, (F.col("l_partkey") % 2).cast("int")),
+            "service_type_id": F.col("l_partkey") % 50 + F.col("l_suppkey") % 2, **tb,
+        }, when=F.col("l_orderkey") % 2 == 0),
+        ArmSpec("report_all_jobs", 3, at(6), {"job_number": jn, "service_date": day, **tb},
+                when=F.col("l_linestatus") == "F"),
+    ]
+    obs = stack_observations(j, JOB_KEYS, arms, JOB_FIELDS)
+    report = j.filter(F.col("l_linestatus") == "F").select(
+        *JOB_KEYS, at(6).alias("observed_at"), "l_partkey", "l_suppkey",
+        F.col("l_quantity").cast("decimal(18,4)").alias("billable_hours"),
+        F.col("l_tax").cast("decimal(18,2)").alias("tip_rate"),
+    )
+    return obs, report
+
+
+JOBS_ARMS_SQL = """
+WITH j AS (
+  SELECT l.*, b.source_instance_id FROM lineitem l
+  JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  JOIN (SELECT n.n_nationkey, i.instance_id AS source_instance_id FROM nation n
+        JOIN (VALUES (0, 'africa'), (1, 'america'), (2, 'asia'), (3, 'europe'), (4, 'middle_east')) i(r, instance_id)
+          ON n.n_regionkey = i.r) b ON s.s_nationkey = b.n_nationkey),
+arms AS (
+  SELECT source_instance_id, l_orderkey, l_linenumber, 'api_enrichment' AS source, 1 AS source_priority,
+         l_shipdate + INTERVAL 5 DAY AS observed_at, l_orderkey AS external_opportunity_id,
+         CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) AS job_number,
+         CAST(l_shipdate AS DATE) AS service_date, l_partkey % 50 AS service_type_id, l_partkey, l_suppkey
+  FROM j WHERE l_orderkey % 3 <> 0
+  UNION ALL
+  SELECT source_instance_id, l_orderkey, l_linenumber, 'api_sweep', 2, l_shipdate + INTERVAL 7 DAY, l_orderkey,
+         CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR),
+         CAST(l_shipdate AS DATE) + CAST(l_partkey % 2 AS INTEGER), l_partkey % 50 + l_suppkey % 2, l_partkey, l_suppkey
+  FROM j WHERE l_orderkey % 2 = 0
+  UNION ALL
+  SELECT source_instance_id, l_orderkey, l_linenumber, 'report_all_jobs', 3, l_shipdate + INTERVAL 6 DAY, NULL,
+         CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR), CAST(l_shipdate AS DATE), NULL,
+         l_partkey, l_suppkey
+  FROM j WHERE l_linestatus = 'F'),
+latest AS (
+  SELECT * FROM (SELECT *, row_number() OVER (
+      PARTITION BY source_instance_id, l_orderkey, l_linenumber, source
+      ORDER BY observed_at DESC NULLS FIRST, source_priority, l_partkey DESC, l_suppkey DESC) AS rn FROM arms)
+  WHERE rn = 1),
+rpt AS (
+  SELECT * FROM (SELECT source_instance_id, l_orderkey, l_linenumber,
+                        CAST(l_quantity AS DECIMAL(18,4)) AS billable_hours, CAST(l_tax AS DECIMAL(18,2)) AS tip_rate,
+                        row_number() OVER (PARTITION BY source_instance_id, l_orderkey, l_linenumber
+                                           ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC) AS rn
+                 FROM j WHERE l_linestatus = 'F') WHERE rn = 1),
+"""
+
+
+def _jobs_sql() -> str:
+    return (
+        JOBS_ARMS_SQL
+        + f"""picked AS (
+  SELECT source_instance_id, l_orderkey, l_linenumber,
+  {_pick_sql(JOB_CANDIDATES)}
+  FROM latest GROUP BY source_instance_id, l_orderkey, l_linenumber)
+SELECT p.*, r.billable_hours, r.tip_rate FROM picked p
+LEFT JOIN rpt r ON r.source_instance_id = p.source_instance_id AND r.l_orderkey = p.l_orderkey
+               AND r.l_linenumber = p.l_linenumber
+"""
+    )
+
+
+@query("resolve_jobs", _jobs_sql(), "R4 N3 R5 U2")
+def resolve_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Resolved jobs from three sources; report-only fields join the newest report row directly.
+
+    The single-source fields bypass resolution (fewer aggregate buffers): the
+    newest report row per job (N3, ``max_by``) is left-joined on the job key.
+    """
+    obs, report = job_observations(spark, sf_dir)
+    resolved = resolve(obs, JOB_KEYS, JOB_CANDIDATES, tiebreak=["l_partkey", "l_suppkey"])
+    newest = newest_row(
+        report, JOB_KEYS, [F.col("observed_at"), F.col("l_partkey"), F.col("l_suppkey")],
+        keep=["billable_hours", "tip_rate"],
+    )
+    return resolved.join(newest, JOB_KEYS, "left")
