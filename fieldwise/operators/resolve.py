@@ -16,9 +16,9 @@ third of all observations is reduced on the map side to one row per partition
 and never lands whole in one task.
 
 ``resolve`` fuses R1 and R2 into ONE aggregation keyed by the entity key:
-for each source it keeps the newest ordering and the newest row's value of
-every field that source is a candidate for, then picks across sources in a
-projection. One shuffle instead of two, identical answers (tested).
+for each source it keeps the newest ordering and the newest row's candidate
+fields (one struct per source), then picks across sources in a projection.
+One shuffle instead of two, identical answers (tested).
 """
 
 from __future__ import annotations
@@ -200,29 +200,32 @@ def resolve(
     """R1 + R2 + R5 in one grouped aggregation (one shuffle, map-side combine).
 
     For every source ``s`` the aggregation keeps ``ord_s`` (the R1 ordering of
-    the newest row of ``s``) and, for each field ``s`` is a candidate for, the
-    value carried by that newest row (``max_by`` keyed on the same ordering, so
-    a null in the newest row stays null - T4). A projection then applies R2.
+    the newest row of ``s``) and that newest row's candidate fields as one
+    struct (``max_by`` keyed on the same ordering, so a null in the newest row
+    stays null - T4). A projection then applies R2 field by field. One
+    ``max_by`` per source rather than one per (field, source) keeps the
+    aggregation narrow: about half the time of the per-field form.
     """
     src = F.col(source)
     order = newest_first(
         F.col(observed_at), F.col(priority) if priority else None, [F.col(c) for c in tiebreak]
     )
-    aggs: list[Column] = []
-    for i, s in enumerate(candidates.sources):
-        aggs.append(F.max(F.when(src == s, order)).alias(f"_ord{i}"))
     index = {s: i for i, s in enumerate(candidates.sources)}
-    for j, (fld, sources) in enumerate(candidates.fields.items()):
-        for s in sources:
-            col_name = candidates.column_for(fld, s)
-            aggs.append(F.max_by(F.col(col_name), F.when(src == s, order)).alias(f"_v{j}_{index[s]}"))
+    fields_of = {s: [f for f, srcs in candidates.fields.items() if s in srcs] for s in candidates.sources}
+    aggs: list[Column] = []
+    for s, i in index.items():
+        ordering = F.when(src == s, order)
+        aggs.append(F.max(ordering).alias(f"_ord{i}"))
+        if fields_of[s]:
+            row = F.struct(*[F.col(candidates.column_for(f, s)).alias(f) for f in fields_of[s]])
+            aggs.append(F.max_by(row, ordering).alias(f"_row{i}"))
     grouped = obs.groupBy(*keys).agg(*aggs)
 
     out = [F.col(k) for k in keys]
-    for j, (fld, sources) in enumerate(candidates.fields.items()):
+    for fld, sources in candidates.fields.items():
         picks = []
         for pos, s in enumerate(sources, start=1):
-            v = F.col(f"_v{j}_{index[s]}")
+            v = F.col(f"_row{index[s]}").getField(fld)
             t = F.col(f"_ord{index[s]}._ts")
             picks.append(F.when(v.isNotNull() & t.isNotNull(), F.struct(t.alias("t"), F.lit(-pos).alias("p"), v.alias("v"))))
         best = picks[0] if len(picks) == 1 else F.greatest(*picks)
