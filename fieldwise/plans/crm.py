@@ -156,6 +156,7 @@ def stg_opportunity_jobs(opps: DataFrame) -> DataFrame:
         F.col("_opp_id").alias("external_opportunity_id"), F.col("_snapshot_at").alias("observed_at"),
         F.col("_list_idx").alias("job_index"), F.col("id").alias("external_job_id"),
         _nn("job_number").alias("job_number"), casts.int_date("job_date").alias("service_date"),
+        F.col("type").alias("service_type_id"),
     )
 
 
@@ -202,7 +203,7 @@ def stg_sweep_jobs(sweep: DataFrame) -> DataFrame:
     return j.select(
         F.col(f"_parent_{OPP_KEY}").alias(OPP_KEY), "source_instance_id", "entity_id", "external_opportunity_id",
         "observed_at", F.col("id").alias("external_job_id"), _nn("job_number").alias("job_number"),
-        casts.iso_date("service_date").alias("service_date"),
+        casts.iso_date("service_date").alias("service_date"), F.col("type").alias("service_type_id"),
     )
 
 
@@ -255,6 +256,17 @@ def stg_webhook_status(events: DataFrame) -> DataFrame:
     )
 
 
+def stg_branches(branches: DataFrame) -> DataFrame:
+    """rename and type the branch reference list."""
+    return branches.select(
+        text.surrogate_key("source_instance_id", "id").alias("branch_key"), "source_instance_id", "entity_id",
+        F.col("id").alias("external_branch_id"), _nn("name").alias("branch_name"),
+        _nn("phone_number").alias("phone_number"), F.coalesce("is_primary", F.lit(False)).alias("is_primary"),
+        _nn(F.col("dispatch_location.city")).alias("city"), _nn(F.col("dispatch_location.state")).alias("state"),
+        _nn(F.col("dispatch_location.zip")).alias("zip"),
+    )
+
+
 # ------------------------------------------------------------- intermediate
 def int_quote_crosswalk(enriched: DataFrame, sweep: DataFrame) -> DataFrame:
     """(instance, quote) -> opportunity id from the two API arms only."""
@@ -329,7 +341,7 @@ def core_opportunities(obs: DataFrame, instances: DataFrame, status_enum: DataFr
 
 def core_jobs(enr_jobs: DataFrame, sweep_jobs: DataFrame, opportunities: DataFrame) -> DataFrame:
     """Jobs resolved from the detail and the sweep; the job's own opportunity fields joined."""
-    cols = {"job_number": "string", "service_date": "date", "external_opportunity_id": "string"}
+    cols = {"job_number": "string", "service_date": "date", "external_opportunity_id": "string", "service_type_id": "bigint"}
     keys = ["job_key", "source_instance_id", OPP_KEY, "external_job_id"]
 
     def arm(df, source):
@@ -365,6 +377,33 @@ def core_opportunity_charges(charges: DataFrame, opportunities: DataFrame) -> Da
     return charges.join(opportunities.select(OPP_KEY, "entity_id", "source_instance_id", "synced_at"), OPP_KEY, "inner")
 
 
+def core_branches(branches: DataFrame, branch_tz: DataFrame, instances: DataFrame) -> DataFrame:
+    """J9 + X24 + F10: the zone authority - a branch override, else the instance default."""
+    inst = bounded_broadcast(instances.select(F.col("instance_id").alias("source_instance_id"), F.col("timezone").alias("_itz")))
+    bz = branch_tz.select("source_instance_id", F.col("branch_name").alias("_bz_branch"), F.col("timezone").alias("_btz"))
+    b = norm_key_join(branches, bz, "branch_name", "_bz_branch", extra_keys=["source_instance_id"], key_name="_bz_key")
+    b = b.join(inst, "source_instance_id", "left")
+    return b.select(
+        "branch_key", "source_instance_id", "entity_id", "external_branch_id", "branch_name", "city", "state",
+        zone_of("_btz", "_itz").alias("timezone"), F.col("_btz").isNotNull().alias("has_timezone_override"),
+    )
+
+
+def core_lines_of_business(jobs: DataFrame, service_types: DataFrame, lob_branch: DataFrame, instances: DataFrame) -> DataFrame:
+    """X23 + J8 (two keys) + F10: line of business per job with its provenance."""
+    st = service_types.select(
+        "source_instance_id", F.col("id").alias("service_type_id"), _nn("name").alias("service_type_name")
+    )
+    j = jobs.join(st, ["source_instance_id", "service_type_id"], "left").withColumn(
+        "job_type_name", F.lit(None).cast("string")
+    )
+    out = rules.classify_lob(j, lob_branch, instances, "job_type_name", "service_type_name", "branch_name")
+    return out.select(
+        "job_key", "source_instance_id", "entity_id", "external_job_id", "service_date", "branch_name",
+        "service_type_name", "line_of_business", "lob_source", "is_unclassified",
+    )
+
+
 # -------------------------------------------------------------- marts/serve
 def mart_unmatched_report_rows(report: DataFrame, xwalk: DataFrame) -> DataFrame:
     """Newest generation only, with a reason per unbridgeable row."""
@@ -409,7 +448,7 @@ def leads_today_v1(as_of: str):
 RAW = [
     "leads", "opportunities_enriched", "customers_service_window", "report_lead_status",
     "report_booked_opportunities", "webhook_events", "opportunity_deletions", "dim_instance",
-    "dim_opportunity_status", "branch_timezone",
+    "dim_opportunity_status", "branch_timezone", "dim_branches", "dim_service_types", "dim_lob_branch",
 ]
 
 
@@ -426,6 +465,7 @@ def crm_registry(as_of: str) -> Registry:
     add(Model("stg_report_lead_status", "staging", stg_report_lead_status, ["report_lead_status", "dim_instance"]))
     add(Model("stg_report_booked", "staging", stg_report_booked, ["report_booked_opportunities"]))
     add(Model("stg_webhook_status", "staging", stg_webhook_status, ["webhook_events"]))
+    add(Model("stg_branches", "staging", stg_branches, ["dim_branches"]))
     add(Model("int_quote_crosswalk", "intermediate", int_quote_crosswalk, ["stg_opportunities_enriched", "stg_sweep"]))
     add(Model("int_opportunity_observations", "intermediate", int_opportunity_observations,
               ["stg_opportunities_enriched", "stg_sweep", "stg_webhook_status", "opportunity_deletions",
@@ -435,6 +475,9 @@ def crm_registry(as_of: str) -> Registry:
               ["int_opportunity_observations", "dim_instance", "dim_opportunity_status"], partition_by=["source_instance_id"]))
     add(Model("core_jobs", "core", core_jobs, ["stg_opportunity_jobs", "stg_sweep_jobs", "core_opportunities"],
               partition_by=["source_instance_id"]))
+    add(Model("core_branches", "core", core_branches, ["stg_branches", "branch_timezone", "dim_instance"]))
+    add(Model("core_lines_of_business", "core", core_lines_of_business,
+              ["core_jobs", "dim_service_types", "dim_lob_branch", "dim_instance"], partition_by=["source_instance_id"]))
     add(Model("core_leads", "core", core_leads, ["stg_leads", "dim_instance", "dim_opportunity_status"],
               partition_by=["source_instance_id"]))
     add(Model("core_opportunity_charges", "core", core_opportunity_charges,
@@ -461,6 +504,10 @@ CRM_CHECKS = [
     quality.Check("relationships", "core_opportunity_charges", (OPP_KEY,), ("charge_key",),
                   parent="core_opportunities", parent_column=OPP_KEY),
     quality.Check("unique", "core_leads", ("lead_key",), ()),
+    quality.Check("unique", "core_branches", ("branch_key",), ()),
+    quality.Check("not_null", "core_branches", ("timezone",), ("branch_key",)),
+    quality.Check("accepted_values", "core_lines_of_business", ("lob_source",), ("job_key",),
+                  values=("service_type", "branch", "instance", "fallback_default")),
     quality.Check("accepted_values", "mart_unmatched_report_rows", ("reason",), ("report_row_key",),
                   values=(bridge.NO_QUOTE, bridge.NOT_IN_API)),
     quality.Check("not_null", "jobs_upcoming_v1", ("entity_id",), ("job_key",)),

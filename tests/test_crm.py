@@ -88,10 +88,19 @@ def _inputs(spark):
         "instance_id string, entity_id string, entity_name string, timezone string, crm_timezone string, lob_hint string",
     )
     btz = spark.createDataFrame([("ld", "main office", "America/Denver")], "source_instance_id string, branch_name string, timezone string")
+    branches = spark.createDataFrame(
+        [("ld", "eco", "B1", "Main Office", "555", True, ("1 Main", "1 Main", "Seattle", "WA", "98101", 0.0, 0.0)),
+         ("ld", "eco", "B2", "South Sound LD", "556", False, None)],
+        "source_instance_id string, entity_id string, id string, name string, phone_number string, is_primary boolean, "
+        "dispatch_location struct<full_address:string,street:string,city:string,state:string,zip:string,lat:double,lng:double>",
+    )
+    service_types = spark.createDataFrame([("ld", 1, "Commercial Move")], "source_instance_id string, id bigint, name string")
+    lob_branch = spark.createDataFrame([("ld", "Main Office", "local")], "source_instance_id string, branch_name string, line_of_business string")
     return {
         "leads": leads, "opportunities_enriched": opps, "customers_service_window": sweep, "report_lead_status": rpt,
         "report_booked_opportunities": bkd, "webhook_events": hooks, "opportunity_deletions": dels,
         "dim_instance": inst, "dim_opportunity_status": seeds.status_enum(spark), "branch_timezone": btz,
+        "dim_branches": branches, "dim_service_types": service_types, "dim_lob_branch": lob_branch,
     }
 
 
@@ -118,6 +127,11 @@ def test_crm_models_end_to_end(spark):
     up = crm.read_upcoming(out["jobs_upcoming_v1"]).collect()
     assert [(r.job_key, r.timezone, r.days_until) for r in up] == [("ld:J1", "America/Denver", 3)]
 
+    br = {r.external_branch_id: (r.timezone, r.has_timezone_override) for r in out["core_branches"].collect()}
+    assert br == {"B1": ("America/Denver", True), "B2": ("America/Los_Angeles", False)}
+    lob = out["core_lines_of_business"].collect()
+    assert [(r.line_of_business, r.lob_source, r.is_unclassified) for r in lob] == [("commercial", "service_type", False)]
+
     charges = out["core_opportunity_charges"].groupBy("charge_kind").agg(F.sum("total_cost").alias("t")).collect()
     assert {r.charge_kind: r.t for r in charges} == {"estimated": 800, "actual": 850}
 
