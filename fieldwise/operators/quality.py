@@ -81,24 +81,59 @@ def _key_text(cols: Sequence[str]) -> Column:
     return F.concat_ws(":", *[F.col(c).cast("string") for c in cols])
 
 
+ROW_LEVEL = ("not_null", "accepted_values")
+
+
+def _failing_condition(check: Check) -> Column:
+    c = F.col(check.columns[0])
+    if check.kind == "not_null":
+        return c.isNull()
+    return c.isNotNull() & ~c.isin(list(check.values))
+
+
+def _result(kind: str, table: str, columns: Sequence[str], failing: Column, sample: Column) -> Column:
+    return F.struct(
+        F.lit(kind).alias("check_name"),
+        F.lit(table).alias("table_name"),
+        F.lit(",".join(columns)).alias("column_name"),
+        failing.alias("failing_rows"),
+        sample.alias("sample"),
+    )
+
+
 def run_checks(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
-    """All checks as one result table; each check is one aggregation of its failures."""
+    """All checks as one result table.
+
+    Row-level checks (``not_null``, ``accepted_values``) of one table (and one
+    ``where``) are evaluated together in a single pass - one aggregation with
+    a ``count_if`` and a sample per check - so a table with dozens of declared
+    tests is scanned once for all of them. ``unique`` and ``relationships``
+    need their own keyed aggregation / anti join each.
+    """
     parts = []
+    groups: dict[tuple[str, str | None], list[Check]] = {}
+    for c in checks:
+        if c.kind in ROW_LEVEL:
+            groups.setdefault((c.table, c.where), []).append(c)
+    for (table, where), group in groups.items():
+        df = tables[table]
+        if where:
+            df = df.filter(F.expr(where))
+        aggs = []
+        for i, c in enumerate(group):
+            bad = _failing_condition(c)
+            aggs.append(F.count_if(bad).alias(f"_n{i}"))
+            aggs.append(F.min(F.when(bad, _key_text(list(c.key)))).alias(f"_s{i}"))
+        one = df.agg(*aggs)
+        rows = [_result(c.kind, c.table, c.columns, F.col(f"_n{i}"), F.col(f"_s{i}")) for i, c in enumerate(group)]
+        parts.append(one.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
     for c in checks:
+        if c.kind in ROW_LEVEL:
+            continue
         bad = failing(c, tables)
         key = list(c.columns) if c.kind == "unique" else list(c.key)
-        parts.append(
-            bad.agg(
-                F.count(F.lit(1)).alias("failing_rows"),
-                F.min(_key_text(key)).alias("sample"),
-            ).select(
-                F.lit(c.kind).alias("check_name"),
-                F.lit(c.table).alias("table_name"),
-                F.lit(",".join(c.columns)).alias("column_name"),
-                "failing_rows",
-                "sample",
-            )
-        )
+        one = bad.agg(F.count(F.lit(1)).alias("_n"), F.min(_key_text(key)).alias("_s"))
+        parts.append(one.select(_result(c.kind, c.table, c.columns, F.col("_n"), F.col("_s")).alias("r")).select("r.*"))
     return reduce(lambda a, b: a.unionByName(b), parts)
 
 
