@@ -50,11 +50,29 @@ class ArmSpec:
     when: Column | None = None
 
 
+class UncoveredFieldError(ValueError):
+    """An arm supplies a field that no candidate list accepts from its source."""
+
+
+def check_arm_coverage(arms: Sequence[ArmSpec], candidates, ignore: Sequence[str] = ()) -> None:
+    """Adding a source needs an arm *and* a candidate entry; fail the build
+    when an arm supplies a field its source is not a candidate for (the value
+    would otherwise be silently dropped by resolution)."""
+    for a in arms:
+        for f in a.values:
+            if f in ignore:
+                continue
+            if a.source not in candidates.fields.get(f, ()):
+                raise UncoveredFieldError(f"arm {a.source!r} supplies {f!r} but is not a candidate for it")
+
+
 def stack_observations(
     df: DataFrame,
     keys: Sequence[str],
     arms: Sequence[ArmSpec],
     schema: Mapping[str, str],
+    candidates=None,
+    ignore: Sequence[str] = (),
 ) -> DataFrame:
     """U1/U2 from ONE scan: every input row emits one observation per arm that covers it.
 
@@ -62,8 +80,12 @@ def stack_observations(
     field contributes a typed null (by name, never by position - T8). The
     result has ``keys``, ``source``, ``source_priority``, ``observed_at`` and
     the value fields - the same rows as ``observe`` over per-arm projections,
-    without re-reading the input per arm.
+    without re-reading the input per arm. With ``candidates`` the arms are
+    checked against the candidate table first (T18); ``ignore`` lists fields
+    that are carried for ordering only (tie-breaks).
     """
+    if candidates is not None:
+        check_arm_coverage(arms, candidates, ignore)
     unknown = {f for a in arms for f in a.values} - set(schema)
     if unknown:
         raise ValueError(f"fields without a declared type: {sorted(unknown)}")

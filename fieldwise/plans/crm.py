@@ -293,6 +293,7 @@ def int_opportunity_observations(enr, sweep, hooks, deletions, rpt, bkd, xwalk)
             df, [OPP_KEY, "source_instance_id", "external_opportunity_id"],
             [ArmSpec(source, PRIORITY[source], F.col(ts) if isinstance(ts, str) else ts, {k: F.col(v) if isinstance(v, str) else v for k, v in values.items()})],
             OBS_FIELDS,
+            candidates=OPPORTUNITY_CANDIDATES,
         )
 
     same = lambda df, names: {n: n for n in names if n in df.columns}

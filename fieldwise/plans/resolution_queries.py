@@ -188,7 +188,7 @@ def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             "is_deleted": F.lit(True), "deleted_at": F.when(k % 58 == 0, at(20)).otherwise(at(50)),
         }, when=k % 29 == 0),
     ]
-    obs = stack_observations(o, ORDER_KEYS, arms, ORDER_FIELDS)
+    obs = stack_observations(o, ORDER_KEYS, arms, ORDER_FIELDS, candidates=ORDER_CANDIDATES)
     # Attribution recovered from the newest job row of each order (J6 + N4)
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     newest_job = newest_row(
@@ -338,7 +338,7 @@ def job_observations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
         ArmSpec("report_all_jobs", 3, at(6), {"job_number": jn, "service_date": day, **tb},
                 when=F.col("l_linestatus") == "F"),
     ]
-    obs = stack_observations(j, JOB_KEYS, arms, JOB_FIELDS)
+    obs = stack_observations(j, JOB_KEYS, arms, JOB_FIELDS, candidates=JOB_CANDIDATES, ignore=["l_partkey", "l_suppkey"])
     report = j.filter(F.col("l_linestatus") == "F").select(
         *JOB_KEYS, at(6).alias("observed_at"), "l_partkey", "l_suppkey",
         F.col("l_quantity").cast("decimal(18,4)").alias("billable_hours"),

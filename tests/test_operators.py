@@ -277,3 +277,22 @@ def test_registry_contract_and_selective_rebuild(spark, tmp_path):
     r.models["serve_v1"].contract = T.StructType([T.StructField("id", T.StringType())])
     with pytest.raises(reg.ContractError):
         reg.run(spark, r, {"raw": raw}, str(tmp_path), changed_sources=["core_t"], built=out)
+
+
+def test_t18_an_arm_without_candidate_fails_the_build(spark):
+    from fieldwise.operators.union import ArmSpec, UncoveredFieldError, stack_observations
+
+    df = spark.createDataFrame([("x", D(2026, 1, 1), "v")], "k string, t timestamp, a string")
+    arms = [ArmSpec("s2", 2, F.col("t"), {"b": F.lit(1)})]  # s2 is not a candidate for b
+    with pytest.raises(UncoveredFieldError):
+        stack_observations(df, ["k"], arms, {"a": "string", "b": "bigint"}, candidates=CANDS)
+    ok = stack_observations(df, ["k"], [ArmSpec("s1", 1, F.col("t"), {"a": F.col("a")})], {"a": "string", "b": "bigint"}, candidates=CANDS)
+    assert ok.count() == 1
+
+
+def test_candidate_budget_is_deterministic(spark):
+    obs = spark.createDataFrame(
+        [("a", str(i), "stale" if i % 2 else "changed") for i in range(10)], "source_instance_id string, id string, reason string"
+    )
+    got = change.enrichment_candidates(obs, ["source_instance_id", "id"], budget=3).collect()
+    assert [(r.id, r.reason) for r in got] == [("0", "changed"), ("2", "changed"), ("4", "changed")]
