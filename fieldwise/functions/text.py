@@ -81,10 +81,10 @@ def addresses(*sources: str | Column) -> Column:
     """
     found = []
     for s in sources:
-        c = _c(s)
-        found.append(
-            F.regexp_extract_all(F.lower(F.coalesce(c, F.lit(""))), F.lit(ADDRESS_PATTERN), F.lit(0))
-        )
+        c = F.coalesce(_c(s), F.lit(""))
+        # the regex only runs on text that has an '@' at all (a cheap byte search first)
+        hits = F.regexp_extract_all(F.lower(c), F.lit(ADDRESS_PATTERN), F.lit(0))
+        found.append(F.when(c.contains("@"), hits).otherwise(F.array().cast("array<string>")))
     return F.array_distinct(F.flatten(F.array(*found)))
 
 

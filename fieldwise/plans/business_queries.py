@@ -15,8 +15,7 @@ from ..functions import text
 from ..functions.time import days_until, entity_today, in_window, local_date, local_timestamp, zone_of
 from ..operators import access, bridge, rules
 from ..operators.joins import bounded_broadcast, keep_bound, norm_key_join, range_join, with_counts
-from ..operators.resolve import arm, observe
-from ..operators.union import stack_arms
+from ..operators.union import ArmSpec, stack_arms, stack_observations
 from ..sources import seeds
 from .catalog import query, table
 from .roles import (
@@ -60,14 +59,17 @@ def charges_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------- R8 R9 J12 J13
 def _api_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U4: the detail arm (priority 1) and the sweep arm (priority 2) of the crosswalk."""
+    """U4: the detail arm (priority 1) and the sweep arm (priority 2) of the crosswalk,
+    both emitted from one scan of the orders join."""
     o = orders_in_branches(spark, sf_dir, "o_orderstatus", "o_orderdate")
     k = F.col("o_orderkey")
     quote = F.when(k % 5 != 0, F.floor(k / 3).cast("string"))
-    common = dict(source_instance_id="source_instance_id", quote_number=quote, opportunity_id="o_orderkey")
-    detail = arm(o.filter(F.col("o_orderstatus") != "P"), "api_enrichment", 1, "o_orderdate", **common)
-    sweep = arm(o.filter(F.col("o_orderstatus") != "F"), "api_sweep", 2, "o_orderdate", **common)
-    return observe([detail, sweep])
+    values = {"quote_number": quote, "opportunity_id": k}
+    arms = [
+        ArmSpec("api_enrichment", 1, F.col("o_orderdate"), values, when=F.col("o_orderstatus") != "P"),
+        ArmSpec("api_sweep", 2, F.col("o_orderdate"), values, when=F.col("o_orderstatus") != "F"),
+    ]
+    return stack_observations(o, ["source_instance_id"], arms, {"quote_number": "string", "opportunity_id": "bigint"})
 
 
 CROSSWALK_ARMS_SQL = f"""

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import json_field
-from ..operators.resolve import Candidates, arm, latest_by_source, newest_row, observe, resolve
+from ..operators.resolve import Candidates, latest_by_source, newest_row, resolve
 from ..operators.union import ArmSpec, stack_observations
 from .catalog import query, table
 from .roles import ORDERS_IN_BRANCHES_SQL, branches, orders_in_branches, status_code, status_code_sql
@@ -31,24 +31,24 @@ EVENT_SOURCES = ["purchase", "click", "view", "signup", "error"]
 
 
 def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One arm per event type, values nulled by a fixed rule."""
+    """One arm per event type (from one scan), values nulled by a fixed rule."""
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
-    arms = []
-    for prio, source in enumerate(EVENT_SOURCES, start=1):
-        part = ev.filter(F.col("event_type") == source)
-        arms.append(
-            arm(
-                part,
-                source,
-                prio,
-                "ts",
-                user_id="user_id",
-                event_id="event_id",
-                value=F.when(F.col("event_id") % 3 != 0, F.col("value")),
-                k=F.when(F.col("event_id") % 5 != 0, json_field("props", "k").cast("bigint")),
-            )
+    values = {
+        "event_id": F.col("event_id"),
+        "value": F.when(F.col("event_id") % 3 != 0, F.col("value")),
+        "k": F.when(F.col("event_id") % 5 != 0, json_field("props", "k").cast("bigint")),
+    }
+    # each arm carries only the fields its source is a candidate for
+    arms = [
+        ArmSpec(
+            source, prio, F.col("ts"),
+            {f: v for f, v in values.items() if f == "event_id" or source in EVENT_CANDIDATES.fields[f]},
+            when=F.col("event_type") == source,
         )
-    return observe(arms)
+        for prio, source in enumerate(EVENT_SOURCES, start=1)
+    ]
+    schema = {"event_id": "bigint", "value": "double", "k": "bigint"}
+    return stack_observations(ev, ["user_id"], arms, schema, candidates=EVENT_CANDIDATES, ignore=["event_id"])
 
 
 PICK_LATEST_SQL = """
