@@ -182,6 +182,96 @@ def stg_opportunity_job_charges(opps: DataFrame) -> DataFrame:
     )
 
 
+def _children(opps: DataFrame, col: str, fields: dict[str, str]) -> DataFrame:
+    """S2 + J1 for one child array of the detail payload (empty, typed, when absent)."""
+    o = opps.withColumn(OPP_KEY, text.surrogate_key("source_instance_id", "id"))
+    if col not in opps.columns:
+        empty = o.limit(0).select(OPP_KEY, "source_instance_id", "entity_id", F.lit(None).cast("bigint").alias("child_index"))
+        return empty.select("*", *[F.lit(None).cast(t).alias(f) for f, t in fields.items()])
+    c = flatten(o, col, [OPP_KEY], carry=["source_instance_id", "entity_id"])
+    return c.select(
+        F.col(f"_parent_{OPP_KEY}").alias(OPP_KEY), "source_instance_id", "entity_id",
+        F.col("_list_idx").alias("child_index"), *[F.col(f).cast(t).alias(f) for f, t in fields.items()],
+    )
+
+
+def stg_opportunity_payments(opps: DataFrame) -> DataFrame:
+    p = _children(opps, "payments", {
+        "source": "bigint", "payment_type": "bigint", "payment_category": "bigint", "amount": "decimal(18,2)",
+        "amount_refunded": "decimal(18,2)", "is_outstanding": "boolean", "taken_by_user": "string",
+    })
+    return p.withColumn("payment_key", text.surrogate_key(OPP_KEY, "child_index"))
+
+
+def stg_opportunity_contacts(opps: DataFrame) -> DataFrame:
+    c = _children(opps, "contacts", {"name": "string", "email_address": "string", "phone_number": "string", "phone_type": "bigint"})
+    return c.withColumn("name", _nn("name")).withColumn("email_address", F.lower(_nn("email_address")))
+
+
+def stg_opportunity_surveys(opps: DataFrame) -> DataFrame:
+    return _children(opps, "surveys", {
+        "type": "bigint", "start_at_utc": "timestamp", "duration_minutes": "bigint", "is_confirmed": "boolean", "notes": "string",
+    })
+
+
+def _job_strings(opps: DataFrame, col: str, out: str) -> DataFrame:
+    """Ordered strings under each job (addresses, crew): value + position + sibling count."""
+    o = opps.withColumn(OPP_KEY, text.surrogate_key("source_instance_id", "id"))
+    job_fields = opps.schema["jobs"].dataType.elementType.fieldNames() if "jobs" in opps.columns else []
+    if col not in job_fields:
+        return o.limit(0).select(OPP_KEY, F.lit(None).cast("bigint").alias("job_index"),
+                                 F.lit(None).cast("bigint").alias("position"), F.lit(None).cast("string").alias(out),
+                                 F.lit(None).cast("int").alias("n_siblings"), F.lit(None).cast("boolean").alias("is_first"))
+    jobs = o.select(OPP_KEY, F.transform("jobs", lambda j: F.struct(j[col].alias("vals"))).alias("jobs"))
+    g = grandchildren(jobs, "jobs", "vals", [OPP_KEY])
+    return g.select(
+        F.col(f"_root_{OPP_KEY}").alias(OPP_KEY), F.col("_parent_job_idx").alias("job_index"),
+        F.col("_list_idx").alias("position"), _nn("value").alias(out), F.col("_n_siblings").alias("n_siblings"),
+        (F.col("_list_idx") == 0).alias("is_first"),  # F10; list order is not origin/destination (T15)
+    )
+
+
+def stg_opportunity_job_addresses(opps: DataFrame) -> DataFrame:
+    return _job_strings(opps, "job_addresses", "address")
+
+
+def stg_opportunity_job_crew(opps: DataFrame) -> DataFrame:
+    return _job_strings(opps, "crew_members", "crew_member")
+
+
+def int_attachment_counts(opps: DataFrame) -> DataFrame:
+    """A-1 + J14 + F11: documents (and complete ones), files, photos, job documents per
+    opportunity - each pre-aggregated, then joined; grain = opportunities with any."""
+    o = opps.withColumn(OPP_KEY, text.surrogate_key("source_instance_id", "id"))
+    base = o.select(OPP_KEY, "source_instance_id", "entity_id")
+
+    def counted(col, name, complete=None):
+        if col not in opps.columns:
+            return None
+        c = flatten(o, col, [OPP_KEY]).withColumnRenamed(f"_parent_{OPP_KEY}", OPP_KEY)
+        aggs = [F.count(F.lit(1)).alias(name)]
+        if complete:
+            aggs.append(F.count_if(F.col("is_complete")).alias(complete))
+        return c.groupBy(OPP_KEY).agg(*aggs)
+
+    parts = [
+        counted("opportunity_documents", "document_count", "document_complete_count"),
+        counted("opportunity_files", "file_count"),
+        counted("photos", "photo_count"),
+    ]
+    if "jobs" in opps.columns and "job_documents" in opps.schema["jobs"].dataType.elementType.fieldNames():
+        jd = grandchildren(o.select(OPP_KEY, "jobs"), "jobs", "job_documents", [OPP_KEY])
+        parts.append(jd.groupBy(F.col(f"_root_{OPP_KEY}").alias(OPP_KEY)).agg(F.count(F.lit(1)).alias("job_document_count")))
+    names = ["document_count", "document_complete_count", "file_count", "photo_count", "job_document_count"]
+    out = base
+    for part in parts:
+        if part is not None:
+            out = out.join(part, OPP_KEY, "left")
+    for n in names:
+        out = out.withColumn(n, F.coalesce(F.col(n), F.lit(0).cast("bigint")) if n in out.columns else F.lit(0).cast("bigint"))
+    return out.filter(sum((F.col(n) for n in names if n != "document_complete_count"), F.lit(0)) > 0)
+
+
 def stg_sweep(customers: DataFrame) -> DataFrame:
     """The sweep's opportunities under each customer (J3 without a join)."""
     opp = flatten(
@@ -405,6 +495,13 @@ def core_lines_of_business(jobs: DataFrame, service_types: DataFrame, lob_branch
     )
 
 
+def core_opportunity_payments(payments: DataFrame, opportunities: DataFrame) -> DataFrame:
+    """Payment lines with the opportunity's tenant and freshness."""
+    return payments.drop("entity_id").join(
+        opportunities.select(OPP_KEY, "entity_id", "synced_at"), OPP_KEY, "inner"
+    )
+
+
 # -------------------------------------------------------------- marts/serve
 def mart_unmatched_report_rows(report: DataFrame, xwalk: DataFrame) -> DataFrame:
     """Newest generation only, with a reason per unbridgeable row."""
@@ -467,6 +564,12 @@ def crm_registry(as_of: str) -> Registry:
     add(Model("stg_report_booked", "staging", stg_report_booked, ["report_booked_opportunities"]))
     add(Model("stg_webhook_status", "staging", stg_webhook_status, ["webhook_events"]))
     add(Model("stg_branches", "staging", stg_branches, ["dim_branches"]))
+    add(Model("stg_opportunity_payments", "staging", stg_opportunity_payments, ["opportunities_enriched"]))
+    add(Model("stg_opportunity_contacts", "staging", stg_opportunity_contacts, ["opportunities_enriched"]))
+    add(Model("stg_opportunity_surveys", "staging", stg_opportunity_surveys, ["opportunities_enriched"]))
+    add(Model("stg_opportunity_job_addresses", "staging", stg_opportunity_job_addresses, ["opportunities_enriched"]))
+    add(Model("stg_opportunity_job_crew", "staging", stg_opportunity_job_crew, ["opportunities_enriched"]))
+    add(Model("int_attachment_counts", "intermediate", int_attachment_counts, ["opportunities_enriched"]))
     add(Model("int_quote_crosswalk", "intermediate", int_quote_crosswalk, ["stg_opportunities_enriched", "stg_sweep"]))
     add(Model("int_opportunity_observations", "intermediate", int_opportunity_observations,
               ["stg_opportunities_enriched", "stg_sweep", "stg_webhook_status", "opportunity_deletions",
@@ -483,6 +586,8 @@ def crm_registry(as_of: str) -> Registry:
               partition_by=["source_instance_id"]))
     add(Model("core_opportunity_charges", "core", core_opportunity_charges,
               ["stg_opportunity_job_charges", "core_opportunities"], partition_by=["source_instance_id"]))
+    add(Model("core_opportunity_payments", "core", core_opportunity_payments,
+              ["stg_opportunity_payments", "core_opportunities"], partition_by=["source_instance_id"]))
     add(Model("mart_unmatched_report_rows", "marts", mart_unmatched_report_rows,
               ["stg_report_lead_status", "int_quote_crosswalk"]))
     add(Model("jobs_upcoming_v1", "serving", jobs_upcoming_v1(as_of), ["core_jobs", "branch_timezone", "dim_instance"],
@@ -506,6 +611,9 @@ CRM_CHECKS = [
                   parent="core_opportunities", parent_column=OPP_KEY),
     quality.Check("unique", "core_leads", ("lead_key",), ()),
     quality.Check("unique", "core_branches", ("branch_key",), ()),
+    quality.Check("unique", "core_opportunity_payments", ("payment_key",), ()),
+    quality.Check("relationships", "core_opportunity_payments", (OPP_KEY,), ("payment_key",),
+                  parent="core_opportunities", parent_column=OPP_KEY),
     quality.Check("not_null", "core_branches", ("timezone",), ("branch_key",)),
     quality.Check("accepted_values", "core_lines_of_business", ("lob_source",), ("job_key",),
                   values=("service_type", "branch", "instance", "fallback_default")),

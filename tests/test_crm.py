@@ -21,7 +21,13 @@ OPP_SCHEMA = (
     "referral_source string, created_at_utc timestamp, _snapshot_at timestamp, "
     "jobs array<struct<id:string,job_number:string,job_date:int,type:bigint,"
     "estimated_charges:array<struct<name:string,subtotal:double,discount_amount:double,total_cost:double>>,"
-    "actual_charges:array<struct<name:string,subtotal:double,discount_amount:double,total_cost:double>>>>"
+    "actual_charges:array<struct<name:string,subtotal:double,discount_amount:double,total_cost:double>>,"
+    "job_addresses:array<string>,crew_members:array<string>,job_documents:array<struct<is_complete:boolean>>>>, "
+    "payments array<struct<source:bigint,payment_type:bigint,payment_category:bigint,amount:double,"
+    "amount_refunded:double,is_outstanding:boolean,taken_by_user:string>>, "
+    "contacts array<struct<name:string,email_address:string,phone_number:string,phone_type:bigint>>, "
+    "opportunity_documents array<struct<is_complete:boolean>>, opportunity_files array<struct<id:string>>, "
+    "photos array<struct<id:string>>"
 )
 SWEEP_SCHEMA = (
     "source_instance_id string, entity_id string, id string, name string, phone_number string, email_address string, "
@@ -32,17 +38,20 @@ SWEEP_SCHEMA = (
 REPORT_SCHEMA = "source_instance_id string, entity_id string, report_generated_at timestamp, row_key string, row_data string"
 
 
-def _opp(oid, quote, status, snap, final, sales, branch="Main Office ", jobs=None):
+def _opp(oid, quote, status, snap, final, sales, branch="Main Office ", jobs=None, pays=None, docs=None):
     return ("ld", "eco", oid, quote, 1, status, 20260815, "Booked ", 500.0, 3600.0,
             (900.0, 900.0, 100.0, final), (branch,), ("C1", "Enr Name", "e@x.com", "555"),
-            (sales,), ("Est",), ("Coord",), "Google", D(2026, 8, 1, 16), snap, jobs or [])
+            (sales,), ("Est",), ("Coord",), "Google", D(2026, 8, 1, 16), snap, jobs or [],
+            pays or [], [("Pat", "P@X.com ", "555", 1)], docs or [], [], [])
 
 
 def _inputs(spark):
     charge = [("Labor", 800.0, 0.0, 800.0)]
     opps = spark.createDataFrame([
         _opp("O1", 1001, 3, D(2026, 8, 10), 1000.0, "Ann",
-             jobs=[("J1", "1001-1", 20260815, 1, charge, charge + [("Tip", 50.0, 0.0, 50.0)])]),
+             jobs=[("J1", "1001-1", 20260815, 1, charge, charge + [("Tip", 50.0, 0.0, 50.0)],
+                    ["12 Elm St", "9 Oak Ave"], ["Ann", "Bo", "Cy"], [(True,), (False,)])],
+             pays=[(1, 2, 3, 250.0, 0.0, False, "Ann")], docs=[(True,), (False,), (True,)]),
         _opp("O2", 1002, 3, D(2026, 8, 1), 500.0, "Bob"),
         _opp("O3", 1003, 3, D(2026, 8, 5), 700.0, "Cy"),
     ], OPP_SCHEMA)
@@ -132,6 +141,15 @@ def test_crm_models_end_to_end(spark):
     lob = out["core_lines_of_business"].collect()
     assert [(r.line_of_business, r.lob_source, r.is_unclassified) for r in lob] == [("commercial", "service_type", False)]
 
+    pays = out["core_opportunity_payments"].collect()
+    assert [(p.opportunity_key, float(p.amount), p.entity_id) for p in pays] == [("ld:O1", 250.0, "eco")]
+    addrs = sorted((r.position, r.address, r.n_siblings, r.is_first) for r in out["stg_opportunity_job_addresses"].collect())
+    assert addrs == [(0, "12 Elm St", 2, True), (1, "9 Oak Ave", 2, False)]
+    assert out["stg_opportunity_job_crew"].count() == 3
+    assert out["stg_opportunity_contacts"].first().email_address == "p@x.com"
+    att = {r.opportunity_key: (r.document_count, r.document_complete_count, r.job_document_count) for r in out["int_attachment_counts"].collect()}
+    assert att == {"ld:O1": (3, 2, 2)}
+
     charges = out["core_opportunity_charges"].groupBy("charge_kind").agg(F.sum("total_cost").alias("t")).collect()
     assert {r.charge_kind: r.t for r in charges} == {"estimated": 800, "actual": 850}
 
