@@ -510,6 +510,76 @@ def mart_unmatched_report_rows(report: DataFrame, xwalk: DataFrame) -> DataFrame
     )
 
 
+def mart_booked_by_book_date(opportunities: DataFrame) -> DataFrame:
+    """Tier 2: bookings and invoiced money per local booking date (booked report's date)."""
+    b = opportunities.filter(F.col("booked_date_local").isNotNull() & ~F.col("is_deleted"))
+    return b.groupBy("entity_id", "source_instance_id", "booked_date_local").agg(
+        F.count(F.lit(1)).alias("n_booked"), F.sum("invoiced_amount").alias("invoiced_total")
+    )
+
+
+def mart_opportunity_360(opportunities, charges, payments, attachments, jobs) -> DataFrame:
+    """Tier 2: one wide row per opportunity; every child table is pre-aggregated on
+    the opportunity key before the join (J14), so no join fans out."""
+    ch = charges.groupBy(OPP_KEY).agg(
+        F.sum(F.when(F.col("charge_kind") == "estimated", F.col("total_cost"))).alias("estimated_charges_total"),
+        F.sum(F.when(F.col("charge_kind") == "actual", F.col("total_cost"))).alias("actual_charges_total"),
+    )
+    pay = payments.groupBy(OPP_KEY).agg(
+        F.sum("amount").alias("paid_total"), F.count_if(F.col("is_outstanding")).alias("n_outstanding_payments")
+    )
+    jb = jobs.groupBy(OPP_KEY).agg(F.count(F.lit(1)).alias("n_jobs"), F.min("service_date").alias("first_service_date"))
+    att = attachments.select(OPP_KEY, "document_count", "file_count", "photo_count", "job_document_count")
+    out = opportunities
+    for part in (ch, pay, jb, att):
+        out = out.join(part, OPP_KEY, "left")
+    for c in ("n_outstanding_payments", "n_jobs", "document_count", "file_count", "photo_count", "job_document_count"):
+        out = out.withColumn(c, F.coalesce(F.col(c), F.lit(0).cast("bigint")))
+    return out
+
+
+def mart_enrichment_candidates(report: DataFrame, xwalk: DataFrame, opportunities: DataFrame) -> DataFrame:
+    """Tier 2: opportunities whose newest lead-status report row disagrees with the
+    resolved money or pipeline status - the report-driven refresh queue for what the
+    cheap sweep cannot see. Newest generation only; one row per opportunity."""
+    newest = bridge.newest_generation(report.withColumn("quote_number", bridge.quote_key("quote_number")))
+    bridged = _bridged(newest, xwalk).select(
+        OPP_KEY, "report_generated_at",
+        F.col("pipeline_status").alias("report_status"), F.col("estimated_final_total").alias("report_total"),
+    )
+    j = bridged.join(opportunities.select(OPP_KEY, "entity_id", "source_instance_id", "pipeline_status", "estimated_final_total", "synced_at"), OPP_KEY, "inner")
+    differs = (~F.col("report_status").eqNullSafe(F.col("pipeline_status"))) | (
+        ~F.col("report_total").eqNullSafe(F.col("estimated_final_total"))
+    )
+    reason = F.when(~F.col("report_status").eqNullSafe(F.col("pipeline_status")), F.lit("status_differs")).otherwise(F.lit("money_differs"))
+    return j.filter(differs).select(OPP_KEY, "entity_id", "source_instance_id", "report_generated_at", reason.alias("reason"))
+
+
+OPPORTUNITIES_V1 = T.StructType(
+    [
+        T.StructField("entity_id", T.StringType()),
+        T.StructField("source_instance_id", T.StringType()),
+        T.StructField(OPP_KEY, T.StringType()),
+        T.StructField("quote_number", T.StringType()),
+        T.StructField("status_label", T.StringType()),
+        T.StructField("pipeline_status", T.StringType()),
+        T.StructField("service_date", T.DateType()),
+        T.StructField("customer_name", T.StringType()),
+        T.StructField("branch_name", T.StringType()),
+        T.StructField("estimated_final_total", T.DecimalType(18, 2)),
+        T.StructField("invoiced_amount", T.DecimalType(18, 2)),
+        T.StructField("is_booked", T.BooleanType()),
+        T.StructField("is_deleted", T.BooleanType()),
+        T.StructField("synced_at", T.TimestampType()),
+    ]
+)
+
+
+def opportunities_v1(opportunities: DataFrame) -> DataFrame:
+    """Tier 2 serving table: a fixed column list (W3 contract)."""
+    return opportunities.select(*[f.name for f in OPPORTUNITIES_V1.fields])
+
+
 def jobs_upcoming_v1(as_of: str):
     def build(jobs: DataFrame, branch_tz: DataFrame, instances: DataFrame) -> DataFrame:
         inst = bounded_broadcast(instances.select(F.col("instance_id").alias("source_instance_id"), F.col("timezone").alias("_itz")))
@@ -588,6 +658,13 @@ def crm_registry(as_of: str) -> Registry:
               ["stg_opportunity_job_charges", "core_opportunities"], partition_by=["source_instance_id"]))
     add(Model("core_opportunity_payments", "core", core_opportunity_payments,
               ["stg_opportunity_payments", "core_opportunities"], partition_by=["source_instance_id"]))
+    add(Model("mart_booked_by_book_date", "marts", mart_booked_by_book_date, ["core_opportunities"]))
+    add(Model("mart_opportunity_360", "marts", mart_opportunity_360,
+              ["core_opportunities", "core_opportunity_charges", "core_opportunity_payments", "int_attachment_counts", "core_jobs"],
+              partition_by=["source_instance_id"]))
+    add(Model("mart_enrichment_candidates", "marts", mart_enrichment_candidates,
+              ["stg_report_lead_status", "int_quote_crosswalk", "core_opportunities"]))
+    add(Model("opportunities_v1", "serving", opportunities_v1, ["core_opportunities"], contract=OPPORTUNITIES_V1))
     add(Model("mart_unmatched_report_rows", "marts", mart_unmatched_report_rows,
               ["stg_report_lead_status", "int_quote_crosswalk"]))
     add(Model("jobs_upcoming_v1", "serving", jobs_upcoming_v1(as_of), ["core_jobs", "branch_timezone", "dim_instance"],
@@ -620,4 +697,6 @@ CRM_CHECKS = [
     quality.Check("accepted_values", "mart_unmatched_report_rows", ("reason",), ("report_row_key",),
                   values=(bridge.NO_QUOTE, bridge.NOT_IN_API)),
     quality.Check("not_null", "jobs_upcoming_v1", ("entity_id",), ("job_key",)),
+    quality.Check("unique", "mart_opportunity_360", (OPP_KEY,), ()),
+    quality.Check("unique", "opportunities_v1", (OPP_KEY,), ()),
 ]

@@ -82,7 +82,7 @@ def _inputs(spark):
         ("ld", "eco", D(2026, 8, 1), "old", lead_row("8888", "$10.00", "Zed", "")),
     ], REPORT_SCHEMA)
     bkd = spark.createDataFrame([
-        ("ld", "eco", D(2026, 8, 12), "1001", json.dumps({"Quote #": "1001", "Status": "Booked", "Customer Name": "Booked Name",
+        ("ld", "eco", D(2026, 8, 12), "1001", json.dumps({"Quote #": "1001", "Status": "Completed", "Customer Name": "Booked Name",
                                                           "Invoiced Amount": "$1,200.00", "Booked Date": "8/12/2026"})),
     ], REPORT_SCHEMA)
     leads = spark.createDataFrame([
@@ -150,6 +150,17 @@ def test_crm_models_end_to_end(spark):
     att = {r.opportunity_key: (r.document_count, r.document_complete_count, r.job_document_count) for r in out["int_attachment_counts"].collect()}
     assert att == {"ld:O1": (3, 2, 2)}
 
+    bkd = out["mart_booked_by_book_date"].collect()
+    assert [(r.booked_date_local, r.n_booked, float(r.invoiced_total)) for r in bkd] == [(dt.date(2026, 8, 12), 1, 1200.0)]
+    w = {r.opportunity_key: r for r in out["mart_opportunity_360"].collect()}
+    assert float(w["ld:O1"].actual_charges_total) == 850 and float(w["ld:O1"].paid_total) == 250 and w["ld:O1"].n_jobs == 1
+    assert w["ld:O2"].n_jobs == 0 and w["ld:O2"].document_count == 0
+    # the booked report (newest) says 'Completed'; the lead-status row still says 'Booked'
+    assert o1.pipeline_status == "Completed"
+    q = [(r.opportunity_key, r.reason) for r in out["mart_enrichment_candidates"].collect()]
+    assert q == [("ld:O1", "status_differs")]
+    assert out["opportunities_v1"].columns == [f.name for f in crm.OPPORTUNITIES_V1.fields]
+
     charges = out["core_opportunity_charges"].groupBy("charge_kind").agg(F.sum("total_cost").alias("t")).collect()
     assert {r.charge_kind: r.t for r in charges} == {"estimated": 800, "actual": 850}
 
