@@ -442,3 +442,34 @@ def entity_access(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = orders_in_branches(spark, sf_dir).select("o_orderkey", "source_instance_id", "entity_id")
     acc = seeds.frame(spark, seeds.ENTITY_ACCESS, seeds.ENTITY_ACCESS_SCHEMA)
     return access.secure_view(o, acc, ACCESS_ROLE)
+
+
+# ------------------------------------------------------------- tier-2 rules
+# A rule table - (priority, field, match type, match value, category).
+PART_RULES = [
+    (1, "p_name", "contains", "Ring", "jewelry"),
+    (1, "p_type", "equals", "PROMO", "promotional"),
+    (2, "p_name", "contains", "bolt", "hardware"),
+    (2, "p_brand", "contains", "Brand#1", "house_brand"),
+    (99, "p_type", "default", "*", "general"),
+]
+
+
+def _rules_sql() -> str:
+    arms = []
+    for i, (_p, fld, mtype, mval, cat) in sorted(enumerate(PART_RULES), key=lambda x: (x[1][0], x[0])):
+        if mtype == "default":
+            continue
+        needle = norm_sql(f"'{mval}'")
+        hay = norm_sql(fld)
+        cond = f"{hay} LIKE '%' || {needle} || '%'" if mtype == "contains" else f"{hay} = {needle}"
+        arms.append(f"WHEN coalesce({cond}, FALSE) THEN '{cat}'")
+    default = next(c for (_p, _f, m, _v, c) in PART_RULES if m == "default")
+    return f"SELECT p_partkey, CASE {' '.join(arms)} ELSE '{default}' END AS category FROM part"
+
+
+@query("rule_table_classify", _rules_sql(), "X23 F9 tier-2 rule engine")
+def rule_table_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classify parts by a priority-ordered rule table (contains / equals / default)."""
+    p = table(spark, sf_dir, "part", "p_partkey", "p_name", "p_type", "p_brand")
+    return rules.rule_engine(p, PART_RULES).select("p_partkey", "category")

@@ -296,3 +296,23 @@ def test_candidate_budget_is_deterministic(spark):
     )
     got = change.enrichment_candidates(obs, ["source_instance_id", "id"], budget=3).collect()
     assert [(r.id, r.reason) for r in got] == [("0", "changed"), ("2", "changed"), ("4", "changed")]
+
+
+def test_rule_engine_priority_and_status_map(spark):
+    from fieldwise.operators import rules
+
+    df = spark.createDataFrame([("Moving LD", "Main"), ("International move", "x"), ("Local", "MMM Interstate"), (None, None)],
+                               "service_type string, branch_name string")
+    table = [
+        (1, "service_type", "contains", "LD", "interstate"),
+        (1, "service_type", "contains", "International", "interstate"),
+        (99, "service_type", "default", "*", "local"),
+        (2, "branch_name", "contains", "MMM Interstate", "avoid"),
+    ]
+    got = [r.category for r in rules.rule_engine(df, table).collect()]
+    assert got == ["interstate", "interstate", "avoid", "local"]
+    smap = seeds.frame(spark, [("follow up 3 no response", "open", "no_response"), ("Booked ", "booked", "booked")],
+                       "status_raw string, status_category string, status_subcategory string")
+    rep = spark.createDataFrame([("Follow up 3 - No Response",), ("BOOKED",), ("Lost",)], "status string")
+    out = sorted((r.status, r.status_category) for r in rules.map_status_text(rep, "status", smap).collect())
+    assert out == [("BOOKED", "booked"), ("Follow up 3 - No Response", "open"), ("Lost", None)]
