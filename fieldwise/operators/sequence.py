@@ -20,16 +20,22 @@ The range exchange is reused by Spark for the boundary pass
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .joins import bounded_broadcast
 
+# The pandas functions of this module run in Python workers. Pickle them by
+# value so executors need numpy and pandas only, not this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 _EXTRA = [
     T.StructField("_pid", T.IntegerType()),
     T.StructField("_t", T.LongType()),

@@ -13,9 +13,11 @@ a cluster), never in a machine-local folder.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from ..operators.events import ENRICH_TYPES, MAX_ATTEMPTS, delivery_hash
 from ..session import checkpoint_dir, ensure_semantics
 
+# The pandas functions of this module run in Python workers. Pickle them by
+# value so executors need numpy and pandas only, not this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
