@@ -295,6 +295,8 @@ JOB_FIELDS = {
     "service_type_id": "bigint",
     "l_partkey": "bigint",
     "l_suppkey": "bigint",
+    "billable_hours": "decimal(18,4)",
+    "tip_rate": "decimal(18,2)",
 }
 # The candidate table of the resolved job.
 JOB_CANDIDATES = Candidates(
@@ -303,6 +305,10 @@ JOB_CANDIDATES = Candidates(
         "job_number": ["api_enrichment", "api_sweep", "report_all_jobs"],
         "service_date": ["api_enrichment", "api_sweep", "report_all_jobs"],
         "service_type_id": ["api_enrichment", "api_sweep"],
+        # single-source report fields: they ride in the report source's newest-row
+        # struct of the same aggregation (no second aggregation, no join back)
+        "billable_hours": ["report_all_jobs"],
+        "tip_rate": ["report_all_jobs"],
     }
 )
 
@@ -318,8 +324,8 @@ def job_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(s, li["l_suppkey"] == s["s_suppkey"], "inner").join(b, F.col("s_nationkey") == b["n_nationkey"], "inner")
 
 
-def job_observations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Three job sources from one scan, and the all-jobs report rows (N3 input)."""
+def job_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three job sources from one scan."""
     j = job_rows(spark, sf_dir)
     day = F.to_date("l_shipdate")
     at = lambda days: F.col("l_shipdate") + F.make_interval(days=F.lit(days))
@@ -335,16 +341,12 @@ def job_observations(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
             "service_date": F.date_add(day, (F.col("l_partkey") % 2).cast("int")),
             "service_type_id": F.col("l_partkey") % 50 + F.col("l_suppkey") % 2, **tb,
         }, when=F.col("l_orderkey") % 2 == 0),
-        ArmSpec("report_all_jobs", 3, at(6), {"job_number": jn, "service_date": day, **tb},
-                when=F.col("l_linestatus") == "F"),
+        ArmSpec("report_all_jobs", 3, at(6), {
+            "job_number": jn, "service_date": day, **tb,
+            "billable_hours": F.col("l_quantity"), "tip_rate": F.col("l_tax"),
+        }, when=F.col("l_linestatus") == "F"),
     ]
-    obs = stack_observations(j, JOB_KEYS, arms, JOB_FIELDS, candidates=JOB_CANDIDATES, ignore=["l_partkey", "l_suppkey"])
-    report = j.filter(F.col("l_linestatus") == "F").select(
-        *JOB_KEYS, at(6).alias("observed_at"), "l_partkey", "l_suppkey",
-        F.col("l_quantity").cast("decimal(18,4)").alias("billable_hours"),
-        F.col("l_tax").cast("decimal(18,2)").alias("tip_rate"),
-    )
-    return obs, report
+    return stack_observations(j, JOB_KEYS, arms, JOB_FIELDS, candidates=JOB_CANDIDATES, ignore=["l_partkey", "l_suppkey"])
 
 
 JOBS_ARMS_SQL = """
@@ -384,12 +386,18 @@ rpt AS (
 """
 
 
+# The oracle keeps the report-only fields as a join to the newest report row.
+_RESOLVED_JOB_FIELDS = Candidates(
+    fields={f: srcs for f, srcs in JOB_CANDIDATES.fields.items() if f not in ("billable_hours", "tip_rate")}
+)
+
+
 def _jobs_sql() -> str:
     return (
         JOBS_ARMS_SQL
         + f"""picked AS (
   SELECT source_instance_id, l_orderkey, l_linenumber,
-  {_pick_sql(JOB_CANDIDATES)}
+  {_pick_sql(_RESOLVED_JOB_FIELDS)}
   FROM latest GROUP BY source_instance_id, l_orderkey, l_linenumber)
 SELECT p.*, r.billable_hours, r.tip_rate FROM picked p
 LEFT JOIN rpt r ON r.source_instance_id = p.source_instance_id AND r.l_orderkey = p.l_orderkey
@@ -400,15 +408,12 @@ LEFT JOIN rpt r ON r.source_instance_id = p.source_instance_id AND r.l_orderkey
 
 @query("resolve_jobs", _jobs_sql(), "R4 N3 R5 U2")
 def resolve_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Resolved jobs from three sources; report-only fields join the newest report row directly.
+    """Resolved jobs from three sources, report-only fields from the newest report row.
 
-    The single-source fields bypass resolution (fewer aggregate buffers): the
-    newest report row per job (N3, ``max_by``) is left-joined on the job key.
+    The single-source report fields take the value of the report's newest row
+    per job, like a direct join to that row would - but they are carried in
+    the same aggregation as the resolved fields, so there is one shuffle and
+    no join back.
     """
-    obs, report = job_observations(spark, sf_dir)
-    resolved = resolve(obs, JOB_KEYS, JOB_CANDIDATES, tiebreak=["l_partkey", "l_suppkey"])
-    newest = newest_row(
-        report, JOB_KEYS, [F.col("observed_at"), F.col("l_partkey"), F.col("l_suppkey")],
-        keep=["billable_hours", "tip_rate"],
-    )
-    return resolved.join(newest, JOB_KEYS, "left")
+    obs = job_observations(spark, sf_dir)
+    return resolve(obs, JOB_KEYS, JOB_CANDIDATES, tiebreak=["l_partkey", "l_suppkey"])
