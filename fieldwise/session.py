@@ -33,13 +33,17 @@ def ensure_semantics(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for cut lineage (``spark.checkpoint.dir``).
 
-    On a cluster the setting names shared storage and is used as is. Only
-    when it is unset (tests, a laptop) a scratch folder is made here.
+    On a cluster the setting names shared storage and is used as is (and an
+    unset setting is an error). Only a local master (tests, a laptop) gets a
+    scratch folder made here when it is unset.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if not configured:
+        if not spark.sparkContext.master.startswith("local"):
+            # a machine-local folder would not survive a lost executor or driver
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder for streaming state and checkpoints")
         configured = tempfile.mkdtemp(prefix="fieldwise-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     spark.sparkContext.setCheckpointDir(configured)
