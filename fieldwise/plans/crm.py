@@ -120,6 +120,8 @@ def stg_leads(leads: DataFrame) -> DataFrame:
         _nn("sales_person").alias("sales_person"), _nn("branch_name").alias("branch_name"),
         casts.int_date("service_date").alias("service_date"), F.col("status").cast("int").alias("lead_status_code"),
         _nn("lost_reason").alias("lost_reason"), _nn("bad_lead_reason").alias("bad_lead_reason"),
+        *[(_nn(c) if c in leads.columns else F.lit(None).cast("string")).alias(c)
+          for c in ("origin_city", "origin_state", "origin_zip")],
         "created_at_utc", F.col("_extracted_at").alias("synced_at"),
     )
 
@@ -448,14 +450,25 @@ def core_jobs(enr_jobs: DataFrame, sweep_jobs: DataFrame, opportunities: DataFra
     return jobs.join(opp, OPP_KEY, "left").withColumn("synced_at", F.greatest("synced_at", "_opp_synced")).drop("_opp_synced")
 
 
-def core_leads(leads: DataFrame, instances: DataFrame, status_enum: DataFrame) -> DataFrame:
-    """J8 + X16 + X22 + X10: status label, disposition and local dates per lead."""
+def core_leads(leads: DataFrame, instances: DataFrame, status_enum: DataFrame,
+               referral: DataFrame, zips: DataFrame) -> DataFrame:
+    """J8 + X16 + X22 + X10: status label, disposition and local dates per lead;
+    tier 2: referral channel by normalised source name (J9) and ZIP -> city/state fill."""
     inst = bounded_broadcast(instances.select(F.col("instance_id").alias("source_instance_id"), F.col("timezone").alias("local_tz")))
-    l = rules.with_status(leads.join(inst, "source_instance_id", "left"), status_enum, code_col="lead_status_code")
+    ref = referral.select(F.col("referral_source_raw").alias("_ref_raw"), F.col("channel_group").alias("referral_channel"),
+                          F.col("is_paid").alias("referral_is_paid"))
+    zp = zips.select(F.col("zip").alias("origin_zip"), F.col("city").alias("_zip_city"), F.col("state").alias("_zip_state"))
+    l = leads.join(inst, "source_instance_id", "left")
+    l = norm_key_join(l, ref, "referral_source", "_ref_raw", key_name="_ref_key").drop("_ref_key")
+    l = l.join(zp, "origin_zip", "left").withColumn("origin_city", F.coalesce("origin_city", "_zip_city")).withColumn(
+        "origin_state", F.coalesce("origin_state", "_zip_state")
+    )
+    l = rules.with_status(l, status_enum, code_col="lead_status_code")
     return l.select(
         "lead_key", "source_instance_id", "entity_id", "external_lead_id", "customer_name", "branch_name",
         "lead_status_code", F.col("status_label").alias("lead_status_name"), "is_booked", "is_lost", "is_bad_lead",
         rules.lead_disposition(F.col("bad_lead_reason"), F.col("lost_reason"), F.col("lead_status_code"), F.col("status_label")).alias("lead_disposition"),
+        "referral_source", "referral_channel", "referral_is_paid", "origin_zip", "origin_city", "origin_state",
         "local_tz", "created_at_utc",
         local_timestamp("created_at_utc", F.col("local_tz")).alias("created_at_local"),
         local_date("created_at_utc", F.col("local_tz")).alias("created_date_local"),
@@ -617,6 +630,7 @@ RAW = [
     "leads", "opportunities_enriched", "customers_service_window", "report_lead_status",
     "report_booked_opportunities", "webhook_events", "opportunity_deletions", "dim_instance",
     "dim_opportunity_status", "branch_timezone", "dim_branches", "dim_service_types", "dim_lob_branch",
+    "dim_referral_source", "dim_zip",
 ]
 
 
@@ -652,7 +666,8 @@ def crm_registry(as_of: str) -> Registry:
     add(Model("core_branches", "core", core_branches, ["stg_branches", "branch_timezone", "dim_instance"]))
     add(Model("core_lines_of_business", "core", core_lines_of_business,
               ["core_jobs", "dim_service_types", "dim_lob_branch", "dim_instance"], partition_by=["source_instance_id"]))
-    add(Model("core_leads", "core", core_leads, ["stg_leads", "dim_instance", "dim_opportunity_status"],
+    add(Model("core_leads", "core", core_leads,
+              ["stg_leads", "dim_instance", "dim_opportunity_status", "dim_referral_source", "dim_zip"],
               partition_by=["source_instance_id"]))
     add(Model("core_opportunity_charges", "core", core_opportunity_charges,
               ["stg_opportunity_job_charges", "core_opportunities"], partition_by=["source_instance_id"]))

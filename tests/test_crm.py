@@ -86,12 +86,13 @@ def _inputs(spark):
                                                           "Invoiced Amount": "$1,200.00", "Booked Date": "8/12/2026"})),
     ], REPORT_SCHEMA)
     leads = spark.createDataFrame([
-        ("ld", "eco", "L1", "Lee", "l@x.com", "555", "Google", "Ann", "Main Office", 20260819, 1, None, None, D(2026, 8, 13, 15), D(2026, 8, 13, 16)),
-        ("ld", "eco", "L2", "Lou", None, None, None, None, "Main Office", 0, 30, "price", None, D(2026, 8, 14, 5), D(2026, 8, 14, 6)),
-        ("ld", "eco", "L3", "Liz", None, None, None, None, "Main Office", 0, 0, None, "spam", D(2026, 8, 12, 15), D(2026, 8, 13, 16)),
+        ("ld", "eco", "L1", "Lee", "l@x.com", "555", "Google ", "Ann", "Main Office", 20260819, 1, None, None, D(2026, 8, 13, 15), D(2026, 8, 13, 16), None, None, "98101"),
+        ("ld", "eco", "L2", "Lou", None, None, None, None, "Main Office", 0, 30, "price", None, D(2026, 8, 14, 5), D(2026, 8, 14, 6), "Tacoma", "WA", "98402"),
+        ("ld", "eco", "L3", "Liz", None, None, None, None, "Main Office", 0, 0, None, "spam", D(2026, 8, 12, 15), D(2026, 8, 13, 16), None, None, None),
     ], "source_instance_id string, entity_id string, id string, customer_name string, email_address string, phone_number string, "
        "referral_source_name string, sales_person string, branch_name string, service_date int, status bigint, "
-       "lost_reason string, bad_lead_reason string, created_at_utc timestamp, _extracted_at timestamp")
+       "lost_reason string, bad_lead_reason string, created_at_utc timestamp, _extracted_at timestamp, "
+       "origin_city string, origin_state string, origin_zip string")
     inst = spark.createDataFrame(
         [("ld", "eco", "EcoCo", "America/Los_Angeles", "America/Los_Angeles", "long_distance")],
         "instance_id string, entity_id string, entity_name string, timezone string, crm_timezone string, lob_hint string",
@@ -110,6 +111,9 @@ def _inputs(spark):
         "report_booked_opportunities": bkd, "webhook_events": hooks, "opportunity_deletions": dels,
         "dim_instance": inst, "dim_opportunity_status": seeds.status_enum(spark), "branch_timezone": btz,
         "dim_branches": branches, "dim_service_types": service_types, "dim_lob_branch": lob_branch,
+        "dim_referral_source": spark.createDataFrame([("GOOGLE", "Google", "search", True)],
+                                                     "referral_source_raw string, source_clean string, channel_group string, is_paid boolean"),
+        "dim_zip": spark.createDataFrame([("98101", "Seattle", "WA"), ("98402", "Tacoma", "WA")], "zip string, city string, state string"),
     }
 
 
@@ -167,6 +171,9 @@ def test_crm_models_end_to_end(spark):
     leads = {r.lead_key: r for r in out["core_leads"].collect()}
     assert leads["ld:L1"].lead_disposition == "In Progress"
     assert leads["ld:L2"].lead_disposition == "Lost" and leads["ld:L3"].lead_disposition == "Bad Lead"
+    assert (leads["ld:L1"].referral_channel, leads["ld:L1"].referral_is_paid) == ("search", True)
+    assert (leads["ld:L1"].origin_city, leads["ld:L1"].origin_state) == ("Seattle", "WA")  # filled from the ZIP
+    assert leads["ld:L2"].origin_city == "Tacoma" and leads["ld:L3"].origin_city is None
     today = sorted(r.lead_key for r in out["leads_today_v1"].collect())
     assert today == ["ld:L1", "ld:L2"]  # L2 is 22:00 on Aug 13 in Los Angeles
 
