@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from .joins import bounded_broadcast
 from .resolve import newest_row
+from .sequence import ordered_scan
 
 # The two reasons a report row is unmatched.
 NO_QUOTE = "no_quote_number"
@@ -104,3 +105,46 @@ def recover_attribution(
     bridged = job_rows.join(api_jobs.select(job_key, *opp_key), job_key, "inner")
     order = [F.col(observed_at), *[F.col(c) for c in tiebreak]]
     return newest_row(bridged, list(opp_key), order, keep=[observed_at, *fields])
+
+
+def match_next(
+    leads: DataFrame,
+    opps: DataFrame,
+    keys: Sequence[str],
+    lead_ts: str,
+    opp_ts: str,
+    lead_id: str,
+    opp_id: str,
+    within_seconds: float,
+) -> DataFrame:
+    """Tier 2 fuzzy map: each lead's first opportunity with the same key (e.g.
+    instance + branch + normalised e-mail or phone) created at or after it,
+    within ``within_seconds``; null when there is none.
+
+    An as-of lookup, not a join: leads and opportunities are stacked, scanned
+    in descending time per key (range-partitioned, so a hot contact key is
+    split across tasks), and each lead takes the newest opportunity seen so
+    far - no pair of rows is ever formed.
+    """
+    common = [*[F.col(k) for k in keys]]
+    le = leads.select(
+        *common, (-F.unix_micros(lead_ts)).alias("_neg_t"), F.lit(1).alias("_rank"),
+        F.col(lead_id).cast("bigint").alias("_rid"), F.lit(False).alias("_is_opp"), F.lit(None).cast("bigint").alias("_oid"),
+    )
+    op = opps.select(
+        *common, (-F.unix_micros(opp_ts)).alias("_neg_t"), F.lit(0).alias("_rank"),
+        F.col(opp_id).cast("bigint").alias("_rid"), F.lit(True).alias("_is_opp"), F.col(opp_id).cast("bigint").alias("_oid"),
+    )
+    scanned = ordered_scan(
+        le.unionByName(op), list(keys), "_neg_t", ["_rank", "_rid"], mark="_is_opp", mark_value="_oid"
+    ).filter(~F.col("_is_opp"))
+    delay_us = F.col("_neg_t") - F.col("last_mark_ts")
+    ok = F.col("last_mark_value").isNotNull() & (delay_us <= F.lit(int(within_seconds * 1_000_000)))
+    return scanned.select(
+        *keys,
+        F.col("_rid").alias("lead_id"),
+        F.timestamp_micros(-F.col("_neg_t")).alias("lead_at"),
+        F.when(ok, F.col("last_mark_value")).alias("opportunity_id"),
+        F.when(ok, F.timestamp_micros(-F.col("last_mark_ts"))).alias("opportunity_at"),
+        F.when(ok, F.floor(delay_us / F.lit(1_000_000)).cast("bigint")).alias("delay_seconds"),
+    )

@@ -62,13 +62,14 @@ def _key_equal(a: tuple, b: tuple) -> bool:
     return True
 
 
-def _scan_fn(keys: Sequence[str], gap_us: int | None):
+def _scan_fn(keys: Sequence[str], gap_us: int | None, marked: bool = False):
     keys = list(keys)
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         last_key: tuple | None = None
         last_t: int | None = None
         last_start: int | None = None
+        last_mt = last_mv = None
         in_head = True
         for pdf in batches:
             n = len(pdf)
@@ -112,6 +113,19 @@ def _scan_fn(keys: Sequence[str], gap_us: int | None):
             out["_lstart"] = pd.array(np.where(starts.isna(), None, starts.to_numpy()), dtype="Int64")
             out["_head"] = head
             out["_first"] = first
+            if marked:
+                # the newest marked row at or before each row, within the key run
+                m = pdf["_mark"].fillna(False).to_numpy(dtype=bool)
+                mt = pd.Series(pd.array(np.where(m, t, None), dtype="Int64"))
+                mv = pd.Series(pd.array(np.where(m, pdf["_mval"].to_numpy(dtype=object), None), dtype="Int64"))
+                if same[0] and not m[0] and last_mt is not None:
+                    mt.iloc[0], mv.iloc[0] = last_mt, last_mv
+                mt = mt.groupby(runs).ffill()
+                mv = mv.groupby(runs).ffill()
+                out["_lmt"] = mt.array
+                out["_lmv"] = mv.array
+                last_mt = None if pd.isna(mt.iloc[-1]) else int(mt.iloc[-1])
+                last_mv = None if pd.isna(mv.iloc[-1]) else int(mv.iloc[-1])
             last_key = tuple(pdf[k].iloc[-1] for k in keys)
             last_t = int(t[-1])
             ls = starts.iloc[-1]
@@ -129,33 +143,56 @@ def ordered_scan(
     tiebreak: Sequence[str] = (),
     gap_seconds: float | None = None,
     num_partitions: int | None = None,
+    mark: str | Column | None = None,
+    mark_value: str | None = None,
 ) -> DataFrame:
     """Add ``prev_ts`` (previous row of the same key) and, with a gap,
     ``session_start`` (start of the gap-bounded session the row belongs to).
 
-    Order is ``ts`` then ``tiebreak``; rows with equal order keep a
-    deterministic order only if ``tiebreak`` makes it total.
+    With ``mark`` (a boolean column) also ``last_mark_ts`` and
+    ``last_mark_value``: the order value and ``mark_value`` (a long column) of
+    the newest marked row at or before each row of the same key - an as-of
+    lookup that never pairs rows.
+
+    ``ts`` is a timestamp, or a long (any order value; then results are longs
+    and ``gap_seconds`` is not allowed). Order is ``ts`` then ``tiebreak``;
+    rows with equal order keep a deterministic order only if ``tiebreak``
+    makes it total.
     """
     keys = list(keys)
     order = [*keys, ts, *tiebreak]
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_long = isinstance(df.schema[ts].dataType, (T.LongType, T.IntegerType))
+    if is_long and gap_seconds is not None:
+        raise ValueError("gap_seconds needs a timestamp order column")
+    as_out = (lambda c: c) if is_long else F.timestamp_micros
     gap_us = None if gap_seconds is None else int(gap_seconds * 1_000_000)
-    ranged = df.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order]).sortWithinPartitions(
+    src = df
+    if mark is not None:
+        m = F.col(mark) if isinstance(mark, str) else mark
+        src = src.withColumn("_mark", m).withColumn("_mval", F.col(mark_value).cast("bigint") if mark_value else F.lit(None).cast("bigint"))
+    ranged = src.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order]).sortWithinPartitions(
         *[F.col(c).asc_nulls_first() for c in order]
     )
-    ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_t", F.unix_micros(F.col(ts)))
-    schema = T.StructType(list(ranged.schema.fields) + _EXTRA[2:])
-    scanned = ranged.mapInPandas(_scan_fn(keys, gap_us), schema)
+    t_expr = F.col(ts).cast("bigint") if is_long else F.unix_micros(F.col(ts))
+    ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_t", t_expr)
+    extra = _EXTRA[2:] + ([T.StructField("_lmt", T.LongType()), T.StructField("_lmv", T.LongType())] if mark is not None else [])
+    schema = T.StructType(list(ranged.schema.fields) + extra)
+    scanned = ranged.mapInPandas(_scan_fn(keys, gap_us, marked=mark is not None), schema)
 
     kstruct = F.struct(*[F.col(k) for k in keys])
     ostruct = F.struct(*[F.col(c) for c in [*keys, "_t", *tiebreak]])
-    bounds = scanned.groupBy("_pid").agg(
+    bound_aggs = [
         F.min_by(kstruct, ostruct).alias("_fk"),
         F.min(F.when(F.col("_first"), F.col("_t"))).alias("_ft"),
         F.max_by(kstruct, ostruct).alias("_lk"),
         F.max_by(F.col("_t"), ostruct).alias("_lt"),
         F.max_by(F.col("_lstart"), ostruct).alias("_ls"),
-    )
+    ]
+    if mark is not None:
+        last_mark = F.when(F.col("_lmt").isNotNull(), F.struct(F.col("_lmt").alias("t"), F.col("_lmv").alias("v")))
+        bound_aggs.append(F.max_by(last_mark, ostruct).alias("_lm"))
+    bounds = scanned.groupBy("_pid").agg(*bound_aggs)
     w = Window.orderBy("_pid")
     b = bounds.withColumn("_plk", F.lag("_lk").over(w)).withColumn("_plt", F.lag("_lt").over(w))
     cont = F.col("_plk").eqNullSafe(F.col("_fk"))
@@ -168,22 +205,34 @@ def ordered_scan(
     chain = Window.partitionBy("_lk").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)
     b = b.withColumn("_res", F.last("_ls_eff", ignorenulls=True).over(chain))
     b = b.withColumn("_pres", F.lag("_res").over(w))
-    carry = b.select(
+    carry_cols = [
         "_pid",
         "_ft",
         F.when(cont, F.col("_plt")).alias("_cprev"),
         F.when(cont, F.col("_pres")).alias("_cstart"),
         head_starts.alias("_hstarts"),
-    )
+    ]
+    if mark is not None:
+        b = b.withColumn("_mres", F.last("_lm", ignorenulls=True).over(chain)).withColumn("_pmres", F.lag("_mres").over(w))
+        carry_cols.append(F.when(cont, F.col("_pmres")).alias("_cmark"))
+    carry = b.select(*carry_cols)
     # one row per partition: its size is the partition count, known here
     j = scanned.join(bounded_broadcast(carry, max_rows=1_000_000, bound=n), "_pid", "left")
     prev = F.coalesce(F.col("_prev"), F.when(F.col("_first"), F.col("_cprev")))
-    out = j.withColumn("prev_ts", F.timestamp_micros(prev))
+    out = j.withColumn("prev_ts", as_out(prev))
     if gap_us is not None:
         head_start = F.when(F.col("_hstarts"), F.col("_ft")).otherwise(F.col("_cstart"))
         start = F.coalesce(F.col("_lstart"), F.when(F.col("_head"), head_start))
         out = out.withColumn("session_start", F.timestamp_micros(start))
     drop = ["_pid", "_t", "_prev", "_lstart", "_head", "_first", "_ft", "_cprev", "_cstart", "_hstarts"]
+    if mark is not None:
+        local = F.col("_lmt").isNotNull()
+        out = out.withColumn(
+            "last_mark_ts", as_out(F.when(local, F.col("_lmt")).otherwise(F.when(F.col("_head"), F.col("_cmark.t"))))
+        ).withColumn(
+            "last_mark_value", F.when(local, F.col("_lmv")).otherwise(F.when(F.col("_head"), F.col("_cmark.v")))
+        )
+        drop += ["_mark", "_mval", "_lmt", "_lmv", "_cmark"]
     return out.drop(*drop)
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev_ops
+from ..operators.bridge import match_next
 from ..operators.joins import bounded_broadcast
 from ..sources import seeds
 from .catalog import query, table
@@ -246,3 +247,24 @@ def quota_share(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("instance_id").alias("source_instance_id"), "ts"
     )
     return quota_usage(calls, "source_instance_id", "ts", QUOTA_AS_OF, quota=QUOTA)
+
+
+LEAD_MATCH_SQL = """
+WITH s AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'signup'),
+p AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'purchase'),
+m AS (SELECT s.event_id AS lead_id, arg_min(p.event_id, p.ts) AS opportunity_id, min(p.ts) AS opportunity_at
+      FROM s JOIN p ON p.user_id = s.user_id AND p.ts >= s.ts AND p.ts <= s.ts + INTERVAL 7 DAY
+      GROUP BY s.event_id)
+SELECT s.user_id, s.event_id AS lead_id, s.ts AS lead_at, m.opportunity_id, m.opportunity_at,
+       CAST((epoch_us(m.opportunity_at) - epoch_us(s.ts)) // 1000000 AS BIGINT) AS delay_seconds
+FROM s LEFT JOIN m ON m.lead_id = s.event_id
+"""
+
+
+@query("lead_to_opportunity", LEAD_MATCH_SQL, "tier-2 fuzzy lead map (as-of, skew-safe)")
+def lead_to_opportunity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each signup's first purchase by the same user within 7 days (as-of lookup, no pairs)."""
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
+    leads = e.filter(F.col("event_type") == "signup")
+    opps = e.filter(F.col("event_type") == "purchase")
+    return match_next(leads, opps, ["user_id"], "ts", "ts", "event_id", "event_id", 7 * 24 * 3600)

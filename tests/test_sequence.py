@@ -48,3 +48,35 @@ def test_ordered_scan_small_arrow_batches(spark):
         test_ordered_scan_matches_brute_force_with_hot_key(spark)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_last_mark_matches_brute_force(spark):
+    rnd = random.Random(11)
+    rows = []
+    for i in range(2500):
+        k = "hot" if rnd.random() < 0.4 else f"k{rnd.randint(0, 30)}"
+        rows.append((k, rnd.randint(0, 5000), i, rnd.random() < 0.3))
+    df = spark.createDataFrame(rows, "k string, t long, id long, is_opp boolean")
+    got = ordered_scan(df, ["k"], "t", ["id"], num_partitions=13, mark="is_opp", mark_value="id").collect()
+    by_key = {}
+    for k, t, i, m in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        by_key.setdefault(k, []).append((t, i, m))
+    want = {}
+    for k, seq in by_key.items():
+        last = (None, None)
+        for t, i, m in seq:
+            if m:
+                last = (t, i)
+            want[i] = last
+    assert len(got) == len(rows)
+    for r in got:
+        assert (r.last_mark_ts, r.last_mark_value) == want[r.id], r
+
+
+def test_last_mark_small_arrow_batches(spark):
+    old = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
+    try:
+        test_last_mark_matches_brute_force(spark)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
