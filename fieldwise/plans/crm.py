@@ -588,6 +588,29 @@ OPPORTUNITIES_V1 = T.StructType(
 )
 
 
+JOBS_V1 = T.StructType(
+    [
+        T.StructField("entity_id", T.StringType()),
+        T.StructField("source_instance_id", T.StringType()),
+        T.StructField("job_key", T.StringType()),
+        T.StructField(OPP_KEY, T.StringType()),
+        T.StructField("external_job_id", T.StringType()),
+        T.StructField("job_number", T.StringType()),
+        T.StructField("service_date", T.DateType()),
+        T.StructField("service_type_id", T.LongType()),
+        T.StructField("branch_name", T.StringType()),
+        T.StructField("customer_name", T.StringType()),
+        T.StructField("status_label", T.StringType()),
+        T.StructField("synced_at", T.TimestampType()),
+    ]
+)
+
+
+def jobs_v1(jobs: DataFrame) -> DataFrame:
+    """Tier 2 serving table: every resolved job, fixed column list (W3 contract)."""
+    return jobs.select(*[f.name for f in JOBS_V1.fields])
+
+
 def opportunities_v1(opportunities: DataFrame) -> DataFrame:
     """Tier 2 serving table: a fixed column list (W3 contract)."""
     return opportunities.select(*[f.name for f in OPPORTUNITIES_V1.fields])
@@ -680,6 +703,7 @@ def crm_registry(as_of: str) -> Registry:
     add(Model("mart_enrichment_candidates", "marts", mart_enrichment_candidates,
               ["stg_report_lead_status", "int_quote_crosswalk", "core_opportunities"]))
     add(Model("opportunities_v1", "serving", opportunities_v1, ["core_opportunities"], contract=OPPORTUNITIES_V1))
+    add(Model("jobs_v1", "serving", jobs_v1, ["core_jobs"], contract=JOBS_V1))
     add(Model("mart_unmatched_report_rows", "marts", mart_unmatched_report_rows,
               ["stg_report_lead_status", "int_quote_crosswalk"]))
     add(Model("jobs_upcoming_v1", "serving", jobs_upcoming_v1(as_of), ["core_jobs", "branch_timezone", "dim_instance"],
@@ -714,4 +738,5 @@ CRM_CHECKS = [
     quality.Check("not_null", "jobs_upcoming_v1", ("entity_id",), ("job_key",)),
     quality.Check("unique", "mart_opportunity_360", (OPP_KEY,), ()),
     quality.Check("unique", "opportunities_v1", (OPP_KEY,), ()),
+    quality.Check("unique", "jobs_v1", ("job_key",), ()),
 ]

@@ -164,6 +164,7 @@ def test_crm_models_end_to_end(spark):
     q = [(r.opportunity_key, r.reason) for r in out["mart_enrichment_candidates"].collect()]
     assert q == [("ld:O1", "status_differs")]
     assert out["opportunities_v1"].columns == [f.name for f in crm.OPPORTUNITIES_V1.fields]
+    assert [r.job_key for r in out["jobs_v1"].collect()] == ["ld:J1"]
 
     charges = out["core_opportunity_charges"].groupBy("charge_kind").agg(F.sum("total_cost").alias("t")).collect()
     assert {r.charge_kind: r.t for r in charges} == {"estimated": 800, "actual": 850}
