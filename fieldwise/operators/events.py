@@ -131,3 +131,21 @@ def silent_hours(
     hours = hours.filter(business)
     seen = df.select(*by, F.date_trunc("hour", ts).alias("hour_start"))
     return hours.join(seen, [*by, "hour_start"], "left_anti")
+
+
+def changes_without_events(
+    changes: DataFrame,
+    events: DataFrame,
+    keys: Sequence[str],
+    change_ts: str,
+    event_ts: str,
+    min_changes: int = 10,
+) -> DataFrame:
+    """E7 (second form): days on which the sweep saw at least ``min_changes``
+    changed objects but the event feed delivered nothing for that key - a
+    silent webhook. Both sides are counted per (key, day) first; only the
+    small per-day counts are joined."""
+    c = changes.groupBy(*keys, F.to_date(change_ts).alias("day")).agg(F.count(F.lit(1)).alias("n_changes"))
+    e = events.groupBy(*keys, F.to_date(event_ts).alias("day")).agg(F.count(F.lit(1)).alias("n_events"))
+    j = c.join(e, [*keys, "day"], "left").withColumn("n_events", F.coalesce(F.col("n_events"), F.lit(0).cast("bigint")))
+    return j.filter((F.col("n_changes") >= min_changes) & (F.col("n_events") == 0))

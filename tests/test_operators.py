@@ -316,3 +316,13 @@ def test_rule_engine_priority_and_status_map(spark):
     rep = spark.createDataFrame([("Follow up 3 - No Response",), ("BOOKED",), ("Lost",)], "status string")
     out = sorted((r.status, r.status_category) for r in rules.map_status_text(rep, "status", smap).collect())
     assert out == [("BOOKED", "booked"), ("Follow up 3 - No Response", "open"), ("Lost", None)]
+
+
+def test_changes_without_events(spark):
+    from fieldwise.operators.events import changes_without_events
+
+    ch = spark.createDataFrame([("a", D(2026, 8, 1, h)) for h in range(12)] + [("a", D(2026, 8, 2, h)) for h in range(12)]
+                               + [("b", D(2026, 8, 1, 1))], "inst string, at timestamp")
+    ev = spark.createDataFrame([("a", D(2026, 8, 2, 5))], "inst string, received_at timestamp")
+    got = [(r.inst, r.day) for r in changes_without_events(ch, ev, ["inst"], "at", "received_at").collect()]
+    assert got == [("a", dt.date(2026, 8, 1))]
