@@ -126,17 +126,26 @@ def match_next(
     split across tasks), and each lead takes the newest opportunity seen so
     far - no pair of rows is ever formed.
     """
-    common = [*[F.col(k) for k in keys]]
-    le = leads.select(
-        *common, (-F.unix_micros(lead_ts)).alias("_neg_t"), F.lit(1).alias("_rank"),
-        F.col(lead_id).cast("bigint").alias("_rid"), F.lit(False).alias("_is_opp"), F.lit(None).cast("bigint").alias("_oid"),
-    )
-    op = opps.select(
-        *common, (-F.unix_micros(opp_ts)).alias("_neg_t"), F.lit(0).alias("_rank"),
-        F.col(opp_id).cast("bigint").alias("_rid"), F.lit(True).alias("_is_opp"), F.col(opp_id).cast("bigint").alias("_oid"),
+    le = leads.select(*keys, F.col(lead_ts).alias("_ts"), F.col(lead_id).alias("_id"), F.lit(False).alias("_is_opp"))
+    op = opps.select(*keys, F.col(opp_ts).alias("_ts"), F.col(opp_id).alias("_id"), F.lit(True).alias("_is_opp"))
+    return match_next_rows(le.unionByName(op), keys, "_ts", "_id", F.col("_is_opp"), within_seconds)
+
+
+def match_next_rows(
+    rows: DataFrame, keys: Sequence[str], ts: str, id_col: str, is_opp: Column, within_seconds: float
+) -> DataFrame:
+    """``match_next`` over one stacked input (leads and opportunities of one
+    table, told apart by ``is_opp``) - a single scan of that table."""
+    stacked = rows.select(
+        *keys,
+        (-F.unix_micros(ts)).alias("_neg_t"),
+        F.when(is_opp, F.lit(0)).otherwise(F.lit(1)).alias("_rank"),
+        F.col(id_col).cast("bigint").alias("_rid"),
+        is_opp.alias("_is_opp"),
+        F.when(is_opp, F.col(id_col).cast("bigint")).alias("_oid"),
     )
     scanned = ordered_scan(
-        le.unionByName(op), list(keys), "_neg_t", ["_rank", "_rid"], mark="_is_opp", mark_value="_oid"
+        stacked, list(keys), "_neg_t", ["_rank", "_rid"], mark="_is_opp", mark_value="_oid"
     ).filter(~F.col("_is_opp"))
     delay_us = F.col("_neg_t") - F.col("last_mark_ts")
     ok = F.col("last_mark_value").isNotNull() & (delay_us <= F.lit(int(within_seconds * 1_000_000)))

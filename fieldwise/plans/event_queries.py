@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import events as ev_ops
-from ..operators.bridge import match_next
+from ..operators.bridge import match_next_rows
 from ..operators.joins import bounded_broadcast
 from ..sources import seeds
 from .catalog import query, table
@@ -265,6 +265,5 @@ FROM s LEFT JOIN m ON m.lead_id = s.event_id
 def lead_to_opportunity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each signup's first purchase by the same user within 7 days (as-of lookup, no pairs)."""
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type")
-    leads = e.filter(F.col("event_type") == "signup")
-    opps = e.filter(F.col("event_type") == "purchase")
-    return match_next(leads, opps, ["user_id"], "ts", "ts", "event_id", "event_id", 7 * 24 * 3600)
+    rows = e.filter(F.col("event_type").isin("signup", "purchase"))
+    return match_next_rows(rows, ["user_id"], "ts", "event_id", F.col("event_type") == "purchase", 7 * 24 * 3600)

@@ -326,3 +326,16 @@ def test_changes_without_events(spark):
     ev = spark.createDataFrame([("a", D(2026, 8, 2, 5))], "inst string, received_at timestamp")
     got = [(r.inst, r.day) for r in changes_without_events(ch, ev, ["inst"], "at", "received_at").collect()]
     assert got == [("a", dt.date(2026, 8, 1))]
+
+
+def test_match_next_two_frames(spark):
+    from fieldwise.operators.bridge import match_next
+
+    leads = spark.createDataFrame([("e1", 1, D(2026, 8, 1)), ("e1", 2, D(2026, 8, 20)), ("e2", 3, D(2026, 8, 1))],
+                                  "contact string, lid long, at timestamp")
+    opps = spark.createDataFrame([("e1", 10, D(2026, 8, 3)), ("e1", 11, D(2026, 8, 2)), ("e2", 12, D(2026, 7, 30))],
+                                 "contact string, oid long, at timestamp")
+    got = sorted((r.lead_id, r.opportunity_id) for r in match_next(leads, opps, ["contact"], "at", "at", "lid", "oid", 7 * 86400).collect())
+    # lead 1 takes the first opportunity at or after it (11, on Aug 2); lead 2 has none within 7 days;
+    # lead 3's only opportunity is earlier
+    assert got == [(1, 11), (2, None), (3, None)]
