@@ -58,10 +58,11 @@ def charges_union(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ------------------------------------------------------------- R8 R9 J12 J13
-def _api_arms(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _api_arms(spark: SparkSession, sf_dir: str, o: DataFrame | None = None) -> DataFrame:
     """U4: the detail arm (priority 1) and the sweep arm (priority 2) of the crosswalk,
-    both emitted from one scan of the orders join."""
-    o = orders_in_branches(spark, sf_dir, "o_orderstatus", "o_orderdate")
+    both emitted from one scan of the orders join (``o``, shared when given)."""
+    if o is None:
+        o = orders_in_branches(spark, sf_dir, "o_orderstatus", "o_orderdate")
     k = F.col("o_orderkey")
     quote = F.when(k % 5 != 0, F.floor(k / 3).cast("string"))
     values = {"quote_number": quote, "opportunity_id": k}
@@ -123,8 +124,8 @@ WHERE xw.opportunity_id IS NULL
 @query("unmatched_reasons", UNMATCHED_SQL, "R9 J12 J13 J5")
 def unmatched_reasons(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of each instance's newest report generation the crosswalk cannot bridge."""
-    xw = bridge.crosswalk(_api_arms(spark, sf_dir))
-    o = orders_in_branches(spark, sf_dir, "o_orderpriority", "o_orderdate")
+    o = orders_in_branches(spark, sf_dir, "o_orderstatus", "o_orderpriority", "o_orderdate")
+    xw = bridge.crosswalk(_api_arms(spark, sf_dir, o))
     k = F.col("o_orderkey")
     quote = (
         F.when(k % 4 == 0, F.lit(""))

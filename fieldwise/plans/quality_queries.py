@@ -226,8 +226,8 @@ GROUP BY 1
 @query("resolution_rate", _resolution_rate_sql(), "A-10 J5")
 def resolution_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of report rows the crosswalk bridges, and the quote column's non-null share."""
-    xw = bridge.crosswalk(_api_arms(spark, sf_dir)).select("source_instance_id", "quote_number", "opportunity_id")
-    o = orders_in_branches(spark, sf_dir, "o_orderpriority")
+    o = orders_in_branches(spark, sf_dir, "o_orderstatus", "o_orderpriority", "o_orderdate")
+    xw = bridge.crosswalk(_api_arms(spark, sf_dir, o)).select("source_instance_id", "quote_number", "opportunity_id")
     k = F.col("o_orderkey")
     quote = (
         F.when(k % 4 == 0, F.lit(""))
