@@ -339,3 +339,13 @@ def test_match_next_two_frames(spark):
     # lead 1 takes the first opportunity at or after it (11, on Aug 2); lead 2 has none within 7 days;
     # lead 3's only opportunity is earlier
     assert got == [(1, 11), (2, None), (3, None)]
+
+
+def test_e9_late_older_generation_changes_nothing(spark):
+    # observed_at is the report's generation time: an older generation that lands
+    # later (arrival order) must not override a newer value
+    base = _obs(spark, [("x", "s1", 1, D(2026, 8, 10), "new", 1), ("x", "s2", 2, D(2026, 8, 5), "mid", 2)])
+    late = _obs(spark, [("x", "s1", 1, D(2026, 8, 1), "old", 3)])
+    a = resolve(base, ["k"], CANDS).first()
+    b = resolve(base.unionByName(late), ["k"], CANDS).first()
+    assert (a.a, a.b) == (b.a, b.b) == ("new", 1)
