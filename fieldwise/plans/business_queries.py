@@ -197,7 +197,7 @@ FROM g
 def conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Booked / valid leads per instance and year, in percent rounded half-up to 0.1."""
     o = orders_in_branches(spark, sf_dir, "o_orderstatus", "o_orderpriority", "o_orderdate")
-    o = o.withColumn("status_code", status_code()).withColumn("order_year", F.year("o_orderdate"))
+    o = o.withColumn("status_code", status_code()).withColumn("order_year", F.year("o_orderdate").cast("bigint"))
     f = rules.with_status(o.select("source_instance_id", "order_year", "status_code"), seeds.status_enum(spark))
     g = f.groupBy("source_instance_id", "order_year").agg(
         F.count(F.lit(1)).alias("n_opportunities"),
