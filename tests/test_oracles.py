@@ -55,3 +55,28 @@ def test_query_matches_oracle(spark, duck, name):
     dcols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(dcols)
     assert _rows(df.columns, srows) == _rows(dcols, res.fetchall())
+
+
+_SPARK_FAMILY = [("bigint", "int64"), ("int", "int32"), ("double", "float64"), ("float", "float32"),
+                 ("decimal", "decimal"), ("string", "string"), ("boolean", "bool"), ("timestamp_ntz", "timestamp"),
+                 ("timestamp", "timestamp_tz"), ("date", "date")]
+_DUCK_FAMILY = [("BIGINT", "int64"), ("INTEGER", "int32"), ("DOUBLE", "float64"), ("FLOAT", "float32"),
+                ("DECIMAL", "decimal"), ("VARCHAR", "string"), ("BOOLEAN", "bool"),
+                ("TIMESTAMP WITH TIME ZONE", "timestamp_tz"), ("TIMESTAMP", "timestamp"), ("DATE", "date")]
+
+
+def _family(t, table):
+    for prefix, fam in table:
+        if t.startswith(prefix):
+            return fam
+    return t
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_types_match_oracle(spark, duck, name):
+    reg = QUERIES[name]
+    df = reg.build(spark, SF_SMALL)
+    rel = duck.sql(reg.sql)
+    duck_types = {c: _family(str(t).upper(), _DUCK_FAMILY) for c, t in zip(rel.columns, rel.types)}
+    for f in df.schema.fields:
+        assert _family(f.dataType.simpleString(), _SPARK_FAMILY) == duck_types[f.name], (name, f.name)
