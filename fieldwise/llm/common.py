@@ -149,3 +149,15 @@ def gram_hashes(word_hashes: np.ndarray, k: int) -> np.ndarray:
         h += word_hashes[j : j + n]
         h ^= h >> U64(29)
     return mixed(h)
+
+
+def chunks(sizes: Sequence[int], limit: int) -> Iterator[tuple[int, int]]:
+    """Consecutive ranges of items whose sizes add up to ``limit`` at most (one larger item stays alone)."""
+    start, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > start and held + n > limit:
+            yield start, i
+            start, held = i, 0
+        held += n
+    if start < len(sizes):
+        yield start, len(sizes)

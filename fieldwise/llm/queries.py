@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_semantics
-from . import bpe, langid, repetition, toxicity
+from . import bpe, langid, repetition, spaced, toxicity
 from .common import documents
 
 #: The vocabulary file of operator 3; a parameter, never copied here.
@@ -35,6 +35,14 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs.withColumn("held_out", toxicity.held_out()), model, ("doc_id", "held_out"))
 
 
+def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that overlap: their widest overlap."""
+    found = spaced.overlaps(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+    best = F.max(F.struct("n_words", "n_same", -F.col("first_word"), -F.col("item_word")))
+    rows = found.groupBy(F.col("doc").alias("doc_id"), F.col("item").alias("item_id")).agg(best.alias("b"))
+    return rows.select("doc_id", "item_id", "b.n_words", "b.n_same", (-F.col("b.col3")).alias("first_word"), (-F.col("b.col4")).alias("item_word"))
+
+
 def _semantic(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(ensure_semantics(spark), sf_dir)
@@ -45,5 +53,8 @@ def _semantic(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES = {
     f.__name__: _semantic(f)
-    for f in (op1_language_id, op3_bpe, op7_quality_repetition, op9_toxicity)
+    for f in (op1_language_id, op3_bpe, op7_quality_repetition, op9_toxicity, op10_spaced_seeds)
 }
+
+#: Queries that SQL can express; the others are tested against brute force.
+SQL: dict[str, str] = {}

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import map_texts
+from .common import chunks, map_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -120,21 +120,10 @@ def covered(lengths: np.ndarray, least: int, span: int | None = None) -> np.ndar
     return np.cumsum(step[:-1]) > 0
 
 
-def _batches(words: list[list[str]], limit: int) -> Iterator[tuple[int, int]]:
-    start, held = 0, 0
-    for i, w in enumerate(words):
-        if held and held + len(w) > limit:
-            yield start, i
-            start, held = i, 0
-        held += len(w) + 1
-    if start < len(words):
-        yield start, len(words)
-
-
 def repeats_of(texts: Sequence[str | None], limit: int = BATCH_WORDS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(longest repeat from each word, characters of each word) of every text."""
     words = [(t or "").encode("utf-8").split() for t in texts]
-    for lo, hi in _batches(words, limit):
+    for lo, hi in chunks([len(w) + 1 for w in words], limit):
         ids: dict[bytes, int] = {}
         known, docs, sizes = [], [], []
         for d in range(lo, hi):
