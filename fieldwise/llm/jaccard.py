@@ -331,47 +331,70 @@ def cell_links(sets: Sequence[np.ndarray], centre: int | None, queries: Iterable
     return [cell.root(i) for i in range(len(sets))], away
 
 
-def _keyed(block: pd.DataFrame) -> tuple[pd.DataFrame, list[np.ndarray]]:
-    """One row a key whose text has that key (ids need not be unique), and its set."""
-    owner, h = shingle_sets([words_of(t) for t in block["text"]], WordHash(), Powers())
-    keys, _ = set_keys(owner, h, len(block))
-    sets = np.split(h, np.searchsorted(owner, np.arange(1, len(block))))
-    right = [i for i, (k, want) in enumerate(zip(keys, block["key"].tolist(), strict=True)) if k == want]
-    first = block["key"].iloc[right].drop_duplicates().index.tolist()
-    return block.loc[first].reset_index(drop=True), [sets[i] for i in first]
-
-
-def search_block(block: pd.DataFrame) -> pd.DataFrame:
-    """Links of one block of a cell (a, b), and its sets away from the centre (a, null)."""
-    block, sets = _keyed(block.reset_index(drop=True))
-    none = pd.DataFrame({"a": pd.array([], "Int64"), "b": pd.array([], "Int64"), "cell": pd.array([], "Int64")})
-    if len(block) < 2:
-        return none
-    centre = np.flatnonzero(block["centre"].to_numpy())
-    roots, away = cell_links(sets, int(centre[0]) if len(centre) else None)
-    keys = block["key"].to_numpy()
-    a = np.array(roots)
-    moved = np.flatnonzero(a != np.arange(len(a)))
-    links = pd.DataFrame({"a": keys[a[moved]], "b": keys[moved]}).astype("Int64")
-    links["cell"] = pd.array([None] * len(links), "Int64")
-    if block["blocks"].iloc[0] > 1:
-        rest = pd.DataFrame({"a": keys[away]}).astype("Int64")
-        rest["b"] = pd.array([None] * len(rest), "Int64")
-        rest["cell"] = pd.array([int(block["cell"].iloc[0])] * len(rest), "Int64")
-        links = pd.concat([links, rest])
-    return links
-
-
-def search_pair(block: pd.DataFrame) -> pd.DataFrame:
-    """Links (a, b) between some sets of a large cell and one of its blocks."""
-    block, sets = _keyed(block.sort_values("query", ascending=False).reset_index(drop=True))
-    if len(block) < 2:
-        return pd.DataFrame({"a": np.empty(0, np.int64), "b": np.empty(0, np.int64)})
-    keys = block["key"].to_numpy()
-    queries = np.flatnonzero(block["query"].to_numpy())
-    a = np.array(cell_links(sets, None, queries.tolist())[0])
-    moved = np.flatnonzero(a != np.arange(len(a)))
-    return pd.DataFrame({"a": keys[a[moved]], "b": keys[moved]})
+def _sets(rows: pd.DataFrame) -> dict[int, np.ndarray]:
+    """The set of each key, from a row whose text has that key (ids need not be unique)."""
+    texts = [words_of(t) for t in rows["text"]]
+    wanted = rows["key"].tolist()
+    known, powers, out = WordHash(), Powers(), {}
+    for lo, hi in chunks([len(w) for w in texts], CHUNK_WORDS):
+        owner, h = shingle_sets(texts[lo:hi], known, powers)
+        keys, _ = set_keys(owner, h, hi - lo)
+        for k, want, s in zip(keys, wanted[lo:hi], np.split(h, np.searchsorted(owner, np.arange(1, hi - lo))), strict=True):
+            if k == want:
+                out[k] = s
+    return out
+
+
+def _groups(rows: pd.DataFrame, names: Sequence[str]) -> Iterable[pd.DataFrame]:
+    """The rows of each combination of ``names``."""
+    order = np.lexsort([rows[c].to_numpy() for c in reversed(names)])
+    rows = rows.iloc[order].reset_index(drop=True)
+    new = np.zeros(len(rows), bool)
+    for c in names:
+        v = rows[c].to_numpy()
+        new[1:] |= v[1:] != v[:-1]
+    at = [0, *np.flatnonzero(new).tolist(), len(rows)]
+    return (rows.iloc[a:z] for a, z in itertools.pairwise(at) if z > a)
+
+
+def search_blocks(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) of some blocks of cells, and the sets of split cells away from the centre (a, cell)."""
+    first = rows.drop_duplicates(["key", "text"])
+    sets = _sets(first)
+    a, b, cell = [], [], []
+    rows = rows[rows["key"].isin(sets)].drop(columns="text").drop_duplicates()
+    for block in _groups(rows, ["cell", "block"]):
+        keys = block["key"].tolist()
+        if len(keys) < 2:
+            continue
+        centre = np.flatnonzero(block["centre"].to_numpy())
+        roots, away = cell_links([sets[k] for k in keys], int(centre[0]) if len(centre) else None)
+        for i, r in enumerate(roots):
+            if i != r:
+                a.append(keys[r])
+                b.append(keys[i])
+                cell.append(None)
+        if block["blocks"].iloc[0] > 1:
+            for i in np.flatnonzero(away).tolist():
+                a.append(keys[i])
+                b.append(None)
+                cell.append(int(block["cell"].iloc[0]))
+    return pd.DataFrame({"a": pd.array(a, "Int64"), "b": pd.array(b, "Int64"), "cell": pd.array(cell, "Int64")})
+
+
+def search_pairs(rows: pd.DataFrame) -> pd.DataFrame:
+    """Links (a, b) between sets of large cells that were away from the centre and the cells' blocks."""
+    sets = _sets(rows.drop_duplicates(["key", "text"]))
+    a, b = [], []
+    rows = rows[rows["key"].isin(sets)].drop(columns="text").sort_values("query", ascending=False)
+    for block in _groups(rows.drop_duplicates(["cell", "block", "part", "key"]), ["cell", "block", "part"]):
+        keys = block["key"].tolist()
+        roots, _ = cell_links([sets[k] for k in keys], None, np.flatnonzero(block["query"].to_numpy()).tolist())
+        for i, r in enumerate(roots):
+            if i != r:
+                a.append(keys[r])
+                b.append(keys[i])
+    return pd.DataFrame({"a": np.array(a, np.int64), "b": np.array(b, np.int64)})
 
 
 # -- the join ------------------------------------------------------------------
@@ -407,8 +430,8 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     places = member.withColumn("block", F.explode(F.when(own, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))))
     found = written(
         _with_texts(docs, places.withColumn("centre", own), holders, id_col, text_col)
-        .groupBy("cell", "block")
-        .applyInPandas(search_block, "a bigint, b bigint, cell bigint"),
+        .groupBy(_task(spark, "cell", "block"))
+        .applyInPandas(search_blocks, "a bigint, b bigint, cell bigint"),
         "found",
     )
     out = found.filter("b is not null").select("a", "b")
@@ -425,11 +448,18 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
         )
         columns = ["cell", "key", "block", "part"]
         both = among.select(*columns, F.lit(False).alias("query")).unionByName(asked.select(*columns, F.lit(True).alias("query")))
-        more = _with_texts(docs, both, holders, id_col, text_col).groupBy("cell", "block", "part").applyInPandas(search_pair, "a bigint, b bigint")
+        more = _with_texts(docs, both, holders, id_col, text_col).groupBy(_task(spark, "cell", "block", "part"))
+        more = more.applyInPandas(search_pairs, "a bigint, b bigint")
         out = out.unionByName(more)
     return described, out
 
 
+def _task(spark, *names: str):
+    """Blocks are searched some at a time: eight tasks' worth for each shuffle partition."""
+    tasks = 8 * max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return F.pmod(F.xxhash64(*names), F.lit(tasks)).alias("task")
+
+
 def _with_texts(docs: DataFrame, places: DataFrame, holders: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``places`` with the text of a document of each key; the text is shuffled once by id, then to its places."""
     names = [c for c in places.columns if c != "key"]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_semantics
-from . import bpe, langid, repetition, spaced, toxicity
+from . import bpe, jaccard, langid, repetition, spaced, substring, toxicity
 from .common import documents
 
 #: The vocabulary file of operator 3; a parameter, never copied here.
@@ -25,6 +25,14 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(documents(spark, sf_dir), WORD_BPE)
 
 
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.classes(documents(spark, sf_dir))
+
+
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.digests(documents(spark, sf_dir))
+
+
 def op7_quality_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(documents(spark, sf_dir))
 
@@ -53,7 +61,15 @@ def _semantic(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSe
 
 QUERIES = {
     f.__name__: _semantic(f)
-    for f in (op1_language_id, op3_bpe, op7_quality_repetition, op9_toxicity, op10_spaced_seeds)
+    for f in (
+        op1_language_id,
+        op3_bpe,
+        op4_ngram_jaccard,
+        op6_substring_dedup,
+        op7_quality_repetition,
+        op9_toxicity,
+        op10_spaced_seeds,
+    )
 }
 
 #: Queries that SQL can express; the others are tested against brute force.
