@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldwise.llm import bpe, repetition, spaced
+from fieldwise.llm import bpe, jaccard, pii, repetition, spaced
 from fieldwise.llm.common import documents, written
 from fieldwise.llm.queries import WORD_BPE
 from fieldwise.session import ensure_semantics
@@ -25,12 +25,28 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return repetition.judge(docs, tuple(docs.columns)).filter("kept").select(*docs.columns)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 4: of each group of linked documents the one with the smallest id stays
+    (of repeated rows of that id, one)."""
+    classes = jaccard.classes(docs).withColumnRenamed("doc_id", "_id")
+    first = classes.filter(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
+    return kept.dropDuplicates(["doc_id"])
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 10: documents that overlap a benchmark item go."""
     found = spaced.overlaps(docs, documents(spark, sf_dir, "benchmark")).select(F.col("doc").alias("doc_id")).distinct()
     return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Operator 8: every span of personal data gives way to its kind."""
+    found = pii.find(docs, pii.train(docs))
+    masked = found.withColumn("text", pii.masked("text"))
+    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 3: each document's ids, and the hashes of its ids and of the decoded text."""
     return bpe.digests(docs, WORD_BPE)
@@ -38,7 +54,9 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES: list[tuple[str, Stage]] = [
     ("quality_rules", quality_rules),
+    ("ngram_jaccard", near_duplicates),
     ("decontamination", decontamination),
+    ("pii", personal_data),
     ("encoding", encoding),
 ]
 

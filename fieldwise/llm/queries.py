@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_semantics
-from . import bpe, jaccard, langid, repetition, spaced, substring, toxicity, urlfilter, warc
+from . import bpe, jaccard, langid, pii, repetition, spaced, substring, toxicity, urlfilter, warc
 from .common import documents
 
 #: The vocabulary file of operator 3; a parameter, never copied here.
@@ -58,6 +58,11 @@ def op7_quality_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judge(documents(spark, sf_dir)).drop("longest_repeat")
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.report(docs, pii.train(docs))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     model = toxicity.train(docs.filter(~toxicity.held_out()), documents(spark, sf_dir, "labels"))
@@ -90,6 +95,7 @@ QUERIES = {
         op5_url_filter,
         op6_substring_dedup,
         op7_quality_repetition,
+        op8_pii,
         op9_toxicity,
         op10_spaced_seeds,
     )
