@@ -27,11 +27,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: of each group of linked documents the one with the smallest id stays
-    (of repeated rows of that id, one)."""
+    (of rows repeated with id and text, one)."""
     classes = jaccard.classes(docs).withColumnRenamed("doc_id", "_id")
     first = classes.filter(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
     kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id"])
+    repeated = classes.groupBy("_id").count().filter("count > 1")
+    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
