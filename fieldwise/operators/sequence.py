@@ -30,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import written_once
 from .joins import bounded_broadcast
 
 # The pandas functions of this module run in Python workers. Pickle them by
@@ -83,10 +84,11 @@ def _scan_fn(keys: Sequence[str], gap_us: int | None, marked: bool = False):
             first_key = tuple(pdf[k].iloc[0] for k in keys)
             first_of_partition = last_key is None
             same[0] = (not first_of_partition) and _key_equal(first_key, last_key)
-            prev = np.empty(n, dtype=np.float64)
+            has_prev = same.copy()  # the row before is of the same key, in this batch or the last one
+            prev = np.empty(n, dtype=np.int64)
             prev[1:] = t[:-1]
-            prev[0] = np.nan if last_t is None else last_t
-            prev = np.where(same, prev, np.nan)
+            prev[0] = 0 if last_t is None else last_t
+            prev[~has_prev] = 0
             new_run = ~same
             runs = np.cumsum(new_run)
             if first_of_partition:
@@ -95,29 +97,27 @@ def _scan_fn(keys: Sequence[str], gap_us: int | None, marked: bool = False):
                 head = runs == 0
             else:
                 head = np.zeros(n, dtype=bool)
-            if gap_us is None:
-                start = new_run.copy()
-            else:
-                with np.errstate(invalid="ignore"):
-                    start = new_run | (t - prev > gap_us)
+            start = new_run if gap_us is None else new_run | (has_prev & (t - prev > gap_us))
             first = np.zeros(n, dtype=bool)
             if first_of_partition:
                 start[0] = False
                 first[0] = True
-            starts = pd.Series(np.where(start, t.astype(np.float64), np.nan))
+            # integers throughout: order values over 2**53 stay exact
+            starts = pd.Series(pd.arrays.IntegerArray(t.copy(), ~start))
             if same[0] and not start[0] and last_start is not None:
-                starts.iloc[0] = float(last_start)
+                starts.iloc[0] = last_start
             starts = starts.ffill()
             out = pdf.copy()
-            out["_prev"] = pd.array(np.where(np.isnan(prev), None, prev), dtype="Int64")
-            out["_lstart"] = pd.array(np.where(starts.isna(), None, starts.to_numpy()), dtype="Int64")
+            out["_prev"] = pd.arrays.IntegerArray(prev, ~has_prev)
+            out["_lstart"] = starts.array
             out["_head"] = head
             out["_first"] = first
             if marked:
                 # the newest marked row at or before each row, within the key run
                 m = pdf["_mark"].fillna(False).to_numpy(dtype=bool)
-                mt = pd.Series(pd.array(np.where(m, t, None), dtype="Int64"))
-                mv = pd.Series(pd.array(np.where(m, pdf["_mval"].to_numpy(dtype=object), None), dtype="Int64"))
+                mt = pd.Series(pd.arrays.IntegerArray(t.copy(), ~m))
+                value = pdf["_mval"].to_numpy(dtype=np.int64)
+                mv = pd.Series(pd.arrays.IntegerArray(value.copy(), ~m | pdf["_mnull"].to_numpy(dtype=bool)))
                 if same[0] and not m[0] and last_mt is not None:
                     mt.iloc[0], mv.iloc[0] = last_mt, last_mv
                 mt = mt.groupby(runs).ffill()
@@ -170,7 +170,9 @@ def ordered_scan(
     src = df
     if mark is not None:
         m = F.col(mark) if isinstance(mark, str) else mark
-        src = src.withColumn("_mark", m).withColumn("_mval", F.col(mark_value).cast("bigint") if mark_value else F.lit(None).cast("bigint"))
+        value = F.col(mark_value).cast("bigint") if mark_value else F.lit(None).cast("bigint")
+        # never null on the way to pandas, which would turn the longs into floats
+        src = src.withColumns({"_mark": m, "_mval": F.coalesce(value, F.lit(0).cast("bigint")), "_mnull": value.isNull()})
     ranged = src.repartitionByRange(n, *[F.col(c).asc_nulls_first() for c in order]).sortWithinPartitions(
         *[F.col(c).asc_nulls_first() for c in order]
     )
@@ -178,7 +180,9 @@ def ordered_scan(
     ranged = ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_t", t_expr)
     extra = _EXTRA[2:] + ([T.StructField("_lmt", T.LongType()), T.StructField("_lmv", T.LongType())] if mark is not None else [])
     schema = T.StructType(list(ranged.schema.fields) + extra)
-    scanned = ranged.mapInPandas(_scan_fn(keys, gap_us, marked=mark is not None), schema)
+    # Written once: both branches below (rows and boundary table) must see the same
+    # range bounds and partition numbers, whatever plan each of them gets.
+    scanned = written_once(ranged.mapInPandas(_scan_fn(keys, gap_us, marked=mark is not None), schema))
 
     kstruct = F.struct(*[F.col(k) for k in keys])
     ostruct = F.struct(*[F.col(c) for c in [*keys, "_t", *tiebreak]])
@@ -232,7 +236,7 @@ def ordered_scan(
         ).withColumn(
             "last_mark_value", F.when(local, F.col("_lmv")).otherwise(F.when(F.col("_head"), F.col("_cmark.v")))
         )
-        drop += ["_mark", "_mval", "_lmt", "_lmv", "_cmark"]
+        drop += ["_mark", "_mval", "_mnull", "_lmt", "_lmv", "_cmark"]
     return out.drop(*drop)
 
 

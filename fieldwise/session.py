@@ -11,8 +11,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Semantics, not tuning: every instant is stored in UTC, zone work is explicit.
 SEMANTIC_CONF = {
@@ -50,6 +51,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or configured
 
 
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared checkpoint folder and read back: a lineage cut
+    that is computed once and survives lost executors."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/once-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def local_session(cores: int | None = None, app: str = "fieldwise") -> SparkSession:
     """A local session for tests and the bench (UI off, AQE on)."""
     cores = cores or int(os.environ.get("BENCH_CPUS", "8"))

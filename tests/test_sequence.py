@@ -2,6 +2,7 @@ import datetime as dt
 import random
 
 import pandas as pd
+from pyspark.sql import functions as F
 
 from fieldwise.operators.sequence import ordered_scan
 
@@ -80,3 +81,28 @@ def test_last_mark_small_arrow_batches(spark):
         test_last_mark_matches_brute_force(spark)
     finally:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", old)
+
+
+def test_orders_over_2_to_53_stay_exact(spark):
+    base = 9_007_199_254_740_993
+    rows = [("a", base + i, i, i == 0) for i in range(5)] + [("b", base, 9, False)]
+    df = spark.createDataFrame(rows, "k string, t long, id long, is_opp boolean")
+    got = {r.id: r for r in ordered_scan(df, ["k"], "t", ["id"], num_partitions=3, mark="is_opp", mark_value="t").collect()}
+    assert [got[i].prev_ts for i in range(5)] == [None, base, base + 1, base + 2, base + 3]
+    assert {(got[i].last_mark_ts, got[i].last_mark_value) for i in range(5)} == {(base, base)}
+    nullable = df.withColumn("v", F.when(F.col("is_opp"), F.col("t")))
+    got = {r.id: r for r in ordered_scan(nullable, ["k"], "t", ["id"], num_partitions=3, mark="is_opp", mark_value="v").collect()}
+    assert {got[i].last_mark_value for i in range(5)} == {base}
+    assert got[9].prev_ts is None and got[9].last_mark_value is None
+
+
+def test_results_do_not_hang_on_exchange_reuse(spark):
+    """Without exchange reuse each branch of a plan draws its own range bounds."""
+    old = spark.conf.get("spark.sql.exchange.reuse")
+    try:
+        for reuse in ("false", "true"):
+            spark.conf.set("spark.sql.exchange.reuse", reuse)
+            test_ordered_scan_matches_brute_force_with_hot_key(spark)
+            test_last_mark_matches_brute_force(spark)
+    finally:
+        spark.conf.set("spark.sql.exchange.reuse", old)
