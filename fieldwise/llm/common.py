@@ -161,3 +161,31 @@ def chunks(sizes: Sequence[int], limit: int) -> Iterator[tuple[int, int]]:
         held += n
     if start < len(sizes):
         yield start, len(sizes)
+
+
+#: Bits of the table that keeps rows without a partner out of a shuffle; a fixed size.
+FILTER_BITS = 1 << 24
+
+
+def likely_rows(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` without most of those whose bigint ``key`` is not in ``wanted``, before a join to it.
+
+    The keys set bits of a table of fixed size, which is broadcast; when it
+    fills up it only lets more rows through, which the join then drops.
+    """
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    byte = wanted.select(bit(key).alias("b")).groupBy(F.floor(F.col("b") / 8).cast("int").alias("at"))
+    got = byte.agg(F.expr("bit_or(shiftleft(1, cast(b % 8 as int)))").alias("bits")).toArrow()
+    table = np.zeros(FILTER_BITS // 8, np.uint8)
+    table[got.column("at").to_numpy()] = got.column("bits").to_numpy().astype(np.uint8)
+    state = shared(rows.sparkSession, table, lambda s: s)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = state()
+        for b in batches:
+            at = b.column(b.num_columns - 1).to_numpy(zero_copy_only=False)
+            keep = ((held[at >> 3] >> (at & 7).astype(np.uint8)) & 1).astype(bool)
+            if keep.any():
+                yield b.filter(pa.array(keep)).drop_columns(["_bit"])
+
+    return rows.withColumn("_bit", bit(key)).mapInArrow(run, rows.schema)

@@ -4,12 +4,13 @@ Two documents link when the Jaccard similarity of their sets of five-word
 shingles reaches 0.75. Equal sets are one node, known by a 64-bit key.
 
 1. Cells. Linked sets share at least ``extra`` of their first
-   ``n - ceil(0.75 n) + extra`` shingles in any common order; the order here is
-   rare before frequent, then by hash. These first shingles are shuffled, packed
+   ``n - ceil(0.75 n) + extra`` shingles in any common order, with ``extra`` of
+   the smaller set; the order here is rare before frequent, then by hash. These first shingles are shuffled, packed
    by buckets of the shingle. Each shingle that several sets hold gives its
    holders to the cell of its most central holder, so two linked sets always
-   meet in a cell. Sets that share fewer than ``extra`` shingles with any others
-   leave.
+   meet in a cell. A set leaves its smallest cells, as long as these hold fewer
+   than half of the shingles it shares with any linked set at least: two
+   linked sets still have a cell in common.
 2. Search. Within a cell the sets are indexed by inverted lists and every set is
    searched by DivideSkip: a partner must occur in at least T of the lists; the
    longest L lists are put aside, the shorter ones merged, and sets found T - L
@@ -44,10 +45,10 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, WordHash, chunks, shared, written
+from .common import U64, WordHash, chunks, likely_rows, shared, written
 from .components import components
 from .substring import NO_ID, Powers, run_hashes
 
@@ -56,6 +57,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SHINGLE = 5
 PERCENT = 75
 CHUNK_WORDS = 300_000
+#: Of a set's size, this part is asked for as shared first shingles.
+EXTRA = 10
 #: Frequent shingles that the order knows, and sets of one cell searched in one task.
 MAX_FREQUENT = 200_000
 BLOCK = 1_200
@@ -105,8 +108,8 @@ def least_overlap(n):
 
 
 def extra(n):
-    """Shared shingles that are asked for beyond the first."""
-    return np.maximum(1, n // 20)
+    """Shared first shingles that are asked for."""
+    return np.maximum(1, n // EXTRA)
 
 
 def linked(overlap, n, m):
@@ -203,7 +206,7 @@ def first_shingles(docs: DataFrame, frequent: tuple[np.ndarray, np.ndarray], tex
                             keys[docs_here].tobytes(),
                             sizes[docs_here].astype(np.int32).tobytes(),
                             ranks[docs_here].tobytes(),
-                            local.astype(np.int32).tobytes(),
+                            local.astype(np.uint16 if len(docs_here) < 1 << 16 else np.int32).tobytes(),
                             h[a:z].tobytes(),
                         )
                     )
@@ -223,8 +226,9 @@ def bucket_cells(bucket: pd.DataFrame) -> pd.DataFrame:
         keys.append(k)
         sizes.append(np.frombuffer(r.sizes, np.int32))
         ranks.append(np.frombuffer(r.ranks, np.int32))
-        owner.append(np.frombuffer(r.owner, np.int32).astype(np.int64) + base)
         h.append(np.frombuffer(r.shingles, U64))
+        kind = np.uint16 if len(k) < 1 << 16 else np.int32
+        owner.append(np.frombuffer(r.owner, kind).astype(np.int64) + base)
         base += len(k)
     keys, sizes, ranks, owner, h = map(np.concatenate, (keys, sizes, ranks, owner, h))
     order = np.lexsort((keys[owner], ranks[owner], h))
@@ -415,10 +419,10 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
         .groupBy("cell", "key")
         .agg(F.sum("shared").alias("shared"), F.max("n").alias("n"))
     )
-    cells = written(cells, "cells")
-    enough = cells.groupBy("key").agg(F.sum("shared").alias("s"), F.max("n").alias("n"))
-    enough = enough.filter(F.col("s") >= F.greatest(F.lit(1), F.expr("n div 20"))).select("key")
-    cells = cells.join(enough, "key")
+    # a set's cells, smallest first, are bounded by its own first shingles
+    upwards = Window.partitionBy("key").orderBy("shared", "cell").rowsBetween(Window.unboundedPreceding, 0)
+    least = F.greatest(F.lit(1), F.expr(f"((3 * n + 3) div 4) div {EXTRA}"))
+    cells = written(cells.withColumn("s", F.sum("shared").over(upwards)).filter(2 * F.col("s") >= least).drop("s"), "cells")
     size = cells.groupBy("cell").agg(
         F.count("*").alias("m"), F.max(F.struct("shared", (-F.col("n")).alias("n"), "key"))["key"].alias("centre")
     )
@@ -466,8 +470,9 @@ def _with_texts(docs: DataFrame, places: DataFrame, holders: DataFrame, id_col:
     by_id = (
         places.groupBy("key").agg(F.collect_list(F.struct(*names)).alias("_places")).join(holders, "key").select("id", "key", "_places")
     )
+    by_id = written(by_id, "places")
     texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    joined = texts.join(by_id, "id").filter(F.col("text").isNotNull())
+    joined = likely_rows(texts, "id", by_id).join(by_id, "id").filter(F.col("text").isNotNull())
     return joined.select("key", "text", F.explode("_places").alias("_p")).select("key", "text", *[F.col(f"_p.{c}").alias(c) for c in names])
 
 
