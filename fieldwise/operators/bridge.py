@@ -71,15 +71,16 @@ def unmatched(
 ) -> DataFrame:
     """Rows of the newest generation that the crosswalk cannot bridge, with a reason.
 
-    ``left_anti`` keeps rows whose ``(instance, quote)`` has no crosswalk entry;
-    a null quote never matches, so those rows carry ``no_quote_number``.
+    ``left_anti`` keeps rows whose ``(instance, quote)`` has no crosswalk entry.
+    A null quote never matches: those rows (often a large share) have their
+    reason already and never enter the join, where they would share one key.
     """
     rows = newest_generation(report.withColumn(quote, quote_key(quote)), instance, generated_at)
     keys = xwalk.select(instance, quote)
-    miss = rows.join(keys, [instance, quote], "left_anti")
-    return miss.withColumn(
-        "reason", F.when(F.col(quote).isNull(), F.lit(NO_QUOTE)).otherwise(F.lit(NOT_IN_API))
-    )
+    unquoted = rows.filter(F.col(quote).isNull()).withColumn("reason", F.lit(NO_QUOTE))
+    quoted = rows.filter(F.col(quote).isNotNull())
+    miss = quoted.join(keys, [instance, quote], "left_anti").withColumn("reason", F.lit(NOT_IN_API))
+    return unquoted.unionByName(miss)
 
 
 def matched(report: DataFrame, xwalk: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:

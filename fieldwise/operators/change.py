@@ -147,18 +147,14 @@ def observe_sweep(
     return j.withColumn("sd", sd).withColumn("sdx", sdx).withColumn("reason", reason)
 
 
-def enrichment_candidates(observed: DataFrame, keys: Sequence[str], budget: int | None = None) -> DataFrame:
-    """C4: the keys that get the costly detail call, strongest reason first.
+def enrichment_candidates(observed: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """C4: all keys that get the costly detail call, with the rank of their reason.
 
-    ``budget`` caps the calls of one run (a guardrail, not an error): the cut
-    is deterministic - reason rank, then key - and the rest waits for the next
-    run, because their state is not advanced.
+    A caller with a budget takes them by ``reason_rank``, then key; the rest
+    waits for the next run, because their state is not advanced.
     """
     rank = F.array_position(F.array(*[F.lit(r) for r in REASONS]), F.col("reason"))
-    cands = observed.filter(F.col("reason").isNotNull()).select(*keys, "reason", rank.alias("reason_rank"))
-    if budget is not None:
-        cands = cands.orderBy("reason_rank", *keys).limit(budget)
-    return cands
+    return observed.filter(F.col("reason").isNotNull()).select(*keys, "reason", rank.alias("reason_rank"))
 
 
 def fold_state(
@@ -167,6 +163,7 @@ def fold_state(
     details: DataFrame,
     keys: Sequence[str],
     now,
+    targeted: DataFrame | None = None,
 ) -> DataFrame:
     """C7 + C10 + C6: the new state after one sweep and its detail results.
 
@@ -175,6 +172,10 @@ def fold_state(
     next run). Sighting records ``seen``, keeps the freshest span and clears a
     deletion marker; only a successful detail call advances ``h`` and ``t``.
     A 404 marks the key gone with ``g404``.
+
+    ``targeted`` (same columns as ``details``) holds details read by id, swept
+    or not: a 404 marks the key gone at once; a success advances ``t`` and
+    ``seen``, keeps the hash of the last sweep and clears a deletion marker.
     """
     n = _now(now)
     obs = observed.select(
@@ -187,17 +188,30 @@ def fold_state(
     ok = called & F.coalesce(F.col("_ok"), F.lit(False)) & ~F.coalesce(F.col("_missing"), F.lit(False))
     missing = called & F.coalesce(F.col("_missing"), F.lit(False))
     lead_status = F.nullif(F.trim(F.col("_ls")), F.lit(""))
+    if targeted is not None:
+        by_id = targeted.select(
+            *keys, F.col("ok").alias("_tok"), F.col("missing").alias("_tmissing"), F.col("ls").alias("_tls")
+        )
+        j = j.join(by_id, list(keys), "full_outer")
+        swept = F.coalesce(F.col("_swept"), F.lit(False))
+        t_missing = F.coalesce(F.col("_tmissing"), F.lit(False))
+        t_ok = F.coalesce(F.col("_tok"), F.lit(False)) & ~t_missing
+        missing = (missing | t_missing) & ~t_ok
+        sighted = swept | t_ok
+        lead_status = F.when(t_ok, F.nullif(F.trim(F.col("_tls")), F.lit(""))).otherwise(lead_status)
+    else:
+        t_ok, sighted = F.lit(False), swept
     return j.select(
         *keys,
         F.when(ok, F.col("_h")).otherwise(F.col("h")).alias("h"),
-        F.when(ok, n).otherwise(F.col("t")).alias("t"),
-        F.when(swept, n).otherwise(F.col("seen")).alias("seen"),
+        F.when(ok | t_ok, n).otherwise(F.col("t")).alias("t"),
+        F.when(sighted, n).otherwise(F.col("seen")).alias("seen"),
         F.when(swept, F.col("_sd")).otherwise(F.col("sd")).alias("sd"),
         F.when(swept, F.col("_sdx")).otherwise(F.col("sdx")).alias("sdx"),
-        F.when(ok, lead_status).otherwise(F.col("ls")).alias("ls"),
-        F.when(missing, n).when(swept, F.lit(None).cast("timestamp")).otherwise(F.col("gone")).alias("gone"),
-        F.when(missing, F.lit(True)).when(swept, F.lit(None).cast("boolean")).otherwise(F.col("gp")).alias("gp"),
-        F.when(missing, F.lit(True)).when(swept, F.lit(None).cast("boolean")).otherwise(F.col("g404")).alias("g404"),
+        F.when(ok | t_ok, lead_status).otherwise(F.col("ls")).alias("ls"),
+        F.when(missing, n).when(sighted, F.lit(None).cast("timestamp")).otherwise(F.col("gone")).alias("gone"),
+        F.when(missing, F.lit(True)).when(sighted, F.lit(None).cast("boolean")).otherwise(F.col("gp")).alias("gp"),
+        F.when(missing, F.lit(True)).when(sighted, F.lit(None).cast("boolean")).otherwise(F.col("g404")).alias("g404"),
     )
 
 

@@ -95,16 +95,12 @@ def enrich_queue(
     ts: str,
     type_col: str,
     allowlist: Sequence[str],
-    cap: int = 150,
 ) -> DataFrame:
-    """A-4: distinct resources to enrich this drain, oldest first, capped.
-
-    The cap is the feature (a per-drain budget); the order (first event time,
-    then key) makes the cut deterministic.
-    """
+    """A-4: every distinct resource to enrich, with the columns a drain orders by
+    (first event time, then key). The whole queue is returned; how many of its
+    oldest rows one drain takes is the caller's budget."""
     wanted = df.filter(F.col(type_col).isin(list(allowlist)))
-    agg = wanted.groupBy(*keys).agg(F.min(ts).alias("first_seen"), F.count(F.lit(1)).alias("n_events"))
-    return agg.orderBy("first_seen", *keys).limit(cap)
+    return wanted.groupBy(*keys).agg(F.min(ts).alias("first_seen"), F.count(F.lit(1)).alias("n_events"))
 
 
 def silent_hours(
@@ -129,7 +125,7 @@ def silent_hours(
     if weekdays_only:
         business = business & (F.dayofweek("hour_start").between(2, 6))
     hours = hours.filter(business)
-    seen = df.select(*by, F.date_trunc("hour", ts).alias("hour_start"))
+    seen = df.select(*by, F.date_trunc("hour", ts).alias("hour_start")).distinct()  # never raw events on the build side
     return hours.join(seen, [*by, "hour_start"], "left_anti")
 
 

@@ -18,6 +18,7 @@ equi-join.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -58,6 +59,15 @@ def probe_rows(df: DataFrame, max_rows: int) -> int | None:
     return n if n <= max_rows else None
 
 
+def require_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, or ``DuplicateKeyError`` when a (non-null) key occurs twice."""
+    known = df.filter(functools.reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys]))
+    dup = known.groupBy(*keys).count().filter(F.col("count") > 1).limit(1).collect()  # one example
+    if dup:
+        raise DuplicateKeyError(f"join side not unique on {list(keys)}: {dup[0].asDict()}")
+    return df
+
+
 def bounded_broadcast(
     df: DataFrame,
     max_rows: int = DEFAULT_BROADCAST_ROWS,
@@ -68,18 +78,16 @@ def bounded_broadcast(
     """Hint ``df`` for broadcast only when it provably has at most ``max_rows`` rows.
 
     The bound comes from ``bound``, from the DataFrame's recorded
-    ``row_bound``, or - with ``probe=True`` - from a counting job; with
-    ``probe`` and ``unique_on`` the side is also checked for duplicate keys,
+    ``row_bound``, or - with ``probe=True`` - from a counting job. With
+    ``unique_on`` the side, whatever its size, is checked for duplicate keys,
     which would silently fan out the other side (J9). Without a proven bound
     ``df`` is returned unhinted and Spark's size-checked planner decides.
     """
     n = bound if bound is not None else row_bound(df)
     if n is None and probe:
         n = probe_rows(df, max_rows)
-        if n is not None and unique_on:
-            dup = df.groupBy(*unique_on).count().filter(F.col("count") > 1).limit(1).collect()
-            if dup:
-                raise DuplicateKeyError(f"join side not unique on {list(unique_on)}: {dup[0].asDict()}")
+    if unique_on:
+        require_unique(df, unique_on)
     if n is None or n > max_rows:
         return df
     return F.broadcast(df)
@@ -94,17 +102,22 @@ def norm_key_join(
     how: str = "left",
     key_name: str = "_norm_key",
     max_rows: int = DEFAULT_BROADCAST_ROWS,
+    unique: bool = True,
 ) -> DataFrame:
     """Join on ``norm_text`` of a text column on both sides (+ equal extra keys).
 
     The normalised key is computed once per side as a column, so the join is a
     plain equi-join (hashable, broadcastable) rather than a function in the
-    condition. Seeds are checked unique on the key when they are built.
+    condition. The right side must be unique on the *normalised* key: two
+    spellings of one key would silently double the left rows (``unique=False``
+    for a side that is meant to fan out).
     """
     bound = row_bound(right)
     lk = left.withColumn(key_name, norm_text(left_text))
     rk = right.withColumn(key_name, norm_text(right_text)).drop(right_text)
     keys = [key_name, *extra_keys]
+    if unique:
+        require_unique(rk, keys)
     rk = bounded_broadcast(rk, max_rows, bound=bound)
     return lk.join(rk, keys, how)
 

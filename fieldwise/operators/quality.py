@@ -161,14 +161,17 @@ def freshness_report(
     """Q6 + Q7 (+ A-8): rows and newest time per group, age, staleness, per-group target."""
     now = F.unix_micros(F.lit(as_of).cast("timestamp"))
     f = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("n_rows"), F.max(ts).alias("max_ts"))
+    if targets is not None:
+        # every group that has a target is reported, also one without any row
+        listed = bounded_broadcast(targets, 100_000)
+        f = f.join(listed, group_col, "full_outer").withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("bigint")))
     age_us = now - F.unix_micros(F.col("max_ts"))
     f = f.withColumn("age_hours", age_us / F.lit(3.6e9)).withColumn(
         "is_stale", (F.col("n_rows") == 0) | (age_us > F.lit(int(stale_hours * 3600 * 1_000_000)))
     )
     if targets is not None:
-        f = f.join(bounded_broadcast(targets, 100_000), group_col, "left").withColumn(
-            "breaches_target", age_us > F.col("target_minutes").cast("bigint") * F.lit(60 * 1_000_000)
-        )
+        late = age_us > F.col("target_minutes").cast("bigint") * F.lit(60 * 1_000_000)
+        f = f.withColumn("breaches_target", F.when((F.col("n_rows") == 0) & F.col("target_minutes").isNotNull(), True).otherwise(late))
     return f
 
 

@@ -478,7 +478,7 @@ def core_leads(leads: DataFrame, instances: DataFrame, status_enum: DataFrame,
 
 def core_opportunity_charges(charges: DataFrame, opportunities: DataFrame) -> DataFrame:
     """Charge lines with the opportunity's tenant and freshness."""
-    return charges.join(opportunities.select(OPP_KEY, "entity_id", "source_instance_id", "synced_at"), OPP_KEY, "inner")
+    return charges.join(opportunities.select(OPP_KEY, "entity_id", "source_instance_id", "synced_at"), OPP_KEY, "left")
 
 
 def core_branches(branches: DataFrame, branch_tz: DataFrame, instances: DataFrame) -> DataFrame:
@@ -510,9 +510,7 @@ def core_lines_of_business(jobs: DataFrame, service_types: DataFrame, lob_branch
 
 def core_opportunity_payments(payments: DataFrame, opportunities: DataFrame) -> DataFrame:
     """Payment lines with the opportunity's tenant and freshness."""
-    return payments.drop("entity_id").join(
-        opportunities.select(OPP_KEY, "entity_id", "synced_at"), OPP_KEY, "inner"
-    )
+    return payments.drop("entity_id").join(opportunities.select(OPP_KEY, "entity_id", "synced_at"), OPP_KEY, "left")
 
 
 # -------------------------------------------------------------- marts/serve

@@ -132,15 +132,15 @@ def event_volume_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 ENRICH_QUEUE_SQL = f"""
 SELECT user_id, event_type, min(ts) AS first_seen, count(*) AS n_events
 FROM events WHERE event_type IN ({", ".join(f"'{t}'" for t in DRIVER_ENRICH_TYPES)})
-GROUP BY 1, 2 ORDER BY first_seen, user_id, event_type LIMIT 150
+GROUP BY 1, 2
 """
 
 
 @query("enrich_queue", ENRICH_QUEUE_SQL, "A-4 F8")
 def enrich_queue_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The next drain's 150 resources to enrich, oldest first (the cap is the budget)."""
+    """All resources to enrich, with the time that orders them."""
     e = table(spark, sf_dir, "events", "ts", "user_id", "event_type")
-    return ev_ops.enrich_queue(e, ["user_id", "event_type"], "ts", "event_type", DRIVER_ENRICH_TYPES, cap=150)
+    return ev_ops.enrich_queue(e, ["user_id", "event_type"], "ts", "event_type", DRIVER_ENRICH_TYPES)
 
 
 ROUTE_SQL = f"""

@@ -235,5 +235,8 @@ def resolution_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise(F.floor(k / 3).cast("string"))
     )
     rpt = o.select("source_instance_id", bridge.quote_key(quote).alias("quote_number"))
-    j = rpt.join(xw, ["source_instance_id", "quote_number"], "left")
+    # null quotes match nothing and stay out of the join, where they would share one key
+    quoted = rpt.filter(F.col("quote_number").isNotNull()).join(xw, ["source_instance_id", "quote_number"], "left")
+    unquoted = rpt.filter(F.col("quote_number").isNull()).withColumn("opportunity_id", F.lit(None).cast(xw.schema["opportunity_id"].dataType))
+    j = quoted.unionByName(unquoted)
     return aggregates.coverage(j, ["source_instance_id"], F.col("opportunity_id").isNotNull(), ["quote_number"])

@@ -22,6 +22,7 @@ from ..operators import rules
 from ..operators.resolve import latest_by_source
 from ..sources import seeds
 from ..sources.nested import flatten, grandchildren
+from ..sources import reports
 from ..sources.reports import report_manifest
 from .catalog import query, table
 from .roles import ORDERS_IN_BRANCHES_SQL, STATUS_SQL, orders_in_branches
@@ -80,11 +81,11 @@ m AS (
 e AS (
   SELECT *, CASE WHEN known_file THEN 'lead-status-' ELSE 'summary-' END || stamp || '.xlsx' AS fname,
     list_filter([
-      CASE WHEN NOT known_alias THEN 'unrecognised recipient alias; saw [' || alias || ', ops@example.com]' END,
-      CASE WHEN NOT has_link THEN 'no report download link found in the email body' END,
-      CASE WHEN NOT has_link THEN 'unrecognised report file: "none"'
-           WHEN NOT known_file THEN 'unrecognised report file: "summary-' || stamp || '.xlsx"' END,
-      CASE WHEN NOT good_date THEN 'missing or unparseable Date header' END], lambda x: x IS NOT NULL) AS errs
+      CASE WHEN NOT known_alias THEN 'no known alias among the recipients: ' || alias || ', ops@example.com' END,
+      CASE WHEN NOT has_link THEN 'body holds no report link' END,
+      CASE WHEN NOT has_link THEN 'file name fits no report type: -'
+           WHEN NOT known_file THEN 'file name fits no report type: summary-' || stamp || '.xlsx' END,
+      CASE WHEN NOT good_date THEN 'no usable date header' END], lambda x: x IS NOT NULL) AS errs
   FROM m)
 SELECT len(errs) = 0 AS is_valid, nullif(array_to_string(errs, ' | '), '') AS error,
   CASE WHEN known_alias THEN alias END AS matched_alias,
@@ -228,3 +229,30 @@ def flatten_job_charges(spark: SparkSession, sf_dir: str) -> DataFrame:
         "line",
         "amount",
     )
+
+
+LANDING_SQL = """
+WITH r AS (
+  SELECT CASE WHEN l_linenumber = 7 THEN '' ELSE CAST(l_orderkey AS VARCHAR) END AS k,
+         '{"Quote #":"' || CASE WHEN l_linenumber = 7 THEN '' ELSE CAST(l_orderkey AS VARCHAR) END || '","Return Flag":"' || l_returnflag || '"}' AS row_data
+  FROM lineitem),
+landed AS (SELECT k, min(row_data) AS row_data, 'landed' AS outcome, 1 AS copies FROM r WHERE k <> '' GROUP BY k),
+again AS (
+  SELECT r.k, r.row_data, 'repeated_key' AS outcome, count(*) - CASE WHEN r.row_data = l.row_data THEN 1 ELSE 0 END AS copies
+  FROM r JOIN landed l ON l.k = r.k GROUP BY r.k, r.row_data, l.row_data)
+SELECT k AS row_key, row_data, outcome, CAST(copies AS BIGINT) AS copies FROM landed
+UNION ALL SELECT k, row_data, outcome, CAST(copies AS BIGINT) FROM again WHERE copies > 0
+UNION ALL SELECT NULL, row_data, 'blank_key', count(*) FROM r WHERE k = '' GROUP BY row_data
+"""
+
+
+@query("land_report", LANDING_SQL, "S9 S10 W5")
+def land_report_q(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items as report rows keyed by order: one row a key lands, the rest is quarantined with its reason."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag")
+    key = F.when(F.col("l_linenumber") == 7, F.lit("")).otherwise(F.col("l_orderkey").cast("string"))
+    rows = li.select(F.create_map(F.lit("Quote #"), key, F.lit("Return Flag"), F.col("l_returnflag")).alias("row"))
+    landed, bad = reports.split_landing(rows, "i1", "1998-08-01 06:00:00", "Quote #", ["Quote #", "Return Flag"])
+    return landed.select("row_key", "row_data", F.lit("landed").alias("outcome"), F.lit(1).cast("bigint").alias("copies")).unionByName(
+        bad.select("row_key", "row_data", F.col("reason").alias("outcome"), F.col("copies").cast("bigint"))
+    )

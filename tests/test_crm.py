@@ -39,7 +39,7 @@ REPORT_SCHEMA = "source_instance_id string, entity_id string, report_generated_a
 
 
 def _opp(oid, quote, status, snap, final, sales, branch="Main Office ", jobs=None, pays=None, docs=None):
-    return ("ld", "eco", oid, quote, 1, status, 20260815, "Booked ", 500.0, 3600.0,
+    return ("i1", "t1", oid, quote, 1, status, 20260815, "Booked ", 500.0, 3600.0,
             (900.0, 900.0, 100.0, final), (branch,), ("C1", "Enr Name", "e@x.com", "555"),
             (sales,), ("Est",), ("Coord",), "Google", D(2026, 8, 1, 16), snap, jobs or [],
             pays or [], [("Pat", "P@X.com ", "555", 1)], docs or [], [], [])
@@ -56,17 +56,17 @@ def _inputs(spark):
         _opp("O3", 1003, 3, D(2026, 8, 5), 700.0, "Cy"),
     ], OPP_SCHEMA)
     sweep = spark.createDataFrame([
-        ("ld", "eco", "C1", "Sweep Name", "555-0", "s@x.com", "1 Main St", 20260801, 20261001, D(2026, 8, 13),
+        ("i1", "t1", "C1", "Sweep Name", "555-0", "s@x.com", "1 Main St", 20260801, 20261001, D(2026, 8, 13),
          [("O1", "1001", 4, [("J1", "1001-1", "2026-08-16", 1)])]),
     ], SWEEP_SCHEMA)
     hooks = spark.createDataFrame([
-        (1, D(2026, 8, 12), "ld", "eco", "opportunity-status-changed", "O1",
+        (1, D(2026, 8, 12), "i1", "t1", "opportunity-status-changed", "O1",
          json.dumps({"event-type": "opportunity-status-changed", "opportunity-id": "O1", "opportunity-status": 4})),
-        (2, D(2026, 8, 12), "ld", "eco", "job-closed", "J1", json.dumps({"job-id": "J1"})),
+        (2, D(2026, 8, 12), "i1", "t1", "job-closed", "J1", json.dumps({"job-id": "J1"})),
     ], "event_id long, received_at timestamp, source_instance_id string, entity_id string, event_type string, "
        "resource_id string, payload string")
     dels = spark.createDataFrame([
-        ("ld", "O2", D(2026, 8, 5), "sweep_disappearance"), ("ld", "O3", D(2026, 8, 1), "detail_404"),
+        ("i1", "O2", D(2026, 8, 5), "sweep_disappearance"), ("i1", "O3", D(2026, 8, 1), "detail_404"),
     ], "source_instance_id string, id string, _deleted_at timestamp, _delete_source string")
 
     def lead_row(quote, revenue, sales, received):
@@ -76,36 +76,36 @@ def _inputs(spark):
 
     gen = D(2026, 8, 11, 13)
     rpt = spark.createDataFrame([
-        ("ld", "eco", gen, "1001", lead_row("1001", "$1,100.00", "", "8/10/2026 7:16 AM")),
-        ("ld", "eco", gen, "9999", lead_row("9999", "$10.00", "Zed", "8/10/2026 7:16 AM")),
-        ("ld", "eco", gen, "blank", lead_row("", "$10.00", "Zed", "")),
-        ("ld", "eco", D(2026, 8, 1), "old", lead_row("8888", "$10.00", "Zed", "")),
+        ("i1", "t1", gen, "1001", lead_row("1001", "$1,100.00", "", "8/10/2026 7:16 AM")),
+        ("i1", "t1", gen, "9999", lead_row("9999", "$10.00", "Zed", "8/10/2026 7:16 AM")),
+        ("i1", "t1", gen, "blank", lead_row("", "$10.00", "Zed", "")),
+        ("i1", "t1", D(2026, 8, 1), "old", lead_row("8888", "$10.00", "Zed", "")),
     ], REPORT_SCHEMA)
     bkd = spark.createDataFrame([
-        ("ld", "eco", D(2026, 8, 12), "1001", json.dumps({"Quote #": "1001", "Status": "Completed", "Customer Name": "Booked Name",
+        ("i1", "t1", D(2026, 8, 12), "1001", json.dumps({"Quote #": "1001", "Status": "Completed", "Customer Name": "Booked Name",
                                                           "Invoiced Amount": "$1,200.00", "Booked Date": "8/12/2026"})),
     ], REPORT_SCHEMA)
     leads = spark.createDataFrame([
-        ("ld", "eco", "L1", "Lee", "l@x.com", "555", "Google ", "Ann", "Main Office", 20260819, 1, None, None, D(2026, 8, 13, 15), D(2026, 8, 13, 16), None, None, "98101"),
-        ("ld", "eco", "L2", "Lou", None, None, None, None, "Main Office", 0, 30, "price", None, D(2026, 8, 14, 5), D(2026, 8, 14, 6), "Tacoma", "WA", "98402"),
-        ("ld", "eco", "L3", "Liz", None, None, None, None, "Main Office", 0, 0, None, "spam", D(2026, 8, 12, 15), D(2026, 8, 13, 16), None, None, None),
+        ("i1", "t1", "L1", "Lee", "l@x.com", "555", "Google ", "Ann", "Main Office", 20260819, 1, None, None, D(2026, 8, 13, 15), D(2026, 8, 13, 16), None, None, "98101"),
+        ("i1", "t1", "L2", "Lou", None, None, None, None, "Main Office", 0, 30, "price", None, D(2026, 8, 14, 5), D(2026, 8, 14, 6), "Tacoma", "WA", "98402"),
+        ("i1", "t1", "L3", "Liz", None, None, None, None, "Main Office", 0, 0, None, "spam", D(2026, 8, 12, 15), D(2026, 8, 13, 16), None, None, None),
     ], "source_instance_id string, entity_id string, id string, customer_name string, email_address string, phone_number string, "
        "referral_source_name string, sales_person string, branch_name string, service_date int, status bigint, "
        "lost_reason string, bad_lead_reason string, created_at_utc timestamp, _extracted_at timestamp, "
        "origin_city string, origin_state string, origin_zip string")
     inst = spark.createDataFrame(
-        [("ld", "eco", "EcoCo", "America/Los_Angeles", "America/Los_Angeles", "long_distance")],
+        [("i1", "t1", "Tenant One", "America/Los_Angeles", "America/Los_Angeles", "long_distance")],
         "instance_id string, entity_id string, entity_name string, timezone string, crm_timezone string, lob_hint string",
     )
-    btz = spark.createDataFrame([("ld", "main office", "America/Denver")], "source_instance_id string, branch_name string, timezone string")
+    btz = spark.createDataFrame([("i1", "main office", "America/Denver")], "source_instance_id string, branch_name string, timezone string")
     branches = spark.createDataFrame(
-        [("ld", "eco", "B1", "Main Office", "555", True, ("1 Main", "1 Main", "Seattle", "WA", "98101", 0.0, 0.0)),
-         ("ld", "eco", "B2", "South Sound LD", "556", False, None)],
+        [("i1", "t1", "B1", "Main Office", "555", True, ("1 Main", "1 Main", "Seattle", "WA", "98101", 0.0, 0.0)),
+         ("i1", "t1", "B2", "North Branch", "556", False, None)],
         "source_instance_id string, entity_id string, id string, name string, phone_number string, is_primary boolean, "
         "dispatch_location struct<full_address:string,street:string,city:string,state:string,zip:string,lat:double,lng:double>",
     )
-    service_types = spark.createDataFrame([("ld", 1, "Commercial Move")], "source_instance_id string, id bigint, name string")
-    lob_branch = spark.createDataFrame([("ld", "Main Office", "local")], "source_instance_id string, branch_name string, line_of_business string")
+    service_types = spark.createDataFrame([("i1", 1, "Commercial Move")], "source_instance_id string, id bigint, name string")
+    lob_branch = spark.createDataFrame([("i1", "Main Office", "local")], "source_instance_id string, branch_name string, line_of_business string")
     return {
         "leads": leads, "opportunities_enriched": opps, "customers_service_window": sweep, "report_lead_status": rpt,
         "report_booked_opportunities": bkd, "webhook_events": hooks, "opportunity_deletions": dels,
@@ -121,16 +121,16 @@ def test_crm_models_end_to_end(spark):
     wh = tempfile.mkdtemp(prefix="fw-wh-", dir="/tmp")
     out = reg.run(spark, crm.crm_registry(AS_OF), _inputs(spark), wh)
     opps = {r.opportunity_key: r for r in out["core_opportunities"].collect()}
-    o1 = opps["ld:O1"]
+    o1 = opps["i1:O1"]
     assert o1.status_code == 4 and o1.status_label == "Booked" and o1.is_booked  # webhook/sweep newer than detail
     assert o1.estimated_final_total == 1100  # report (Aug 11) beats detail (Aug 10); booked row has no estimate
     assert o1.sales_assignee_name == "Ann"  # the report's blank cell is skipped
     assert o1.customer_name == "Sweep Name"  # the sweep is the newest non-null source
     assert o1.customer_address == "1 Main St" and o1.invoiced_amount == 1200
     assert o1.volume == 525 and o1.synced_at == D(2026, 8, 13)
-    assert opps["ld:O2"].is_deleted and opps["ld:O2"].deleted_at == D(2026, 8, 5)
-    assert not opps["ld:O3"].is_deleted  # a newer detail snapshot revives
-    assert {r.entity_id for r in opps.values()} == {"eco"}
+    assert opps["i1:O2"].is_deleted and opps["i1:O2"].deleted_at == D(2026, 8, 5)
+    assert not opps["i1:O3"].is_deleted  # a newer detail snapshot revives
+    assert {r.entity_id for r in opps.values()} == {"t1"}
 
     unmatched = {r.row_key: r.reason for r in out["mart_unmatched_report_rows"].collect()}
     assert unmatched == {"9999": "quote_not_in_api", "blank": "no_quote_number"}
@@ -138,7 +138,7 @@ def test_crm_models_end_to_end(spark):
     jobs = out["core_jobs"].collect()
     assert len(jobs) == 1 and jobs[0].service_date == dt.date(2026, 8, 16)
     up = crm.read_upcoming(out["jobs_upcoming_v1"]).collect()
-    assert [(r.job_key, r.timezone, r.days_until) for r in up] == [("ld:J1", "America/Denver", 3)]
+    assert [(r.job_key, r.timezone, r.days_until) for r in up] == [("i1:J1", "America/Denver", 3)]
 
     br = {r.external_branch_id: (r.timezone, r.has_timezone_override) for r in out["core_branches"].collect()}
     assert br == {"B1": ("America/Denver", True), "B2": ("America/Los_Angeles", False)}
@@ -146,37 +146,37 @@ def test_crm_models_end_to_end(spark):
     assert [(r.line_of_business, r.lob_source, r.is_unclassified) for r in lob] == [("commercial", "service_type", False)]
 
     pays = out["core_opportunity_payments"].collect()
-    assert [(p.opportunity_key, float(p.amount), p.entity_id) for p in pays] == [("ld:O1", 250.0, "eco")]
+    assert [(p.opportunity_key, float(p.amount), p.entity_id) for p in pays] == [("i1:O1", 250.0, "t1")]
     addrs = sorted((r.position, r.address, r.n_siblings, r.is_first) for r in out["stg_opportunity_job_addresses"].collect())
     assert addrs == [(0, "12 Elm St", 2, True), (1, "9 Oak Ave", 2, False)]
     assert out["stg_opportunity_job_crew"].count() == 3
     assert out["stg_opportunity_contacts"].first().email_address == "p@x.com"
     att = {r.opportunity_key: (r.document_count, r.document_complete_count, r.job_document_count) for r in out["int_attachment_counts"].collect()}
-    assert att == {"ld:O1": (3, 2, 2)}
+    assert att == {"i1:O1": (3, 2, 2)}
 
     bkd = out["mart_booked_by_book_date"].collect()
     assert [(r.booked_date_local, r.n_booked, float(r.invoiced_total)) for r in bkd] == [(dt.date(2026, 8, 12), 1, 1200.0)]
     w = {r.opportunity_key: r for r in out["mart_opportunity_360"].collect()}
-    assert float(w["ld:O1"].actual_charges_total) == 850 and float(w["ld:O1"].paid_total) == 250 and w["ld:O1"].n_jobs == 1
-    assert w["ld:O2"].n_jobs == 0 and w["ld:O2"].document_count == 0
+    assert float(w["i1:O1"].actual_charges_total) == 850 and float(w["i1:O1"].paid_total) == 250 and w["i1:O1"].n_jobs == 1
+    assert w["i1:O2"].n_jobs == 0 and w["i1:O2"].document_count == 0
     # the booked report (newest) says 'Completed'; the lead-status row still says 'Booked'
     assert o1.pipeline_status == "Completed"
     q = [(r.opportunity_key, r.reason) for r in out["mart_enrichment_candidates"].collect()]
-    assert q == [("ld:O1", "status_differs")]
+    assert q == [("i1:O1", "status_differs")]
     assert out["opportunities_v1"].columns == [f.name for f in crm.OPPORTUNITIES_V1.fields]
-    assert [r.job_key for r in out["jobs_v1"].collect()] == ["ld:J1"]
+    assert [r.job_key for r in out["jobs_v1"].collect()] == ["i1:J1"]
 
     charges = out["core_opportunity_charges"].groupBy("charge_kind").agg(F.sum("total_cost").alias("t")).collect()
     assert {r.charge_kind: r.t for r in charges} == {"estimated": 800, "actual": 850}
 
     leads = {r.lead_key: r for r in out["core_leads"].collect()}
-    assert leads["ld:L1"].lead_disposition == "In Progress"
-    assert leads["ld:L2"].lead_disposition == "Lost" and leads["ld:L3"].lead_disposition == "Bad Lead"
-    assert (leads["ld:L1"].referral_channel, leads["ld:L1"].referral_is_paid) == ("search", True)
-    assert (leads["ld:L1"].origin_city, leads["ld:L1"].origin_state) == ("Seattle", "WA")  # filled from the ZIP
-    assert leads["ld:L2"].origin_city == "Tacoma" and leads["ld:L3"].origin_city is None
+    assert leads["i1:L1"].lead_disposition == "In Progress"
+    assert leads["i1:L2"].lead_disposition == "Lost" and leads["i1:L3"].lead_disposition == "Bad Lead"
+    assert (leads["i1:L1"].referral_channel, leads["i1:L1"].referral_is_paid) == ("search", True)
+    assert (leads["i1:L1"].origin_city, leads["i1:L1"].origin_state) == ("Seattle", "WA")  # filled from the ZIP
+    assert leads["i1:L2"].origin_city == "Tacoma" and leads["i1:L3"].origin_city is None
     today = sorted(r.lead_key for r in out["leads_today_v1"].collect())
-    assert today == ["ld:L1", "ld:L2"]  # L2 is 22:00 on Aug 13 in Los Angeles
+    assert today == ["i1:L1", "i1:L2"]  # L2 is 22:00 on Aug 13 in Los Angeles
 
     rpt = out["stg_report_lead_status"].filter("row_key = '1001'").first()
     assert rpt.received_at_utc == D(2026, 8, 10, 14, 16) and rpt.time_to_contact_minutes == 65

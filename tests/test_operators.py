@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import SF_CHECK
-from fieldwise.operators import access, change, merge, quality
+from fieldwise.operators import access, change, joins, merge, quality
 from fieldwise.operators.joins import DuplicateKeyError, bounded_broadcast, range_join, row_bound
 from fieldwise.operators.resolve import Candidates, latest_by_source, pick_latest, resolve, soft_delete
 from fieldwise.operators.retention import prune_generations
@@ -205,6 +205,19 @@ def test_land_report_and_headers(spark):
     assert again.count() == 0
 
 
+def test_landed_and_quarantined_rows_add_up(spark):
+    keys = ["7", "7", "7", "8", " ", " ", None]
+    rows = spark.createDataFrame(
+        [({"Quote #": k, "Status": s},) for k, s in zip(keys, ["b", "a", "b", "x", "p", "p", "q"])], "row map<string,string>"
+    )
+    landed, bad = reports.split_landing(rows, "i", "2026-08-13 06:00:00", "Quote #", ["Quote #", "Status"])
+    got = {r.row_key: r.row_data for r in landed.collect()}
+    assert set(got) == {"7", "8"} and '"a"' in got["7"]
+    reasons = sorted((r.reason, r.copies) for r in bad.collect())
+    assert reasons == [("blank_key", 1), ("blank_key", 2), ("repeated_key", 2)]
+    assert len(got) + sum(n for _, n in reasons) == len(keys)
+
+
 def test_optional_source_and_ledger(spark, tmp_path):
     schema = T.StructType([T.StructField("id", T.StringType())])
     assert optional_source(spark, "no_such_table_here", schema).count() == 0
@@ -290,12 +303,47 @@ def test_t18_an_arm_without_candidate_fails_the_build(spark):
     assert ok.count() == 1
 
 
-def test_candidate_budget_is_deterministic(spark):
+def test_candidates_are_whole_and_ranked(spark):
     obs = spark.createDataFrame(
         [("a", str(i), "stale" if i % 2 else "changed") for i in range(10)], "source_instance_id string, id string, reason string"
     )
-    got = change.enrichment_candidates(obs, ["source_instance_id", "id"], budget=3).collect()
-    assert [(r.id, r.reason) for r in got] == [("0", "changed"), ("2", "changed"), ("4", "changed")]
+    got = change.enrichment_candidates(obs, ["source_instance_id", "id"]).orderBy("reason_rank", "id").collect()
+    assert [r.id for r in got] == list("0246813579")
+
+
+def test_targeted_details_reach_the_state(spark):
+    now = "2026-08-13 06:00:00"
+    state = spark.createDataFrame(
+        [("i", k, "h", None, D(2026, 8, 1), 1, 2, None, g, None, None) for k, g in (("a", None), ("b", D(2026, 8, 2)), ("c", None))],
+        "source_instance_id string, id string, h string, t timestamp, seen timestamp, sd long, sdx long, ls string,"
+        " gone timestamp, gp boolean, g404 boolean",
+    )
+    keys = ["source_instance_id", "id"]
+    obs = spark.createDataFrame([], "source_instance_id string, id string, h string, sd long, sdx long, reason string")
+    none = spark.createDataFrame([], "source_instance_id string, id string, ok boolean, missing boolean, ls string")
+    targeted = spark.createDataFrame(
+        [("i", "a", False, True, None), ("i", "b", True, False, "Won"), ("i", "new", False, True, None)], none.schema
+    )
+    got = {r.id: r for r in change.fold_state(state, obs, none, keys, now, targeted).collect()}
+    assert got["a"].gone is not None and got["a"].g404 and got["a"].gp
+    assert got["b"].gone is None and got["b"].t is not None and got["b"].ls == "Won" and got["b"].h == "h"
+    assert got["c"].gone is None and got["c"].t is None and got["c"].seen == D(2026, 8, 1)
+    assert got["new"].g404
+
+
+def test_join_side_must_be_unique_on_the_normalised_key(spark):
+    left = spark.createDataFrame([("Google",)], "t string")
+    right = spark.createDataFrame([("google ", 1), ("GOOGLE", 2)], "r string, v int")
+    with pytest.raises(joins.DuplicateKeyError):
+        joins.norm_key_join(left, right, "t", "r")
+
+
+def test_freshness_reports_groups_without_rows(spark):
+    df = spark.createDataFrame([("a", D(2026, 8, 13))], "g string, t timestamp")
+    targets = spark.createDataFrame([("a", 60), ("b", 60)], "g string, target_minutes int")
+    got = {r.g: r for r in quality.freshness_report(df, "g", "t", "2026-08-13 00:30:00", targets).collect()}
+    assert not got["a"].is_stale and not got["a"].breaches_target
+    assert got["b"].n_rows == 0 and got["b"].is_stale and got["b"].breaches_target
 
 
 def test_rule_engine_priority_and_status_map(spark):
