@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text
 from ..functions.time import days_until, entity_today, in_window, local_date, local_timestamp, zone_of
-from ..operators import access, bridge, rules
+from ..operators import access, aggregates, bridge, rules
 from ..operators.joins import bounded_broadcast, keep_bound, norm_key_join, range_join, with_counts
 from ..operators.union import ArmSpec, stack_arms, stack_observations
 from ..sources import seeds
@@ -204,10 +204,7 @@ def conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count_if("is_valid_lead").alias("n_valid"),
         F.count_if("is_booked").alias("n_booked"),
     )
-    permille = F.expr("(2000 * n_booked + n_valid) div (2 * n_valid)")
-    return g.withColumn(
-        "conversion_pct", F.when(F.col("n_valid") == 0, F.lit(None)).otherwise(permille / F.lit(10.0))
-    )
+    return g.withColumn("conversion_pct", aggregates.conversion_pct(F.col("n_booked"), F.col("n_valid")))
 
 
 DISPOSITION_SQL = f"""

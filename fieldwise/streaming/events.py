@@ -1,6 +1,6 @@
 """The event feed as Structured Streaming.
 
-The reference has no stream processor - it has an append-only webhook log,
+The warehouse has no stream processor - it has an append-only webhook log,
 five-minute drains and ordering rules. Here the log is a file stream (JSON
 or Parquet, explicit schema), every operator is a streaming DataFrame
 transformation, and sinks are ``foreachBatch`` writers that are idempotent
@@ -13,23 +13,15 @@ a cluster), never in a machine-local folder.
 
 from __future__ import annotations
 
-import sys
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Sequence
 
-import pandas as pd
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..operators.events import ENRICH_TYPES, MAX_ATTEMPTS, delivery_hash
 from ..session import checkpoint_dir, ensure_semantics
 
-# The pandas functions of this module run in Python workers. Pickle them by
-# value so executors need numpy and pandas only, not this package installed.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
-
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("event_id", T.LongType()),
@@ -117,60 +109,17 @@ def event_rate_stream(
 
 
 # ----------------------------------------------------------------- E5 ledger
-LEDGER_SCHEMA = T.StructType(
-    [
-        T.StructField("key", T.StringType()),
-        T.StructField("observed_at", T.TimestampType()),
-        T.StructField("event_id", T.LongType()),
-        T.StructField("status_code", T.IntegerType()),
-    ]
-)
-_LEDGER_STATE = "observed_at_us long, event_id long, status_code int"
-
-
-def _ledger_update(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Keep the newest (observed_at, event_id) per key; emit only on a real advance.
-
-    Chunks are reduced one at a time (never concatenated), so the memory of a
-    busy key is one Arrow batch.
-    """
-    best = None
-    if state.exists:
-        best = tuple(state.get)
-    start = best
-    for pdf in chunks:
-        if pdf.empty:
-            continue
-        t = pdf["observed_at"].astype("int64") // 1000 if pdf["observed_at"].dtype.kind == "M" else pdf["observed_at"]
-        order = pd.DataFrame({"t": t, "e": pdf["event_id"], "s": pdf["status_code"]}).sort_values(["t", "e"])
-        top = order.iloc[-1]
-        cand = (int(top.t), int(top.e), None if pd.isna(top.s) else int(top.s))
-        if best is None or (cand[0], cand[1]) > (best[0], best[1]):
-            best = cand
-    if best is not None and best != start:
-        state.update(best)
-        yield pd.DataFrame(
-            {
-                "key": [key[0]],
-                "observed_at": [pd.Timestamp(best[0], unit="us")],
-                "event_id": [best[1]],
-                "status_code": pd.array([best[2]], dtype="Int32"),
-            }
-        )
-
-
 def status_ledger_stream(df: DataFrame, key_col: str = "resource_id", ts: str = "received_at") -> DataFrame:
     """E5: newest status per key; late and replayed events never regress it.
 
-    ``df`` must carry ``status_code`` (int) and ``event_id``. Per-key state is
-    ``(observed_at, event_id, status)``; the output (update mode) is each key
-    whose newest status changed in the micro-batch - equal to batch R11 once
-    all events are processed.
+    ``df`` must carry ``status_code`` (int) and ``event_id``. A plain stateful
+    aggregation (one struct a key, kept in the JVM); the output (update mode)
+    is the newest status of each key that the micro-batch touched - equal to
+    batch R11 once all events are processed.
     """
-    src = df.select(F.col(key_col).cast("string").alias("key"), F.col(ts).alias("observed_at"), "event_id", "status_code")
-    return src.groupBy("key").applyInPandasWithState(
-        _ledger_update, LEDGER_SCHEMA, _LEDGER_STATE, "update", GroupStateTimeout.NoTimeout
-    )
+    newest = F.max(F.struct(F.col(ts).alias("observed_at"), "event_id", "status_code")).alias("_s")
+    best = df.groupBy(F.col(key_col).cast("string").alias("key")).agg(newest)
+    return best.select("key", "_s.observed_at", "_s.event_id", "_s.status_code")
 
 
 # ------------------------------------------------------------- E4 E6 sinks
@@ -206,8 +155,12 @@ def drain_writer(
         letters = dead.select("event_id", "process_attempts", F.col("last_error").alias("error")).dropDuplicates(
             ["event_id", "error"]
         )
-        for name, part in (("enrich_queue", queue), ("processed", processed), ("dead_letter", letters)):
-            part.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}/batch_id={batch_id}")
+        batch.persist()  # three outputs from one read of the micro-batch
+        try:
+            for name, part in (("enrich_queue", queue), ("processed", processed), ("dead_letter", letters)):
+                part.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}/batch_id={batch_id}")
+        finally:
+            batch.unpersist()
 
     return write
 
