@@ -31,6 +31,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .union import ArmSpec, check_arm_coverage
+
 SOURCE = "source"
 PRIORITY = "source_priority"
 OBSERVED_AT = "observed_at"
@@ -220,7 +222,57 @@ def resolve(
             row = F.struct(*[F.col(candidates.column_for(f, s)).alias(f) for f in fields_of[s]])
             aggs.append(F.max_by(row, ordering).alias(f"_row{i}"))
     grouped = obs.groupBy(*keys).agg(*aggs)
+    return _picked(grouped, keys, candidates, freshness_col, count_col)
+
 
+def resolve_arms(
+    df: DataFrame,
+    keys: Sequence[str],
+    arms: Sequence[ArmSpec],
+    schema: Mapping[str, str],
+    candidates: Candidates,
+    tiebreak: Sequence[str] = (),
+    freshness_col: str | None = "synced_at",
+    count_col: str | None = None,
+) -> DataFrame:
+    """``resolve`` over arms that read one input, without a row per arm.
+
+    Equal to ``resolve(stack_observations(...))``: each input row carries, per
+    source, the newest observation its arms make (order and candidate fields),
+    and one aggregation keeps the newest of every source. The rows that enter
+    the aggregation are the input's, not one for each arm that covers them.
+    Keys that no arm covers have no row, as in the stacked form.
+    """
+    check_arm_coverage(arms, candidates, ignore=tiebreak)
+    index = {s: i for i, s in enumerate(candidates.sources)}
+    value = lambda a, f: a.values.get(f, F.lit(None)).cast(schema[f])
+    columns, aggs = [], []
+    for s, i in index.items():
+        fields = [f for f, srcs in candidates.fields.items() if s in srcs]
+        made = []
+        for a in (a for a in arms if a.source == s):
+            order = newest_first(
+                a.observed_at.cast("timestamp"), F.lit(a.priority).cast("int"), [value(a, c) for c in tiebreak]
+            )
+            row = F.struct(*[value(a, candidates.column_for(f, s)).alias(f) for f in fields])
+            one = F.struct(order.alias("o"), row.alias("r"))
+            made.append(one if a.when is None else F.when(a.when, one))
+        if not made:
+            raise ValueError(f"no arm observes source {s!r}")
+        columns.append((made[0] if len(made) == 1 else F.greatest(*made)).alias(f"_s{i}"))
+        aggs.append(F.max(F.col(f"_s{i}.o")).alias(f"_ord{i}"))
+        if fields:
+            aggs.append(F.max_by(F.col(f"_s{i}.r"), F.col(f"_s{i}.o")).alias(f"_row{i}"))
+    grouped = df.select(*keys, *columns).groupBy(*keys).agg(*aggs)
+    seen = reduce(lambda a, b: a | b, [F.col(f"_ord{i}").isNotNull() for i in index.values()])
+    return _picked(grouped.filter(seen), keys, candidates, freshness_col, count_col)
+
+
+def _picked(
+    grouped: DataFrame, keys: Sequence[str], candidates: Candidates, freshness_col: str | None, count_col: str | None
+) -> DataFrame:
+    """R2 + R5 over each source's newest row (``_ord{i}``, ``_row{i}``)."""
+    index = {s: i for i, s in enumerate(candidates.sources)}
     out = [F.col(k) for k in keys]
     for fld, sources in candidates.fields.items():
         picks = []

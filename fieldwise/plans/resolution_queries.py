@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.json import json_field
-from ..operators.resolve import Candidates, latest_by_source, newest_row, resolve
+from ..operators.resolve import Candidates, latest_by_source, newest_row, resolve_arms
 from ..operators.union import ArmSpec, stack_observations
 from .catalog import query, table
 from .roles import ORDERS_IN_BRANCHES_SQL, branches, orders_in_branches, status_code, status_code_sql
@@ -30,8 +30,11 @@ EVENT_CANDIDATES = Candidates(
 EVENT_SOURCES = ["purchase", "click", "view", "signup", "error"]
 
 
-def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One arm per event type (from one scan), values nulled by a fixed rule."""
+EVENT_SCHEMA = {"event_id": "bigint", "value": "double", "k": "bigint"}
+
+
+def event_arms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[ArmSpec]]:
+    """The event log and one arm per event type, values nulled by a fixed rule."""
     ev = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props")
     values = {
         "event_id": F.col("event_id"),
@@ -47,8 +50,7 @@ def event_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for prio, source in enumerate(EVENT_SOURCES, start=1)
     ]
-    schema = {"event_id": "bigint", "value": "double", "k": "bigint"}
-    return stack_observations(ev, ["user_id"], arms, schema, candidates=EVENT_CANDIDATES, ignore=["event_id"])
+    return ev, arms
 
 
 PICK_LATEST_SQL = """
@@ -85,8 +87,8 @@ FROM ranked GROUP BY user_id
 @query("pick_latest_users", PICK_LATEST_SQL, "U1 R1 R2 R5")
 def pick_latest_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One resolved row per user: per-field newest non-null value, freshness."""
-    obs = event_observations(spark, sf_dir)
-    out = resolve(obs, ["user_id"], EVENT_CANDIDATES, tiebreak=["event_id"], count_col="n_sources")
+    ev, arms = event_arms(spark, sf_dir)
+    out = resolve_arms(ev, ["user_id"], arms, EVENT_SCHEMA, EVENT_CANDIDATES, tiebreak=["event_id"], count_col="n_sources")
     return out.withColumn("n_sources", F.col("n_sources").cast("bigint"))
 
 
@@ -147,8 +149,8 @@ ORDER_CANDIDATES = Candidates(
 )
 
 
-def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every source's observations of an order, five arms from one scan plus R10."""
+def order_arms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[ArmSpec]]:
+    """The orders with their newest job row (R10: J6 + N4), and every source's arm."""
     o = orders_in_branches(spark, sf_dir, "o_orderstatus", "o_orderpriority", "o_orderdate", "o_totalprice")
     k = F.col("o_orderkey")
     day = F.to_date("o_orderdate")
@@ -188,23 +190,24 @@ def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             "is_deleted": F.lit(True), "deleted_at": F.when(k % 58 == 0, at(20)).otherwise(at(50)),
         }, when=k % 29 == 0),
     ]
-    obs = stack_observations(o, ORDER_KEYS, arms, ORDER_FIELDS, candidates=ORDER_CANDIDATES)
-    # Attribution recovered from the newest job row of each order (J6 + N4)
     li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
     newest_job = newest_row(
         li, ["l_orderkey"],
         [F.col("l_shipdate"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")],
         keep=["l_shipdate", "l_suppkey"],
     )
-    keys = o.select(*ORDER_KEYS)
-    ajo = newest_job.join(keys, newest_job["l_orderkey"] == keys["o_orderkey"], "inner")
-    ajo_obs = stack_observations(
-        ajo, ORDER_KEYS,
-        [ArmSpec("jobs_attribution", 5, F.col("l_shipdate"), {
-            "sales_assignee_name": F.concat(F.lit("job_rep_"), (F.col("l_suppkey") % 11).cast("string"))})],
-        ORDER_FIELDS,
+    arms.append(
+        ArmSpec("jobs_attribution", 5, F.col("l_shipdate"), {
+            "sales_assignee_name": F.concat(F.lit("job_rep_"), (F.col("l_suppkey") % 11).cast("string")),
+        }, when=F.col("l_orderkey").isNotNull())
     )
-    return obs.unionByName(ajo_obs)
+    return o.join(newest_job, o["o_orderkey"] == newest_job["l_orderkey"], "left"), arms
+
+
+def order_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """U1 in long form: one row for each observation of an order."""
+    o, arms = order_arms(spark, sf_dir)
+    return stack_observations(o, ORDER_KEYS, arms, ORDER_FIELDS, candidates=ORDER_CANDIDATES)
 
 
 def _pick_sql(candidates: Candidates) -> str:
@@ -281,8 +284,8 @@ SELECT * REPLACE (coalesce(is_deleted, FALSE) AS is_deleted) FROM picked
 @query("resolve_orders", RESOLVE_ORDERS_SQL, "R3 R5 R6 R10 U1 R1 R2 J6 N4")
 def resolve_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One resolved row per order from six complementary sources, with soft delete and freshness."""
-    obs = order_observations(spark, sf_dir)
-    out = resolve(obs, ORDER_KEYS, ORDER_CANDIDATES)
+    o, arms = order_arms(spark, sf_dir)
+    out = resolve_arms(o, ORDER_KEYS, arms, ORDER_FIELDS, ORDER_CANDIDATES)
     return out.withColumn("is_deleted", F.coalesce(F.col("is_deleted"), F.lit(False)))
 
 
@@ -324,8 +327,8 @@ def job_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.join(s, li["l_suppkey"] == s["s_suppkey"], "inner").join(b, F.col("s_nationkey") == b["n_nationkey"], "inner")
 
 
-def job_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Three job sources from one scan."""
+def job_arms(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[ArmSpec]]:
+    """The jobs and the arms of their three sources."""
     j = job_rows(spark, sf_dir)
     day = F.to_date("l_shipdate")
     at = lambda days: F.col("l_shipdate") + F.make_interval(days=F.lit(days))
@@ -346,7 +349,7 @@ def job_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             "billable_hours": F.col("l_quantity"), "tip_rate": F.col("l_tax"),
         }, when=F.col("l_linestatus") == "F"),
     ]
-    return stack_observations(j, JOB_KEYS, arms, JOB_FIELDS, candidates=JOB_CANDIDATES, ignore=["l_partkey", "l_suppkey"])
+    return j, arms
 
 
 JOBS_ARMS_SQL = """
@@ -415,5 +418,5 @@ def resolve_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     the same aggregation as the resolved fields, so there is one shuffle and
     no join back.
     """
-    obs = job_observations(spark, sf_dir)
-    return resolve(obs, JOB_KEYS, JOB_CANDIDATES, tiebreak=["l_partkey", "l_suppkey"])
+    j, arms = job_arms(spark, sf_dir)
+    return resolve_arms(j, JOB_KEYS, arms, JOB_FIELDS, JOB_CANDIDATES, tiebreak=["l_partkey", "l_suppkey"])

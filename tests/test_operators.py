@@ -397,3 +397,27 @@ def test_e9_late_older_generation_changes_nothing(spark):
     a = resolve(base, ["k"], CANDS).first()
     b = resolve(base.unionByName(late), ["k"], CANDS).first()
     assert (a.a, a.b) == (b.a, b.b) == ("new", 1)
+
+
+def test_resolving_arms_equals_resolving_their_rows(spark):
+    from fieldwise.operators.resolve import resolve_arms
+    from fieldwise.operators.union import ArmSpec, stack_observations
+
+    rows = [
+        ("k1", D(2026, 1, 1), 1, None, "x"), ("k1", D(2026, 1, 2), 2, 5, None), ("k1", None, 3, 6, "y"),
+        ("k2", D(2026, 1, 1), 4, 7, "z"), ("k2", D(2026, 1, 1), 5, 8, None), ("none", D(2026, 1, 1), 60, 1, "u"), (None, D(2026, 1, 3), 2, 9, "v"),
+    ]
+    df = spark.createDataFrame(rows, "k string, t timestamp, id int, b long, a string")
+    schema = {"a": "string", "b": "bigint", "id": "int"}
+    even, small = F.col("id") % 2 == 0, F.col("id") < 50
+    arms = [
+        ArmSpec("s1", 1, F.col("t"), {"a": F.col("a"), "id": F.col("id"), "b": F.col("b")}, when=small),
+        ArmSpec("s2", 2, F.col("t"), {"a": F.upper("a"), "id": F.col("id")}, when=even & small),
+        ArmSpec("s3", 3, F.col("t"), {"a": F.lit("p"), "b": F.col("b") * 2, "id": F.col("id")}, when=small),
+        ArmSpec("s3", 3, F.col("t") + F.expr("INTERVAL 1 DAY"), {"b": F.lit(3), "id": F.col("id")}, when=even & small),
+    ]
+    long = resolve(stack_observations(df, ["k"], arms, schema), ["k"], CANDS, tiebreak=["id"], count_col="n")
+    wide = resolve_arms(df, ["k"], arms, schema, CANDS, tiebreak=["id"], count_col="n")
+    assert wide.columns == long.columns
+    assert sorted(map(tuple, wide.collect()), key=repr) == sorted(map(tuple, long.collect()), key=repr)
+    assert wide.count() == 3  # no row where no arm observes
