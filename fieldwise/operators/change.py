@@ -123,9 +123,21 @@ def observe_sweep(
     per swept key with the old state columns prefixed ``old_``, the span to
     keep (new if known, else old) and ``reason`` (null = no detail call).
     """
-    n = _now(now)
+    return _decided(_sighted(state, sweep, keys, "left"), now, today, hot_ttl_hours, cold_ttl_hours, refresh_stale_hours)
+
+
+def _sighted(state: DataFrame, sweep: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Sweep rows with their state (``old_`` columns), joined ``how``."""
     old = state.select(*keys, *[F.col(c).alias(f"old_{c}") for c in STATE_COLS])
-    j = sweep.select(*keys, "h", F.col("sd").alias("new_sd"), F.col("sdx").alias("new_sdx")).join(old, list(keys), "left")
+    new = sweep.select(*keys, "h", F.col("sd").alias("new_sd"), F.col("sdx").alias("new_sdx"), F.lit(True).alias("_swept"))
+    return new.join(old, list(keys), how)
+
+
+def _decided(
+    j: DataFrame, now, today: Column, hot_ttl_hours: float, cold_ttl_hours: float, refresh_stale_hours: float | None
+) -> DataFrame:
+    """C3 + C4: the span to keep and the reason for a detail call of each joined row."""
+    n = _now(now)
     sd = F.coalesce(F.col("new_sd"), F.col("old_sd"))
     sdx = F.coalesce(F.col("new_sdx"), F.col("old_sdx"))
     tracked = F.col("old_seen").isNotNull() | F.col("old_h").isNotNull() | F.col("old_t").isNotNull()
@@ -147,6 +159,32 @@ def observe_sweep(
     return j.withColumn("sd", sd).withColumn("sdx", sdx).withColumn("reason", reason)
 
 
+def decide_and_fold(
+    state: DataFrame,
+    sweep: DataFrame,
+    details: DataFrame,
+    keys: Sequence[str],
+    now,
+    today: Column,
+    hot_ttl_hours: float = HOT_TTL_HOURS,
+    cold_ttl_hours: float = COLD_TTL_HOURS,
+    refresh_stale_hours: float | None = None,
+    targeted: DataFrame | None = None,
+) -> DataFrame:
+    """``observe_sweep`` and ``fold_state`` over one full outer join of state and sweep."""
+    j = _decided(_sighted(state, sweep, keys, "full_outer"), now, today, hot_ttl_hours, cold_ttl_hours, refresh_stale_hours)
+    j = j.select(
+        *keys,
+        *[F.col(f"old_{c}").alias(c) for c in STATE_COLS],
+        "_swept",
+        F.col("h").alias("_h"),
+        F.col("sd").alias("_sd"),
+        F.col("sdx").alias("_sdx"),
+        F.when(F.col("_swept"), F.col("reason")).alias("reason"),
+    )
+    return _fold(j, details, keys, now, targeted)
+
+
 def enrichment_candidates(observed: DataFrame, keys: Sequence[str]) -> DataFrame:
     """C4: all keys that get the costly detail call, with the rank of their reason.
 
@@ -177,12 +215,17 @@ def fold_state(
     or not: a 404 marks the key gone at once; a success advances ``t`` and
     ``seen``, keeps the hash of the last sweep and clears a deletion marker.
     """
-    n = _now(now)
     obs = observed.select(
         *keys, F.lit(True).alias("_swept"), F.col("h").alias("_h"), F.col("sd").alias("_sd"), F.col("sdx").alias("_sdx"), "reason"
     )
+    return _fold(state.join(obs, list(keys), "full_outer"), details, keys, now, targeted)
+
+
+def _fold(j: DataFrame, details: DataFrame, keys: Sequence[str], now, targeted: DataFrame | None) -> DataFrame:
+    """The new state from state and sweep side by side, and the detail results."""
+    n = _now(now)
     det = details.select(*keys, F.col("ok").alias("_ok"), F.col("missing").alias("_missing"), F.col("ls").alias("_ls"))
-    j = state.join(obs, list(keys), "full_outer").join(det, list(keys), "left")
+    j = j.join(det, list(keys), "left")
     swept = F.coalesce(F.col("_swept"), F.lit(False))
     called = swept & F.col("reason").isNotNull()
     ok = called & F.coalesce(F.col("_ok"), F.lit(False)) & ~F.coalesce(F.col("_missing"), F.lit(False))

@@ -180,8 +180,7 @@ FROM marked WHERE coalesce(gp, FALSE)
 def _folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     state, sweep, details, manifest = change_inputs(spark, sf_dir)
     today = F.lit(TODAY).cast("date")
-    obs = change.observe_sweep(state, sweep, KEYS, AS_OF, today)
-    new_state = change.fold_state(state, obs, details, KEYS, AS_OF)
+    new_state = change.decide_and_fold(state, sweep, details, KEYS, AS_OF, today)
     sweeps = change.last_complete_sweep(manifest)
     return change.detect_deletions(new_state, sweeps, KEYS, AS_OF)
 
