@@ -8,12 +8,18 @@ ordered scan, so one hot resource does not end up in one task.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .sequence import ordered_scan, within
+# The pandas function of this module runs in Python workers. Pickle it by
+# value so executors need numpy and pandas only, not this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # The event types that trigger a targeted detail read; all
 # others are only marked processed.
@@ -34,10 +40,42 @@ def delivery_hash(*parts: str | Column) -> Column:
 def dedupe_replays(
     df: DataFrame, hash_col: str, ts: str, delay_seconds: float, tiebreak: Sequence[str] = ()
 ) -> DataFrame:
-    """E2 (batch): drop a delivery when the previous delivery with the same hash
-    arrived at most ``delay_seconds`` earlier; later repeats are new events."""
-    scanned = ordered_scan(df, [hash_col], ts, tiebreak)
-    return scanned.filter(~within(F.col("prev_ts"), F.col(ts), delay_seconds)).drop("prev_ts")
+    """E2 (batch): drop a delivery that arrives at most ``delay_seconds`` after the
+    last *kept* one of its hash; later repeats are new events (trap T2: a status
+    that returns every few days comes through again, it does not extend its ban).
+
+    Runs of deliveries without a longer pause begin with a kept one, and only a
+    run that itself lasts longer than the delay holds more. Those rows alone are
+    sorted by run and kept greedily, in one pass with the state of one row.
+    """
+    scanned = ordered_scan(df, [hash_col], ts, tiebreak, gap_seconds=delay_seconds)
+    first = F.col("prev_ts").isNull() | ~within(F.col("prev_ts"), F.col(ts), delay_seconds)
+    late = ~first & ~within(F.col("session_start"), F.col(ts), delay_seconds)
+    run = [hash_col, "session_start"]
+    later = scanned.filter(late).repartition(*run).sortWithinPartitions(*run, ts, *tiebreak)
+    later = later.withColumn("_t", F.unix_micros(ts)).withColumn("_s", F.unix_micros("session_start"))
+    kept = later.mapInPandas(keep_apart(hash_col, int(delay_seconds * 1_000_000)), later.schema)
+    return scanned.filter(first).unionByName(kept.drop("_t", "_s")).drop("prev_ts", "session_start")
+
+
+def keep_apart(key: str, delay_us: int):
+    """Of rows sorted by (key, run start ``_s``, time ``_t``) keep those more than the
+    delay after the last kept row of their run; a run's start counts as kept."""
+
+    def keep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        run, last = None, 0
+        for pdf in batches:
+            keys, starts, times = pdf[key].tolist(), pdf["_s"].tolist(), pdf["_t"].tolist()
+            rows = []
+            for i, (k, s, t) in enumerate(zip(keys, starts, times, strict=True)):
+                if (k, s) != run:
+                    run, last = (k, s), s
+                if t - last > delay_us:
+                    rows.append(i)
+                    last = t
+            yield pdf.iloc[rows]
+
+    return keep
 
 
 def debounce(

@@ -3,7 +3,8 @@
 ``events`` plays the webhook log: ``event_type`` is the event type,
 ``user_id`` the resource, ``ts`` the receive time, ``props`` the payload.
 Re-deliveries are derived from the log by a fixed rule (every sixth event is
-delivered again within the hour, every 35th again eight days later).
+delivered again within the hour, every 35th again eight days later, every 40th
+four times more, six days apart).
 """
 
 from __future__ import annotations
@@ -41,7 +42,16 @@ def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
         k % 35 == 0,
         F.struct((k + 2_000_000_000).alias("delivery_id"), (F.col("ts") + F.expr("INTERVAL 8 DAYS")).alias("received_at")),
     )
-    copies = F.filter(F.array(first, soon, late), lambda x: x.isNotNull())
+    chain = [
+        F.when(
+            k % 40 == 0,
+            F.struct(
+                (k + (2 + i) * 1_000_000_000).alias("delivery_id"), (F.col("ts") + F.make_interval(days=F.lit(6 * i))).alias("received_at")
+            ),
+        )
+        for i in range(1, 5)
+    ]
+    copies = F.filter(F.array(first, soon, late, *chain), lambda x: x.isNotNull())
     d = e.select("event_type", "user_id", "props", F.explode(copies).alias("d"))
     return d.select(
         F.col("d.delivery_id").alias("delivery_id"),
@@ -60,24 +70,33 @@ d AS (
   SELECT event_id + 1000000000, ts + to_minutes(CAST(event_id % 50 AS INTEGER)) + INTERVAL 1 SECOND,
          event_type, user_id, props FROM events WHERE event_id % 6 = 0
   UNION ALL
-  SELECT event_id + 2000000000, ts + INTERVAL 8 DAY, event_type, user_id, props FROM events WHERE event_id % 35 = 0),
+  SELECT event_id + 2000000000, ts + INTERVAL 8 DAY, event_type, user_id, props FROM events WHERE event_id % 35 = 0
+  UNION ALL
+  SELECT event_id + (2 + i) * 1000000000::BIGINT, ts + to_days(CAST(6 * i AS INTEGER)), event_type, user_id, props
+  FROM events, (VALUES (1), (2), (3), (4)) c(i) WHERE event_id % 40 = 0),
 h AS (SELECT *, sha1(event_type || '|' || CAST(user_id AS VARCHAR) || '|' || props) AS hash FROM d)
 """
 
 DEDUPE_SQL = (
-    "WITH "
+    "WITH RECURSIVE "
     + DELIVERIES_SQL
     + f""",
-p AS (SELECT *, lag(received_at) OVER (PARTITION BY hash ORDER BY received_at, delivery_id) AS prev FROM h)
-SELECT delivery_id, hash, received_at FROM p
-WHERE prev IS NULL OR epoch_us(received_at) - epoch_us(prev) > {REPLAY_DELAY_SECONDS * 1_000_000}
+n AS (SELECT delivery_id, hash, received_at, row_number() OVER (PARTITION BY hash ORDER BY received_at, delivery_id) AS i FROM h),
+k AS (
+  SELECT i, hash, delivery_id, received_at, received_at AS last_kept, TRUE AS kept FROM n WHERE i = 1
+  UNION ALL
+  SELECT n.i, n.hash, n.delivery_id, n.received_at,
+         CASE WHEN epoch_us(n.received_at) - epoch_us(k.last_kept) > {REPLAY_DELAY_SECONDS * 1_000_000} THEN n.received_at ELSE k.last_kept END,
+         epoch_us(n.received_at) - epoch_us(k.last_kept) > {REPLAY_DELAY_SECONDS * 1_000_000}
+  FROM k JOIN n ON n.hash = k.hash AND n.i = k.i + 1)
+SELECT delivery_id, hash, received_at FROM k WHERE kept
 """
 )
 
 
 @query("dedupe_events", DEDUPE_SQL, "E2 X20 T2")
 def dedupe_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Re-deliveries within 7 days of the previous delivery of the same hash are dropped."""
+    """Re-deliveries within 7 days of the last kept delivery of the same hash are dropped."""
     d = deliveries(spark, sf_dir)
     kept = ev_ops.dedupe_replays(d, "hash", "received_at", REPLAY_DELAY_SECONDS, tiebreak=["delivery_id"])
     return kept.select("delivery_id", "hash", "received_at")

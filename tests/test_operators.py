@@ -421,3 +421,18 @@ def test_resolving_arms_equals_resolving_their_rows(spark):
     assert wide.columns == long.columns
     assert sorted(map(tuple, wide.collect()), key=repr) == sorted(map(tuple, long.collect()), key=repr)
     assert wide.count() == 3  # no row where no arm observes
+
+
+def test_replays_are_measured_from_the_last_kept_delivery(spark):
+    from fieldwise.operators import events
+
+    days = [0, 6, 12, 18, 24, 30, 7, 14, 50]
+    rows = [("h", D(2026, 1, 1) + dt.timedelta(days=d), i) for i, d in enumerate(days)] + [(None, D(2026, 1, 1), 90), (None, D(2026, 1, 2), 91)]
+    df = spark.createDataFrame(rows, "h string, t timestamp, id int").repartition(3)
+    got = sorted(r.id for r in events.dedupe_replays(df, "h", "t", 7 * 86400, ["id"]).collect())
+    kept, last = [], None
+    for i, d in sorted(enumerate(days), key=lambda x: x[1]):
+        if last is None or d - last > 7:
+            kept.append(i)
+            last = d
+    assert got == sorted([*kept, 90])
