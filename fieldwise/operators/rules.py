@@ -24,7 +24,7 @@ def with_status(df: DataFrame, enum: DataFrame, code_col: str = "status_code") -
     """J8 + X16 + X25: label and flags from the status enum.
 
     Unknown codes stay visible as ``status_<code>``; an unknown code counts as
-    a valid lead and as not booked/lost.
+    a valid lead and as none of booked, completed, cancelled, lost and open.
     """
     dim = bounded_broadcast(keep_bound(enum.withColumnRenamed("status_code", "_enum_code"), enum), 10_000)
     out = df.join(dim, F.col(code_col) == F.col("_enum_code"), "left")
@@ -34,8 +34,11 @@ def with_status(df: DataFrame, enum: DataFrame, code_col: str = "status_code") -
         F.col("status_category"),
         default_true(F.col("is_valid_lead")).alias("is_valid_lead"),
         default_false(F.col("is_booked")).alias("is_booked"),
+        default_false(F.col("is_completed")).alias("is_completed"),
+        default_false(F.col("is_cancelled")).alias("is_cancelled"),
         default_false(F.col("is_lost")).alias("is_lost"),
         default_false(F.col("is_bad_lead")).alias("is_bad_lead"),
+        default_false(F.col("is_open")).alias("is_open"),
     )
 
 

@@ -154,6 +154,9 @@ SELECT o.o_orderkey, o.status_code,
        se.status_category,
        coalesce(se.is_valid_lead, TRUE) AS is_valid_lead,
        coalesce(se.is_booked, FALSE) AS is_booked,
+       coalesce(se.is_completed, FALSE) AS is_completed,
+       coalesce(se.is_cancelled, FALSE) AS is_cancelled,
+       coalesce(se.is_open, FALSE) AS is_open,
        coalesce(se.is_lost, FALSE) AS is_lost,
        coalesce(se.is_bad_lead, FALSE) AS is_bad_lead
 FROM o LEFT JOIN {STATUS_SQL} ON o.status_code = se.status_code
@@ -171,7 +174,7 @@ def status_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Status label and flags from the enum; unknown code visible, counted valid."""
     return _orders_with_status(spark, sf_dir).select(
         "o_orderkey", "status_code", "status_label", "status_category",
-        "is_valid_lead", "is_booked", "is_lost", "is_bad_lead",
+        "is_valid_lead", "is_booked", "is_completed", "is_cancelled", "is_open", "is_lost", "is_bad_lead",
     )
 
 

@@ -306,7 +306,7 @@ def stg_report_lead_status(report: DataFrame, instances: DataFrame) -> DataFrame
     c = lambda h: F.col("r")[h]
     tz = F.col("crm_timezone")
     return r.select(
-        F.concat_ws(":", "source_instance_id", "row_key", text.compact_stamp("report_generated_at")).alias("report_row_key"),
+        text.surrogate_key("source_instance_id", "row_key", text.compact_stamp("report_generated_at")).alias("report_row_key"),
         "source_instance_id", "entity_id", "report_generated_at", "row_key",
         _nn(c("Quote #")).alias("quote_number"), _nn(c("Status")).alias("status_raw"),
         _nn(c("Lead Status")).alias("pipeline_status"), _nn(c("Branch Name")).alias("branch_name"),
@@ -434,8 +434,12 @@ def core_opportunities(obs: DataFrame, instances: DataFrame, status_enum: DataFr
 
 def core_jobs(enr_jobs: DataFrame, sweep_jobs: DataFrame, opportunities: DataFrame) -> DataFrame:
     """Jobs resolved from the detail and the sweep; the job's own opportunity fields joined."""
-    cols = {"job_number": "string", "service_date": "date", "external_opportunity_id": "string", "service_type_id": "bigint"}
-    keys = ["job_key", "source_instance_id", OPP_KEY, "external_job_id"]
+    # the opportunity is a field like the others: a job that two sources attach to different ones stays one job
+    cols = {
+        "job_number": "string", "service_date": "date", OPP_KEY: "string", "external_opportunity_id": "string",
+        "service_type_id": "bigint",
+    }
+    keys = ["job_key", "source_instance_id", "external_job_id"]
 
     def arm(df, source):
         d = df.withColumn("job_key", text.surrogate_key("source_instance_id", "external_job_id"))
@@ -451,14 +455,17 @@ def core_jobs(enr_jobs: DataFrame, sweep_jobs: DataFrame, opportunities: DataFra
 
 
 def core_leads(leads: DataFrame, instances: DataFrame, status_enum: DataFrame,
-               referral: DataFrame, zips: DataFrame) -> DataFrame:
-    """J8 + X16 + X22 + X10: status label, disposition and local dates per lead;
-    tier 2: referral channel by normalised source name (J9) and ZIP -> city/state fill."""
-    inst = bounded_broadcast(instances.select(F.col("instance_id").alias("source_instance_id"), F.col("timezone").alias("local_tz")))
+               referral: DataFrame, zips: DataFrame, branch_tz: DataFrame) -> DataFrame:
+    """J8 + X16 + X22 + X10 + X24: status label, disposition and local dates per lead, in
+    the branch's zone or else the instance's; tier 2: referral channel by normalised source name (J9) and ZIP -> city/state fill."""
+    inst = bounded_broadcast(instances.select(F.col("instance_id").alias("source_instance_id"), F.col("timezone").alias("_itz")))
+    bz = branch_tz.select("source_instance_id", F.col("branch_name").alias("_bz_branch"), F.col("timezone").alias("_btz"))
     ref = referral.select(F.col("referral_source_raw").alias("_ref_raw"), F.col("channel_group").alias("referral_channel"),
                           F.col("is_paid").alias("referral_is_paid"))
     zp = zips.select(F.col("zip").alias("origin_zip"), F.col("city").alias("_zip_city"), F.col("state").alias("_zip_state"))
     l = leads.join(inst, "source_instance_id", "left")
+    l = norm_key_join(l, bz, "branch_name", "_bz_branch", extra_keys=["source_instance_id"], key_name="_bz_key")
+    l = l.withColumn("local_tz", zone_of("_btz", "_itz"))
     l = norm_key_join(l, ref, "referral_source", "_ref_raw", key_name="_ref_key").drop("_ref_key")
     l = l.join(zp, "origin_zip", "left").withColumn("origin_city", F.coalesce("origin_city", "_zip_city")).withColumn(
         "origin_state", F.coalesce("origin_state", "_zip_state")
@@ -688,7 +695,7 @@ def crm_registry(as_of: str) -> Registry:
     add(Model("core_lines_of_business", "core", core_lines_of_business,
               ["core_jobs", "dim_service_types", "dim_lob_branch", "dim_instance"], partition_by=["source_instance_id"]))
     add(Model("core_leads", "core", core_leads,
-              ["stg_leads", "dim_instance", "dim_opportunity_status", "dim_referral_source", "dim_zip"],
+              ["stg_leads", "dim_instance", "dim_opportunity_status", "dim_referral_source", "dim_zip", "branch_timezone"],
               partition_by=["source_instance_id"]))
     add(Model("core_opportunity_charges", "core", core_opportunity_charges,
               ["stg_opportunity_job_charges", "core_opportunities"], partition_by=["source_instance_id"]))

@@ -176,7 +176,8 @@ def test_crm_models_end_to_end(spark):
     assert (leads["i1:L1"].origin_city, leads["i1:L1"].origin_state) == ("Seattle", "WA")  # filled from the ZIP
     assert leads["i1:L2"].origin_city == "Tacoma" and leads["i1:L3"].origin_city is None
     today = sorted(r.lead_key for r in out["leads_today_v1"].collect())
-    assert today == ["i1:L1", "i1:L2"]  # L2 is 22:00 on Aug 13 in Los Angeles
+    assert today == ["i1:L1", "i1:L2"]  # L2 is 23:00 on Aug 13 in the branch's zone
+    assert leads["i1:L2"].local_tz == "America/Denver" and leads["i1:L2"].created_at_local.hour == 23
 
     rpt = out["stg_report_lead_status"].filter("row_key = '1001'").first()
     assert rpt.received_at_utc == D(2026, 8, 10, 14, 16) and rpt.time_to_contact_minutes == 65
@@ -186,6 +187,28 @@ def test_crm_models_end_to_end(spark):
     assert failing == []
 
 
+def test_a_job_two_sources_attach_differently_stays_one(spark):
+    schema = (
+        "source_instance_id string, external_job_id string, opportunity_key string, external_opportunity_id string,"
+        " job_number string, service_date date, service_type_id bigint, observed_at timestamp"
+    )
+    day = dt.date(2026, 8, 1)
+    detail = spark.createDataFrame([("i1", "J1", "i1:O1", "O1", "1-1", day, 1, D(2026, 8, 1))], schema)
+    sweep = spark.createDataFrame([("i1", "J1", "i1:O2", "O2", "1-1", day, 2, D(2026, 8, 2))], schema)
+    opps = spark.createDataFrame(
+        [("i1:O2", "t1", "Name", "Main", "Booked", D(2026, 8, 3))],
+        "opportunity_key string, entity_id string, customer_name string, branch_name string, status_label string, synced_at timestamp",
+    )
+    (job,) = crm.core_jobs(detail, sweep, opps).collect()
+    assert (job.job_key, job.opportunity_key, job.external_opportunity_id, job.customer_name) == ("i1:J1", "i1:O2", "O2", "Name")
+
+
+def test_charge_lines_without_an_opportunity_are_kept(spark):
+    charges = spark.createDataFrame([("i1:X", "c1")], "opportunity_key string, charge_key string")
+    opps = spark.createDataFrame([], "opportunity_key string, entity_id string, source_instance_id string, synced_at timestamp")
+    assert crm.core_opportunity_charges(charges, opps).count() == 1
+
+
 def test_crm_selective_rebuild_only_touches_downstream(spark):
     r = crm.crm_registry(AS_OF)
     todo = r.downstream(["report_booked_opportunities"])
