@@ -43,8 +43,9 @@ HELD_OUT_MODULUS = 5
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Added to each count, and the log frequency of what a language lacks.
 SMOOTH = 0.5
-#: Words and rows of scores a task remembers at once.
+#: Words of at most ``LONGEST_WORD`` characters are remembered, so many at once.
 REMEMBERED = 200_000
+LONGEST_WORD = 100
 
 
 def words_of(text: str | None) -> list[str]:
@@ -64,36 +65,51 @@ class Model:
     words: dict[str, list[float]]
     grams: dict[str, list[float]]
     longest: int = LONGEST_GRAM
-    _rows: dict[str, np.ndarray] = field(default_factory=dict, repr=False)
+    _rows: dict[str, int] = field(default_factory=dict, repr=False)
+    _scores: np.ndarray | None = field(default=None, repr=False)
 
-    def backoff(self, word: str) -> np.ndarray:
+    def backoff(self, word: str) -> list[float]:
         padded = f"_{word}_"
+        get = self.grams.get
         for n in range(min(self.longest, len(padded)), 0, -1):
-            known = [g for i in range(len(padded) - n + 1) if (g := self.grams.get(padded[i : i + n]))]
+            known = [g for i in range(len(padded) - n + 1) if (g := get(padded[i : i + n]))]
             if known:
-                return np.mean(np.array(known), axis=0)
-        return np.zeros(len(self.langs))
-
-    def word_scores(self, word: str) -> np.ndarray:
-        if (row := self._rows.get(word)) is None:
-            known = self.words.get(word)
-            row = np.array(known) if known else self.backoff(word)
-            if len(self._rows) >= REMEMBERED:
-                self._rows.clear()
-            if len(word) <= 100:
-                self._rows[word] = row
-        return row
+                return [sum(x) / len(known) for x in zip(*known, strict=True)]
+        return [0.0] * len(self.langs)
+
+    def word_scores(self, word: str) -> list[float]:
+        return self.words.get(word) or self.backoff(word)
+
+    def _places(self, words: list[str]) -> list[int]:
+        """Rows of the words' scores in the table of remembered words."""
+        if self._scores is None or len(self._rows) + len(words) > len(self._scores):
+            self._rows.clear()
+            self._scores = np.zeros((max(REMEMBERED, len(words)), len(self.langs)))
+        rows, out = self._rows, []
+        for word in words:
+            if (at := rows.get(word)) is None:
+                at = rows[word] = len(rows)
+                self._scores[at] = self.word_scores(word)
+            out.append(at)
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
         words = words_of(text)
         if not words or not self.langs:
             return UNDETERMINED, 0.0
         total = np.array(self.prior)
-        for word, n in Counter(words).items():
-            total = total + n * self.word_scores(word)
+        if long := [w for w in words if len(w) > LONGEST_WORD]:  # not remembered
+            total = total + np.sum([self.word_scores(w) for w in long], axis=0)
+            words = [w for w in words if len(w) <= LONGEST_WORD]
+        if words:
+            total = total + self._scores_of(words)
         best = int(np.argmax(total))
         return self.langs[best], float(1.0 / np.exp(total - total[best]).sum())
 
+    def _scores_of(self, words: list[str]) -> np.ndarray:
+        places = self._places(words)
+        return self._scores[places].sum(axis=0)
+
 
 def word_counts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     """(lang, word, n) over all rows; counted batch by batch before the shuffle."""
