@@ -22,7 +22,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 7: rows that the repetition rules reject go."""
-    return repetition.judge(docs, tuple(docs.columns)).filter("kept").select(*docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), "text")  # no clash with the measures' names
+    return repetition.judge(rows, ("_doc",)).filter("kept").select("_doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

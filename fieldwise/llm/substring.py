@@ -285,13 +285,13 @@ def removal_mask(words: Sequence[bytes], parts: Sequence[tuple[int, bytes, bytes
 
 
 def _with_parts(docs: DataFrame, id_col: str, text_col: str, keep: Sequence[str], window: int) -> DataFrame:
-    """``keep`` columns, the text and the removed windows of its id."""
+    """``keep`` columns as one struct, the text and the removed windows of its id."""
     gone = removed_windows(docs, id_col, text_col, window)
     by_id = gone.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("doc_key", "first", "count")).alias("_parts"))
     rows = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("_id"), F.col(text_col).cast("string").alias("_text"), *keep
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("_id"), F.col(text_col).cast("string").alias("_text"), F.struct(*keep).alias("_doc")
     )
-    return rows.join(by_id, "_id", "left").select(*keep, "_text", "_parts")
+    return rows.join(by_id, "_id", "left").select("_doc", "_text", "_parts")
 
 
 def _parts(values: list | None) -> list[tuple[int, bytes, bytes]]:
@@ -312,12 +312,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
             out.append(b" ".join([w for w, m in zip(words, mask.tolist(), strict=True) if not m]).decode("utf-8"))
         return pd.Series(out)
 
-    return rows.withColumn(text_col, kept("_text", "_parts")).select(*docs.columns)
+    return rows.select("_doc.*", kept("_text", "_parts").alias(text_col)).select(*docs.columns)
 
 
 def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256) of every row."""
-    rows = _with_parts(docs, id_col, text_col, [id_col], window)
+    rows = _with_parts(docs, id_col, text_col, [id_col], window).select(f"_doc.{id_col}", "_text", "_parts")
 
     def run(batches):
         for b in batches:

@@ -146,3 +146,7 @@ def test_substring_dedup_of_odd_rows(odd, empty):
     assert rows[100].n_removed == 0 and rows[101].n_removed == 60
     assert rows[1].n_words == 0 and rows[2].kept_sha256 == hashlib.sha256(b"").hexdigest()
     assert substring.digests(empty).count() == 0
+    df = odd(passage, "x " + passage)
+    kept = substring.dedup(df)
+    assert kept.columns == df.columns and kept.dtypes == df.dtypes
+    assert {r.text for r in kept.filter("doc_id in (101, 5)").collect()} == {"x", "twice"}

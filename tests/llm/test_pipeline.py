@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from fieldwise.llm import queries, repetition
@@ -48,6 +49,15 @@ def test_stages_keep_the_columns_of_documents(spark):
         assert len(ids) == len(set(ids)) and (name != "quality_rules" or set(ids) == kept)
 
 
+def test_stages_take_odd_rows_and_clashing_columns(spark, odd):
+    df = odd("a clean text of some length " + " ".join(f"w{i}" for i in range(40))).withColumn("n_words", F.lit(1))
+    for name, stage in corpus_pipeline.STAGES:
+        for docs in (df, df.limit(0)):
+            out = stage(spark, docs, SMALL)
+            assert name == "encoding" or out.columns == docs.columns
+            assert out.count() <= docs.count()
+
+
 def test_the_pipeline_on_planted_rows(spark, tmp_path):
     import random
 
