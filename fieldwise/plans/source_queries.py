@@ -63,6 +63,8 @@ def delivery_mails(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.upper(alias).alias("to_header"),
         F.lit("Ops <ops@example.com>").alias("cc"),
         body.alias("body"),
+        F.concat(F.lit("Report for "), inst).alias("subject"),
+        F.lit("reports@crm.example.com").alias("sender"),
         date_header.alias("date_header"),
     )
 
@@ -98,6 +100,8 @@ SELECT len(errs) = 0 AS is_valid, nullif(array_to_string(errs, ' | '), '') AS er
   CASE WHEN good_date THEN g END AS report_generated_at,
   CAST(n AS INTEGER) AS expected_records,
   CASE WHEN has_link THEN fname END AS file_name,
+  CASE WHEN has_link THEN 'https://app.example.com/report-exports/' || CASE WHEN known_file THEN 'Lead-Status-' ELSE 'summary-' END || stamp || '.xlsx' END AS download_url,
+  'Report for ' || source_instance_id AS subject, 'reports@crm.example.com' AS sender,
   source_instance_id || '-' || stamp AS message_id,
   alias || ', ops@example.com' AS to_address
 FROM e
@@ -108,7 +112,7 @@ FROM e
 def report_manifest_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each delivery attributed to instance and report type, or every problem listed."""
     mails = delivery_mails(spark, sf_dir)
-    return report_manifest(mails, MAIL_ALIASES, ["delivered_to", "to_header", "cc"])
+    return report_manifest(mails, MAIL_ALIASES, ["delivered_to", "to_header", "cc"], carry=["subject", "sender"])
 
 
 ADDR = r"""[^\s<>,;"]+@[^\s<>,;"]+"""
