@@ -27,6 +27,7 @@ from ..operators.joins import bounded_broadcast, norm_key_join
 from ..operators.resolve import Candidates, resolve
 from ..operators.union import ArmSpec, stack_observations
 from ..sources.nested import flatten, grandchildren
+from . import all_jobs
 from .registry import Model, Registry
 
 OPP_KEY = "opportunity_key"
@@ -34,7 +35,8 @@ OPP_KEY = "opportunity_key"
 # Observation sources and their priorities (lower wins a tie
 # inside one source's history).
 ENR, WHK, SWP, DEL, RPT, BKD = "api_enrichment", "webhook", "api_sweep", "deletion", "report_lead_status", "report_booked"
-PRIORITY = {ENR: 1, WHK: 2, SWP: 3, DEL: 4, RPT: 5, BKD: 6}
+AJO, RPJ = "jobs_attribution", "report_all_jobs"
+PRIORITY = {ENR: 1, WHK: 2, SWP: 3, DEL: 4, RPT: 5, BKD: 6, AJO: 7, RPJ: 8}
 
 # The opportunity candidate table, most authoritative first.
 OPPORTUNITY_CANDIDATES = Candidates(
@@ -48,16 +50,16 @@ OPPORTUNITY_CANDIDATES = Candidates(
         "customer_email": [BKD, ENR, SWP],
         "customer_phone": [BKD, ENR, SWP],
         "customer_address": [SWP],
-        "branch_name": [ENR, RPT],
-        "referral_source": [ENR, RPT],
+        "branch_name": [ENR, RPT, AJO],
+        "referral_source": [ENR, RPT, AJO],
         "estimated_final_total": [ENR, RPT, BKD],
         "estimated_subtotal": [ENR],
         "estimated_tax": [ENR],
         "volume": [ENR, RPT],
         "weight": [ENR, RPT],
-        "sales_assignee_name": [ENR, RPT],
-        "estimator_name": [ENR, RPT],
-        "move_coordinator_name": [ENR, RPT],
+        "sales_assignee_name": [ENR, RPT, AJO],
+        "estimator_name": [AJO, ENR, RPT],
+        "move_coordinator_name": [AJO, ENR, RPT],
         "opportunity_type_code": [ENR],
         "created_at_utc": [ENR],
         "invoiced_amount": [BKD],
@@ -377,7 +379,7 @@ def _bridged(report: DataFrame, xwalk: DataFrame) -> DataFrame:
     )
 
 
-def int_opportunity_observations(enr, sweep, hooks, deletions, rpt, bkd, xwalk) -> DataFrame:
+def int_opportunity_observations(enr, sweep, hooks, deletions, rpt, bkd, xwalk, attribution) -> DataFrame:
     """Every arm by name into one long table (the candidate table decides who counts)."""
 
     def arm(df, source, ts, **values):
@@ -405,6 +407,7 @@ def int_opportunity_observations(enr, sweep, hooks, deletions, rpt, bkd, xwalk)
         arm(_bridged(bkd, xwalk), BKD, "report_generated_at",
             **same(bkd, ["pipeline_status", "customer_name", "customer_email", "customer_phone",
                          "estimated_final_total", "invoiced_amount", "booked_date_local"])),
+        arm(attribution, AJO, "observed_at", **same(attribution, all_jobs.ATTRIBUTED.values())),
     ]
     out = arms[0]
     for a in arms[1:]:
@@ -432,8 +435,11 @@ def core_opportunities(obs: DataFrame, instances: DataFrame, status_enum: DataFr
     return rules.with_status(out, status_enum)
 
 
-def core_jobs(enr_jobs: DataFrame, sweep_jobs: DataFrame, opportunities: DataFrame) -> DataFrame:
-    """Jobs resolved from the detail and the sweep; the job's own opportunity fields joined."""
+def core_jobs(
+    enr_jobs: DataFrame, sweep_jobs: DataFrame, opportunities: DataFrame, report: DataFrame | None = None
+) -> DataFrame:
+    """Jobs resolved from the detail, the sweep and the all-jobs report, with the opportunity's
+    fields (J10) and the depth of the newest report row (J11): costs, crew, addresses, times."""
     # the opportunity is a field like the others: a job that two sources attach to different ones stays one job
     cols = {
         "job_number": "string", "service_date": "date", OPP_KEY: "string", "external_opportunity_id": "string",
@@ -448,10 +454,29 @@ def core_jobs(enr_jobs: DataFrame, sweep_jobs: DataFrame, opportunities: DataFra
         )
 
     obs = arm(enr_jobs, ENR).unionByName(arm(sweep_jobs, SWP))
-    cands = Candidates(fields={c: [ENR, SWP] for c in cols})
-    jobs = resolve(obs, keys, cands)
+    sources = {c: [ENR, SWP] for c in cols}
+    if report is not None:
+        seen = {"job_number": F.col("job_number"), "service_date": F.col("service_date_local")}
+        rows = report.withColumn("job_key", text.surrogate_key("source_instance_id", "external_job_id"))
+        obs = obs.unionByName(stack_observations(rows, keys, [ArmSpec(RPJ, PRIORITY[RPJ], F.col("observed_at"), seen)], cols))
+        sources |= {c: [ENR, SWP, RPJ] for c in seen}
+    jobs = resolve(obs, keys, Candidates(fields=sources))
     opp = opportunities.select(OPP_KEY, "entity_id", "customer_name", "branch_name", "status_label", F.col("synced_at").alias("_opp_synced"))
-    return jobs.join(opp, OPP_KEY, "left").withColumn("synced_at", F.greatest("synced_at", "_opp_synced")).drop("_opp_synced")
+    jobs = jobs.join(opp, OPP_KEY, "left").withColumn("synced_at", F.greatest("synced_at", "_opp_synced")).drop("_opp_synced")
+    if report is None:
+        return jobs.withColumn("job_type_name", F.lit(None).cast("string"))
+    depth = [c for c in report.columns if c not in {*jobs.columns, "observed_at", "service_date_local"}]
+    own = report.select(
+        "job_key", F.col("entity_id").alias("_entity"), F.col("branch_name").alias("_branch"), F.col("customer_name").alias("_customer"), *depth
+    )
+    jobs = jobs.join(own, "job_key", "left")
+    # the job's own branch wins over the opportunity's; a job that only the report knows keeps its tenant
+    return (
+        jobs.withColumn("branch_name", F.coalesce("_branch", "branch_name"))
+        .withColumn("entity_id", F.coalesce("entity_id", "_entity"))
+        .withColumn("customer_name", F.coalesce("customer_name", "_customer"))
+        .drop("_branch", "_entity", "_customer")
+    )
 
 
 def core_leads(leads: DataFrame, instances: DataFrame, status_enum: DataFrame,
@@ -505,9 +530,7 @@ def core_lines_of_business(jobs: DataFrame, service_types: DataFrame, lob_branch
     st = service_types.select(
         "source_instance_id", F.col("id").alias("service_type_id"), _nn("name").alias("service_type_name")
     )
-    j = jobs.join(st, ["source_instance_id", "service_type_id"], "left").withColumn(
-        "job_type_name", F.lit(None).cast("string")
-    )
+    j = jobs.join(st, ["source_instance_id", "service_type_id"], "left")
     out = rules.classify_lob(j, lob_branch, instances, "job_type_name", "service_type_name", "branch_name")
     return out.select(
         "job_key", "source_instance_id", "entity_id", "external_job_id", "service_date", "branch_name",
@@ -656,7 +679,7 @@ def leads_today_v1(as_of: str):
 
 RAW = [
     "leads", "opportunities_enriched", "customers_service_window", "report_lead_status",
-    "report_booked_opportunities", "webhook_events", "opportunity_deletions", "dim_instance",
+    "report_booked_opportunities", "report_all_jobs", "webhook_events", "opportunity_deletions", "dim_instance",
     "dim_opportunity_status", "branch_timezone", "dim_branches", "dim_service_types", "dim_lob_branch",
     "dim_referral_source", "dim_zip",
 ]
@@ -674,6 +697,10 @@ def crm_registry(as_of: str) -> Registry:
     add(Model("stg_sweep_jobs", "staging", stg_sweep_jobs, ["stg_sweep"]))
     add(Model("stg_report_lead_status", "staging", stg_report_lead_status, ["report_lead_status", "dim_instance"]))
     add(Model("stg_report_booked", "staging", stg_report_booked, ["report_booked_opportunities"]))
+    add(Model("stg_report_all_jobs", "staging", all_jobs.stg_report_all_jobs, ["report_all_jobs"]))
+    add(Model("int_report_all_jobs_latest", "intermediate", all_jobs.int_report_all_jobs_latest, ["stg_report_all_jobs"]))
+    add(Model("int_job_attribution", "intermediate", all_jobs.int_job_attribution,
+              ["int_report_all_jobs_latest", "stg_opportunity_jobs", "stg_sweep_jobs"]))
     add(Model("stg_webhook_status", "staging", stg_webhook_status, ["webhook_events"]))
     add(Model("stg_branches", "staging", stg_branches, ["dim_branches"]))
     add(Model("stg_opportunity_payments", "staging", stg_opportunity_payments, ["opportunities_enriched"]))
@@ -685,11 +712,11 @@ def crm_registry(as_of: str) -> Registry:
     add(Model("int_quote_crosswalk", "intermediate", int_quote_crosswalk, ["stg_opportunities_enriched", "stg_sweep"]))
     add(Model("int_opportunity_observations", "intermediate", int_opportunity_observations,
               ["stg_opportunities_enriched", "stg_sweep", "stg_webhook_status", "opportunity_deletions",
-               "stg_report_lead_status", "stg_report_booked", "int_quote_crosswalk"]))
+               "stg_report_lead_status", "stg_report_booked", "int_quote_crosswalk", "int_job_attribution"]))
     add(Model("int_status_latest", "intermediate", int_status_latest, ["stg_webhook_status", "dim_opportunity_status"]))
     add(Model("core_opportunities", "core", core_opportunities,
               ["int_opportunity_observations", "dim_instance", "dim_opportunity_status"], partition_by=["source_instance_id"]))
-    add(Model("core_jobs", "core", core_jobs, ["stg_opportunity_jobs", "stg_sweep_jobs", "core_opportunities"],
+    add(Model("core_jobs", "core", core_jobs, ["stg_opportunity_jobs", "stg_sweep_jobs", "core_opportunities", "int_report_all_jobs_latest"],
               partition_by=["source_instance_id"]))
     add(Model("core_branches", "core", core_branches, ["stg_branches", "branch_timezone", "dim_instance"]))
     add(Model("core_lines_of_business", "core", core_lines_of_business,

@@ -17,7 +17,7 @@ from ..functions.text import compact_stamp, surrogate_key
 from ..operators import access, bridge, change, merge, sequence
 from ..sources import seeds
 from ..sources.tables import attach_tenant, read_detail, read_window, stamp
-from . import crm
+from . import all_jobs, crm
 from .catalog import query, table
 from .roles import INSTANCES_SQL, ORDERS_IN_BRANCHES_SQL, orders_in_branches, values_sql
 
@@ -280,3 +280,47 @@ def previous_event(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each event's previous event of the same user, by the skew-safe ordered scan."""
     e = table(spark, sf_dir, "events", "event_id", "ts", "user_id")
     return sequence.previous_in_key(e, ["user_id"], "ts", ["event_id"]).select("event_id", "prev_ts")
+
+
+ALL_JOBS_SQL = f"""
+WITH r AS (
+  SELECT CAST(l_orderkey AS VARCHAR) || '-' || l_linenumber AS job, l_orderkey, l_linenumber, l_extendedprice, l_shipdate, l_returnflag, l_quantity, i.instance_id
+  FROM lineitem JOIN {INSTANCES_SQL} ON i.r_regionkey = l_orderkey % 5),
+w AS (SELECT *, row_number() OVER (PARTITION BY instance_id, job ORDER BY l_shipdate DESC, l_extendedprice DESC, l_quantity DESC, l_returnflag DESC) AS k FROM r)
+SELECT instance_id || ':' || job AS job_key, CAST(l_orderkey AS VARCHAR) AS quote_number, CAST(l_shipdate AS DATE) AS service_date_local,
+       CAST(l_extendedprice AS DECIMAL(18,2)) AS total_actual_cost, CASE l_returnflag WHEN 'A' THEN TRUE WHEN 'N' THEN FALSE END AS move_date_is_tbd,
+       CAST(l_quantity AS DECIMAL(18,4)) AS volume_cuft, l_shipdate + INTERVAL 15 HOUR AS start_at_utc, CAST(NULL AS VARCHAR) AS crew_member_names
+FROM w WHERE k = 1
+"""
+
+
+@query("report_all_jobs", ALL_JOBS_SQL, "X2 X4 X5 X6 X8 X13 X14 N2")
+def report_all_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items rendered as rows of the all-jobs report, typed, newest row of each job."""
+    li = table(
+        spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_extendedprice", "l_shipdate", "l_returnflag", "l_quantity"
+    )
+    inst = seeds.instances(spark).select("r_regionkey", "instance_id", "entity_id")
+    li = li.join(inst, F.col("l_orderkey") % 5 == F.col("r_regionkey"))
+    flag = F.col("l_returnflag")
+    job = F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
+    cents = F.col("l_extendedprice").cast("decimal(18,2)")
+    cells = F.create_map(
+        F.lit("Job Id"), job,
+        F.lit("Job Number"), job,
+        F.lit("Job Date"), F.date_format("l_shipdate", "M/d/yyyy"),
+        F.lit("Total Actual Cost"), F.concat(F.lit("$"), cents.cast("string")),
+        F.lit("Move Date Is TBD"), F.when(flag == "A", "Yes").when(flag == "N", "no").otherwise("--"),
+        F.lit("Volume"), F.concat(F.col("l_quantity").cast("decimal(18,4)").cast("string"), F.lit(" cuft / 9 lbs")),
+        F.lit("Start Time Utc"), F.concat(F.date_format("l_shipdate", "M/d/yyyy"), F.lit(" 8:00:00 AM -07:00")),
+    )
+    # the newest row of a job: by ship date, then by a rendering that sorts like the oracle's order
+    order = F.concat_ws("|", F.lpad(cents.cast("string"), 20, "0"), F.lpad(F.col("l_quantity").cast("decimal(18,4)").cast("string"), 20, "0"), flag)
+    report = li.select(
+        F.col("instance_id").alias("source_instance_id"), "entity_id", F.col("l_shipdate").alias("report_generated_at"), job.alias("row_key"),
+        F.to_json(F.map_concat(F.create_map(F.lit("_order"), order), cells)).alias("row_data"),
+    )
+    latest = all_jobs.int_report_all_jobs_latest(all_jobs.stg_report_all_jobs(report))
+    return latest.select(
+        "job_key", "quote_number", "service_date_local", "total_actual_cost", "move_date_is_tbd", "volume_cuft", "start_at_utc", "crew_member_names"
+    )

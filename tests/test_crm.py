@@ -106,7 +106,20 @@ def _inputs(spark):
     )
     service_types = spark.createDataFrame([("i1", 1, "Commercial Move")], "source_instance_id string, id bigint, name string")
     lob_branch = spark.createDataFrame([("i1", "Main Office", "local")], "source_instance_id string, branch_name string, line_of_business string")
+    def job_row(**cells):
+        return json.dumps({k.replace("_", " "): v for k, v in cells.items()})
+
+    all_jobs = spark.createDataFrame([
+        # the detail call and the report row are of one time: the report leads for the estimator, the detail for sales
+        ("i1", "t1", D(2026, 8, 10), "J1", job_row(Job_Id="J1", Job_Number="1001-1", Job_Date="8/15/2026", Estimator_Name="Report Est",
+         Sales_Person_Name="Report Sales", Job_Type="Local Move", Total_Actual_Cost="$1,234.50", Origin_City="Seattle",
+         Start_Time_Utc="8/15/2026 8:45:00 AM -07:00", Move_Date_Is_TBD="No", Volume="525 cuft / 3698 lbs", Branch_Name="Main Office")),
+        ("i1", "t1", D(2026, 8, 1), "J1", job_row(Job_Id="J1", Job_Number="1001-1", Total_Actual_Cost="$1.00")),
+        ("i1", "t1", D(2026, 8, 10), "J9", job_row(Job_Id="J9", Job_Number="7777-2", Job_Date="8/16/2026", Customer_Name="Only Here")),
+        ("i1", "t1", D(2026, 8, 10), "", job_row(Job_Id=" ", Job_Number="x")),
+    ], REPORT_SCHEMA)
     return {
+        "report_all_jobs": all_jobs,
         "leads": leads, "opportunities_enriched": opps, "customers_service_window": sweep, "report_lead_status": rpt,
         "report_booked_opportunities": bkd, "webhook_events": hooks, "opportunity_deletions": dels,
         "dim_instance": inst, "dim_opportunity_status": seeds.status_enum(spark), "branch_timezone": btz,
@@ -135,15 +148,17 @@ def test_crm_models_end_to_end(spark):
     unmatched = {r.row_key: r.reason for r in out["mart_unmatched_report_rows"].collect()}
     assert unmatched == {"9999": "quote_not_in_api", "blank": "no_quote_number"}
 
-    jobs = out["core_jobs"].collect()
-    assert len(jobs) == 1 and jobs[0].service_date == dt.date(2026, 8, 16)
+    jobs = {r.job_key: r for r in out["core_jobs"].collect()}
+    assert set(jobs) == {"i1:J1", "i1:J9"} and jobs["i1:J1"].service_date == dt.date(2026, 8, 16)
     up = crm.read_upcoming(out["jobs_upcoming_v1"]).collect()
-    assert [(r.job_key, r.timezone, r.days_until) for r in up] == [("i1:J1", "America/Denver", 3)]
+    assert [(r.job_key, r.timezone, r.days_until) for r in up] == [
+        ("i1:J9", "America/Los_Angeles", 3), ("i1:J1", "America/Denver", 3),
+    ]
 
     br = {r.external_branch_id: (r.timezone, r.has_timezone_override) for r in out["core_branches"].collect()}
     assert br == {"B1": ("America/Denver", True), "B2": ("America/Los_Angeles", False)}
-    lob = out["core_lines_of_business"].collect()
-    assert [(r.line_of_business, r.lob_source, r.is_unclassified) for r in lob] == [("commercial", "service_type", False)]
+    lob = {r.job_key: (r.line_of_business, r.lob_source, r.is_unclassified) for r in out["core_lines_of_business"].collect()}
+    assert lob == {"i1:J1": ("commercial", "service_type", False), "i1:J9": ("long_distance", "instance", False)}
 
     pays = out["core_opportunity_payments"].collect()
     assert [(p.opportunity_key, float(p.amount), p.entity_id) for p in pays] == [("i1:O1", 250.0, "t1")]
@@ -164,7 +179,7 @@ def test_crm_models_end_to_end(spark):
     q = [(r.opportunity_key, r.reason) for r in out["mart_enrichment_candidates"].collect()]
     assert q == [("i1:O1", "status_differs")]
     assert out["opportunities_v1"].columns == [f.name for f in crm.OPPORTUNITIES_V1.fields]
-    assert [r.job_key for r in out["jobs_v1"].collect()] == ["i1:J1"]
+    assert sorted(r.job_key for r in out["jobs_v1"].collect()) == ["i1:J1", "i1:J9"]
 
     charges = out["core_opportunity_charges"].groupBy("charge_kind").agg(F.sum("total_cost").alias("t")).collect()
     assert {r.charge_kind: r.t for r in charges} == {"estimated": 800, "actual": 850}
@@ -179,6 +194,13 @@ def test_crm_models_end_to_end(spark):
     assert today == ["i1:L1", "i1:L2"]  # L2 is 23:00 on Aug 13 in the branch's zone
     assert leads["i1:L2"].local_tz == "America/Denver" and leads["i1:L2"].created_at_local.hour == 23
 
+    assert float(jobs["i1:J1"].total_actual_cost) == 1234.5
+    assert jobs["i1:J1"].start_at_utc == D(2026, 8, 15, 15, 45) and jobs["i1:J1"].move_date_is_tbd is False
+    assert (jobs["i1:J1"].origin_city, float(jobs["i1:J1"].volume_cuft), jobs["i1:J1"].quote_number) == ("Seattle", 525.0, "1001")
+    assert (jobs["i1:J9"].customer_name, jobs["i1:J9"].entity_id, jobs["i1:J9"].opportunity_key) == ("Only Here", "t1", None)
+    core = {r.opportunity_key: r for r in out["core_opportunities"].collect()}
+    assert (core["i1:O1"].estimator_name, core["i1:O1"].sales_assignee_name) == ("Report Est", "Ann")
+
     rpt = out["stg_report_lead_status"].filter("row_key = '1001'").first()
     assert rpt.received_at_utc == D(2026, 8, 10, 14, 16) and rpt.time_to_contact_minutes == 65
 
