@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import casts, text
-from ..functions.json import json_struct
+from ..functions.json import json_field, json_struct
 from ..operators import bridge
 from ..operators.resolve import newest_row
 
@@ -133,11 +133,18 @@ def stg_report_all_jobs(report: DataFrame) -> DataFrame:
     )
 
 
-def int_report_all_jobs_latest(stg: DataFrame) -> DataFrame:
-    """The newest row of each job (ties by row text); a partial aggregation, not a window."""
-    rows = stg.filter(F.col("external_job_id").isNotNull()).withColumnRenamed("report_generated_at", "observed_at")
-    keep = [c for c in rows.columns if c not in ("job_key", "report_row_key", "row_key", "row_data")]
-    return newest_row(rows, ["job_key"], [F.col("observed_at"), F.col("row_data")], keep=keep)
+def int_report_all_jobs_latest(report: DataFrame) -> DataFrame:
+    """The newest row of each job (ties by row text), typed.
+
+    The landed rows are collapsed first, by a partial aggregation over their
+    text, and only the winners are parsed and typed.
+    """
+    job_id = text.blank_to_null(json_field("row_data", JOB_ID))
+    rows = report.withColumn("_job", job_id).filter(F.col("_job").isNotNull())
+    keep = ["entity_id", "report_generated_at", "row_key", "row_data"]
+    newest = newest_row(rows, ["source_instance_id", "_job"], [F.col("report_generated_at"), F.col("row_data")], keep=keep)
+    typed = stg_report_all_jobs(newest.drop("_job")).withColumnRenamed("report_generated_at", "observed_at")
+    return typed.drop("report_row_key", "row_key", "row_data")
 
 
 ATTRIBUTED = {

@@ -698,7 +698,7 @@ def crm_registry(as_of: str) -> Registry:
     add(Model("stg_report_lead_status", "staging", stg_report_lead_status, ["report_lead_status", "dim_instance"]))
     add(Model("stg_report_booked", "staging", stg_report_booked, ["report_booked_opportunities"]))
     add(Model("stg_report_all_jobs", "staging", all_jobs.stg_report_all_jobs, ["report_all_jobs"]))
-    add(Model("int_report_all_jobs_latest", "intermediate", all_jobs.int_report_all_jobs_latest, ["stg_report_all_jobs"]))
+    add(Model("int_report_all_jobs_latest", "intermediate", all_jobs.int_report_all_jobs_latest, ["report_all_jobs"]))
     add(Model("int_job_attribution", "intermediate", all_jobs.int_job_attribution,
               ["int_report_all_jobs_latest", "stg_opportunity_jobs", "stg_sweep_jobs"]))
     add(Model("stg_webhook_status", "staging", stg_webhook_status, ["webhook_events"]))

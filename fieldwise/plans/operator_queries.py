@@ -320,7 +320,7 @@ def report_all_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("instance_id").alias("source_instance_id"), "entity_id", F.col("l_shipdate").alias("report_generated_at"), job.alias("row_key"),
         F.to_json(F.map_concat(F.create_map(F.lit("_order"), order), cells)).alias("row_data"),
     )
-    latest = all_jobs.int_report_all_jobs_latest(all_jobs.stg_report_all_jobs(report))
+    latest = all_jobs.int_report_all_jobs_latest(report)
     return latest.select(
         "job_key", "quote_number", "service_date_local", "total_actual_cost", "move_date_is_tbd", "volume_cuft", "start_at_utc", "crew_member_names"
     )
