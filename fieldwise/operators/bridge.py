@@ -72,15 +72,16 @@ def unmatched(
     """Rows of the newest generation that the crosswalk cannot bridge, with a reason.
 
     ``left_anti`` keeps rows whose ``(instance, quote)`` has no crosswalk entry.
-    A null quote never matches: those rows (often a large share) have their
-    reason already and never enter the join, where they would share one key.
+    A null quote never matches: those rows (often a large share) take keys of
+    their own that no crosswalk entry has, spread over many values, so that
+    they neither share one key in the join nor need a second read of the rows.
     """
     rows = newest_generation(report.withColumn(quote, quote_key(quote)), instance, generated_at)
     keys = xwalk.select(instance, quote)
-    unquoted = rows.filter(F.col(quote).isNull()).withColumn("reason", F.lit(NO_QUOTE))
-    quoted = rows.filter(F.col(quote).isNotNull())
-    miss = quoted.join(keys, [instance, quote], "left_anti").withColumn("reason", F.lit(NOT_IN_API))
-    return unquoted.unionByName(miss)
+    spread = F.concat(F.lit("\x00"), F.pmod(F.xxhash64(*rows.columns), F.lit(4096)).cast("string"))
+    keyed = rows.withColumn("_quote_key", F.coalesce(F.col(quote), spread))
+    miss = keyed.join(keys.withColumnRenamed(quote, "_quote_key"), [instance, "_quote_key"], "left_anti").drop("_quote_key")
+    return miss.withColumn("reason", F.when(F.col(quote).isNull(), F.lit(NO_QUOTE)).otherwise(F.lit(NOT_IN_API)))
 
 
 def matched(report: DataFrame, xwalk: DataFrame, keys: Sequence[str], id_col: str) -> DataFrame:

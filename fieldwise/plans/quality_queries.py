@@ -234,9 +234,9 @@ def resolution_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(F.col("o_orderpriority") == "5-LOW", (k + 1000000).cast("string"))
         .otherwise(F.floor(k / 3).cast("string"))
     )
-    rpt = o.select("source_instance_id", bridge.quote_key(quote).alias("quote_number"))
-    # null quotes match nothing and stay out of the join, where they would share one key
-    quoted = rpt.filter(F.col("quote_number").isNotNull()).join(xw, ["source_instance_id", "quote_number"], "left")
-    unquoted = rpt.filter(F.col("quote_number").isNull()).withColumn("opportunity_id", F.lit(None).cast(xw.schema["opportunity_id"].dataType))
-    j = quoted.unionByName(unquoted)
+    rpt = o.select("source_instance_id", "o_orderkey", bridge.quote_key(quote).alias("quote_number"))
+    # null quotes match nothing; keys of their own keep them from meeting in one task of the join
+    spread = F.concat(F.lit("\x00"), F.pmod(F.xxhash64("o_orderkey"), F.lit(4096)).cast("string"))
+    rpt = rpt.withColumn("_key", F.coalesce("quote_number", spread))
+    j = rpt.join(xw.withColumnRenamed("quote_number", "_key"), ["source_instance_id", "_key"], "left")
     return aggregates.coverage(j, ["source_instance_id"], F.col("opportunity_id").isNotNull(), ["quote_number"])
