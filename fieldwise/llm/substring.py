@@ -168,7 +168,7 @@ def pack(texts: Sequence[list[bytes]], ids: Sequence[int], window: int, buckets:
             keys[docs].tobytes(),
             owner.astype(np.uint16).tobytes(),
             t["first"][mine][start].astype(np.int32).tobytes(),
-            n.astype(np.uint16).tobytes(),
+            n.astype(np.int32).tobytes(),  # a run of a repetitive text can pass 65,535
             t["least"][mine][start].tobytes(),
             (t["full"][mine] >> U64(32)).astype(np.uint32).tobytes(),
             ids[left_owner[away]].tobytes(),
@@ -188,7 +188,7 @@ def meet(bucket: pd.DataFrame) -> dict[str, np.ndarray]:
         keys.append(np.frombuffer(r.doc_keys, np.int64))
         owner.append(np.frombuffer(r.owner, np.uint16).astype(np.int64) + base)
         first.append(np.frombuffer(r.first, np.int32))
-        count.append(np.frombuffer(r.count, np.uint16).astype(np.int64))
+        count.append(np.frombuffer(r.count, np.int32).astype(np.int64))
         least.append(np.frombuffer(r.least, U64))
         hashes.append(np.frombuffer(r.hash, np.uint32))
         base += len(d)

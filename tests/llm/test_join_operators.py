@@ -140,6 +140,24 @@ def test_removed_windows_equal_brute_force(spark, monkeypatch, size):
     assert kept == collections.Counter((w[0], w[4]) for w in want)
 
 
+def met_runs(texts, window=50):
+    """The removed runs of one bucket in which each (id, words) is a chunk of its own."""
+    import pandas as pd
+
+    known, powers = substring.WordHash(), substring.Powers()
+    rows = [r for i, w in texts for r in substring.pack([[x.encode() for x in w]], [i], window, 1, known, powers)]
+    met = substring.meet(pd.DataFrame(rows, columns=[c.split()[0] for c in substring.PACKED.split(", ")]))
+    return {(i, a + k) for i, a, n in zip(met["id"].tolist(), met["first"].tolist(), met["count"].tolist(), strict=True) for k in range(n)}
+
+
+@pytest.mark.parametrize("period", [1, 20, 26])
+def test_runs_of_a_long_periodic_text_leave_the_bucket_whole(period):
+    periodic = [f"r{i % period}" for i in range(70_000)]
+    passage = [f"p{i}" for i in range(120)]
+    texts = [(1, periodic), (2, passage), (3, ["x", *passage, "y"]), (4, ["z", *periodic[:100]])]
+    assert met_runs(texts) == {(3, 1 + k) for k in range(71)} | {(4, 1 + k) for k in range(51)}
+
+
 def test_substring_dedup_of_odd_rows(odd, empty):
     passage = " ".join(f"p{i}" for i in range(60))
     rows = {r.doc_id: r for r in substring.digests(odd(passage, "x " + passage)).collect()}
