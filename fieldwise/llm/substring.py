@@ -4,8 +4,9 @@ Windows of half the length come first: each window of ``window`` words is
 represented by the least hash among its half-length runs, so equal windows
 meet under one representative. Representatives met in one document alone are
 dropped; what is left is extended to the doubled, full length and compared
-there, by (representative, hash of the full window), 96 bits. A window that
-also starts in a document with a smaller id is removed with all its words.
+there, by (representative, 64-bit hash of the full window): one hot passage can
+stand for millions of different windows, whose own hashes must tell them apart.
+A window that also starts in a document with a smaller id is removed with all its words.
 
 The work is shuffled once, by representative. Before it, each chunk of texts
 keeps of equal windows only those of the least id (the others are already known
@@ -170,7 +171,7 @@ def pack(texts: Sequence[list[bytes]], ids: Sequence[int], window: int, buckets:
             t["first"][mine][start].astype(np.int32).tobytes(),
             n.astype(np.int32).tobytes(),  # a run of a repetitive text can pass 65,535
             t["least"][mine][start].tobytes(),
-            (t["full"][mine] >> U64(32)).astype(np.uint32).tobytes(),
+            t["full"][mine].tobytes(),
             ids[left_owner[away]].tobytes(),
             keys[left_owner[away]].tobytes(),
             left_first[away].astype(np.int32).tobytes(),
@@ -190,7 +191,7 @@ def meet(bucket: pd.DataFrame) -> dict[str, np.ndarray]:
         first.append(np.frombuffer(r.first, np.int32))
         count.append(np.frombuffer(r.count, np.int32).astype(np.int64))
         least.append(np.frombuffer(r.least, U64))
-        hashes.append(np.frombuffer(r.hash, np.uint32))
+        hashes.append(np.frombuffer(r.hash, U64))
         base += len(d)
     ids, keys, owner, first, count, least, hashes = map(np.concatenate, (ids, keys, owner, first, count, least, hashes))
     # half length: a representative that one document alone holds goes

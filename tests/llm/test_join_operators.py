@@ -158,6 +158,18 @@ def test_runs_of_a_long_periodic_text_leave_the_bucket_whole(period):
     assert met_runs(texts) == {(3, 1 + k) for k in range(71)} | {(4, 1 + k) for k in range(51)}
 
 
+@pytest.mark.parametrize("bits", [0xFFFFFFFF, 0xFFFFFFFF << 32])
+def test_windows_around_one_passage_differ_by_all_bits_of_their_hashes(monkeypatch, bits):
+    import numpy as np
+
+    whole = substring.window_table
+    half = lambda *a: (t := whole(*a)) | {"full": t["full"] & np.uint64(bits)}
+    monkeypatch.setattr(substring, "window_table", half)
+    shared = [f"s{i}" for i in range(30)]
+    texts = [(d, [f"a{d}.{i}" for i in range(30)] + shared + [f"b{d}.{i}" for i in range(30)]) for d in range(40)]
+    assert met_runs(texts) == set()  # one representative, no window that repeats
+
+
 def test_substring_dedup_of_odd_rows(odd, empty):
     passage = " ".join(f"p{i}" for i in range(60))
     rows = {r.doc_id: r for r in substring.digests(odd(passage, "x " + passage)).collect()}
