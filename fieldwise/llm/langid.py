@@ -5,15 +5,17 @@ the model has not seen falls back to its character n-grams, longest first: the
 longest length at which any n-gram is known scores their mean log frequency.
 The sum over the text's words, with the languages' prior, decides.
 
-Training counts words in Spark over labelled rows (a hash sample of about
-``MAX_TRAIN_DOCS`` of them, a documented bound), n-grams come from the word
-counts, and the model keeps the ``MAX_WORDS`` most frequent (language, word)
-and ``MAX_GRAMS`` (language, n-gram) entries, so its broadcast size is bounded.
+Training counts words in Spark over labelled rows with a letter (a hash sample of
+about ``MAX_TRAIN_DOCS`` of them, a documented bound, dealt over the languages
+so that rare ones give all their rows), n-grams come from the word counts, and
+the model keeps ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams, the most frequent
+of each language, so its broadcast size is bounded. What a language lacks scores
+one floor, the same for all languages, however few words it was learned from.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter,
 or a model without any language. Ties go to the language that sorts first.
-Rows with a null language are predicted but never learned from. Repeated rows
-are predicted alike and each counts in training.
+Rows with a null language are predicted but never learned from; a language whose
+rows have no letter is none of the model's. Repeated rows are predicted alike and each counts in training.
 """
 
 from __future__ import annotations
@@ -26,11 +28,11 @@ from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import bounded_sample, crc_bucket, map_texts, shared
+from .common import crc_bucket, map_texts, shared
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -154,6 +156,25 @@ def gram_counts(words: DataFrame, longest: int = LONGEST_GRAM) -> DataFrame:
     )
 
 
+def shares(sizes: dict[str, int], most: int) -> dict[str, int]:
+    """How many of each group's members add up to ``most``: small groups whole, the others alike (one at least)."""
+    out, left = {}, most
+    for i, x in enumerate(sorted(sizes, key=lambda x: (sizes[x], x))):
+        out[x] = max(1, min(sizes[x], left // (len(sizes) - i)))
+        left = max(0, left - out[x])
+    return out
+
+
+def dealt_sample(rows: DataFrame, lang_col: str, id_col: str, text_col: str, per_lang: dict[str, int], max_docs: int) -> DataFrame:
+    """A hash sample of about ``max_docs`` rows, dealt over the languages; rows without an id are told apart by their texts."""
+    scale = 1_000_000_000
+    cut = {x: max(1, scale * k // per_lang[x]) for x, k in shares(per_lang, max_docs).items() if k < per_lang[x]}
+    if not cut:
+        return rows
+    keep = F.create_map(*[F.lit(v) for item in cut.items() for v in item])[F.col(lang_col).cast("string")]
+    return rows.filter(F.pmod(F.xxhash64(id_col, text_col), F.lit(scale)) < F.coalesce(keep, F.lit(scale)))
+
+
 def train(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -164,14 +185,14 @@ def train(
     max_grams: int = MAX_GRAMS,
 ) -> Model:
     """A model from the rows with a language (about ``max_docs`` of them)."""
-    rows = docs.filter(F.col(lang_col).isNotNull())
+    rows = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).cast("string").rlike(r"\p{L}"))
     per_lang = {r[0]: r[1] for r in rows.groupBy(F.col(lang_col).cast("string")).count().collect()}
-    langs = sorted(per_lang)
-    n = sum(per_lang.values())
-    if not n:
+    if not per_lang:
         return Model([], [], {}, {})
-    words = word_counts(bounded_sample(rows, id_col, max_docs, n), lang_col, text_col).persist()
+    words = word_counts(dealt_sample(rows, lang_col, id_col, text_col, per_lang, max_docs), lang_col, text_col).persist()
     totals = {r["lang"]: (r["n"], r["v"]) for r in words.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
+    langs = sorted(x for x in per_lang if x in totals)
+    n = sum(per_lang[x] for x in langs)
     grams = gram_counts(words).persist()
     gram_totals = {r["lang"]: (r["n"], r["v"]) for r in grams.groupBy("lang").agg(F.sum("n").alias("n"), F.count("*").alias("v")).collect()}
     model = Model(
@@ -186,13 +207,18 @@ def train(
 
 
 def _table(counts: DataFrame, key: str, most: int, langs: list[str], totals: dict) -> dict[str, list[float]]:
-    """The ``most`` frequent entries (a bound on the model) as log frequencies in each language."""
-    top = counts.orderBy(F.desc("n"), "lang", key).limit(most).select("lang", key, "n")
+    """``most`` entries (a bound on the model), the most frequent of each language, as log frequencies in all languages."""
+    share = shares({x: v for x, (_, v) in totals.items()}, most)
+    if any(share[x] < v for x, (_, v) in totals.items()):
+        limit = F.create_map(*[F.lit(v) for item in share.items() for v in item])[F.col("lang")]
+        place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), key))
+        top = counts.withColumn("_place", place).filter(F.col("_place") <= limit).select(key).distinct()
+        counts = counts.join(top, key, "left_semi")
     at = {x: i for i, x in enumerate(langs)}
-    size = [max(1.0, totals.get(x, (0, 0))[0] + SMOOTH * totals.get(x, (0, 0))[1]) for x in langs]
-    lacking = [math.log(SMOOTH / s) for s in size]
+    size = [totals[x][0] + SMOOTH * totals[x][1] for x in langs]
+    lacking = [math.log(SMOOTH / max(size))] * len(langs) if langs else []
     out: dict[str, list[float]] = {}
-    rows = top.toArrow()
+    rows = counts.select("lang", key, "n").toArrow()
     for lang, k, n in zip(*(rows.column(c).to_pylist() for c in ("lang", key, "n")), strict=True):
         out.setdefault(k, list(lacking))[at[lang]] = math.log((n + SMOOTH) / size[at[lang]])
     return out
