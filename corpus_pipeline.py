@@ -28,18 +28,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 4: of each group of linked documents the one with the smallest id stays
-    (of rows repeated with id and text, one)."""
-    classes = jaccard.classes(docs).withColumnRenamed("doc_id", "_id")
-    first = classes.filter(F.col("_id").eqNullSafe(F.col("component_id"))).select("_id").distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_id"]), "left_semi")
-    repeated = classes.groupBy("_id").count().filter("count > 1")
-    return kept if repeated.isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    (of rows repeated with id and text, one). Rows, not ids, are kept: of several rows
+    of that id, or of rows without an id, one stays."""
+    first = written(jaccard.first_rows(docs).withColumnRenamed("row", "_row"), "first")
+    kept = docs.withColumn("_row", jaccard.row_key("doc_id", "text")).join(first.select("_row"), "_row", "left_semi").select(*docs.columns)
+    return kept if first.filter("copies > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: documents that overlap a benchmark item go."""
-    found = spaced.overlaps(docs, documents(spark, sf_dir, "benchmark")).select(F.col("doc").alias("doc_id")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(found["doc_id"]), "left_anti")
+    """Operator 10: documents that overlap a benchmark item go, row by row, whatever their ids."""
+    rows = docs.withColumn("_row", jaccard.row_key("doc_id", "text"))
+    found = spaced.overlaps(rows, documents(spark, sf_dir, "benchmark"), doc_col="_row").select(F.col("doc").alias("_row")).distinct()
+    return rows.join(found, "_row", "left_anti").select(*docs.columns)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,7 +45,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import U64, WordHash, chunks, likely_rows, shared, written
@@ -119,8 +119,13 @@ def linked(overlap, n, m):
 # -- scans over the documents ------------------------------------------------
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """A 64-bit key of a row's id and text: rows without an id and rows of one id are told apart by it."""
+    return F.xxhash64(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"), F.col(id_col).isNull(), F.col(text_col).isNull())
+
+
 def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """A row a document (id, n, key) and a row a chunk with its frequent shingles (shingles, counts)."""
+    """A row a document (id, row, n, key) and a row a chunk with its frequent shingles (shingles, counts)."""
 
     def run(batches):
         known, powers = WordHash(), Powers()
@@ -141,16 +146,17 @@ def describe(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([NO_ID if i is None else i for i in ids[lo:hi]] + [None], pa.int64()),
+                        pa.array([*b.column(2)[lo:hi].to_pylist(), None], pa.int64()),
                         pa.array(sizes.tolist() + [None], pa.int64()),
                         pa.array([*keys, None], pa.int64()),
                         pa.array([None] * rows + [value[often].view(np.int64)], pa.list_(pa.int64())),
                         pa.array([None] * rows + [count[often]], pa.list_(pa.int64())),
                     ],
-                    names=["id", "n", "key", "shingles", "counts"],
+                    names=["id", "row", "n", "key", "shingles", "counts"],
                 )
 
-    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(run, "id bigint, n bigint, key bigint, shingles array<bigint>, counts array<bigint>")
+    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"), row_key(id_col, text_col))
+    return rows.mapInArrow(run, "id bigint, row bigint, n bigint, key bigint, shingles array<bigint>, counts array<bigint>")
 
 
 def frequent_shingles(described: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -405,13 +411,13 @@ def search_pairs(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """(described documents, links): ``described`` has (id, n, key) a row, ``links`` (a, b)
+    """(described documents, links): ``described`` has (id, row, n, key) a row, ``links`` (a, b)
     joins keys of sets that are linked directly or through other links."""
     spark = docs.sparkSession
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     described = written(describe(docs, id_col, text_col), "described")
     frequent = frequent_shingles(described)
-    described = described.filter("id is not null").select("id", "n", "key")
+    described = described.filter("id is not null").select("id", "row", "n", "key")
     cells = (
         first_shingles(docs, frequent, text_col, buckets)
         .groupBy("bucket")
@@ -429,7 +435,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     size = size.filter("m > 1").withColumn("blocks", F.expr(f"cast(ceil(m / {BLOCK}) as int)"))
     member = cells.select("cell", "key").join(size.select("cell", "centre", "blocks"), "cell")
     member = written(member, "members").withColumn("block", F.expr("cast(pmod(xxhash64(key, cell), blocks) as int)"))
-    holders = described.filter("key is not null").groupBy("key").agg(F.min("id").alias("id"))
+    holders = described.filter("key is not null").groupBy("key").agg(F.min(F.struct("id", "row"))["row"].alias("row"))
     own = F.col("key") == F.col("centre")
     places = member.withColumn("block", F.explode(F.when(own, F.sequence(F.lit(0), F.col("blocks") - 1)).otherwise(F.array("block"))))
     found = written(
@@ -465,25 +471,30 @@ def _task(spark, *names: str):
 
 
 def _with_texts(docs: DataFrame, places: DataFrame, holders: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``places`` with the text of a document of each key; the text is shuffled once by id, then to its places."""
+    """``places`` with the text of a document of each key; the text is shuffled once by its row's key, then to its places."""
     names = [c for c in places.columns if c != "key"]
-    by_id = (
-        places.groupBy("key").agg(F.collect_list(F.struct(*names)).alias("_places")).join(holders, "key").select("id", "key", "_places")
+    by_row = (
+        places.groupBy("key").agg(F.collect_list(F.struct(*names)).alias("_places")).join(holders, "key").select("row", "key", "_places")
     )
-    by_id = written(by_id, "places")
-    texts = docs.select(F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
-    joined = likely_rows(texts, "id", by_id).join(by_id, "id").filter(F.col("text").isNotNull())
+    by_row = written(by_row, "places")
+    texts = docs.select(row_key(id_col, text_col).alias("row"), F.col(text_col).cast("string").alias("text"))
+    joined = likely_rows(texts, "row", by_row).join(by_row, "row").filter(F.col("text").isNotNull())
     return joined.select("key", "text", F.explode("_places").alias("_p")).select("key", "text", *[F.col(f"_p.{c}").alias(c) for c in names])
 
 
-def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_shingles, component_id) of every row of ``docs``."""
+def _placed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(id, row, n, root) of every row of ``docs``; ``root`` is null without shingles."""
     described, found = links(docs, id_col, text_col)
     roots = components(found)
     placed = described.join(roots.withColumnRenamed("node", "key"), "key", "left").select(
-        "id", "n", "key", F.coalesce("root", "key").alias("root")
+        "id", "row", "n", F.coalesce("root", "key").alias("root")
     )
-    placed = written(placed, "placed")
+    return written(placed, "placed")
+
+
+def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, n_shingles, component_id) of every row of ``docs``."""
+    placed = _placed(docs, id_col, text_col)
     least = placed.filter("root is not null").groupBy("root").agg(F.min("id").alias("component"))
     out = placed.join(least, "root", "left").select(
         F.nullif("id", F.lit(NO_ID)).alias(id_col),
@@ -491,3 +502,11 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         F.nullif(F.coalesce("component", "id"), F.lit(NO_ID)).alias("component_id"),
     )
     return out
+
+
+def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(row, copies): the ``row_key`` of the row of least id of each component (of rows of that
+    id, or without one, the least key) and of each row without shingles, with its number of copies."""
+    rows = _placed(docs, id_col, text_col).groupBy("root", "id", "row").agg(F.count("*").alias("copies"))
+    first = rows.filter("root is not null").groupBy("root").agg(F.min(F.struct("id", "row", "copies")).alias("f"))
+    return first.select("f.row", "f.copies").unionByName(rows.filter("root is null").select("row", "copies"))
