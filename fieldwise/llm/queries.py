@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_semantics
-from . import bpe, jaccard, langid, pii, repetition, spaced, substring, toxicity, urlfilter, warc
+from . import bpe, jaccard, langid, nearest, pii, ranked, repetition, spaced, substring, toxicity, turns, urlfilter, warc
 from .common import documents
 
 #: The vocabulary file of operator 3; a parameter, never copied here.
@@ -77,6 +77,18 @@ def op10_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "item_id", "b.n_words", "b.n_same", (-F.col("b.col3")).alias("first_word"), (-F.col("b.col4")).alias("item_word"))
 
 
+def op11_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turns.report(turns.damaged(documents(spark, sf_dir, "conversations")))
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op13_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.search(documents(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def _semantic(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(ensure_semantics(spark), sf_dir)
@@ -98,6 +110,9 @@ QUERIES = {
         op8_pii,
         op9_toxicity,
         op10_spaced_seeds,
+        op11_turn_repair,
+        op12_ranked_search,
+        op13_nearest,
     )
 }
 
@@ -209,6 +224,43 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_wo
 FROM base
 """
 
+_TERMS = (
+    r"list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+    r"'[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+)
+
+OP12_SQL = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_TERMS} AS t FROM documents),
+s AS (SELECT count(*) AS big_n, sum(len(t))::BIGINT AS big_l FROM d WHERE len(t) > 0),
+p AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(t) AS term FROM d) GROUP BY ALL),
+w AS (
+  SELECT term, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, s GROUP BY term, big_n
+),
+i AS (SELECT DISTINCT item, item_id, unnest(t) AS term FROM (SELECT row_number() OVER () AS item, item_id, {_TERMS} AS t FROM benchmark)),
+scores AS (
+  SELECT item, item_id, r, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * len(t)::BIGINT * big_n) // big_l))))::BIGINT AS score
+  FROM i JOIN w USING (term) JOIN p USING (term) JOIN d USING (r), s GROUP BY ALL
+),
+best AS (
+  SELECT item, item_id, doc_id, score, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scores JOIN d USING (r) WHERE score > 0
+)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM best WHERE rank <= 10
+"""
+
+#: All pairs of a query and a vector: what the index finds too up to ``nearest.LEAST_TAKEN`` vectors; beyond, its recall is measured.
+OP13_SQL = """
+WITH v AS (
+  SELECT row_number() OVER () AS r, vec_id, e FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings)
+  WHERE len(e) = 64 AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(e, lambda x: x <> 0)) > 0
+),
+pairs AS (
+  SELECT q.r, q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score FROM v q JOIN v c ON q.r <> c.r WHERE q.vec_id % 50 = 0
+),
+best AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM pairs)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM best WHERE rank <= 5
+"""
+
 #: Queries that SQL can express; the others are tested against brute force.
 SQL: dict[str, str] = {
     "op2_warc_fixity": OP2_SQL,
@@ -216,4 +268,6 @@ SQL: dict[str, str] = {
     "op5_url_filter": OP5_SQL,
     "op6_substring_dedup": OP6_SQL,
     "op7_quality_repetition": OP7_SQL,
+    "op12_ranked_search": OP12_SQL,
+    "op13_nearest": OP13_SQL,
 }
