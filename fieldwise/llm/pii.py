@@ -48,9 +48,9 @@ PATTERNS = (
 #: What a text must hold for a pattern to be worth trying.
 GUARDS = ("@", r"[0-9]\.[0-9]+\.[0-9]", r"[0-9][\x20-]?[0-9]", r"\+[0-9]")
 SECRET = (
-    r"(?:password|passwd|token|secret|api_?key)\x20?[=:]\x20?\"?[A-Za-z0-9_-]{8,80}+\"?"
+    r"(?:password|passwd|token|secret|api_?key)\x20?[=:]\x20?\"?[A-Za-z0-9_-]{8,}+\"?"
     r"|(?<![A-Za-z0-9])[A-Z]{4}[0-9A-Z]{16}(?![A-Za-z0-9])"
-    r"|(?<![A-Za-z0-9])[0-9a-f]{32,64}+(?![A-Za-z0-9])"
+    r"|(?<![A-Za-z0-9])[0-9a-f]{32,}+(?![A-Za-z0-9])"
 )
 NUMBER = r"(?<![0-9.+-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{2,3}[\x20.-][0-9]{4}(?![0-9.-])"
 EXTRA_GUARDS = (r"(?:password|passwd|token|secret|api_?key)\x20?[=:]|[A-Z0-9]{20}|[0-9a-f]{32}", r"[0-9][0-9)][\x20.-]*[0-9]{2,3}[\x20.-][0-9]{4}")
@@ -60,6 +60,31 @@ BOUNDED = r"(?:^|[\s\"'(\[<:=;,])$"
 LEFT_CHARS = 24
 LABELERS = ("checked", "announced", "bounded", "varied", "no_edition")
 EM_ROUNDS = 60
+#: Items of a part of a long array (even: see ``_between``).
+PART = 64
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` names it."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _cut(items: Column) -> Column:
+    """An array in parts of ``PART`` items. Folds over parts, then over the parts' items, append to
+    short arrays and strings only, where one fold over all items would copy its result at every step."""
+    n = F.size(items)
+    starts = F.when(n > 0, F.sequence(F.lit(1), n, F.lit(PART))).otherwise(F.array().cast("array<int>"))
+    return F.transform(starts, lambda i: F.slice(items, i, F.lit(PART)))
+
+
+def _running(values: Column, first: Column, add: Callable[[Column, Column], Column]) -> Column:
+    """What holds before each of the values, and after the last one (one value a part of an array)."""
+    begun = F.struct(first.alias("at"), F.array(first).alias("out"))
+
+    def step(a: Column, v: Column) -> Column:
+        return _let(add(a["at"], v), lambda at: F.struct(at.alias("at"), F.concat(a["out"], F.array(at)).alias("out")))
+
+    return F.aggregate(values, begun, step, lambda a: a["out"])
 
 
 def _between(text: Column, pattern: str) -> Column:
@@ -67,21 +92,28 @@ def _between(text: Column, pattern: str) -> Column:
     marked = F.regexp_replace(F.translate(text, OPEN + CLOSE, OTHER * 2), pattern, f"{OPEN}$0{CLOSE}")
     pieces = F.split(marked, f"[{OPEN}{CLOSE}]", -1)
     none = F.array().cast("array<struct<start:int,end:int,s:string,left:string>>")
-    first = F.struct(
-        F.lit(0).alias("at"), F.lit(False).alias("inside"), F.lit("").alias("left"), none.alias("out")
-    )
 
-    def step(a: Column, p: Column) -> Column:
-        end = a["at"] + F.length(p)
-        found = F.struct(a["at"].alias("start"), end.alias("end"), p.alias("s"), a["left"].alias("left"))
-        return F.struct(
-            end.alias("at"),
-            (~a["inside"]).alias("inside"),
-            F.right(p, F.lit(LEFT_CHARS)).alias("left"),
-            F.when(a["inside"], F.concat(a["out"], F.array(found))).otherwise(a["out"]).alias("out"),
-        )
+    def found_in(part: Column, at: Column) -> Column:
+        """Parts begin outside a match: they hold pairs of what is between matches and a match."""
+        first = F.struct(at.alias("at"), F.lit(False).alias("inside"), F.lit("").alias("left"), none.alias("out"))
+
+        def step(a: Column, p: Column) -> Column:
+            end = a["at"] + F.length(p)
+            found = F.struct(a["at"].alias("start"), end.alias("end"), p.alias("s"), a["left"].alias("left"))
+            return F.struct(
+                end.alias("at"),
+                (~a["inside"]).alias("inside"),
+                F.right(p, F.lit(LEFT_CHARS)).alias("left"),
+                F.when(a["inside"], F.concat(a["out"], F.array(found))).otherwise(a["out"]).alias("out"),
+            )
+
+        return F.aggregate(part, first, step, lambda a: a["out"])
 
-    return F.aggregate(pieces, first, step, lambda a: a["out"])
+    def of_parts(parts: Column) -> Column:
+        sizes = F.transform(parts, lambda part: F.aggregate(part, F.lit(0), lambda n, p: n + F.length(p)))
+        return _let(_running(sizes, F.lit(0), lambda a, n: a + n), lambda at: F.flatten(F.transform(parts, lambda part, k: found_in(part, F.get(at, k)))))
+
+    return _let(pieces, lambda held: _let(_cut(held), of_parts))
 
 
 def _digits(s: Column) -> Column:
@@ -141,7 +173,7 @@ def _candidates(text: Column, kind: int) -> Column:
             "checked": CHECKS[kind](s),
             "announced": left.rlike(ANNOUNCED) | s.rlike(r"(?i)^(?:passw(?:or)?d|token|secret|api_?key)"),
             "bounded": left.rlike(BOUNDED),
-            "varied": F.size(F.array_distinct(F.split(F.substring(s, 1, 64), ""))) >= 6,
+            "varied": F.size(F.array_distinct(F.split(s, ""))) >= 6,
             "no_edition": ~left.rlike(EDITION),
         }
         return F.struct(
@@ -158,9 +190,6 @@ def _candidates(text: Column, kind: int) -> Column:
 def with_candidates(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``docs`` with ``_pii_found``: all candidates with their votes, by kind, then start."""
     rows = docs.withColumn("_pii_text", F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    some = F.col("_pii_text").rlike("[0-9@]")
-    text = F.when(some, F.col("_pii_text")).otherwise("")
-    rows = rows.withColumn("_pii_text", text)
     found = F.concat(*[_candidates(F.col("_pii_text"), k) for k in range(len(KINDS))])
     return rows.withColumn("_pii_found", found).drop("_pii_text")
 
@@ -254,10 +283,18 @@ def find(docs: DataFrame, classifier: Classifier, text_col: str = "text") -> Dat
     span = lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"))
     is_base = lambda x: (x["kind"] < N_BASE) & (x["checked"] == 1)
     rows = rows.withColumn("_pii_base", F.transform(F.filter("_pii_found", is_base), span))
-    over = lambda x: F.exists("_pii_base", lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
+    meets = lambda b, x: (b["start"] < x["end"]) & (x["start"] < b["end"])
+
+    def extent(part: Column) -> Column:
+        start, end = F.array_min(F.transform(part, lambda b: b["start"])), F.array_max(F.transform(part, lambda b: b["end"]))
+        return F.struct(start.alias("start"), end.alias("end"), part.alias("spans"))
+
+    # base spans in parts with their extents: a candidate is held against the parts that it meets
+    rows = rows.withColumn("_pii_parts", F.transform(_cut(F.array_sort(F.transform("_pii_base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"))))), extent))
+    over = lambda x: F.exists("_pii_parts", lambda p: meets(p, x) & F.exists(p["spans"], lambda b: meets(b, x)))
     added = F.filter("_pii_found", lambda x: ~is_base(x) & classifier.accepts(x) & ~over(x))
     rows = rows.withColumn("_pii_all", F.array_sort(F.concat("_pii_base", F.transform(added, span))))
-    return rows.drop("_pii_found")
+    return rows.drop("_pii_found", "_pii_parts")
 
 
 def joined(spans: str) -> Column:
@@ -273,17 +310,32 @@ def masked(text_col: str, spans: str = "_pii_all") -> Column:
     names = F.array(*[F.lit(f"<{k.upper()}>") for k in KINDS])
     text = F.coalesce(F.col(text_col), F.lit(""))
     by_start = F.array_sort(F.transform(spans, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"))))
-    first = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
 
-    def step(a: Column, x: Column) -> Column:
-        before = F.substring(text, a["at"] + 1, x["start"] - a["at"])
-        fresh = F.concat(a["out"], before, F.element_at(names, x["kind"] + 1))
-        return F.struct(
-            F.greatest(a["at"], x["end"]).alias("at"), F.when(x["start"] >= a["at"], fresh).otherwise(a["out"]).alias("out")
-        )
+    def fresh(part: Column, begin: Column, end: Column) -> Column:
+        """The masked text between two positions, which the part's spans cover."""
+
+        def fold(cut: Column) -> Column:
+            first = F.struct(begin.alias("at"), F.lit("").alias("out"))
+
+            def step(a: Column, x: Column) -> Column:
+                before = F.substring(cut, a["at"] - begin + 1, x["start"] - a["at"])
+                more = F.concat(a["out"], before, F.element_at(names, x["kind"] + 1))
+                return F.struct(F.greatest(a["at"], x["end"]).alias("at"), F.when(x["start"] >= a["at"], more).otherwise(a["out"]).alias("out"))
+
+            return F.aggregate(part, first, step, lambda a: a["out"])
+
+        return _let(F.substring(text, begin + 1, end - begin), fold)
+
+    def of_parts(parts: Column) -> Column:
+        ends = F.transform(parts, lambda part: F.array_max(F.transform(part, lambda x: x["end"])))
+
+        def whole(at: Column) -> Column:
+            parts_out = F.transform(parts, lambda part, k: fresh(part, F.get(at, k), F.get(at, k + 1)))
+            return F.concat(F.array_join(parts_out, ""), F.substring(text, F.element_at(at, -1) + 1, F.length(text)))
+
+        return _let(_running(ends, F.lit(0), lambda a, e: F.greatest(a, e)), whole)
 
-    whole = F.aggregate(by_start, first, step, lambda a: F.concat(a["out"], F.substring(text, a["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, whole).otherwise(F.col(text_col))
+    return F.when(F.size(spans) > 0, _let(_cut(by_start), of_parts)).otherwise(F.col(text_col))
 
 
 def report(docs: DataFrame, classifier: Classifier, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
