@@ -148,23 +148,31 @@ def silent_hours(
     first_hour: int = 8,
     last_hour: int = 17,
     weekdays_only: bool = True,
+    zone_col: str | None = None,
+    until: Column | None = None,
 ) -> DataFrame:
-    """Business hours (UTC) with no event, per group, between the group's
-    first and last event. The calendar is generated per group from its own
-    range (a generator over one row per group), not by a cross join."""
-    span = df.groupBy(*by).agg(
-        F.date_trunc("hour", F.min(ts)).alias("_from"), F.date_trunc("hour", F.max(ts)).alias("_to")
-    )
-    hours = span.select(
-        *by, F.explode(F.sequence("_from", "_to", F.expr("INTERVAL 1 HOUR"))).alias("hour_start")
+    """Business hours with no event, per group, between the group's first and last
+    event, or up to the last hour that ends by the instant ``until``.
+
+    Hours are UTC, or those of the group's own zone (``zone_col``, one zone a group);
+    ``hour_start`` is an instant either way. The calendar is generated per group from
+    its own range (a generator over one row per group), not by a cross join.
+    """
+    zone = F.col(zone_col) if zone_col else F.lit("UTC")
+    local_hour = F.date_trunc("hour", F.from_utc_timestamp(ts, zone))
+    last = F.max(local_hour) if until is None else F.max(F.date_trunc("hour", F.from_utc_timestamp(until, zone)) - F.expr("INTERVAL 1 HOUR"))
+    span = df.groupBy(*by).agg(F.min(local_hour).alias("_from"), last.alias("_to"), F.max(zone).alias("_zone"))
+    hours = span.filter("_from <= _to").select(
+        *by, "_zone", F.explode(F.sequence("_from", "_to", F.expr("INTERVAL 1 HOUR"))).alias("_local")
     )
-    h = F.hour("hour_start")
+    h = F.hour("_local")
     business = (h >= first_hour) & (h <= last_hour)
     if weekdays_only:
-        business = business & (F.dayofweek("hour_start").between(2, 6))
+        business = business & (F.dayofweek("_local").between(2, 6))
     hours = hours.filter(business)
-    seen = df.select(*by, F.date_trunc("hour", ts).alias("hour_start")).distinct()  # never raw events on the build side
-    return hours.join(seen, [*by, "hour_start"], "left_anti")
+    seen = df.select(*by, local_hour.alias("_local")).distinct()  # never raw events on the build side
+    silent = hours.join(seen, [*by, "_local"], "left_anti")
+    return silent.select(*by, F.to_utc_timestamp("_local", F.col("_zone")).alias("hour_start"))
 
 
 def changes_without_events(

@@ -7,6 +7,7 @@ from . import (  # noqa: F401
     cast_queries,
     change_queries,
     event_queries,
+    feed_queries,
     operator_queries,
     quality_queries,
     resolution_queries,

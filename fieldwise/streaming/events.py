@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from ..operators.events import ENRICH_TYPES, MAX_ATTEMPTS, delivery_hash
 from ..session import checkpoint_dir, ensure_semantics
+from .stateful import dedupe_stream as dedupe_stream  # keyed state; here for the feed's users
 
 EVENT_SCHEMA = T.StructType(
     [
@@ -69,18 +70,6 @@ def with_hash(df: DataFrame, parts: Sequence[str] = ("event_type", "resource_id"
     return df.withColumn("dedupe_hash", delivery_hash(*parts))
 
 
-def dedupe_stream(df: DataFrame, delay: str = "7 days", ts: str = "received_at", key: str = "dedupe_hash") -> DataFrame:
-    """Drop re-deliveries of the same hash while the first one is within the watermark.
-
-    Bounded on purpose: a status that leaves and later returns hashes the
-    same and must come through again (trap T2). State is evicted once the
-    watermark passes the first delivery plus ``delay``; Spark evicts at the
-    end of the micro-batch in which that happens, so a returning event is
-    admitted from the following micro-batch on.
-    """
-    return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
-
-
 def debounce_stream(
     df: DataFrame, keys: Sequence[str], gap: str = "5 minutes", ts: str = "received_at", watermark: str = "10 minutes"
 ) -> DataFrame:
