@@ -11,10 +11,11 @@ import uuid
 from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -189,3 +190,55 @@ def likely_rows(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
                 yield b.filter(pa.array(keep)).drop_columns(["_bit"])
 
     return rows.withColumn("_bit", bit(key)).mapInArrow(run, rows.schema)
+
+
+#: Bits a wanted key has in the table of ``without_rows``, and the table's largest size (2 and 16 MB).
+BITS_A_KEY = 16
+TABLE_BITS = (1 << 24, 1 << 27)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it as long as a column of ``df`` has it (in any case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def maybe_in(wanted: DataFrame, key: str) -> Callable[[Column], Column]:
+    """A test of a bigint column that holds for every key of ``wanted`` and for few others.
+
+    A bit table, broadcast and sized by the number of keys up to ``TABLE_BITS``;
+    beyond, the test holds for more and more others. Only the column goes to Python.
+    """
+    n = wanted.count()
+    bits = min(max(1 << (BITS_A_KEY * n).bit_length(), TABLE_BITS[0]), TABLE_BITS[1])
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(bits))
+    byte = wanted.select(bit(F.col(key)).alias("b")).groupBy(F.floor(F.col("b") / 8).cast("int").alias("at"))
+    got = byte.agg(F.expr("bit_or(shiftleft(1, cast(b % 8 as int)))").alias("bits")).toArrow()
+    table = np.zeros(bits // 8, np.uint8)
+    table[got.column("at").to_numpy()] = got.column("bits").to_numpy().astype(np.uint8)
+    state = shared(wanted.sparkSession, table, lambda s: s)
+
+    @F.pandas_udf("boolean")
+    def held(at: pd.Series) -> pd.Series:
+        i = at.to_numpy()
+        return pd.Series(((state()[i >> 3] >> (i & 7).astype(np.uint8)) & 1).astype(bool))
+
+    return lambda c: held(bit(c))
+
+
+def without_rows(rows: DataFrame, key: Column, gone: DataFrame, once: DataFrame | None = None) -> DataFrame:
+    """``rows`` whose bigint ``key`` is not in ``gone`` (``row``); of rows whose key is in ``once`` one stays.
+
+    Rows that stay go through without a shuffle, but for the few that a bit table
+    cannot tell from those that go; only these are joined to the keys.
+    """
+    name = free_name(rows, "_row")
+    keyed = rows.withColumn(name, key)
+    wanted = gone.select("row") if once is None else gone.select("row").unionByName(once.select("row"))
+    maybe = maybe_in(wanted, "row")
+    doubtful = keyed.filter(maybe(F.col(name))).join(gone.select(F.col("row").alias(name)).distinct(), name, "left_anti")
+    if once is not None:
+        doubtful = doubtful.dropDuplicates([name])
+    return keyed.filter(~maybe(F.col(name))).unionByName(doubtful).select(*rows.columns)

@@ -504,9 +504,10 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return out
 
 
-def first_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(row, copies): the ``row_key`` of the row of least id of each component (of rows of that
-    id, or without one, the least key) and of each row without shingles, with its number of copies."""
+def repeated_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Two sets of ``row_key``s: rows that go when of each component the row of least id stays (of rows
+    of that id, or without one, that of least key), and rows that occur more than once."""
     rows = _placed(docs, id_col, text_col).groupBy("root", "id", "row").agg(F.count("*").alias("copies"))
-    first = rows.filter("root is not null").groupBy("root").agg(F.min(F.struct("id", "row", "copies")).alias("f"))
-    return first.select("f.row", "f.copies").unionByName(rows.filter("root is null").select("row", "copies"))
+    first = rows.filter("root is not null").groupBy("root").agg(F.min(F.struct("id", "row")).alias("f"), F.count("*").alias("n")).filter("n > 1")
+    gone = rows.join(first, "root").filter(F.col("row") != F.col("f.row")).select("row")
+    return written(gone, "gone"), written(rows.filter("copies > 1").select("row"), "copies")

@@ -21,12 +21,13 @@ import sys
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, map_texts
+from .common import free_name, map_texts
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -122,22 +123,30 @@ def covered(lengths: np.ndarray, least: int, span: int | None = None) -> np.ndar
 
 def repeats_of(texts: Sequence[str | None], limit: int = BATCH_WORDS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(longest repeat from each word, characters of each word) of every text."""
-    words = [(t or "").encode("utf-8").split() for t in texts]
-    for lo, hi in chunks([len(w) + 1 for w in words], limit):
-        ids: dict[bytes, int] = {}
-        known, docs, sizes = [], [], []
-        for d in range(lo, hi):
-            known.append(np.fromiter((ids.setdefault(w, len(ids)) for w in words[d]), np.int64, len(words[d])))
-            sizes.append(len(words[d]))
-        n_ids = len(ids) + 1
-        for d, own in enumerate(known):
-            docs.append(np.append(own, n_ids - 1) + d * n_ids)
-        lengths = longest_repeats(np.concatenate(docs))
-        at = 0
-        for d, n in enumerate(sizes):
-            chars = np.fromiter((len(w.decode("utf-8")) for w in words[lo + d]), np.int64, n)
-            yield lengths[at : at + n], chars
-            at += n + 1
+    held: list[list[bytes]] = []
+    total = 0
+    for t in texts:
+        words = (t or "").encode("utf-8").split()
+        if held and total + len(words) + 1 > limit:
+            yield from _batch_repeats(held)
+            held, total = [], 0
+        held.append(words)
+        total += len(words) + 1
+    if held:
+        yield from _batch_repeats(held)
+
+
+def _batch_repeats(words: list[list[bytes]]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same of documents that share one suffix array."""
+    ids: dict[bytes, int] = {}
+    known = [np.fromiter((ids.setdefault(w, len(ids)) for w in own), np.int64, len(own)) for own in words]
+    n_ids = len(ids) + 1
+    docs = [np.append(own, n_ids - 1) + d * n_ids for d, own in enumerate(known)]
+    lengths = longest_repeats(np.concatenate(docs))
+    at = 0
+    for own in words:
+        yield lengths[at : at + len(own)], np.fromiter((len(w.decode("utf-8")) for w in own), np.int64, len(own))
+        at += len(own) + 1
 
 
 def maximal_spans(lengths: np.ndarray, least: int) -> list[tuple[int, int]]:
@@ -160,24 +169,35 @@ OUT = T.StructType(
 )
 
 
+def measures(texts: Sequence[str | None]) -> dict[str, list[int]]:
+    """The measures of every text, by name."""
+    got: dict[str, list[int]] = {f.name: [] for f in OUT.fields}
+    for text, (lengths, chars) in zip(texts, repeats_of(texts), strict=True):
+        text = text or ""
+        lines = [x for x in text.split("\n") if x.strip(SPACES)]
+        got["n_words"].append(len(chars))
+        got["word_chars"].append(int(chars.sum()))
+        got["n_symbols"].append(sum(map(text.count, SYMBOLS)))
+        got["n_dup_lines"].append(len(lines) - len(set(lines)))
+        got["n_repeat_words"].append(int(covered(lengths, WINDOW, WINDOW).sum()))
+        got["covered_chars"].append(int(chars[covered(lengths, MIN_REPEAT)].sum()))
+        got["longest_repeat"].append(int(lengths.max(initial=0)))
+    return got
+
+
 def measure(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """``keep`` columns and the measures of every whole text."""
+    return map_texts(docs, measures, keep, OUT, text_col)
 
-    def run(texts):
-        got = {f.name: [] for f in OUT.fields}
-        for text, (lengths, chars) in zip(texts, repeats_of(texts), strict=True):
-            text = text or ""
-            lines = [x for x in text.split("\n") if x.strip(SPACES)]
-            got["n_words"].append(len(chars))
-            got["word_chars"].append(int(chars.sum()))
-            got["n_symbols"].append(sum(map(text.count, SYMBOLS)))
-            got["n_dup_lines"].append(len(lines) - len(set(lines)))
-            got["n_repeat_words"].append(int(covered(lengths, WINDOW, WINDOW).sum()))
-            got["covered_chars"].append(int(chars[covered(lengths, MIN_REPEAT)].sum()))
-            got["longest_repeat"].append(int(lengths.max(initial=0)))
-        return got
-
-    return map_texts(docs, run, keep, OUT, text_col)
+
+def measured(text: Column) -> Column:
+    """The measures as a struct column: only the text goes to Python, whatever else a row holds."""
+
+    @F.pandas_udf(OUT)
+    def run(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame(measures(texts.tolist()))
+
+    return run(text.cast("string"))
 
 
 def repeated_spans(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col: str = "text", least: int = MIN_REPEAT) -> DataFrame:
@@ -191,19 +211,27 @@ def repeated_spans(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col:
     return map_texts(docs, run, keep, T.StructType([T.StructField("spans", T.ArrayType(span))]), text_col)
 
 
-def base_failed():
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PCT * F.col("n_words"))
+def base_failed(of: str = ""):
+    """Of measures in columns, or (``of``: its name and a dot) in a struct."""
+    n_words = F.col(f"{of}n_words")
+    return (n_words < MIN_WORDS) | (100 * F.col(f"{of}n_repeat_words") > MAX_REPEAT_PCT * n_words)
 
 
-def verdict():
+def verdict(of: str = ""):
     """Kept: the base rule holds and repeats are neither too much of the text nor too long."""
     return (
-        ~base_failed()
-        & (F.col("covered_chars") <= MAX_COVERED * F.col("word_chars"))
-        & (F.col("longest_repeat") <= MAX_LONGEST)
+        ~base_failed(of)
+        & (F.col(f"{of}covered_chars") <= MAX_COVERED * F.col(f"{of}word_chars"))
+        & (F.col(f"{of}longest_repeat") <= MAX_LONGEST)
     )
 
 
+def kept_rows(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that the rules keep, as they are."""
+    name = free_name(docs, "_measures")
+    return docs.withColumn(name, measured(F.col(text_col))).filter(verdict(f"{name}.")).drop(name)
+
+
 def judge(docs: DataFrame, keep: Sequence[str] = ("doc_id",), text_col: str = "text") -> DataFrame:
     """Measures, ``base_failed`` and ``kept`` of every row."""
     return measure(docs, keep, text_col).withColumns({"base_failed": base_failed(), "kept": verdict()})
