@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldwise.llm import bpe, jaccard, pii, repetition, spaced
-from fieldwise.llm.common import documents, written
+from fieldwise.llm.common import documents, free_name, without_rows, written
 from fieldwise.llm.queries import WORD_BPE
 from fieldwise.session import ensure_semantics
 
@@ -21,36 +21,47 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 7: rows that the repetition rules reject go."""
-    rows = docs.select(F.struct(*docs.columns).alias("_doc"), "text")  # no clash with the measures' names
-    return repetition.judge(rows, ("_doc",)).filter("kept").select("_doc.*")
+    """Operator 7: rows that the repetition rules reject go, null and blank texts among them.
+
+    Rows are judged one by one, whatever their ids and other columns; an empty table stays empty."""
+    return repetition.kept_rows(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: of each group of linked documents the one with the smallest id stays
-    (of rows repeated with id and text, one). Rows, not ids, are kept: of several rows
-    of that id, or of rows without an id, one stays."""
-    first = written(jaccard.first_rows(docs).withColumnRenamed("row", "_row"), "first")
-    kept = docs.withColumn("_row", jaccard.row_key("doc_id", "text")).join(first.select("_row"), "_row", "left_semi").select(*docs.columns)
-    return kept if first.filter("copies > 1").isEmpty() else kept.dropDuplicates(["doc_id", "text"])
+    """Operator 4: of each group of linked documents the one with the smallest id stays.
+
+    Rows, not ids, go: of several rows of that id, or of rows without an id, one stays, and of
+    rows repeated with id and text, one. Rows without a word are linked with nothing and stay."""
+    gone, copies = jaccard.repeated_rows(docs)
+    return without_rows(docs, jaccard.row_key("doc_id", "text"), gone, copies)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 10: documents that overlap a benchmark item go, row by row, whatever their ids."""
-    rows = docs.withColumn("_row", jaccard.row_key("doc_id", "text"))
-    found = spaced.overlaps(rows, documents(spark, sf_dir, "benchmark"), doc_col="_row").select(F.col("doc").alias("_row")).distinct()
-    return rows.join(found, "_row", "left_anti").select(*docs.columns)
+    """Operator 10: documents that overlap a benchmark item go, row by row, whatever their ids.
+
+    Null and empty texts overlap nothing; without items all rows stay."""
+    key = jaccard.row_key("doc_id", "text")
+    name = free_name(docs, "_row")
+    found = spaced.overlaps(docs.select(key.alias(name), "text"), documents(spark, sf_dir, "benchmark"), doc_col=name)
+    return without_rows(docs, key, written(found.select(F.col("doc").alias("row")).distinct(), "found"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 8: every span of personal data gives way to its kind."""
-    found = pii.find(docs, pii.train(docs))
-    masked = found.withColumn("text", pii.masked("text"))
-    return masked.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Operator 8: every span of personal data gives way to its kind; ``n_chars`` follows the text.
+
+    Null and empty texts stay as they are, and all other columns, whatever their names."""
+    aside = [f"c{i}" for i in range(len(docs.columns))]  # no name that the operator uses
+    text, n_chars = (aside[docs.columns.index(c)] for c in ("text", "n_chars"))
+    rows = docs.toDF(*aside)
+    found = pii.find(rows, pii.train(rows, text), text)
+    masked = found.withColumn(text, pii.masked(text))
+    return masked.withColumn(n_chars, F.length(text).cast(docs.schema["n_chars"].dataType)).select(*aside).toDF(*docs.columns)
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 3: each document's ids, and the hashes of its ids and of the decoded text."""
+    """Operator 3: each document's number of ids, and the hashes of its ids and of the decoded text.
+
+    A null text counts as empty; every row gives a row."""
     return bpe.digests(docs, WORD_BPE)
 
 
