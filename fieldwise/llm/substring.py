@@ -12,7 +12,8 @@ The work is shuffled once, by representative. Before it, each chunk of texts
 keeps of equal windows only those of the least id (the others are already known
 to repeat), so a passage that a third of all documents share reaches a bucket
 once a chunk, not once a document. Only removed window starts travel on; they
-are joined to the texts by id.
+are joined to the texts, by id and a hash of the text: rows without an id, or of one
+id, are told apart by it.
 
 Words are runs ``[^\\x20\\x09-\\x0D]+``, unchanged. Defined results: a null or
 blank text has no words, nothing to remove and the hash of an empty text; so
@@ -135,12 +136,14 @@ def runs_of(*same: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return start, np.diff(np.append(start, n))
 
 
-def pack(texts: Sequence[list[bytes]], ids: Sequence[int], window: int, buckets: int, known: WordHash, powers: Powers):
+def pack(
+    texts: Sequence[list[bytes]], ids: Sequence[int], window: int, buckets: int, known: WordHash, powers: Powers, keys: Sequence[int] | None = None
+):
     """One row a bucket: the chunk's windows of least id, and (spread over the
-    buckets) those that some smaller id in the chunk already repeats."""
+    buckets) those that some smaller id in the chunk already repeats. ``keys`` tell texts of one id apart."""
     t = window_table(texts, window, known, powers)
     ids = np.array(ids, np.int64)
-    keys = np.array([text_key(w) for w in texts], np.int64)
+    keys = np.array([text_key(w) for w in texts] if keys is None else keys, np.int64)
     own = ids[t["owner"]]
     order = np.lexsort((own, t["full"]))
     new = np.ones(len(order), bool)
@@ -156,7 +159,7 @@ def pack(texts: Sequence[list[bytes]], ids: Sequence[int], window: int, buckets:
     start, count = runs_of(t["owner"][left], first=t["first"][left])
     left_owner, left_first = t["owner"][left][start], t["first"][left][start]
     # a document's known repeats go to the bucket of its key
-    left_bucket = np.abs(keys[left_owner] % buckets) if len(left) else np.empty(0, np.int64)
+    left_bucket = keys[left_owner] % buckets if len(left) else np.empty(0, np.int64)
     for b in np.union1d(np.unique(bucket[stay]), np.unique(left_bucket)).tolist():
         lo, hi = np.searchsorted(bucket[stay], [b, b + 1])
         mine = stay[lo:hi]
@@ -232,11 +235,13 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         known, powers = WordHash(), Powers()
         for b in batches:
             ids = [NO_ID if i is None else i for i in b.column(0).to_pylist()]
-            texts = [words_of(t) for t in b.column(1).to_pylist()]
-            kept = [i for i, w in enumerate(texts) if len(w) >= window]
-            ids, texts = [ids[i] for i in kept], [texts[i] for i in kept]
+            texts, keys = [words_of(t) for t in b.column(1).to_pylist()], b.column(2).to_pylist()
+            # rows repeated with id and text are one document
+            first = {(ids[i], keys[i]): i for i in reversed(range(len(texts)))}
+            kept = sorted(i for i in first.values() if len(texts[i]) >= window)
+            ids, texts, keys = ([x[i] for i in kept] for x in (ids, texts, keys))
             for lo, hi in chunks([len(w) for w in texts], CHUNK_WORDS):
-                rows = list(pack(texts[lo:hi], ids[lo:hi], window, buckets, known, powers))
+                rows = list(pack(texts[lo:hi], ids[lo:hi], window, buckets, known, powers, keys[lo:hi]))
                 cols = [pa.array([r[c] for r in rows], pa.int32() if c == 0 else pa.binary()) for c in range(len(packed_names))]
                 yield pa.RecordBatch.from_arrays(cols, names=packed_names)
 
@@ -252,9 +257,13 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             for r in bucket.itertuples(index=False)
         ]
         ids, keys, first, count = (np.concatenate([p[c] for p in parts]) for c in ("id", "key", "first", "count"))
-        order = np.lexsort((first, keys, ids))
-        ids, keys = ids[order], keys[order]
-        first, count = first[order].astype(np.int32), count[order].astype(np.int32)
+        # runs that several chunks found for rows of one id and text are one run
+        order = np.lexsort((count, first, keys, ids))
+        ids, keys, first, count = (x[order] for x in (ids, keys, first, count))
+        fresh = np.ones(len(ids), bool)
+        fresh[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]) | (first[1:] != first[:-1]) | (count[1:] != count[:-1])
+        ids, keys = ids[fresh], keys[fresh]
+        first, count = first[fresh].astype(np.int32), count[fresh].astype(np.int32)
         new = np.ones(len(ids), bool)
         new[1:] = (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1])
         start = np.flatnonzero(new)
@@ -268,35 +277,33 @@ def removed_windows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             }
         )
 
-    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"))
-    return rows.mapInArrow(split, PACKED).groupBy("bucket").applyInPandas(join, GONE)
+    rows = docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string"), F.xxhash64(F.col(text_col).cast("string")))
+    return rows.toDF("id", "text", "doc_key").mapInArrow(split, PACKED).groupBy("bucket").applyInPandas(join, GONE)
 
 
-def removal_mask(words: Sequence[bytes], parts: Sequence[tuple[int, bytes, bytes]] | None, window: int) -> np.ndarray:
-    """Which words of a text lie in a removed window; ``parts`` of other texts of its id are skipped."""
-    step = np.zeros(len(words) + 1, np.int64)
-    if parts:
-        key = text_key(words)
-        for doc_key, first, count in parts:
-            if doc_key == key:
-                a = np.frombuffer(first, np.int32)
-                np.add.at(step, a, 1)
-                np.add.at(step, a + np.frombuffer(count, np.int32) + window - 1, -1)
+def removal_mask(n_words: int, parts: Sequence[tuple[bytes, bytes]] | None, window: int) -> np.ndarray:
+    """Which words of a text lie in a removed window."""
+    step = np.zeros(n_words + 1, np.int64)
+    for first, count in parts or ():
+        a = np.frombuffer(first, np.int32)
+        np.add.at(step, a, 1)
+        np.add.at(step, a + np.frombuffer(count, np.int32) + window - 1, -1)
     return np.cumsum(step[:-1]) > 0
 
 
 def _with_parts(docs: DataFrame, id_col: str, text_col: str, keep: Sequence[str], window: int) -> DataFrame:
-    """``keep`` columns as one struct, the text and the removed windows of its id."""
+    """``keep`` columns as one struct, the text and its removed windows, found by id and text."""
     gone = removed_windows(docs, id_col, text_col, window)
-    by_id = gone.groupBy(F.col("id").alias("_id")).agg(F.collect_list(F.struct("doc_key", "first", "count")).alias("_parts"))
+    found = gone.groupBy(F.col("id").alias("_id"), F.col("doc_key").alias("_key")).agg(F.collect_list(F.struct("first", "count")).alias("_parts"))
+    text = F.col(text_col).cast("string")
     rows = docs.select(
-        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("_id"), F.col(text_col).cast("string").alias("_text"), F.struct(*keep).alias("_doc")
+        F.coalesce(F.col(id_col).cast("bigint"), F.lit(NO_ID)).alias("_id"), F.xxhash64(text).alias("_key"), text.alias("_text"), F.struct(*keep).alias("_doc")
     )
-    return rows.join(by_id, "_id", "left").select("_doc", "_text", "_parts")
+    return rows.join(found, ["_id", "_key"], "left").select("_doc", "_text", "_parts")
 
 
-def _parts(values: list | None) -> list[tuple[int, bytes, bytes]]:
-    return [(p["doc_key"], p["first"], p["count"]) for p in values or ()]
+def _parts(values: list | None) -> list[tuple[bytes, bytes]]:
+    return [(p["first"], p["count"]) for p in values or ()]
 
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
@@ -309,7 +316,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", windo
         out = []
         for t, p in zip(text, parts, strict=True):
             words = words_of(t)
-            mask = removal_mask(words, _parts(None if p is None else list(p)), window)
+            mask = removal_mask(len(words), _parts(None if p is None else list(p)), window)
             out.append(b" ".join([w for w, m in zip(words, mask.tolist(), strict=True) if not m]).decode("utf-8"))
         return pd.Series(out)
 
@@ -326,7 +333,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", win
             for text, parts in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True):
                 words = words_of(text)
                 if parts:
-                    mask = removal_mask(words, _parts(parts), window)
+                    mask = removal_mask(len(words), _parts(parts), window)
                     kept = [words[i] for i in np.flatnonzero(~mask).tolist()]
                 else:
                     kept = words

@@ -41,6 +41,24 @@ def test_audit_offsets_and_odd_rows(spark):
     assert {r.status for r in warc.audit(pages, nothing).collect()} == {"missing"}
 
 
+def test_every_damaged_record_without_an_id_is_a_row(spark):
+    pages = spark.range(30_000).select(F.lit(None).cast("bigint").alias("page_id"), F.concat(F.lit("u"), "id").alias("url"), F.lit("x").alias("html"))
+    half = F.substring("url", 2, 9).cast("int") % 2 == 0
+    lost = warc.audit(pages, pages.filter(~half))
+    assert lost.count() == 15_000 and lost.select("page_id", "status", "warc_file").distinct().collect() == [(None, "missing", None)]
+    altered = warc.audit(pages, pages.withColumn("html", F.when(half, "y").otherwise("x")))
+    assert {r.status: r["count"] for r in altered.groupBy("status").count().collect()} == {"missing": 15_000, "extra": 15_000}
+
+
+def test_negative_ids_and_contents_of_one_id(spark):
+    rows = [(-70_000, "u", "a"), (-1, "v", "a"), (0, "w", "a"), (5, "x", "a"), (5, "x", "b"), (5, "x", "c"), (5, "x", "d")]
+    pages = spark.createDataFrame(rows, PAGES)
+    middle = sorted("abcd", key=lambda h: hashlib.sha256(pages.filter("page_id = 5 and html = '%s'" % h).select(warc.record().alias("r")).first().r.encode()).hexdigest())[1]
+    other = pages.filter("page_id <> -70000").withColumn("html", F.when((F.col("page_id") == 5) & (F.col("html") == middle), "z").otherwise(F.col("html")))
+    got = {r.page_id: r.status for r in warc.audit(pages, other).collect()}
+    assert got == {-70_000: "missing", 5: "altered"}
+
+
 @pytest.mark.parametrize("max_bits", [1 << 26, 640])
 def test_the_cascade_is_exact_over_its_universe(spark, max_bits):
     keys = spark.range(3000).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("key"), (F.col("id") % 3 == 0).alias("listed"))
