@@ -10,7 +10,9 @@ about ``MAX_TRAIN_DOCS`` of them, a documented bound, dealt over the languages
 so that rare ones give all their rows), n-grams come from the word counts, and
 the model keeps ``MAX_WORDS`` words and ``MAX_GRAMS`` n-grams, the most frequent
 of each language, so its broadcast size is bounded. What a language lacks scores
-one floor, the same for all languages, however few words it was learned from.
+one floor, the same for all languages, however few words it was learned from. Runs of
+more than ``LONGEST_LEARNED`` letters, as in languages written without spaces, are
+learned in parts of ``PART`` letters, whose n-grams then tell the language.
 
 Defined results: ``und`` with score 0 for a null text, a text without a letter,
 or a model without any language. Ties go to the language that sorts first.
@@ -48,6 +50,9 @@ SMOOTH = 0.5
 #: Words of at most ``LONGEST_WORD`` characters are remembered, so many at once.
 REMEMBERED = 200_000
 LONGEST_WORD = 100
+#: Longer runs of letters are learned in parts of so many.
+LONGEST_LEARNED = 100
+PART = 50
 
 
 def words_of(text: str | None) -> list[str]:
@@ -113,6 +118,13 @@ class Model:
         return self._scores[places].sum(axis=0)
 
 
+def pieces(word: str) -> list[str]:
+    """A run of letters as it is learned: a very long one (text without spaces) in parts, for their n-grams."""
+    if len(word) <= LONGEST_LEARNED:
+        return [word]
+    return [word[i : i + PART] for i in range(0, len(word), PART)]
+
+
 def word_counts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
     """(lang, word, n) over all rows; counted batch by batch before the shuffle."""
 
@@ -122,7 +134,7 @@ def word_counts(docs: DataFrame, lang_col: str, text_col: str) -> DataFrame:
         for b in batches:
             counts: dict[tuple[str, str], int] = Counter()
             for lang, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                counts.update((lang, w) for w in words_of(text) if len(w) <= 100)
+                counts.update((lang, p) for w in words_of(text) for p in pieces(w))
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([k[0] for k in counts], pa.string()),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +13,7 @@ from . import bpe, jaccard, langid, nearest, pii, ranked, repetition, spaced, su
 from .common import documents
 
 #: The vocabulary file of operator 3; a parameter, never copied here.
-WORD_BPE = "/opt/tokenizers/word_bpe_49k.json"
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 #: Operator 5's list: hosts with such a part are listed.
 LISTED_TERMS = ("adult", "ads", "bets", "casino", "pills", "spam")

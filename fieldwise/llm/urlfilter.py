@@ -92,16 +92,18 @@ def shard(key: Column, shards: int) -> Column:
     return F.pmod(F.xxhash64(key, F.lit(0)), F.lit(shards)).cast("int")
 
 
-def _level(keys: DataFrame, level: int, words: int) -> DataFrame:
-    """(shard, words): one level's bits; ``words`` of 64 bits in every shard."""
+def _level(keys: DataFrame, level: int, words: int, shards: int) -> DataFrame:
+    """(shard, level, words): one level's bits; ``words`` of 64 bits in every shard that has keys."""
     at = keys.select("shard", F.explode(_positions(F.col("key"), F.lit(level), F.lit(words * 64).cast("bigint"))).alias("p"))
     word = at.groupBy("shard", F.floor(F.col("p") / 64).cast("int").alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(p % 64 as int))")).alias("bits")
     )
-    by_word = F.map_from_entries(F.collect_list(F.struct("w", "bits")))
-    one = word.groupBy("shard").agg(by_word.alias("m"))
-    filled = F.transform(F.sequence(F.lit(0), F.lit(words - 1)), lambda i: F.coalesce(F.element_at("m", i), F.lit(0).cast("bigint")))
-    return one.select("shard", F.lit(level).alias("level"), filled.alias("words"))
+    # every word of a shard has a row, so that its sorted list is the bit array
+    n = F.col("id")
+    places = keys.sparkSession.range(shards * words).select(F.floor(n / words).cast("int").alias("shard"), F.pmod(n, F.lit(words)).cast("int").alias("w"))
+    filled = places.join(word, ["shard", "w"], "left").select("shard", "w", F.coalesce("bits", F.lit(0).cast("bigint")).alias("bits"))
+    rows = F.array_sort(F.collect_list(F.struct("w", "bits")))
+    return filled.groupBy("shard").agg(F.transform(rows, lambda x: x["bits"]).alias("words")).select("shard", F.lit(level).alias("level"), "words")
 
 
 def build(universe: DataFrame, max_bits: int = MAX_BITS) -> tuple[DataFrame, int]:
@@ -115,8 +117,12 @@ def build(universe: DataFrame, max_bits: int = MAX_BITS) -> tuple[DataFrame, int
     levels: list[DataFrame] = []
     while n:
         words = max(1, -(-n * BITS_PER_KEY // (64 * shards)))
-        bits = written(_level(encoded, len(levels), words), "level")
-        through = others.join(bits.select("shard", "words"), "shard").filter(_holds(F.col("key"), F.lit(len(levels)), F.col("words")))
+        bits = written(_level(encoded, len(levels), words, shards), "level")
+        if shards == 1:
+            met = others.withColumn("words", bits.select("words").scalar())  # one value, not one a row
+        else:
+            met = others.join(bits.select("shard", "words"), "shard")
+        through = met.filter(_holds(F.col("key"), F.lit(len(levels)), F.col("words")))
         levels.append(bits)
         encoded, others = written(through.select("key", "listed", "shard"), "through"), encoded
         n = encoded.count()

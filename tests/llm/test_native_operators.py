@@ -68,6 +68,15 @@ def test_the_cascade_is_exact_over_its_universe(spark, max_bits):
     assert got.filter("listed <> want").count() == 0 and got.count() == 3000
 
 
+def test_a_cascade_of_a_million_listed_keys(spark):
+    keys = spark.range(1_300_000).select(F.concat(F.lit("host-"), F.col("id").cast("string")).alias("key"), (F.col("id") >= 300_000).alias("listed"))
+    began = time.perf_counter()
+    cascade, shards = urlfilter.build(keys)
+    assert shards == 1 and time.perf_counter() - began < 120
+    got = urlfilter.with_membership(keys.withColumnRenamed("listed", "want"), "key", cascade, shards)
+    assert got.filter("listed <> want").count() == 0
+
+
 def test_url_rules_and_odd_urls(spark):
     urls = [
         (1, "https://A.Example.org/es/x?q#f"), (2, "http://example.org/en/12"), (3, "http://example.org/fr/"), (4, "http://x.com/fr/1"),

@@ -1,6 +1,8 @@
 """Operator 1: languages with few or no sampled words leave the others alone."""
 
+import math
 import random
+import re
 
 from fieldwise.llm import langid
 
@@ -38,3 +40,43 @@ def test_shares_and_the_sample_of_rows_without_an_id(spark):
     got = langid.dealt_sample(df, "lang", "doc_id", "text", {"en": 4000, "es": 1}, 401).groupBy("lang").count().collect()
     n = {r["lang"]: r["count"] for r in got}
     assert n["es"] == 1 and 300 < n["en"] < 500
+
+
+def plain_prediction(model, text):
+    """The scorer, word by word, from the model's tables."""
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
+    if not words:
+        return "und", 0.0
+    total = list(model.prior)
+    for w in words:
+        scores = model.words.get(w)
+        padded = f"_{w}_"
+        for n in range(min(5, len(padded)), 0, -1) if scores is None else ():
+            known = [model.grams[g] for i in range(len(padded) - n + 1) if (g := padded[i : i + n]) in model.grams]
+            if known:
+                scores = [sum(k) / len(known) for k in zip(*known, strict=True)]
+                break
+        total = [a + b for a, b in zip(total, scores or [0.0] * len(total), strict=True)]
+    best = max(total)
+    return model.langs[total.index(best)], 1 / sum(math.exp(x - best) for x in total)
+
+
+def test_predictions_are_those_of_a_plain_scorer(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.train(docs.filter(~langid.held_out()))
+    got = langid.identify(docs.withColumn("held_out", langid.held_out()), model, ("doc_id", "held_out")).collect()
+    text = {r.doc_id: r for r in docs.collect()}
+    for r in got:
+        want, score = plain_prediction(model, text[r.doc_id].text)
+        assert r.lang_pred == want and abs(r.score - score) < 1e-9
+    known = [(text[r.doc_id].lang, r.lang_pred) for r in got if r.held_out and text[r.doc_id].lang and r.lang_pred != "und"]
+    assert len(known) > 100 and sum(a == b for a, b in known) >= 0.99 * len(known)
+
+
+def test_a_language_written_without_spaces(spark):
+    r = random.Random(4)
+    thai = lambda n: "".join(chr(r.randrange(0x0E01, 0x0E2E)) for _ in range(n))
+    rows = [(i, " ".join(r.choice(COMMON) for _ in range(20)), "en") for i in range(50)] + [(100 + i, thai(150), "th") for i in range(50)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id bigint, text string, lang string"))
+    assert model.langs == ["en", "th"]
+    assert model.predict(thai(150))[0] == model.predict(rows[60][1])[0] == "th" and model.predict(rows[0][1])[0] == "en"
