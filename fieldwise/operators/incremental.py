@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .partitioned import bucket_of, in_partitions, read_partitioned, upsert_partitions
 from .resolve import OBSERVED_AT, PRIORITY, SOURCE, latest_by_source
@@ -45,6 +45,7 @@ def fold_latest(
     return upsert_partitions(spark, path, merged.select(*newest.columns), [*keys, source], [BUCKET])
 
 
-def latest_state(spark: SparkSession, path: str, schema) -> DataFrame:
-    """The state's rows: one a key and source."""
-    return read_partitioned(spark, path, schema).drop(BUCKET)
+def latest_state(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The state's rows, one a key and source, with the columns of the observations (``schema``)."""
+    whole = T.StructType([*schema.fields, T.StructField(BUCKET, T.IntegerType())])
+    return read_partitioned(spark, path, whole).drop(BUCKET)

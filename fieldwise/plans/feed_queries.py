@@ -12,7 +12,6 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..operators import partitioned
 from ..operators.incremental import fold_latest, latest_state
@@ -135,8 +134,7 @@ def latest_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     obs = ev.select("user_id", F.col("event_type").alias("source"), "event_id", F.col("ts").alias("observed_at"), "value")
     for generation in range(3):
         fold_latest(spark, path, obs.filter(F.col("event_id") % 3 == generation), ["user_id"], priority=None, tiebreak=["event_id"], buckets=16)
-    state = T.StructType([*obs.schema.fields, T.StructField("key_bucket", T.IntegerType())])
-    return latest_state(spark, path, state).select(*obs.columns)
+    return latest_state(spark, path, obs.schema).select(*obs.columns)
 
 
 # ----------------------------------------------------------------------- S12

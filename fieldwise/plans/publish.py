@@ -1,8 +1,7 @@
 """Publishing a table without a gap.
 
-A build is written to a version folder of its own, its contract is checked on what
-was written, and only then one small file, ``_current``, is replaced in one step to
-name it. Readers resolve that name once and so read one version, whole, while later
+A build's contract is checked, it is written to a version folder of its own, and only
+then one small file, ``_current``, is replaced in one step to name it. Readers resolve that name once and so read one version, whole, while later
 builds run; a build that fails leaves the name, and so the table, as it was.
 """
 
@@ -30,16 +29,17 @@ def publish(
     base: str,
     partition_by: Sequence[str] = (),
     contract: T.StructType | None = None,
+    additive: bool = True,
 ) -> DataFrame:
     """Write ``df`` as the next version of the table at ``base`` and make it the current one.
 
-    Without a ``contract`` the published version's columns are it: removing or
-    retyping one is refused (additions pass), before anything is written. Returns the
-    new version, read back.
+    Without a ``contract`` the published version's columns are it, unless ``additive``
+    is off: removing or retyping one is refused (additions pass), before anything is
+    written. Returns the new version, read back.
     """
     spark, base = df.sparkSession, base.rstrip("/")
     held = _pointer(spark, base)
-    agreed = contract or (T.StructType.fromJson(held["schema"]) if held else None)
+    agreed = contract or (T.StructType.fromJson(held["schema"]) if held and additive else None)
     if agreed is not None:
         diff = contract_diff(agreed, df.schema)
         if is_breaking(diff):

@@ -2,8 +2,9 @@
 
 A model is a function from its inputs (by name) to a DataFrame. Staging and
 intermediate models are temp views (lazy; Catalyst plans them into their
-consumers). Core, marts and serving models are written as Parquet tables in
-the warehouse folder - partitioned by instance - and read back, which makes
+consumers). Core, marts and serving models are published as Parquet tables in
+the warehouse folder - partitioned by instance, each build a version of its own
+that readers get only when it is whole (``publish``) - and read back, which makes
 them the lineage cut points. A serving model may declare a contract; a
 breaking change (removed or retyped column) fails the build, additive
 changes pass. ``run`` builds all models or only those downstream of changed
@@ -19,15 +20,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators.quality import contract_diff, is_breaking
+from .publish import ContractError, publish
 
 VIEW_LAYERS = ("staging", "intermediate")
 TABLE_LAYERS = ("core", "marts", "serving")
 
 
-class ContractError(RuntimeError):
-    """A published model changed incompatibly; it needs a new ``_vN`` name."""
-
-
 @dataclass
 class Model:
     name: str
@@ -77,14 +75,8 @@ def materialize(spark: SparkSession, model: Model, df: DataFrame, warehouse: str
         return df
     if model.layer not in TABLE_LAYERS:
         raise ValueError(f"unknown layer {model.layer}")
-    path = f"{warehouse.rstrip('/')}/{model.layer}/{model.name}"
-    w = df.write.mode("overwrite")
-    if model.partition_by:
-        w = w.partitionBy(*model.partition_by)
-    w.parquet(path)
-    # read back with the written schema: partition discovery would otherwise
-    # re-infer partition column types (a long key comes back as int)
-    out = spark.read.schema(df.schema).parquet(path)
+    # a rebuilt core table may change; what is promised to readers is the model's contract
+    out = publish(df, f"{warehouse.rstrip('/')}/{model.layer}/{model.name}", model.partition_by, model.contract, additive=False)
     out.createOrReplaceTempView(f"{model.layer}__{model.name}")
     return out
 

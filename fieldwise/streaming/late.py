@@ -73,7 +73,7 @@ class LateAwareDrain:
         return sums.withColumn("n_events", F.col("n_on_time") + F.col("n_late")).withColumn("closed", closed)
 
     def revised_sessions(self, spark: SparkSession, keys: Sequence[str], gap_seconds: float, tiebreak: Sequence[str] = ()) -> DataFrame:
-        """The sessions, over all landed rows, of the resources that have late rows."""
+        """The sessions, over all landed rows with a time, of the resources that have late rows."""
         touched = self.rows(spark, "late").select(*keys).distinct()
-        landed = self.rows(spark, "on_time").unionByName(self.rows(spark, "late"))
+        landed = self.rows(spark, "on_time").unionByName(self.rows(spark, "late")).filter(F.col(self.ts).isNotNull())
         return debounce(landed.join(touched, list(keys), "left_semi"), keys, self.ts, gap_seconds, tiebreak)

@@ -76,18 +76,6 @@ def test_status_ledger_streaming_equals_batch(spark):
     assert 30 not in [r.status_code for r in emitted.filter("key = 'r1'").collect()]
 
 
-def test_dedupe_stream_drops_replays(spark):
-    root = tempfile.mkdtemp(prefix="fw-dedupe-", dir="/tmp")
-    src, out = os.path.join(root, "in"), os.path.join(root, "out")
-    _write_events(src, _batches())
-    stream = st.with_hash(st.event_stream(spark, src, max_files_per_trigger=1))
-    st.run_available(st.dedupe_stream(stream), "dedupe-test-" + os.path.basename(root), st.batch_writer(out))
-    got = sorted(r.event_id for r in spark.read.parquet(out).collect())
-    assert 5 not in got  # replay of event 3
-    assert 7 not in got  # r1 back to status 1 within the 7-day bound hashes like event 1
-    assert {1, 2, 3, 4, 6, 8, 9, 10, 11} <= set(got)
-
-
 def test_drain_routes_and_dead_letters(spark):
     root = tempfile.mkdtemp(prefix="fw-drain-", dir="/tmp")
     src, out = os.path.join(root, "in"), os.path.join(root, "out")
