@@ -12,12 +12,16 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import partitioned
+from ..operators.bridge import match_next_rows
+from ..operators.identity import identities
 from ..operators.incremental import fold_latest, latest_state
 from ..operators.joins import bounded_broadcast, interval_join
 from ..session import checkpoint_dir, written_once
 from ..sources import seeds
+from ..sources.nested import child_tables
 from ..streaming import events as stream
 from ..streaming.drain import GuardedLog, RetryDrain
 from ..streaming.late import LateAwareDrain
@@ -310,3 +314,78 @@ def order_at_shipment(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = li.join(o.select("o_orderkey", "o_custkey"), F.col("o_orderkey") == F.col("l_orderkey")).withColumn("ship_date", F.to_date("l_shipdate"))
     out = interval_join(lines, iv, "ship_date", "valid_from", "valid_to", ["o_custkey"])
     return out.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "ship_date", "current_order")
+
+
+# ------------------------------------------------------- tier 2 (lead map)
+#: Contacts of a row, by fixed rules: an e-mail of the user, a phone that two users share; some rows have one, some none.
+LEAD_CONTACTS_SQL = """
+  SELECT event_id, user_id, ts, event_type,
+         CASE WHEN event_id % 3 <> 0 THEN 'u' || user_id END AS email,
+         CASE WHEN event_id % 4 = 1 THEN 'p' || (user_id // 2) END AS phone
+  FROM events WHERE event_type IN ('signup', 'purchase')
+"""
+
+LEAD_IDENTITY_SQL = f"""
+WITH RECURSIVE c AS ({LEAD_CONTACTS_SQL}),
+e AS (SELECT DISTINCT email AS a, phone AS b FROM c WHERE email IS NOT NULL AND phone IS NOT NULL),
+l AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+v AS (SELECT email AS v FROM c WHERE email IS NOT NULL UNION SELECT phone FROM c WHERE phone IS NOT NULL),
+reach AS (SELECT v, v AS w FROM v UNION SELECT r.v, l.b FROM reach r JOIN l ON l.a = r.w),
+comp AS (SELECT v, min(w) AS comp FROM reach GROUP BY v),
+r AS (SELECT c.*, coalesce(comp.comp, 'row' || event_id) AS comp FROM c LEFT JOIN comp ON comp.v = coalesce(email, phone)),
+m AS (
+  SELECT s.event_id, min(p.ts) AS at FROM r s JOIN r p ON p.comp = s.comp AND p.event_type = 'purchase'
+    AND p.ts >= s.ts AND p.ts <= s.ts + INTERVAL 7 DAY
+  WHERE s.event_type = 'signup' GROUP BY s.event_id)
+SELECT s.event_id AS lead_id, s.ts AS lead_at, m.at AS opportunity_at
+FROM r s LEFT JOIN m USING (event_id) WHERE s.event_type = 'signup'
+"""
+
+
+@query("lead_identity", LEAD_IDENTITY_SQL, "tier-2 fuzzy lead map (e-mail or phone)")
+def lead_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each signup's first purchase within 7 days by the same person, known by e-mail or phone."""
+    e = table(spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type").filter(F.col("event_type").isin("signup", "purchase"))
+    k = F.col("event_id")
+    rows = written_once(
+        e.withColumns(
+            {
+                "email": F.when(k % 3 != 0, F.concat(F.lit("u"), F.col("user_id").cast("string"))),
+                "phone": F.when(k % 4 == 1, F.concat(F.lit("p"), F.floor(F.col("user_id") / 2).cast("string"))),
+            }
+        )
+    )
+    known = rows.join(identities(rows, "event_id", ["email", "phone"]), "event_id")
+    out = match_next_rows(known, ["identity"], "ts", "event_id", F.col("event_type") == "purchase", 7 * 24 * 3600)
+    return out.select("lead_id", "lead_at", "opportunity_at")
+
+
+# ------------------------------------------------------------------------ S2
+_LINE = T.StructType().add("l_linenumber", T.LongType()).add("l_partkey", T.LongType()).add("flags", T.ArrayType(T.StringType()))
+ORDER_PAYLOAD = T.StructType().add("o_orderkey", T.LongType()).add("lines", T.ArrayType(_LINE))
+
+PAYLOAD_TABLES_SQL = """
+WITH l AS (
+  SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS i
+  FROM lineitem)
+SELECT l_orderkey AS order_key, i AS line, CAST(NULL AS BIGINT) AS flag, l_linenumber, l_partkey, CAST(NULL AS VARCHAR) AS value,
+       '{"supplier":' || l_suppkey || '}' AS surplus FROM l
+UNION ALL
+SELECT l_orderkey, i, f.k, NULL, NULL, CASE f.k WHEN 0 THEN l_returnflag ELSE l_linestatus END, NULL FROM l, (VALUES (0), (1)) f(k)
+"""
+
+
+@query("payload_tables", PAYLOAD_TABLES_SQL, "S2 J1 J2")
+def payload_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as JSON payloads, taken apart into lines and the lines' flags; an unknown field is kept."""
+    li = table(spark, sf_dir, "lineitem", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
+    line = F.struct("l_linenumber", "l_partkey", F.col("l_suppkey").alias("supplier"), F.array("l_returnflag", "l_linestatus").alias("flags"))
+    ordered = F.transform(F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", line.alias("line")))), lambda x: x["line"])
+    payload = F.to_json(F.struct(F.col("l_orderkey").alias("o_orderkey"), ordered.alias("lines")))
+    docs = li.groupBy("l_orderkey").agg(payload.alias("payload")).withColumnRenamed("l_orderkey", "order_key")
+    t = child_tables(docs, "payload", ["order_key"], ORDER_PAYLOAD)
+    key = F.col("_root_order_key").alias("order_key")
+    lines = t["lines"].select(key, F.col("_list_idx").alias("line"), F.lit(None).cast("bigint").alias("flag"), "l_linenumber", "l_partkey", F.lit(None).cast("string").alias("value"), F.to_json("_surplus").alias("surplus"))
+    flags = t["lines.flags"].select(key, F.col("_parent_idx")[0].alias("line"), F.col("_list_idx").alias("flag"), F.lit(None).cast("bigint").alias("l_linenumber"), F.lit(None).cast("bigint").alias("l_partkey"), "value", F.lit(None).cast("string").alias("surplus"))
+    return lines.unionByName(flags)
