@@ -61,6 +61,11 @@ OPPORTUNITY_CANDIDATES = Candidates(
         "estimator_name": [AJO, ENR, RPT],
         "move_coordinator_name": [AJO, ENR, RPT],
         "opportunity_type_code": [ENR],
+        "service_type_id": [ENR],
+        "affiliate_name": [ENR],
+        "tariff_name": [ENR],
+        "move_size_name": [ENR],
+        "cancellation_reason": [ENR],
         "created_at_utc": [ENR],
         "invoiced_amount": [BKD],
         "booked_date_local": [BKD],
@@ -75,10 +80,80 @@ OBS_FIELDS = {
     "customer_phone": "string", "customer_address": "string", "branch_name": "string", "referral_source": "string",
     "estimated_final_total": "decimal(18,2)", "estimated_subtotal": "decimal(18,2)", "estimated_tax": "decimal(18,2)",
     "volume": "decimal(18,4)", "weight": "decimal(18,4)", "sales_assignee_name": "string", "estimator_name": "string",
-    "move_coordinator_name": "string", "opportunity_type_code": "int", "created_at_utc": "timestamp",
+    "move_coordinator_name": "string", "opportunity_type_code": "int", "service_type_id": "bigint", "affiliate_name": "string",
+    "tariff_name": "string", "move_size_name": "string", "cancellation_reason": "string", "created_at_utc": "timestamp",
     "invoiced_amount": "decimal(18,2)", "booked_date_local": "date", "is_deleted": "boolean", "deleted_at": "timestamp",
 }
 
+# Further fields of the detail payload, by their path in it; a payload without one gives null.
+DETAIL_FIELDS = {
+    "opportunity_type_code": ("opportunity_type", "int"),
+    "service_type_id": ("type", "bigint"),
+    "volume_weight_calculation_mode_code": ("volume_weight_calculation_mode", "bigint"),
+    "has_trip_info": ("has_trip_info", "boolean"),
+    "is_trip_info_applied": ("trip_info.is_trip_info_applied", "boolean"),
+    "allow_inventory_updates": ("allow_inventory_updates", "boolean"),
+    "affiliate_id": ("affiliate_id", "string"),
+    "affiliate_name": ("affiliate_name", "string"),
+    "cancellation_reason": ("cancellation_reason", "string"),
+    "tariff_id": ("tariff.id", "string"),
+    "tariff_name": ("tariff.name", "string"),
+    "estimated_taxable_amount": ("estimated_total.taxable_amount", "decimal(18,2)"),
+    "move_size_name": ("move_size.name", "string"),
+    "move_size_description": ("move_size.description", "string"),
+    "move_size_volume": ("move_size.volume", "decimal(18,4)"),
+    "branch_phone": ("branch.phone_number", "string"),
+    "customer_phone_type_code": ("customer.phone_type", "bigint"),
+    "sales_assignee_id": ("sales_assignee.id", "string"),
+    "estimator_mobile": ("estimator.mobile_number", "string"),
+    "estimator_branch_id": ("estimator.branch_id", "string"),
+    "estimator_title": ("estimator.title", "string"),
+    "move_coordinator_id": ("move_coordinator.id", "string"),
+    "synced_at": ("_extracted_at", "timestamp"),
+}
+# The same for a job, and which of them are resolved (the detail alone has them).
+JOB_DETAIL_FIELDS = {
+    "is_confirmed": ("confirmed", "boolean"),
+    "total_tips": ("total_tips", "decimal(18,2)"),
+    "arrival_window_id": ("arrival_window.id", "string"),
+    "arrival_window_description": ("arrival_window.description", "string"),
+    "arrival_window_start_time": ("arrival_window.start_time", "string"),
+    "arrival_window_end_time": ("arrival_window.end_time", "string"),
+    "arrival_window_is_default": ("arrival_window.is_default", "boolean"),
+    "labor_time_estimated": ("job_time.labor_time.estimated", "decimal(18,4)"),
+    "labor_time_actual": ("job_time.labor_time.actual", "decimal(18,4)"),
+    "travel_time_estimated": ("job_time.travel_time.estimated", "decimal(18,4)"),
+    "travel_time_actual": ("job_time.travel_time.actual", "decimal(18,4)"),
+    "billable_hours": ("job_time.billable_hours", "decimal(18,4)"),
+}
+RESOLVED_JOB_DETAIL = [
+    "is_confirmed", "total_tips", "arrival_window_description", "labor_time_estimated", "labor_time_actual",
+    "travel_time_estimated", "travel_time_actual", "billable_hours",
+]
+CHARGE_FIELDS = {
+    "charge_category_code": ("charge_category", "bigint"),
+    "charge_description": ("description", "string"),
+    "charge_editable_description": ("editable_description", "string"),
+    "sort_order": ("sort_order", "bigint"),
+    "subtotal": ("subtotal", "decimal(18,2)"),
+    "discount_amount": ("discount_amount", "decimal(18,2)"),
+}
+BRANCH_FIELDS = {
+    "address": ("dispatch_location.full_address", "string"),
+    "street": ("dispatch_location.street", "string"),
+    "city": ("dispatch_location.city", "string"),
+    "state": ("dispatch_location.state", "string"),
+    "zip": ("dispatch_location.zip", "string"),
+    "lat": ("dispatch_location.lat", "double"),
+    "lng": ("dispatch_location.lng", "double"),
+    "synced_at": ("_extracted_at", "timestamp"),
+}
+# Further fields of a lead.
+LEAD_FIELDS = {
+    **{c: (c, "string") for c in ("origin_city", "origin_state", "origin_zip", "destination_city", "destination_state", "destination_zip")},
+    "move_size_name": ("move_size_name", "string"),
+}
+
 # Declared headers of the two modelled reports.
 LEAD_STATUS_HEADERS = [
     "Quote #", "Status", "Lead Status", "Branch Name", "Service Type", "Sales Person", "Estimator",
@@ -112,6 +187,22 @@ def _nn(c) -> F.Column:
     return text.blank_to_null(c)
 
 
+def _has(schema: T.StructType, path: str) -> bool:
+    head, _, rest = path.partition(".")
+    if head not in schema.fieldNames():
+        return False
+    return not rest or (isinstance(schema[head].dataType, T.StructType) and _has(schema[head].dataType, rest))
+
+
+def _fields(df: DataFrame, fields: dict[str, tuple[str, str]]) -> list[F.Column]:
+    """Declared payload fields, typed; blank text and what the payload lacks are null."""
+    out = []
+    for name, (path, kind) in fields.items():
+        c = F.col(path) if _has(df.schema, path) else F.lit(None)
+        out.append((_nn(c.cast(kind)) if kind == "string" else c.cast(kind)).alias(name))
+    return out
+
+
 # ------------------------------------------------------------------ staging
 def stg_leads(leads: DataFrame) -> DataFrame:
     return leads.select(
@@ -122,8 +213,7 @@ def stg_leads(leads: DataFrame) -> DataFrame:
         _nn("sales_person").alias("sales_person"), _nn("branch_name").alias("branch_name"),
         casts.int_date("service_date").alias("service_date"), F.col("status").cast("int").alias("lead_status_code"),
         _nn("lost_reason").alias("lost_reason"), _nn("bad_lead_reason").alias("bad_lead_reason"),
-        *[(_nn(c) if c in leads.columns else F.lit(None).cast("string")).alias(c)
-          for c in ("origin_city", "origin_state", "origin_zip")],
+        *_fields(leads, LEAD_FIELDS),
         "created_at_utc", F.col("_extracted_at").alias("synced_at"),
     )
 
@@ -135,7 +225,6 @@ def stg_opportunities_enriched(opps: DataFrame) -> DataFrame:
         F.col("_snapshot_at").alias("observed_at"),
         F.col("quote_number").cast("string").alias("quote_number"), F.col("status").cast("int").alias("status_code"),
         _nn("lead_status").alias("pipeline_status"), casts.int_date("service_date").alias("service_date"),
-        F.col("type").cast("int").alias("opportunity_type_code"),
         _nn(F.col("customer.id")).alias("external_customer_id"), _nn(F.col("customer.name")).alias("customer_name"),
         _nn(F.col("customer.email_address")).alias("customer_email"),
         _nn(F.col("customer.phone_number")).alias("customer_phone"), _nn(F.col("branch.name")).alias("branch_name"),
@@ -147,7 +236,7 @@ def stg_opportunities_enriched(opps: DataFrame) -> DataFrame:
         _nn(F.col("sales_assignee.name")).alias("sales_assignee_name"),
         _nn(F.col("estimator.name")).alias("estimator_name"),
         _nn(F.col("move_coordinator.name")).alias("move_coordinator_name"),
-        "created_at_utc",
+        "created_at_utc", *_fields(opps, DETAIL_FIELDS),
     )
 
 
@@ -160,7 +249,7 @@ def stg_opportunity_jobs(opps: DataFrame) -> DataFrame:
         F.col("_opp_id").alias("external_opportunity_id"), F.col("_snapshot_at").alias("observed_at"),
         F.col("_list_idx").alias("job_index"), F.col("id").alias("external_job_id"),
         _nn("job_number").alias("job_number"), casts.int_date("job_date").alias("service_date"),
-        F.col("type").alias("service_type_id"),
+        F.col("type").alias("service_type_id"), *_fields(j, JOB_DETAIL_FIELDS),
     )
 
 
@@ -175,7 +264,7 @@ def stg_opportunity_job_charges(opps: DataFrame) -> DataFrame:
             g.select(
                 F.col(f"_root_{OPP_KEY}").alias(OPP_KEY), F.col("_parent_job_idx").alias("job_index"),
                 F.col("_list_idx").alias("line_index"),
-                F.lit(kind).alias("charge_kind"), _nn("name").alias("charge_name"),
+                F.lit(kind).alias("charge_kind"), _nn("name").alias("charge_name"), *_fields(g, CHARGE_FIELDS),
                 F.col("total_cost").cast("decimal(18,2)").alias("total_cost"),
             )
         )
@@ -265,15 +354,17 @@ def int_attachment_counts(opps: DataFrame) -> DataFrame:
     ]
     if "jobs" in opps.columns and "job_documents" in opps.schema["jobs"].dataType.elementType.fieldNames():
         jd = grandchildren(o.select(OPP_KEY, "jobs"), "jobs", "job_documents", [OPP_KEY])
-        parts.append(jd.groupBy(F.col(f"_root_{OPP_KEY}").alias(OPP_KEY)).agg(F.count(F.lit(1)).alias("job_document_count")))
-    names = ["document_count", "document_complete_count", "file_count", "photo_count", "job_document_count"]
+        parts.append(jd.groupBy(F.col(f"_root_{OPP_KEY}").alias(OPP_KEY)).agg(
+            F.count(F.lit(1)).alias("job_document_count"), F.count_if(F.col("is_complete")).alias("job_document_complete_count")
+        ))
+    names = ["document_count", "document_complete_count", "file_count", "photo_count", "job_document_count", "job_document_complete_count"]
     out = base
     for part in parts:
         if part is not None:
             out = out.join(part, OPP_KEY, "left")
     for n in names:
         out = out.withColumn(n, F.coalesce(F.col(n), F.lit(0).cast("bigint")) if n in out.columns else F.lit(0).cast("bigint"))
-    return out.filter(sum((F.col(n) for n in names if n != "document_complete_count"), F.lit(0)) > 0)
+    return out.filter(sum((F.col(n) for n in names if "complete" not in n), F.lit(0)) > 0)
 
 
 def stg_sweep(customers: DataFrame) -> DataFrame:
@@ -317,11 +408,12 @@ def stg_report_lead_status(report: DataFrame, instances: DataFrame) -> DataFrame
         _nn(c("Referral Source")).alias("referral_source"),
         casts.rpt_ts(c("Received at"), tz).alias("received_at_utc"),
         casts.rpt_ts(c("Quote Sent"), tz).alias("quote_sent_at_utc"),
+        casts.rpt_ts(c("Last Communication"), tz).alias("last_communication_at_utc"),
         casts.rpt_date(c("Service Date")).alias("service_date"),
         casts.rpt_minutes(c("Time to Contact")).alias("time_to_contact_minutes"),
         casts.rpt_num(c("Estimated Revenue")).alias("estimated_final_total"),
         casts.rpt_cuft(c("Volume/Weight")).alias("volume"), casts.rpt_lbs(c("Volume/Weight")).alias("weight"),
-        "crm_timezone", "row_data",
+        "crm_timezone", "row_data", *_fields(r, {"source_email": ("_source_email", "string")}),
     )
 
 
@@ -356,8 +448,24 @@ def stg_branches(branches: DataFrame) -> DataFrame:
         text.surrogate_key("source_instance_id", "id").alias("branch_key"), "source_instance_id", "entity_id",
         F.col("id").alias("external_branch_id"), _nn("name").alias("branch_name"),
         _nn("phone_number").alias("phone_number"), F.coalesce("is_primary", F.lit(False)).alias("is_primary"),
-        _nn(F.col("dispatch_location.city")).alias("city"), _nn(F.col("dispatch_location.state")).alias("state"),
-        _nn(F.col("dispatch_location.zip")).alias("zip"),
+        *_fields(branches, BRANCH_FIELDS),
+    )
+
+
+def stg_customers(customers: DataFrame) -> DataFrame:
+    """F1 + F2: the sweep's customers, one row each."""
+    return customers.select(
+        text.surrogate_key("source_instance_id", "id").alias("customer_key"), "source_instance_id", "entity_id",
+        F.col("id").alias("external_customer_id"), F.col("name").alias("customer_name"), _nn("phone_number").alias("customer_phone"),
+        _nn("email_address").alias("customer_email"), _nn("address").alias("customer_address"), F.col("_extracted_at").alias("synced_at"),
+    )
+
+
+def stg_service_types(service_types: DataFrame) -> DataFrame:
+    """service types; ids are unique within an instance only."""
+    return service_types.select(
+        text.surrogate_key("source_instance_id", "id").alias("service_type_key"), "source_instance_id",
+        *_fields(service_types, {"entity_id": ("entity_id", "string")}), F.col("id").alias("service_type_id"), F.col("name").alias("service_type_name"),
     )
 
 
@@ -447,18 +555,19 @@ def core_jobs(
     }
     keys = ["job_key", "source_instance_id", "external_job_id"]
 
+    detail = {c: JOB_DETAIL_FIELDS[c][1] for c in RESOLVED_JOB_DETAIL}
+
     def arm(df, source):
         d = df.withColumn("job_key", text.surrogate_key("source_instance_id", "external_job_id"))
-        return stack_observations(
-            d, keys, [ArmSpec(source, PRIORITY[source], F.col("observed_at"), {c: F.col(c) for c in cols})], cols
-        )
+        seen = {c: F.col(c) for c in (*cols, *(detail if source == ENR else ())) if c in df.columns}
+        return stack_observations(d, keys, [ArmSpec(source, PRIORITY[source], F.col("observed_at"), seen)], cols | detail)
 
     obs = arm(enr_jobs, ENR).unionByName(arm(sweep_jobs, SWP))
-    sources = {c: [ENR, SWP] for c in cols}
+    sources = {c: [ENR, SWP] for c in cols} | {c: [ENR] for c in detail}
     if report is not None:
         seen = {"job_number": F.col("job_number"), "service_date": F.col("service_date_local")}
         rows = report.withColumn("job_key", text.surrogate_key("source_instance_id", "external_job_id"))
-        obs = obs.unionByName(stack_observations(rows, keys, [ArmSpec(RPJ, PRIORITY[RPJ], F.col("observed_at"), seen)], cols))
+        obs = obs.unionByName(stack_observations(rows, keys, [ArmSpec(RPJ, PRIORITY[RPJ], F.col("observed_at"), seen)], cols | detail))
         sources |= {c: [ENR, SWP, RPJ] for c in seen}
     jobs = resolve(obs, keys, Candidates(fields=sources))
     opp = opportunities.select(OPP_KEY, "entity_id", "customer_name", "branch_name", "status_label", F.col("synced_at").alias("_opp_synced"))
@@ -515,21 +624,20 @@ def core_opportunity_charges(charges: DataFrame, opportunities: DataFrame) -> Da
 
 def core_branches(branches: DataFrame, branch_tz: DataFrame, instances: DataFrame) -> DataFrame:
     """J9 + X24 + F10: the zone authority - a branch override, else the instance default."""
-    inst = bounded_broadcast(instances.select(F.col("instance_id").alias("source_instance_id"), F.col("timezone").alias("_itz")))
+    inst = bounded_broadcast(instances.select(F.col("instance_id").alias("source_instance_id"), F.col("timezone").alias("_itz"), "crm_timezone"))
     bz = branch_tz.select("source_instance_id", F.col("branch_name").alias("_bz_branch"), F.col("timezone").alias("_btz"))
     b = norm_key_join(branches, bz, "branch_name", "_bz_branch", extra_keys=["source_instance_id"], key_name="_bz_key")
     b = b.join(inst, "source_instance_id", "left")
     return b.select(
-        "branch_key", "source_instance_id", "entity_id", "external_branch_id", "branch_name", "city", "state",
-        zone_of("_btz", "_itz").alias("timezone"), F.col("_btz").isNotNull().alias("has_timezone_override"),
+        "branch_key", "source_instance_id", "entity_id", "external_branch_id", "branch_name", "phone_number", "is_primary",
+        zone_of("_btz", "_itz").alias("timezone"), "crm_timezone", F.col("_btz").isNotNull().alias("has_timezone_override"),
+        *BRANCH_FIELDS,
     )
 
 
 def core_lines_of_business(jobs: DataFrame, service_types: DataFrame, lob_branch: DataFrame, instances: DataFrame) -> DataFrame:
     """X23 + J8 (two keys) + F10: line of business per job with its provenance."""
-    st = service_types.select(
-        "source_instance_id", F.col("id").alias("service_type_id"), _nn("name").alias("service_type_name")
-    )
+    st = service_types.select("source_instance_id", "service_type_id", _nn("service_type_name").alias("service_type_name"))
     j = jobs.join(st, ["source_instance_id", "service_type_id"], "left")
     out = rules.classify_lob(j, lob_branch, instances, "job_type_name", "service_type_name", "branch_name")
     return out.select(
@@ -547,7 +655,8 @@ def core_opportunity_payments(payments: DataFrame, opportunities: DataFrame) ->
 def mart_unmatched_report_rows(report: DataFrame, xwalk: DataFrame) -> DataFrame:
     """Newest generation only, with a reason per unbridgeable row."""
     return bridge.unmatched(report, xwalk).select(
-        "report_row_key", "source_instance_id", "entity_id", "report_generated_at", "row_key", "quote_number", "reason"
+        "report_row_key", "source_instance_id", "entity_id", "report_generated_at", "row_key", "quote_number", "status_raw",
+        "branch_name", "service_date", "received_at_utc", F.col("estimated_final_total").alias("estimated_revenue"), "reason", "source_email",
     )
 
 
@@ -694,6 +803,8 @@ def crm_registry(as_of: str) -> Registry:
     add(Model("stg_opportunity_jobs", "staging", stg_opportunity_jobs, ["opportunities_enriched"]))
     add(Model("stg_opportunity_job_charges", "staging", stg_opportunity_job_charges, ["opportunities_enriched"]))
     add(Model("stg_sweep", "staging", stg_sweep, ["customers_service_window"]))
+    add(Model("stg_customers", "staging", stg_customers, ["customers_service_window"]))
+    add(Model("stg_service_types", "staging", stg_service_types, ["dim_service_types"]))
     add(Model("stg_sweep_jobs", "staging", stg_sweep_jobs, ["stg_sweep"]))
     add(Model("stg_report_lead_status", "staging", stg_report_lead_status, ["report_lead_status", "dim_instance"]))
     add(Model("stg_report_booked", "staging", stg_report_booked, ["report_booked_opportunities"]))
@@ -720,7 +831,7 @@ def crm_registry(as_of: str) -> Registry:
               partition_by=["source_instance_id"]))
     add(Model("core_branches", "core", core_branches, ["stg_branches", "branch_timezone", "dim_instance"]))
     add(Model("core_lines_of_business", "core", core_lines_of_business,
-              ["core_jobs", "dim_service_types", "dim_lob_branch", "dim_instance"], partition_by=["source_instance_id"]))
+              ["core_jobs", "stg_service_types", "dim_lob_branch", "dim_instance"], partition_by=["source_instance_id"]))
     add(Model("core_leads", "core", core_leads,
               ["stg_leads", "dim_instance", "dim_opportunity_status", "dim_referral_source", "dim_zip", "branch_timezone"],
               partition_by=["source_instance_id"]))

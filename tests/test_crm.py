@@ -236,3 +236,75 @@ def test_crm_selective_rebuild_only_touches_downstream(spark):
     todo = r.downstream(["report_booked_opportunities"])
     assert "stg_report_booked" in todo and "core_opportunities" in todo and "jobs_upcoming_v1" in todo
     assert "core_leads" not in todo and "stg_leads" not in todo
+
+
+FULL_DETAIL = (
+    "source_instance_id string, entity_id string, id string, quote_number bigint, opportunity_type int, type bigint, status bigint, service_date int, "
+    "lead_status string, volume double, weight double, volume_weight_calculation_mode bigint, has_trip_info boolean, "
+    "trip_info struct<is_trip_info_applied:boolean>, allow_inventory_updates boolean, referral_source string, affiliate_id string, affiliate_name string, "
+    "cancellation_reason string, tariff struct<id:string,name:string>, estimated_total struct<subtotal:double,taxable_amount:double,tax:double,final_total:double>, "
+    "move_size struct<name:string,description:string,volume:double>, branch struct<name:string,phone_number:string>, "
+    "customer struct<id:string,name:string,email_address:string,phone_number:string,phone_type:bigint>, sales_assignee struct<id:string,name:string>, "
+    "estimator struct<name:string,mobile_number:string,branch_id:string,title:string>, move_coordinator struct<id:string,name:string>, "
+    "created_at_utc timestamp, _snapshot_at timestamp, _extracted_at timestamp, "
+    "jobs array<struct<id:string,job_number:string,job_date:int,type:bigint,confirmed:boolean,total_tips:double,"
+    "arrival_window:struct<id:string,description:string,start_time:string,end_time:string,is_default:boolean>,"
+    "job_time:struct<labor_time:struct<estimated:double,actual:double>,travel_time:struct<estimated:double,actual:double>,billable_hours:double>,"
+    "estimated_charges:array<struct<name:string,charge_category:bigint,description:string,editable_description:string,sort_order:bigint,subtotal:double,discount_amount:double,total_cost:double>>,"
+    "actual_charges:array<struct<name:string,charge_category:bigint,description:string,editable_description:string,sort_order:bigint,subtotal:double,discount_amount:double,total_cost:double>>>>"
+)
+
+
+def _detail(snap, tips, window, hours, reason, affiliate):
+    charge = [("Labor", 3, "by the hour", "", 1, 900.0, 100.0, 800.0)]
+    job = ("J1", "1-1", 20260815, 7, True, tips, ("W", window, "08:00", "10:00", False), ((4.0, 5.5), (1.0, 1.25), hours), charge, charge)
+    return (
+        "i1", "t1", "O1", 1, 2, 7, 20, 20260815, "x", 1.0, 2.0, 1, True, (True,), False, "Google", "A1", affiliate, reason, ("T1", "Tariff"),
+        (900.0, 900.0, 0.0, 900.0), ("2 rooms", "two", 525.0), ("Main", "555"), ("C1", "N", "e", "5", 4), ("S1", "Ann"), ("Est", "556", "B1", "Lead"),
+        ("M1", "Coord"), D(2026, 8, 1), snap, D(2026, 8, 9), [job],
+    )
+
+
+def test_every_field_of_the_detail_is_staged_and_resolved(spark):
+    old, new = D(2026, 8, 1), D(2026, 8, 5)
+    raw = spark.createDataFrame([_detail(old, 10.0, "morning", 6.0, "price", "Old"), _detail(new, 25.5, "", None, "moved away", "New")], FULL_DETAIL)
+    enr = crm.stg_opportunities_enriched(raw)
+    assert len(enr.columns) >= 45 and set(crm.DETAIL_FIELDS) <= set(enr.columns)
+    row = enr.filter("affiliate_name = 'New'").first()
+    assert (row.opportunity_type_code, row.service_type_id, row.tariff_name, row.move_size_name, row.branch_phone) == (2, 7, "Tariff", "2 rooms", "555")
+    assert row.is_trip_info_applied and float(row.estimated_taxable_amount) == 900 and row.estimator_title == "Lead" and row.synced_at == D(2026, 8, 9)
+    jobs = crm.stg_opportunity_jobs(raw)
+    schema = "source_instance_id string, external_job_id string, opportunity_key string, external_opportunity_id string, job_number string, service_date date, service_type_id bigint, observed_at timestamp"
+    sweep = spark.createDataFrame([("i1", "J1", "i1:O1", "O1", "1-1", dt.date(2026, 8, 16), 7, D(2026, 8, 7))], schema)
+    opps = spark.createDataFrame([("i1:O1", "t1", "N", "Main", "Booked", D(2026, 8, 3))], "opportunity_key string, entity_id string, customer_name string, branch_name string, status_label string, synced_at timestamp")
+    (job,) = crm.core_jobs(jobs, sweep, opps).collect()
+    # the newest detail row counts whole: its blank window and missing hours hide the older ones
+    assert job.is_confirmed and float(job.total_tips) == 25.5 and job.arrival_window_description is None and job.billable_hours is None
+    assert [float(job[c]) for c in ("labor_time_estimated", "labor_time_actual", "travel_time_estimated", "travel_time_actual")] == [4.0, 5.5, 1.0, 1.25]
+    assert job.service_date == dt.date(2026, 8, 16)  # the sweep is newer and says nothing of the detail's fields
+    obs = crm.stack_observations(
+        enr, [crm.OPP_KEY, "source_instance_id", "external_opportunity_id"],
+        [crm.ArmSpec(crm.ENR, 1, F.col("observed_at"), {c: F.col(c) for c in ("service_type_id", "affiliate_name", "tariff_name", "move_size_name", "cancellation_reason")})],
+        crm.OBS_FIELDS, candidates=crm.OPPORTUNITY_CANDIDATES,
+    )
+    res = crm.resolve(obs, [crm.OPP_KEY], crm.OPPORTUNITY_CANDIDATES).first()
+    assert (res.service_type_id, res.affiliate_name, res.tariff_name, res.move_size_name, res.cancellation_reason) == (7, "New", "Tariff", "2 rooms", "moved away")
+    charge = crm.stg_opportunity_job_charges(raw).first()
+    assert (float(charge.subtotal), float(charge.discount_amount), charge.charge_category_code, charge.charge_description, charge.sort_order) == (900, 100, 3, "by the hour", 1)
+    assert charge.charge_editable_description is None
+
+
+def test_staging_of_customers_service_types_and_branches(spark):
+    inputs = _inputs(spark)
+    (c,) = crm.stg_customers(inputs["customers_service_window"]).collect()
+    assert (c.customer_key, c.customer_name, c.customer_address) == ("i1:C1", "Sweep Name", "1 Main St")
+    (s,) = crm.stg_service_types(inputs["dim_service_types"]).collect()
+    assert (s.service_type_id, s.service_type_name, s.entity_id) == (1, "Commercial Move", None)
+    b = crm.core_branches(crm.stg_branches(inputs["dim_branches"]), inputs["branch_timezone"], inputs["dim_instance"])
+    first = b.filter("external_branch_id = 'B1'").first()
+    assert (first.crm_timezone, first.address, first.zip, first.lat, first.synced_at) == ("America/Los_Angeles", "1 Main", "98101", 0.0, None)
+    report = crm.stg_report_lead_status(inputs["report_lead_status"].withColumn("_source_email", F.lit("m@x.com")), inputs["dim_instance"])
+    xwalk = spark.createDataFrame([], "source_instance_id string, quote_number string, opportunity_id string")
+    lost = crm.mart_unmatched_report_rows(report, xwalk).filter("row_key = '9999'").first()
+    assert (lost.status_raw, lost.branch_name, float(lost.estimated_revenue), lost.source_email) == ("Booked", "Main Office", 10.0, "m@x.com")
+    assert lost.service_date == dt.date(2026, 8, 15) and lost.received_at_utc == D(2026, 8, 10, 14, 16)
