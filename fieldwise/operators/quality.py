@@ -13,7 +13,7 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -175,6 +175,49 @@ def freshness_report(
     return f
 
 
+class Observed:
+    """Row-level checks (Q1, Q3) and parse losses (Q8) measured while a model is written.
+
+    ``attach`` adds one set of metrics to the DataFrame (``DataFrame.observe``), which Spark
+    computes over the rows as they pass to the writer: no second scan, whatever the number
+    of checks. ``results`` waits for that write. Keyed checks (Q2, Q4) need a shuffle of their own
+    and stay with ``run_checks``.
+    """
+
+    def __init__(self, checks: Sequence[Check], losses: Mapping[str, tuple[Column, Column]] | None = None) -> None:
+        bad_kind = [c.kind for c in checks if c.kind not in ROW_LEVEL]
+        if bad_kind:
+            raise ValueError(f"not row-level: {bad_kind}")
+        self.checks, self.losses, self._observation = list(checks), dict(losses or {}), Observation()
+
+    def metrics(self) -> list[Column]:
+        out = []
+        for i, c in enumerate(self.checks):
+            bad = _failing_condition(c)
+            bad = bad & F.coalesce(F.expr(c.where), F.lit(False)) if c.where else bad
+            out += [F.count_if(bad).alias(f"n{i}"), F.min(F.when(bad, _key_text(list(c.key)))).alias(f"s{i}")]
+        for i, (raw, typed) in enumerate(self.losses.values()):
+            given = F.coalesce(F.trim(raw) != "", F.lit(False))
+            out += [F.count_if(given).alias(f"given{i}"), F.count_if(given & typed.isNull()).alias(f"lost{i}")]
+        return out
+
+    def attach(self, df: DataFrame) -> DataFrame:
+        return df.observe(self._observation, *self.metrics()) if self.checks or self.losses else df
+
+    def results(self) -> list[tuple[str, str, str, int, str | None]]:
+        """(check_name, table_name, column_name, failing_rows, sample) of each check."""
+        got = self._observation.get if self.checks else {}
+        return [(c.kind, c.table, ",".join(c.columns), got[f"n{i}"], got[f"s{i}"]) for i, c in enumerate(self.checks)]
+
+    def lost(self) -> list[tuple[str, int, int]]:
+        """(column_name, n_nonblank, n_lost) of each parsed column."""
+        got = self._observation.get if self.losses else {}
+        return [(name, got[f"given{i}"], got[f"lost{i}"]) for i, name in enumerate(self.losses)]
+
+
+RESULT_SCHEMA = "check_name string, table_name string, column_name string, failing_rows bigint, sample string"
+
+
 def parse_losses(df: DataFrame, pairs: Mapping[str, tuple[str | Column, Column]]) -> DataFrame:
     """Q8: per column, non-blank inputs and how many of them typed to null.
 

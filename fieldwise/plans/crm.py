@@ -855,31 +855,71 @@ def crm_registry(as_of: str) -> Registry:
     return r
 
 
-# Declared data tests of the CRM models (Q1-Q4).
+# Declared data tests of the CRM models (Q1-Q4): of each model its key (unique and not null)
+# and its other columns that may not be null.
+MODEL_TESTS: dict[str, tuple[str, tuple[str, ...]]] = {
+    "stg_leads": ("lead_key", ("source_instance_id", "entity_id", "external_lead_id", "lead_status_code", "created_at_utc", "synced_at")),
+    "stg_opportunities_enriched": (OPP_KEY, ("source_instance_id", "entity_id", "external_opportunity_id", "observed_at", "status_code")),
+    "stg_opportunity_job_charges": ("charge_key", (OPP_KEY, "job_index", "line_index", "charge_kind", "total_cost")),
+    "stg_sweep": (OPP_KEY, ("source_instance_id", "entity_id", "external_opportunity_id", "external_customer_id", "observed_at")),
+    "stg_customers": ("customer_key", ("source_instance_id", "entity_id", "external_customer_id", "synced_at")),
+    "stg_service_types": ("service_type_key", ("source_instance_id", "service_type_id", "service_type_name")),
+    "stg_branches": ("branch_key", ("source_instance_id", "entity_id", "external_branch_id", "branch_name")),
+    "stg_opportunity_payments": ("payment_key", (OPP_KEY, "source_instance_id", "child_index", "amount")),
+    "stg_report_lead_status": ("report_row_key", ("source_instance_id", "entity_id", "report_generated_at", "row_key", "row_data")),
+    "stg_report_all_jobs": ("report_row_key", ("source_instance_id", "entity_id", "report_generated_at", "row_key")),  # rows without a job are kept here
+    "int_report_all_jobs_latest": ("job_key", ("source_instance_id", "entity_id", "external_job_id", "observed_at")),
+    "int_attachment_counts": (OPP_KEY, ("source_instance_id", "document_count", "document_complete_count", "file_count", "photo_count", "job_document_count")),
+    "int_status_latest": (OPP_KEY, ("source_instance_id", "status_code", "observed_at")),
+    "int_job_attribution": (OPP_KEY, ("source_instance_id", "external_opportunity_id", "observed_at")),
+    "core_opportunities": (OPP_KEY, ("source_instance_id", "entity_id", "external_opportunity_id", "is_deleted", "is_booked", "is_open", "synced_at")),
+    "core_jobs": ("job_key", ("source_instance_id", "entity_id", "external_job_id", "job_number", "synced_at")),
+    "core_leads": ("lead_key", ("source_instance_id", "entity_id", "external_lead_id", "lead_disposition", "local_tz", "created_at_utc", "created_date_local", "synced_at")),
+    "core_branches": ("branch_key", ("source_instance_id", "entity_id", "external_branch_id", "branch_name", "timezone", "has_timezone_override")),
+    "core_lines_of_business": ("job_key", ("source_instance_id", "entity_id", "external_job_id", "line_of_business", "lob_source", "is_unclassified")),
+    "core_opportunity_charges": ("charge_key", (OPP_KEY, "source_instance_id", "entity_id", "charge_kind", "total_cost", "synced_at")),
+    "core_opportunity_payments": ("payment_key", (OPP_KEY, "source_instance_id", "entity_id", "amount", "synced_at")),
+    "mart_opportunity_360": (OPP_KEY, ("source_instance_id", "entity_id", "n_jobs", "synced_at")),
+    "mart_unmatched_report_rows": ("report_row_key", ("source_instance_id", "entity_id", "report_generated_at", "row_key", "reason")),
+    "opportunities_v1": (OPP_KEY, ("entity_id", "source_instance_id", "is_booked", "is_deleted", "synced_at")),
+    "jobs_v1": ("job_key", ("entity_id", "source_instance_id", "external_job_id", "synced_at")),
+    "jobs_upcoming_v1": ("job_key", ("entity_id", "source_instance_id", "external_job_id", "service_date", "days_until", "timezone", "synced_at")),
+    "leads_today_v1": ("lead_key", ("entity_id", "source_instance_id", "lead_disposition", "created_at_local", "synced_at")),
+}
+# The values that a column may have.
+ACCEPTED: dict[tuple[str, str], tuple] = {
+    ("core_opportunities", "status_category"): ("open", "booked", "completed", "closed", "cancelled", "lost", "bad_lead"),
+    ("int_status_latest", "status_category"): ("open", "booked", "completed", "closed", "cancelled", "lost", "bad_lead"),
+    ("int_opportunity_observations", "source"): (ENR, WHK, SWP, DEL, RPT, BKD, AJO),
+    ("int_quote_crosswalk", "source"): (ENR, SWP),
+    ("stg_opportunity_job_charges", "charge_kind"): ("estimated", "actual"),
+    ("core_opportunity_charges", "charge_kind"): ("estimated", "actual"),
+    ("core_lines_of_business", "lob_source"): ("service_type", "branch", "instance", "fallback_default"),
+    ("mart_unmatched_report_rows", "reason"): (bridge.NO_QUOTE, bridge.NOT_IN_API),
+    ("mart_enrichment_candidates", "reason"): ("status_differs", "money_differs"),
+}
+# Child column -> parent.
+RELATED = [
+    ("core_jobs", OPP_KEY, "core_opportunities", OPP_KEY),
+    ("core_opportunity_charges", OPP_KEY, "core_opportunities", OPP_KEY),
+    ("core_opportunity_payments", OPP_KEY, "core_opportunities", OPP_KEY),
+    ("core_lines_of_business", "job_key", "core_jobs", "job_key"),
+    ("int_status_latest", OPP_KEY, "core_opportunities", OPP_KEY),
+    ("jobs_v1", OPP_KEY, "opportunities_v1", OPP_KEY),
+    ("jobs_upcoming_v1", "job_key", "core_jobs", "job_key"),
+    ("mart_enrichment_candidates", OPP_KEY, "core_opportunities", OPP_KEY),
+]
+
+
+def _key_of(model: str) -> tuple[str, ...]:
+    return (MODEL_TESTS[model][0],) if model in MODEL_TESTS else ("source_instance_id",)
+
+
 CRM_CHECKS = [
-    quality.Check("not_null", "core_opportunities", (OPP_KEY,), (OPP_KEY,)),
-    quality.Check("unique", "core_opportunities", (OPP_KEY,), ()),
-    quality.Check("not_null", "core_opportunities", ("entity_id",), (OPP_KEY,)),
-    quality.Check("not_null", "core_opportunities", ("synced_at",), (OPP_KEY,)),
-    quality.Check("accepted_values", "core_opportunities", ("status_category",), (OPP_KEY,),
-                  values=("open", "booked", "completed", "closed", "cancelled", "lost", "bad_lead")),
-    quality.Check("unique", "core_jobs", ("job_key",), ()),
-    quality.Check("relationships", "core_jobs", (OPP_KEY,), ("job_key",), parent="core_opportunities", parent_column=OPP_KEY),
-    quality.Check("unique", "core_opportunity_charges", ("charge_key",), ()),
-    quality.Check("relationships", "core_opportunity_charges", (OPP_KEY,), ("charge_key",),
-                  parent="core_opportunities", parent_column=OPP_KEY),
-    quality.Check("unique", "core_leads", ("lead_key",), ()),
-    quality.Check("unique", "core_branches", ("branch_key",), ()),
-    quality.Check("unique", "core_opportunity_payments", ("payment_key",), ()),
-    quality.Check("relationships", "core_opportunity_payments", (OPP_KEY,), ("payment_key",),
-                  parent="core_opportunities", parent_column=OPP_KEY),
-    quality.Check("not_null", "core_branches", ("timezone",), ("branch_key",)),
-    quality.Check("accepted_values", "core_lines_of_business", ("lob_source",), ("job_key",),
-                  values=("service_type", "branch", "instance", "fallback_default")),
-    quality.Check("accepted_values", "mart_unmatched_report_rows", ("reason",), ("report_row_key",),
-                  values=(bridge.NO_QUOTE, bridge.NOT_IN_API)),
-    quality.Check("not_null", "jobs_upcoming_v1", ("entity_id",), ("job_key",)),
-    quality.Check("unique", "mart_opportunity_360", (OPP_KEY,), ()),
-    quality.Check("unique", "opportunities_v1", (OPP_KEY,), ()),
-    quality.Check("unique", "jobs_v1", ("job_key",), ()),
+    *[quality.Check("unique", m, (key,), ()) for m, (key, _) in MODEL_TESTS.items()],
+    quality.Check("unique", "stg_report_booked", ("source_instance_id", "report_generated_at", "row_key"), ()),
+    quality.Check("unique", "int_quote_crosswalk", ("source_instance_id", "quote_number"), ()),
+    *[quality.Check("not_null", m, (c,), (key,)) for m, (key, cols) in MODEL_TESTS.items() for c in (key, *cols)],
+    *[quality.Check("accepted_values", m, (c,), _key_of(m), values=v) for (m, c), v in ACCEPTED.items()],
+    *[quality.Check("relationships", m, (c,), _key_of(m), parent=p, parent_column=pc) for m, c, p, pc in RELATED],
 ]

@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..operators.quality import contract_diff, is_breaking
+from ..operators.quality import RESULT_SCHEMA, ROW_LEVEL, Check, Observed, contract_diff, is_breaking, run_checks
 from .publish import ContractError, publish
 
 VIEW_LAYERS = ("staging", "intermediate")
@@ -114,3 +114,31 @@ def run(
         check_contract(m, df)
         frames[name] = materialize(spark, m, df, warehouse)
     return frames
+
+
+def run_checked(
+    spark: SparkSession, registry: Registry, inputs: Mapping[str, DataFrame], warehouse: str, checks: Sequence[Check]
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """``run``, and the result of every declared test as one table (as ``run_checks`` gives it).
+
+    Row-level tests of a written model are measured by the write itself; those of views
+    and the keyed tests are run afterwards, each table's row-level tests in one pass.
+    """
+    frames: dict[str, DataFrame] = dict(inputs)
+    found: list[tuple] = []
+    seen: set[int] = set()
+    for name in registry.order():
+        m = registry.models[name]
+        df = m.build(*[frames[d] for d in m.deps])
+        check_contract(m, df)
+        mine = [(i, c) for i, c in enumerate(checks) if c.table == name and c.kind in ROW_LEVEL]
+        if m.layer in TABLE_LAYERS and mine:
+            observed = Observed([c for _, c in mine])
+            frames[name] = materialize(spark, m, observed.attach(df), warehouse)
+            found += observed.results()
+            seen.update(i for i, _ in mine)
+        else:
+            frames[name] = materialize(spark, m, df, warehouse)
+    measured = spark.createDataFrame(found, RESULT_SCHEMA)
+    rest = [c for i, c in enumerate(checks) if i not in seen]
+    return frames, measured.unionByName(run_checks(rest, frames)) if rest else measured
