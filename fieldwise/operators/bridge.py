@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .joins import bounded_broadcast
+from .joins import small_table
 from .resolve import newest_row
 from .sequence import ordered_scan
 
@@ -55,11 +55,11 @@ def newest_generation(
 ) -> DataFrame:
     """Only the rows of each instance's newest report generation.
 
-    The per-instance maxima are one row per instance (bounded), broadcast
-    behind the bound check and inner-joined back.
+    The per-instance maxima are one row per instance, computed once while the plan is
+    built, and broadcast up to ``max_instances`` of them.
     """
     latest = rows.groupBy(instance).agg(F.max(generated_at).alias(generated_at))
-    return rows.join(bounded_broadcast(latest, max_instances), [instance, generated_at], "inner")
+    return rows.join(small_table(latest, max_instances), [instance, generated_at], "inner")
 
 
 def unmatched(

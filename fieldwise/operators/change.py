@@ -329,9 +329,22 @@ def prune_state(state: DataFrame, now, today: Column, days: int = PRUNE_DAYS) ->
     return state.filter(~(old_span | old_unspanned))
 
 
-def migrate_legacy(hashes: DataFrame, keys: Sequence[str], now) -> DataFrame:
-    """C11: the old ``id -> hash`` layout as state rows, ``t`` seeded to now so the
-    first run after migration does not re-enrich everything at once."""
+def migrate_legacy(
+    hashes: DataFrame, keys: Sequence[str], now, seen: DataFrame | None = None, prior: DataFrame | None = None, state: DataFrame | None = None
+) -> DataFrame:
+    """C11: the old layout as state rows, ``t`` seeded to now so the first run after migration
+    does not re-enrich everything at once.
+
+    The old layout is three maps: ``id -> hash`` and the ids ``seen`` and ``prior``. The hashes
+    alone become rows: an id that was only seen has no hash to compare with, so the
+    next sweep finds it new. A ``state`` that has rows is the new layout already and
+    is returned as it is, with ids of the old maps that it lacks left out.
+    """
+    if state is not None and not state.isEmpty():
+        return state
+    for ids in (seen, prior):
+        if ids is not None and set(keys) - set(ids.columns):
+            raise ValueError(f"a legacy id map lacks {sorted(set(keys) - set(ids.columns))}")
     n = _now(now)
     cols = {c: F.lit(None).cast(STATE_SCHEMA[c].dataType) for c in STATE_COLS}
     cols["h"] = F.col("h")

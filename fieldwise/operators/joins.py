@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_text
+from ..session import written_once
 
 # A side above this many rows is not hinted (a few tens of MB for typical
 # dimension widths); the join then shuffles on its key.
@@ -93,6 +94,13 @@ def bounded_broadcast(
     return F.broadcast(df)
 
 
+def small_table(df: DataFrame, max_rows: int) -> DataFrame:
+    """A side that should be small (an aggregate over few keys), computed once, written and counted
+    while the plan is built, and broadcast if it has at most ``max_rows`` rows; else it is joined as it is."""
+    held = written_once(df)
+    return bounded_broadcast(held, max_rows, bound=held.count())
+
+
 def norm_key_join(
     left: DataFrame,
     right: DataFrame,
@@ -110,7 +118,8 @@ def norm_key_join(
     plain equi-join (hashable, broadcastable) rather than a function in the
     condition. The right side must be unique on the *normalised* key: two
     spellings of one key would silently double the left rows (``unique=False``
-    for a side that is meant to fan out).
+    for a side that is meant to fan out). That check is a job of its own on every call,
+    while the plan is built.
     """
     bound = row_bound(right)
     lk = left.withColumn(key_name, norm_text(left_text))

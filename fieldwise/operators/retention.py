@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import local_date
-from .joins import bounded_broadcast
+from .joins import small_table
 
 
 def generations_to_keep(
@@ -48,12 +48,13 @@ def prune_generations(
     instance: str = "source_instance_id",
     generated_at: str = "report_generated_at",
     zone_col: str = "timezone",
-    max_generations: int = 5_000_000,
+    max_generations: int = 1_000_000,
 ) -> DataFrame:
     """The rows that survive retention (a rewrite keeps exactly these).
 
-    The kept-generation set grows with instances x days, not with rows; it is
-    broadcast behind the bound check, else semi-joined by shuffle.
+    The kept-generation set grows with instances x days, not with rows; it is computed
+    once while the plan is built and broadcast up to ``max_generations`` rows, else
+    semi-joined by shuffle.
     """
     keep = generations_to_keep(rows, as_of, keep_days, instance, generated_at, zone_col)
-    return rows.join(bounded_broadcast(keep, max_generations), [instance, generated_at], "left_semi")
+    return rows.join(small_table(keep, max_generations), [instance, generated_at], "left_semi")

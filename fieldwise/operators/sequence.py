@@ -14,8 +14,11 @@ from a per-partition boundary table (one row per partition - its size is
 bounded by the partition count, never by the data), resolved with windows
 over that tiny table and broadcast back.
 
-The range exchange is reused by Spark for the boundary pass
-(``ReusedExchange``), so the data is shuffled once.
+The scanned rows are written once to the shared checkpoint folder, while the plan is
+being built (so ``ordered_scan`` runs a job), and the boundary pass reads what was
+written: the data is shuffled once and both passes see the same range bounds. There
+are as many ranges as ``spark.sql.shuffle.partitions`` says, or ``num_partitions``:
+size it so that a range fits a task.
 """
 
 from __future__ import annotations

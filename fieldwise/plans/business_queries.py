@@ -17,6 +17,7 @@ from ..operators import access, aggregates, bridge, rules
 from ..operators.joins import bounded_broadcast, keep_bound, norm_key_join, range_join, with_counts
 from ..operators.union import ArmSpec, stack_arms, stack_observations
 from ..sources import seeds
+from ..sources.tables import read_leads_window, read_service_window
 from .catalog import query, table
 from .roles import (
     BRANCHES_SQL,
@@ -402,6 +403,25 @@ def upcoming_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+SERVICE_WINDOW_DAYS = 30
+SERVICE_WINDOW_SQL = f"""
+WITH z AS ({ZONED_ORDERS_SQL}),
+t AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS service_date,
+             CAST(timezone(timezone, TIMESTAMPTZ '{UPCOMING_AS_OF}+00') AS DATE) AS today_local FROM z)
+SELECT o_orderkey, service_date, CAST(strftime(today_local, '%Y%m%d') AS INTEGER) AS sweep_from,
+       CAST(strftime(today_local + {SERVICE_WINDOW_DAYS}, '%Y%m%d') AS INTEGER) AS sweep_to
+FROM t WHERE service_date BETWEEN today_local AND today_local + {SERVICE_WINDOW_DAYS}
+"""
+
+
+@query("service_window", SERVICE_WINDOW_SQL, "S5 X9 X18")
+def service_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders due within 30 local days, each with the window it was read in."""
+    z = _zoned_orders(spark, sf_dir, "o_orderdate").select("o_orderkey", "timezone", F.to_date("o_orderdate").alias("service_date"))
+    rows = read_service_window(z, "service_date", UPCOMING_AS_OF, F.col("timezone"), SERVICE_WINDOW_DAYS)
+    return rows.select("o_orderkey", "service_date", F.col("_sweep_from").alias("sweep_from"), F.col("_sweep_to").alias("sweep_to"))
+
+
 LEADS_TODAY_SQL = f"""
 WITH z AS ({ZONED_ORDERS_SQL}),
 t AS (
@@ -416,7 +436,7 @@ FROM l WHERE CAST(created_at_local AS DATE) = today_local
 """
 
 
-@query("leads_today", LEADS_TODAY_SQL, "F7 X9 X10 X24")
+@query("leads_today", LEADS_TODAY_SQL, "S4 F7 X9 X10 X24")
 def leads_today(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leads created today in their own zone, with local timestamp and date."""
     z = _zoned_orders(spark, sf_dir, "o_orderdate")
@@ -426,7 +446,7 @@ def leads_today(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = t.withColumn("created_at_local", local_timestamp("created_at", F.col("timezone"))).withColumn(
         "created_date_local", local_date("created_at", F.col("timezone"))
     )
-    return t.filter(F.col("created_date_local") == entity_today(LEADS_AS_OF, F.col("timezone")))
+    return read_leads_window(t, "created_at", LEADS_AS_OF, F.col("timezone"))
 
 
 # -------------------------------------------------------------------- A1 J15

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.time import entity_today, local_date
 from ..operators.joins import bounded_broadcast, keep_bound
 from ..session import ensure_semantics
 
@@ -114,6 +115,27 @@ def read_window(df: DataFrame, date_col: str | Column, start, end) -> DataFrame:
     )
 
 
+def read_leads_window(
+    leads: DataFrame, created_at: str, as_of, zone: str | Column, start=None, end=None
+) -> DataFrame:
+    """Leads created, by the tenant's calendar, from ``start`` to ``end``; either defaults to
+    today in the tenant's zone at ``as_of``. Bad and lost leads are leads too."""
+    today = entity_today(as_of, zone)
+    lo = today if start is None else F.lit(start).cast("date")
+    hi = today if end is None else F.lit(end).cast("date")
+    return leads.filter(local_date(created_at, zone).between(lo, hi))
+
+
+def read_service_window(rows: DataFrame, service_date: str | Column, as_of, zone: str | Column, days_ahead: int = 60) -> DataFrame:
+    """Rows with a service date from today in the tenant's zone to ``days_ahead`` days later; each
+    records the window it was read in as ``_sweep_from`` and ``_sweep_to`` (yyyymmdd)."""
+    today = entity_today(as_of, zone)
+    last = F.date_add(today, days_ahead)
+    c = F.col(service_date) if isinstance(service_date, str) else service_date
+    ymd = lambda d: F.date_format(d, "yyyyMMdd").cast("int")
+    return rows.filter(c.between(today, last)).withColumn("_sweep_from", ymd(today)).withColumn("_sweep_to", ymd(last))
+
+
 def read_detail(details: DataFrame, ids: DataFrame, keys: list[str]) -> DataFrame:
     """The landed detail rows for an explicit id list (semi join, no fan-out)."""
     return details.join(ids.select(*keys), keys, "left_semi")

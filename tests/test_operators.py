@@ -436,3 +436,29 @@ def test_replays_are_measured_from_the_last_kept_delivery(spark):
             kept.append(i)
             last = d
     assert got == sorted([*kept, 90])
+
+
+def test_lead_and_service_windows_follow_the_tenants_calendar(spark):
+    from fieldwise.sources.tables import read_leads_window, read_service_window
+
+    rows = spark.createDataFrame(
+        [(1, D(2026, 8, 13, 5), "America/Los_Angeles"), (2, D(2026, 8, 13, 8), "America/Los_Angeles"), (3, D(2026, 8, 13, 5), "UTC"), (4, None, "UTC")],
+        "id int, created timestamp, tz string",
+    )
+    ids = lambda df: sorted(r.id for r in df.collect())
+    assert ids(read_leads_window(rows, "created", "2026-08-13 20:00:00", F.col("tz"))) == [2, 3]
+    assert ids(read_leads_window(rows, "created", "2026-08-13 20:00:00", F.col("tz"), start="2026-08-12")) == [1, 2, 3]
+    jobs = spark.createDataFrame([(1, dt.date(2026, 8, 12)), (2, dt.date(2026, 8, 13)), (3, dt.date(2026, 8, 15)), (4, dt.date(2026, 8, 16)), (5, None)], "id int, day date")
+    got = read_service_window(jobs, "day", "2026-08-14 03:00:00", "America/Los_Angeles", 2).collect()
+    assert sorted((r.id, r._sweep_from, r._sweep_to) for r in got) == [(2, 20260813, 20260815), (3, 20260813, 20260815)]
+
+
+def test_legacy_maps_and_a_state_that_is_new_already(spark):
+    hashes = spark.createDataFrame([("i", "a", "h1")], "inst string, id string, h string")
+    seen = spark.createDataFrame([("i", "a"), ("i", "b")], "inst string, id string")
+    state = change.migrate_legacy(hashes, ["inst", "id"], "2026-08-13 00:00:00", seen=seen, prior=seen)
+    assert [(r.id, r.h, r.t) for r in state.collect()] == [("a", "h1", D(2026, 8, 13))]
+    assert change.migrate_legacy(hashes, ["inst", "id"], "2027-01-01 00:00:00", state=state).first().t == D(2026, 8, 13)
+    assert change.migrate_legacy(hashes, ["inst", "id"], "2027-01-01 00:00:00", state=state.limit(0)).first().t == D(2027, 1, 1)
+    with pytest.raises(ValueError):
+        change.migrate_legacy(hashes, ["inst", "id"], "2026-08-13 00:00:00", seen=seen.drop("id"))
