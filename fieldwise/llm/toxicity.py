@@ -8,8 +8,9 @@ A window is one word, set into a fixed carrier, because blocks of a few bytes
 are not compressed at all. Its bytes are doubled by a fixed code first, which
 doubles what literals cost while a dictionary match costs the same; else words
 of five letters would be no longer as literals than as a match. Each
-dictionary is trained on the words of its class that the other class's sample
-lacks, since most words of toxic texts are ordinary.
+dictionary is trained on the words that lean to its class (``LEAN`` times the share of
+texts), since most words of toxic texts are ordinary; a text that is labelled wrongly,
+or quotes, takes no word from the other dictionary.
 
 Thresholds are calibrated on labelled rows that no dictionary was trained on:
 every kind of window (word length, length by the ordinary, length by the toxic
@@ -58,6 +59,8 @@ MAX_DICTIONARY = (4_000, 800)
 #: A kind of window met in fewer training texts takes the ratio of its margin.
 LEAST_TEXTS = 5
 TOP = 3
+#: How much larger a word's share of the texts of a class must be than of the other's.
+LEAN = 6
 LONGEST_WORD = 16
 STRIP = b".,;:!?*#%&$|\"'()"
 CARRIER = b"the and of in to "
@@ -152,9 +155,14 @@ def margin(kind: tuple[int, int, int]) -> tuple[int, int]:
 
 
 def dictionaries(parts: dict[int, list[str]]) -> Model:
-    """Both dictionaries, each of the words that the other class's texts lack."""
-    own = {y: set().union(*[windows(t) for t in p]) for y, p in parts.items()}
-    made = {y: train_dictionary(b" ".join([w for w in windows(t) if w not in own[1 - y]]) for t in p) for y, p in parts.items()}
+    """Both dictionaries, each of the words that lean to its class, by how many texts of either hold them."""
+    held = {y: Counter(w for t in p for w in windows(t)) for y, p in parts.items()}
+
+    def leans(w: bytes, y: int) -> bool:
+        rate = {c: (held[c][w] + 0.5) / (len(parts[c]) + 1) for c in (0, 1)}
+        return rate[y] >= LEAN * rate[1 - y] or (y == 0 and not held[1][w])
+
+    made = {y: train_dictionary(b" ".join([w for w in windows(t) if leans(w, y)]) for t in p) for y, p in parts.items()}
     return Model(made[0], made[1])
 
 
