@@ -44,6 +44,18 @@ def written(df: DataFrame, label: str = "t") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows in one batch that goes to Python, at most, where whole texts and other columns travel.
+BATCH_ROWS = 2_000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Let batches of documents hold ``BATCH_ROWS`` rows at most: a task's memory is that of a batch,
+    in the JVM and in Python, and stays with the worker for the rest of the session."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, str(BATCH_ROWS))
+
+
 def crc_bucket(id_col: str, modulus: int):
     """crc32 of the id as text, modulo ``modulus`` (null ids count as empty text)."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % modulus
