@@ -7,13 +7,14 @@ columns of ``documents``; the last returns the encoded documents.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from fieldwise.llm import bpe, jaccard, pii, repetition, spaced
-from fieldwise.llm.common import documents, free_name, without_rows, written
+from fieldwise.llm.common import bounded_batches, documents, free_name, without_rows, written
 from fieldwise.llm.queries import WORD_BPE
 from fieldwise.session import ensure_semantics
 
@@ -65,12 +66,23 @@ def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(docs, WORD_BPE)
 
 
+def _bounded(stage: Stage) -> Stage:
+    """The stage with batches of bounded size, however the session came to it."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality_rules", quality_rules),
-    ("ngram_jaccard", near_duplicates),
-    ("decontamination", decontamination),
-    ("pii", personal_data),
-    ("encoding", encoding),
+    ("quality_rules", _bounded(quality_rules)),
+    ("ngram_jaccard", _bounded(near_duplicates)),
+    ("decontamination", _bounded(decontamination)),
+    ("pii", _bounded(personal_data)),
+    ("encoding", _bounded(encoding)),
 ]
 
 
