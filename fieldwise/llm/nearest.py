@@ -215,7 +215,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_
 def _searched(entries: DataFrame, searches: DataFrame, books: Codebooks, d: int, n_entries: int, k: int) -> DataFrame:
     """(v, near): for each vector searched its ``k + 1`` nearest as (score, vec_id, own), nearest first."""
     spark = entries.sparkSession
-    state = shared(spark, books, lambda s: s)
+    plain = (books.left, books.right, books.share)  # workers build the class, which they cannot import
+    state = shared(spark, plain, lambda s: Codebooks(*s))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -230,7 +231,7 @@ def _searched(entries: DataFrame, searches: DataFrame, books: Codebooks, d: int,
     first, groups = _groups(held)
     target = max(LEAST_TAKEN, math.ceil(books.share * n_entries))
     n_blocks = max(1, -(-searches.count() // QUERY_ROWS))
-    dealt = shared(spark, (books, held, first, groups), lambda s: s)
+    dealt = shared(spark, (plain, held, first, groups), lambda s: (Codebooks(*s[0]), *s[1:]))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Entries with their group; a large cell's are dealt by hash."""
