@@ -369,10 +369,10 @@ WITH l AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus,
          row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) - 1 AS i
   FROM lineitem)
-SELECT l_orderkey AS order_key, i AS line, CAST(NULL AS BIGINT) AS flag, l_linenumber, l_partkey, CAST(NULL AS VARCHAR) AS value,
+SELECT l_orderkey AS order_key, i AS line, CAST(NULL AS BIGINT) AS flag, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, CAST(NULL AS VARCHAR) AS value,
        '{"supplier":' || l_suppkey || '}' AS surplus FROM l
 UNION ALL
-SELECT l_orderkey, i, f.k, NULL, NULL, CASE f.k WHEN 0 THEN l_returnflag ELSE l_linestatus END, NULL FROM l, (VALUES (0), (1)) f(k)
+SELECT l_orderkey, i, CAST(f.k AS BIGINT), NULL, NULL, CASE f.k WHEN 0 THEN l_returnflag ELSE l_linestatus END, NULL FROM l, (VALUES (0), (1)) f(k)
 """
 
 
