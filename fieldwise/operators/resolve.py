@@ -309,18 +309,24 @@ def soft_delete(
 
 
 def newest_row(
-    df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: Sequence[str] | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], keep: Sequence[str] | None = None
 ) -> DataFrame:
     """N2-N4/J12 generic: the newest row per key by an ordering tuple (larger wins).
 
     Implemented as ``max_by`` over a struct - partial aggregation, no window,
-    so hot keys are combined map-side.
+    so hot keys are combined map-side. An ordering given by the names of kept
+    columns (of sortable types, as the other kept ones) is not held beside the row:
+    it leads one struct, whose other columns settle what it leaves equal.
     """
     payload = list(keep) if keep is not None else [c for c in df.columns if c not in set(keys)]
-    row = F.struct(*[F.col(c) for c in payload])
-    ordering = F.struct(*[c.alias(f"_o{i}") for i, c in enumerate(order)])
+    if all(isinstance(c, str) and c in payload for c in order):
+        newest = F.max(F.struct(*order, *[c for c in payload if c not in set(order)]))
+    else:
+        row = F.struct(*[F.col(c) for c in payload])
+        ordering = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"_o{i}") for i, c in enumerate(order)])
+        newest = F.max_by(row, ordering)
     return (
         df.groupBy(*keys)
-        .agg(F.max_by(row, ordering).alias("_row"))
+        .agg(newest.alias("_row"))
         .select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
     )

@@ -142,7 +142,7 @@ def int_report_all_jobs_latest(report: DataFrame) -> DataFrame:
     job_id = text.blank_to_null(json_field("row_data", JOB_ID))
     rows = report.withColumn("_job", job_id).filter(F.col("_job").isNotNull())
     keep = ["entity_id", "report_generated_at", "row_key", "row_data"]
-    newest = newest_row(rows, ["source_instance_id", "_job"], [F.col("report_generated_at"), F.col("row_data")], keep=keep)
+    newest = newest_row(rows, ["source_instance_id", "_job"], ["report_generated_at", "row_data"], keep=keep)
     typed = stg_report_all_jobs(newest.drop("_job")).withColumnRenamed("report_generated_at", "observed_at")
     return typed.drop("report_row_key", "row_key", "row_data")
 

@@ -36,6 +36,24 @@ def as_instants(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
+#: Rows a task sorts or hashes at once: some hundred MB even where a row holds a report's text.
+ROWS_PER_TASK = 250_000
+
+
+def spread(scan: DataFrame, rows: int = ROWS_PER_TASK) -> DataFrame:
+    """A scan dealt evenly over as many partitions as its rows need, so that what a task holds
+    does not grow with the table, whatever its files and row groups are.
+
+    Counted while the plan is built (of Parquet, the footers alone). A scan that has as
+    many splits already stays as it is. Rows are dealt by their place in the scan, not by
+    a key: a frequent key is combined in every task before it is shuffled.
+    """
+    n = -(-scan.count() // rows)
+    if n <= scan.rdd.getNumPartitions():
+        return scan
+    return scan.withColumn("_place", F.monotonically_increasing_id()).repartition(n, "_place").drop("_place")
+
+
 def read_table(
     spark: SparkSession,
     base: str,
