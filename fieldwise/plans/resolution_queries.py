@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.json import json_field
 from ..operators.resolve import Candidates, latest_by_source, newest_row, resolve_arms
 from ..operators.union import ArmSpec, stack_observations
+from ..sources.tables import spread
 from .catalog import query, table
 from .roles import ORDERS_IN_BRANCHES_SQL, branches, orders_in_branches, status_code, status_code_sql
 
@@ -318,10 +319,10 @@ JOB_CANDIDATES = Candidates(
 
 def job_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem as jobs, each with its instance (the supplier's branch region)."""
-    li = table(
+    li = spread(table(
         spark, sf_dir, "lineitem",
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_tax", "l_linestatus", "l_shipdate",
-    )
+    ))
     s = table(spark, sf_dir, "supplier", "s_suppkey", "s_nationkey")
     b = branches(spark, sf_dir).select("n_nationkey", "source_instance_id")
     return li.join(s, li["l_suppkey"] == s["s_suppkey"], "inner").join(b, F.col("s_nationkey") == b["n_nationkey"], "inner")

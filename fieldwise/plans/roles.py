@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import bounded_broadcast
+from ..operators.joins import bounded_broadcast, probe_rows
 from ..sources import seeds
 from .catalog import table
 
@@ -81,11 +81,13 @@ STATUS_SQL = values_sql(seeds.STATUS_ENUM, STATUS_COLS, "se")
 
 
 def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """nation as branch, with its instance (region) from the seed. Bounded: one row per nation."""
+    """nation as branch, with its instance (region) from the seed. Bounded: one row per nation,
+    counted, since Spark has no size for a join with rows held in code: unhinted, the jobs would be
+    shuffled by nation before it could see how small this side is, into as many tasks as nations."""
     n = table(spark, sf_dir, "nation", "n_nationkey", "n_name", "n_regionkey")
     inst = seeds.instances(spark)
     b = n.join(bounded_broadcast(inst, 100_000), n["n_regionkey"] == inst["r_regionkey"], "inner")
-    return b.select(
+    b = b.select(
         "n_nationkey",
         F.col("n_name").alias("branch_name"),
         F.col("instance_id").alias("source_instance_id"),
@@ -93,6 +95,7 @@ def branches(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("timezone").alias("instance_tz"),
         "lob_hint",
     )
+    return bounded_broadcast(b, 100_000, bound=probe_rows(n, 100_000))  # regions are unique: no more rows than nations
 
 
 BRANCHES_SQL = f"""
@@ -107,8 +110,7 @@ def orders_in_branches(spark: SparkSession, sf_dir: str, *order_cols: str) -> Da
 
     ``customer`` grows with the data and is joined by key (the planner and
     AQE pick broadcast or shuffle from the runtime size); the branch table is
-    one row per nation; Spark's planner broadcasts it after its own size
-    check (file-size estimate, then AQE's measured size).
+    one row per nation, counted and broadcast.
     """
     o = table(spark, sf_dir, "orders", "o_orderkey", "o_custkey", *order_cols)
     c = table(spark, sf_dir, "customer", "c_custkey", "c_nationkey", "c_mktsegment")

@@ -68,3 +68,11 @@ def test_a_newest_row_by_kept_columns_holds_them_once(spark):
     by_columns = newest_row(rows, ["k"], [F.col("t"), F.col("text"), F.col("id")], keep=["id", "t", "text"])
     assert sorted(map(tuple, by_columns.collect())) == sorted(map(tuple, got.collect()))
     assert plan_of(got).count("text#") < plan_of(by_columns).count("text#")
+
+
+@pytest.mark.parametrize("name", ["resolve_jobs", "lob_ladder"])
+def test_jobs_are_not_shuffled_by_their_branch(spark, tables, name):
+    df = query(spark, tables, name)
+    plan = plan_of(df)
+    assert "n_nationkey" in plan and "SortMergeJoin" not in plan
+    assert df.count() > 200
