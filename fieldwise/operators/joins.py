@@ -21,7 +21,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import norm_text
@@ -200,11 +200,11 @@ def interval_join(
 
     What a point matches depends on its keys and its day alone, so the distinct
     (keys, day) are looked up: however many rows a hot key has, it has as many of these
-    as there are days. The lookup is an equi-join on (keys, level, bin): an interval
-    takes the narrowest level of bins in which it spans ``BIN_SPAN`` (one, sixteen,
-    256 ... days wide) and has a row for each of its bins there, so an open end costs a
-    few rows, not one a day; a day has one row for each level that occurs. The rows then
-    join what their day found; partitions of a hot (key, day) are split by Spark.
+    as there are days. Keys whose intervals do not overlap (histories: as many intervals
+    as days at most) are looked up in order of days (``_latest_begun``), the intervals of
+    the others by bins (``_met_in_bins``). The rows then join what their day found;
+    partitions of a hot (key, day) are split by Spark. Whether intervals overlap, and in
+    which keys, is measured while the plan is built.
 
     Null keys, points and bounds match nothing. ``how`` is ``inner`` or ``left``; a point
     in several intervals comes out once for each.
@@ -212,18 +212,57 @@ def interval_join(
     if how not in ("inner", "left"):
         raise ValueError(how)
     extra = [c for c in intervals.columns if c not in set(keys)]
-    day = lambda c: F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date")).cast("bigint")
-    width = F.pow(F.lit(float(BIN_SPAN)), F.col("_level")).cast("bigint")
+    day = lambda c: F.datediff(F.to_date(c), F.lit("1970-01-01").cast("date"))
     known = lambda *cs: functools.reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in cs])
     iv = intervals.filter(known(*keys, valid_from, valid_to)).withColumns({"_lo": day(valid_from), "_hi": day(valid_to)}).filter("_lo <= _hi")
+    iv = iv.select(*keys, "_lo", "_hi", F.struct(*extra).alias("_found"))
+    days = points.filter(known(*keys, point)).select(*keys, day(point).alias("_day")).distinct()
+    several = written_once(_overlapping(iv, keys))
+    if several.isEmpty():
+        found = _latest_begun(days, iv, keys)
+    elif keys:
+        found = _latest_begun(days, drop_matching(iv, several, keys), keys).unionByName(_met_in_bins(days, keep_matching(iv, several, keys), keys))
+    else:
+        found = _met_in_bins(days, iv, keys)
+    rows = points.withColumn("_day", day(point)).join(found, [*keys, "_day"], how)
+    return rows.select(*points.columns, *[F.col(f"_found.{c}").alias(c) for c in extra])
+
+
+def _overlapping(iv: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The keys of which two intervals have a day in common (for no keys: a row if any two have).
+
+    The intervals are combined by the day they begin first, so that a key brings no more rows
+    to its task than there are days."""
+    begun = iv.groupBy(*keys, "_lo").agg(F.max("_hi").alias("_hi"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*keys).orderBy("_lo").rowsBetween(Window.unboundedPreceding, -1)
+    met = begun.withColumn("_reach", F.max("_hi").over(before)).filter("_n > 1 OR _reach >= _lo")
+    return met.select(*(keys or [F.lit(1).alias("_all")])).distinct()
+
+
+def _latest_begun(days: DataFrame, iv: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, day) with the interval the day lies in, where a key's intervals do not overlap: the
+    one that began last, if it reaches the day. Days and intervals are shuffled once, by their keys."""
+    begin = iv.select(*keys, F.col("_lo").alias("_day"), F.struct("_hi", "_found").alias("_iv"))
+    both = begin.unionByName(days, allowMissingColumns=True)
+    # on one day the interval comes before the point
+    upto = Window.partitionBy(*keys).orderBy("_day", F.col("_iv").isNull()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = both.withColumn("_last", F.last("_iv", ignorenulls=True).over(upto))
+    return last.filter("_iv IS NULL AND _last._hi >= _day").select(*keys, "_day", F.col("_last._found").alias("_found"))
+
+
+def _met_in_bins(days: DataFrame, iv: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """(keys, day) with each interval the day lies in, by an equi-join on (keys, level, bin).
+
+    An interval takes the narrowest level of bins in which it spans ``BIN_SPAN`` (one,
+    sixteen, 256 ... days wide) and has a row for each of its bins there, so an open end
+    costs a few rows, not one a day; a day has one row for each level that occurs."""
+    width = F.pow(F.lit(float(BIN_SPAN)), F.col("_level")).cast("bigint")
     powers = F.array(*[F.lit(BIN_SPAN**k) for k in range(1, 12)]).cast("array<bigint>")
     iv = iv.withColumn("_level", F.size(F.filter(powers, lambda w: w < F.col("_hi") - F.col("_lo") + 1)))
     iv = iv.withColumn("_bin", F.explode(F.sequence(F.floor(F.col("_lo") / width), F.floor(F.col("_hi") / width))))
     levels = sorted(r[0] for r in iv.select("_level").distinct().collect())  # twelve at most
-    days = points.filter(known(*keys, point)).select(*keys, day(point).alias("_day")).distinct()
+    days = keep_matching(days, iv.select(*keys).distinct(), keys) if keys else days
     placed = days.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
     placed = placed.withColumn("_bin", F.floor(F.col("_day") / width))
     met = placed.join(iv, [*keys, "_level", "_bin"]).filter(F.col("_day").between(F.col("_lo"), F.col("_hi")))
-    found = met.select(*keys, "_day", F.struct(*extra).alias("_found"))
-    rows = points.withColumn("_day", day(point)).join(found, [*keys, "_day"], how)
-    return rows.select(*points.columns, *[F.col(f"_found.{c}").alias(c) for c in extra])
+    return met.select(*keys, "_day", "_found")

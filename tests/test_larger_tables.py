@@ -5,6 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from fieldwise.operators.joins import interval_join, range_join
 from fieldwise.operators.resolve import newest_row
 from fieldwise.plans.registry_all import all_queries
 from fieldwise.sources.tables import spread
@@ -76,3 +77,25 @@ def test_jobs_are_not_shuffled_by_their_branch(spark, tables, name):
     plan = plan_of(df)
     assert "n_nationkey" in plan and "SortMergeJoin" not in plan
     assert df.count() > 200
+
+
+def test_intervals_that_do_not_overlap_are_looked_up_without_bins(spark):
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    history = [(k, i, day(100 * i + 3 * k), day(100 * i + 3 * k + 60 + 20 * (i % 2)) if i < 9 else dt.date(9999, 12, 31)) for k in range(5) for i in range(10)]
+    history += [(None, 1, day(0), day(900)), (1, 77, day(500), day(400)), (2, 78, None, day(3)), (7, 79, day(5), day(5))]
+    points = [(k, i, day(i) if i % 11 else None) for k in (0, 1, 2, 3, 4, 7, 8, None) for i in range(0, 1300, 7)]
+    pts = spark.createDataFrame(points * 2, "k int, id int, d date")
+    rows = lambda df: sorted(map(repr, df.select("k", "id", "d", "team").collect()))
+    schema = "k bigint, team int, f date, t date"
+    apart = spark.createDataFrame(history, schema)
+    got = interval_join(pts, apart, "d", "f", "t", ["k"])
+    assert "Generate" not in plan_of(got) and "explode" not in plan_of(got)
+    # two of one day, and one that reaches into the next but one
+    mixed = spark.createDataFrame([*history, (3, 80, day(309), day(320)), (4, 81, day(12), day(240))], schema)
+    for iv in (apart, mixed):
+        for how in ("left", "inner"):
+            got, want = (rows(f(pts, iv, "d", "f", "t", ["k"], how)) for f in (interval_join, range_join))
+            assert got == want and len(got) > 500
+    for iv in (apart.filter("k = 1"), mixed.filter("k = 4")):  # no keys: one history
+        iv = iv.drop("k")
+        assert rows(interval_join(pts, iv, "d", "f", "t")) == rows(range_join(pts, iv, "d", "f", "t"))
