@@ -6,6 +6,8 @@ so they run inside whole-stage codegen; none is a Python UDF.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,11 +23,25 @@ def norm_text(c: str | Column) -> Column:
     ``'follow up 3 no response'`` the same join key. Apply to both sides of a
     join (J9) as a precomputed column.
     """
+    x = F.trim(F.regexp_replace(_lower(F.coalesce(_c(c), F.lit(""))), r"[^a-z0-9]+", " "))
+    return F.nullif(x, F.lit(""))
+
+
+def _lower(c: Column) -> Column:
     # Fixed value: Java lower-cases U+0130 (dotted capital I) to two code
     # points; PostgreSQL (glibc) and DuckDB give a plain 'i'. Map it first.
-    src = F.translate(F.coalesce(_c(c), F.lit("")), "\u0130", "I")
-    x = F.trim(F.regexp_replace(F.lower(src), r"[^a-z0-9]+", " "))
-    return F.nullif(x, F.lit(""))
+    return F.lower(F.translate(c, "\u0130", "I"))
+
+
+def mentions(c: str | Column, word: str) -> Column:
+    """Whether ``norm_text`` of a text contains ``word``, of letters a-z and digits alone; null is no match.
+
+    Normalising parts words, it never joins them, so such a word is there before as after
+    and a search finds it without the regular expression.
+    """
+    if not re.fullmatch("[a-z0-9]+", word):
+        raise ValueError(word)
+    return F.coalesce(_lower(_c(c)).contains(word), F.lit(False))
 
 
 def blank_to_null(c: str | Column, trim: bool = True) -> Column:

@@ -5,8 +5,10 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
+from fieldwise.functions.text import mentions, norm_text
 from fieldwise.operators.joins import interval_join, range_join
 from fieldwise.operators.resolve import newest_row
+from fieldwise.operators.rules import lob_ladder
 from fieldwise.plans.registry_all import all_queries
 from fieldwise.sources.tables import spread
 
@@ -99,3 +101,17 @@ def test_intervals_that_do_not_overlap_are_looked_up_without_bins(spark):
     for iv in (apart.filter("k = 1"), mixed.filter("k = 4")):  # no keys: one history
         iv = iv.drop("k")
         assert rows(interval_join(pts, iv, "d", "f", "t")) == rows(range_join(pts, iv, "d", "f", "t"))
+
+
+TEXTS = ["Office - COMMERCIAL", "office commercialized!", "com mercial", "COMMERCİAL", "Kommercial", "a\ncommercialé", "non-commercial", "commerc", "", " ", None]
+
+
+def test_a_word_is_found_in_a_text_as_in_its_normalised_form(spark):
+    df = spark.createDataFrame([(t,) for t in TEXTS], "t string")
+    want = F.coalesce(norm_text("t").contains("commercial"), F.lit(False))
+    got = df.select(mentions("t", "commercial").alias("got"), want.alias("want"), "t").collect()
+    assert [(r.t, r.got) for r in got] == [(r.t, r.want) for r in got] and {r.got for r in got} == {True, False}
+    ladder = lob_ladder(F.col("t"), F.col("t"), F.lit(None).cast("string"), F.lit(None).cast("string"))
+    assert "regexp_replace" not in plan_of(df.select(ladder.alias("lob")))
+    with pytest.raises(ValueError):
+        mentions("t", "two words")
