@@ -92,7 +92,8 @@ def dedupe_drains(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch(spark, "dedupe")
     d = deliveries(spark, sf_dir).select("delivery_id", "hash", "received_at")
     arrival = F.col("received_at") + F.make_interval(secs=(F.col("delivery_id") * 7919 % LATENESS_SECONDS).cast("decimal(18,6)"))
-    dedupe = lambda feed: stream.dedupe_stream(feed, "7 days", key="hash", lateness=f"{LATENESS_SECONDS} seconds", tiebreak="delivery_id", buckets=64)
+    buckets = stream.buckets_for(table(spark, sf_dir, "events", "event_id").count())  # a delivery's copies share its hash
+    dedupe = lambda feed: stream.dedupe_stream(feed, "7 days", key="hash", lateness=f"{LATENESS_SECONDS} seconds", tiebreak="delivery_id", buckets=buckets)
     _run_drains(spark, drained(d, arrival), base, dedupe, f"{base}/out")
     return spark.read.schema(d.schema).parquet(f"{base}/out").select(*d.columns)
 

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from ..operators.events import ENRICH_TYPES, MAX_ATTEMPTS, delivery_hash
 from ..session import checkpoint_dir, ensure_semantics
-from .stateful import dedupe_stream as dedupe_stream  # keyed state; here for the feed's users
+from .stateful import buckets_for as buckets_for, dedupe_stream as dedupe_stream  # keyed state; here for the feed's users
 
 EVENT_SCHEMA = T.StructType(
     [

@@ -49,6 +49,15 @@ def _ms(us: int) -> int:
     return -(-us // 1000)
 
 
+#: Hashes that share a bucket: its state is a few hundred kB, and as much again in a Python worker.
+HASHES_PER_BUCKET = 2_000
+
+
+def buckets_for(hashes: int, least: int = 64) -> int:
+    """As many buckets as that many delivery hashes need, so that a bucket does not grow with the feed."""
+    return max(least, -(-hashes // HASHES_PER_BUCKET))
+
+
 def settle_replays(delay_us: int):
     """The step of one bucket of delivery hashes. Its state, as JSON: of each hash the time of its
     last kept delivery, and the deliveries that wait for the watermark, ``[last, [[at, tie, row], ...]]``."""
@@ -104,8 +113,8 @@ def dedupe_stream(
     watermark has passed it, equal times by ``tiebreak``. Of a hash the state holds
     one time and the rows not yet settled that may be kept, and goes when the bound
     is over. Hashes share ``buckets`` states, since a call a state costs far more than
-    a hash does; a bucket's state is written whole, so choose some thousand hashes a
-    bucket. Rows without a key or a time are dropped, as they cannot be settled.
+    a hash does; a bucket's state is read and written whole, so choose some thousand hashes a
+    bucket (``buckets_for``; a feed keeps the number it began with). Rows without a key or a time are dropped, as they cannot be settled.
     """
     tie = F.col(tiebreak) if tiebreak else F.lit(0)
     integral = not tiebreak or isinstance(df.schema[tiebreak].dataType, T.IntegralType)

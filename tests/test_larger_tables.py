@@ -9,8 +9,10 @@ from fieldwise.functions.text import mentions, norm_text
 from fieldwise.operators.joins import interval_join, range_join
 from fieldwise.operators.resolve import newest_row
 from fieldwise.operators.rules import lob_ladder
+from fieldwise.plans import feed_queries
 from fieldwise.plans.registry_all import all_queries
 from fieldwise.sources.tables import spread
+from fieldwise.streaming.stateful import HASHES_PER_BUCKET, buckets_for
 
 D = dt.datetime
 
@@ -115,3 +117,16 @@ def test_a_word_is_found_in_a_text_as_in_its_normalised_form(spark):
     assert "regexp_replace" not in plan_of(df.select(ladder.alias("lob")))
     with pytest.raises(ValueError):
         mentions("t", "two words")
+
+
+def test_a_bucket_of_the_replay_guard_does_not_grow_with_the_feed(spark, tmp_path, monkeypatch):
+    assert buckets_for(100) == 64 and buckets_for(36_000_000) * HASHES_PER_BUCKET >= 36_000_000
+    rows = [(i, D(2026, 6, 1) + dt.timedelta(minutes=7 * i), i % 5, "call", f"p{i}") for i in range(240)]
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, props string"
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    given, guard = [], feed_queries.stream.dedupe_stream
+    monkeypatch.setattr(feed_queries.stream, "dedupe_stream", lambda *a, buckets, **k: given.append(buckets) or guard(*a, buckets=3, **k))
+    monkeypatch.setattr("fieldwise.streaming.stateful.HASHES_PER_BUCKET", 2)
+    got = query(spark, str(tmp_path), "dedupe_drains")
+    assert set(given) == {120}
+    assert got.count() == got.select("delivery_id").distinct().count() > 240
